@@ -159,9 +159,9 @@ def payment_marts(as_of: DateLike, deposit_product: int, liquid_products: Sequen
         "interbank_out_failed": Mart(failed, "transaction_date", _by_channel, as_of),
         "cardless": Mart(settled("CARDLESS", "response_code = '00'"), "transaction_date", _by_channel, as_of),
         "bills_by_channel": Mart(lambda t: _in_channels(successful_bills(t)), "transaction_date", _by_channel, as_of),
-        "bills": Mart(successful_bills, "transaction_date", biller_count, as_of, ("biller",)),
+        "bills": Mart(successful_bills, "transaction_date", biller_count, as_of, ("biller_id",)),
         "airtime_by_channel": Mart(lambda t: _in_channels(airtime(t)), "transaction_date", _by_channel, as_of),
-        "airtime": Mart(airtime, "transaction_date", biller_count, as_of, ("biller",)),
+        "airtime": Mart(airtime, "transaction_date", biller_count, as_of, ("biller_id",)),
         "cards": Mart(
             lambda t: t.card_txn.filter(F.col("transaction_status") == "success"), "transaction_date", card_measures, as_of
         ),
@@ -224,13 +224,12 @@ def payment_marts(as_of: DateLike, deposit_product: int, liquid_products: Sequen
     }
 
 
-def wallet_marts(as_of: DateLike, excluded_wallets: Sequence[str], terminal_pattern: str) -> dict[str, Mart]:
-    """Marts on wallet transactions."""
-    kept = lambda t: t.wallet_txn.filter(~F.col("wallet_name").isin(*excluded_wallets))
-    terminal = lambda t: t.wallet_txn.filter(F.col("wallet_name").ilike(terminal_pattern))
+def wallet_marts(as_of: DateLike) -> dict[str, Mart]:
+    """Marts on wallet transactions. Test wallets and the terminal wallets are told apart in ``tables``."""
+    terminal = lambda t: t.terminal_wallet_txn
 
-    def flow(kind: str):
-        return lambda t: kept(t).filter(
+    def flow(kind: str) -> Callable[[object], DataFrame]:
+        return lambda t: t.kept_wallet_txn.filter(
             (F.col("transaction_response") == "00") & (F.col("transaction_type") == kind)
         )
 
@@ -292,8 +291,9 @@ def gender_totals(clients: DataFrame) -> DataFrame:
     )
 
 
-def distinct_buyers(purchases: DataFrame, name: str) -> DataFrame:
-    return purchases.agg(F.countDistinct("client_id").alias(name))
+def distinct_buyers(purchases: DataFrame, owners: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct clients behind purchases. Purchases are made distinct by their key first, before they meet the owners."""
+    return purchases.select(key).distinct().join(owners, key).agg(F.countDistinct("client_id").alias(name))
 
 
 def cards_to_expire(cards: DataFrame, as_of: DateLike) -> DataFrame:

@@ -1,9 +1,8 @@
 """Exact quantiles of columns of any size, and the bins cut from them.
 
 Spark's ``percentile`` keeps every distinct value of the column in one aggregation buffer, so one task ends up with the
-whole column. Here the wanted order statistics are narrowed down instead: values are counted per coarse bucket, only the
-buckets that hold a wanted rank are counted again per fine bucket, and only the values of those few fine buckets are
-ranked. Every step is a group-by with map-side combine; no step orders the whole column.
+whole column. Here the wanted order statistics are narrowed down instead: values are counted per narrow band of
+magnitude, and only the values of the few bands that hold a wanted rank are ordered.
 """
 
 from __future__ import annotations
@@ -13,81 +12,64 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A coarse bucket spans a factor of e**(1/32), about 3 %, of the magnitude. A double spans 710 * 32 of them per sign,
-# so the table of coarse counts has at most 45,440 rows per column however many rows are counted.
-_STEPS_PER_E = 32
-_FINE_BUCKETS = 4096
+# A band spans a factor of e**(1/4096), about 0.024 %, of the magnitude. Amounts up to 1e16 fall into at most 151,000
+# bands per sign, so the table of band counts is small however many rows are counted; a band of amounts near m holds at
+# most m / 41 distinct cent values.
+_BANDS_PER_E = 4096
 
 
-def _coarse(value: Column) -> Column:
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _STEPS_PER_E)
-
-
-def _fine(value: Column, low: Column, high: Column) -> Column:
-    share = F.when(high > low, (value - low) / (high - low)).otherwise(0.0)
-    return F.floor(share * _FINE_BUCKETS)
+def _band(value: Column) -> Column:
+    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _BANDS_PER_E)
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """One row: for each column an array of its quantiles at ``probs``, linear between order statistics.
 
-    Nulls are left out. A column without values gives null.
+    Nulls are left out. A column without values gives nulls.
     """
     values = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v")) for c in columns])
         ).alias("e")
     ).select("e.col", "e.v").filter(F.col("v").isNotNull())
-    counted = values.groupBy("col", "v").agg(F.count(F.lit(1)).alias("n")).withColumn("coarse", _coarse(F.col("v")))
-
-    # Coarse: bounded row count per column, see above.
-    by_coarse = counted.groupBy("col", "coarse").agg(
-        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
-    running = Window.partitionBy("col").orderBy("coarse").rowsBetween(Window.unboundedPreceding, 0)
-    by_coarse = by_coarse.withColumn("upto", F.sum("n").over(running)).withColumn(
-        "size", F.sum("n").over(Window.partitionBy("col"))
+    counted = values.groupBy("col", "v").agg(F.count(F.lit(1)).alias("n")).withColumn("band", _band(F.col("v")))
+
+    # Bands, in order, with the ranks that fall into each: at most two per probability and column.
+    whole = Window.partitionBy("col")
+    upto = F.sum("n").over(whole.orderBy("band").rowsBetween(Window.unboundedPreceding, 0))
+    bands = (
+        counted.groupBy("col", "band")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("upto", upto)
+        .withColumn("size", F.sum("n").over(whole))
     )
+    rank = (F.col("size") - 1) * F.col("prob")
     wanted = (
-        by_coarse.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("rank", (F.col("size") - 1) * F.col("prob"))
-        .withColumn("k", F.explode(F.array(F.floor("rank"), F.ceil("rank"))))
+        bands.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        .withColumn("rank", rank)
+        .withColumn("k", F.explode(F.array_distinct(F.array(F.floor("rank"), F.ceil("rank")))))
         .filter((F.col("upto") - F.col("n") <= F.col("k")) & (F.col("k") < F.col("upto")))
-        .select("col", "coarse", "low", "high", "prob", "rank", "k", (F.col("k") - F.col("upto") + F.col("n")).alias("at"))
-        .distinct()
+        .select("col", "band", "prob", (F.col("rank") - F.floor("rank")).alias("share"),
+                (F.col("k") - F.col("upto") + F.col("n")).alias("at"))
     )
 
-    # Fine: only the coarse buckets holding a wanted rank (at most two per probability and column).
-    spans = wanted.select("col", "coarse", "low", "high").distinct()
-    narrowed = counted.join(F.broadcast(spans), ["col", "coarse"]).withColumn(
-        "fine", _fine(F.col("v"), F.col("low"), F.col("high"))
-    )
-    by_fine = narrowed.groupBy("col", "coarse", "fine").agg(F.sum("n").alias("n"))
-    running = Window.partitionBy("col", "coarse").orderBy("fine").rowsBetween(Window.unboundedPreceding, 0)
-    by_fine = by_fine.withColumn("upto", F.sum("n").over(running))
-    wanted_fine = (
-        by_fine.join(F.broadcast(wanted.select("col", "coarse", "prob", "rank", "k", "at")), ["col", "coarse"])
-        .filter((F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto")))
-        .select("col", "coarse", "fine", "prob", "rank", "k", (F.col("at") - F.col("upto") + F.col("n")).alias("at"))
-    )
-
-    # Values: distinct values of the chosen fine buckets, each 1/4096 of a 3 % band.
-    chosen = wanted_fine.select("col", "coarse", "fine").distinct()
-    running = Window.partitionBy("col", "coarse", "fine").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = narrowed.join(F.broadcast(chosen), ["col", "coarse", "fine"]).withColumn("upto", F.sum("n").over(running))
-    order_stats = ranked.join(F.broadcast(wanted_fine), ["col", "coarse", "fine"]).filter(
+    # Values of those bands, in order. ``wanted`` has at most two rows per probability and column.
+    inside = Window.partitionBy("col", "band").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.join(F.broadcast(wanted), ["col", "band"], "left_semi").withColumn("upto", F.sum("n").over(inside))
+    found = ranked.join(F.broadcast(wanted), ["col", "band"]).filter(
         (F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto"))
     )
-    cuts = order_stats.groupBy("col", "prob").agg(
-        F.min("v").alias("below"), F.max("v").alias("above"), F.first("rank").alias("rank")
-    ).withColumn(
-        "cut", F.col("below") + (F.col("above") - F.col("below")) * (F.col("rank") - F.floor("rank"))
-    )
-    arrays = []
-    for c in columns:
-        picks = [F.max(F.when((F.col("col") == c) & (F.col("prob") == float(p)), F.col("cut"))) for p in probs]
-        arrays.append(F.array(*picks).alias(c))
-    return cuts.agg(*arrays)
+    aggs, cuts = [], []
+    for i, c in enumerate(columns):
+        picks = []
+        for j, p in enumerate(probs):
+            here = (F.col("col") == c) & (F.col("prob") == float(p))
+            low, high, share = (f"_{kind}_{i}_{j}" for kind in ("low", "high", "share"))
+            aggs += [F.min(F.when(here, F.col("v"))).alias(low), F.max(F.when(here, F.col("v"))).alias(high),
+                     F.max(F.when(here, F.col("share"))).alias(share)]
+            picks.append(F.col(low) + (F.col(high) - F.col(low)) * F.col(share))
+        cuts.append(F.array(*picks).alias(c))
+    return found.agg(*aggs).select(*cuts)
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:

@@ -13,7 +13,12 @@ from coffer.functions.text import thousands
 from coffer.operators.marts import intra_inter_measures
 
 
-def wallet_statement(wallet_txns: DataFrame, banks: DataFrame) -> DataFrame:
+def without_parties(rows: DataFrame, parties: DataFrame, key: str, name: str, excluded: Sequence[str]) -> DataFrame:
+    """Rows of all parties but the named ones. Only the excluded names' keys are matched against the rows."""
+    return rows.join(parties.filter(F.col(name).isin(*excluded)).select(key), key, "left_anti")
+
+
+def wallet_statement(wallet_txns: DataFrame, banks: DataFrame, wallets: DataFrame) -> DataFrame:
     """All statement rows of all wallets in one frame, labelled by section.
 
     Outflows are taken whatever their response; inflows are as booked; initial inflows are a section of their own. The
@@ -21,66 +26,73 @@ def wallet_statement(wallet_txns: DataFrame, banks: DataFrame) -> DataFrame:
     """
     section = F.initcap(F.lower("transaction_type"))
     named = banks.select(F.col("bank_code").alias("from_bank"), F.col("bank_name").alias("from_bank_name"))
+    inward = F.col("transaction_type") != "OUTFLOW"
     return (
         wallet_txns.filter(F.col("transaction_type").isin("OUTFLOW", "INFLOW", "INITIAL INFLOW"))
         .join(named, "from_bank", "left")
+        .join(wallets, "wallet_id", "left")
         .select(
             "wallet_name", section.alias("section"), "transaction_id", "statement_ids",
-            F.when(F.col("transaction_type") != "OUTFLOW", F.col("from_account_no")).alias("from_account_no"),
-            F.when(F.col("transaction_type") != "OUTFLOW", F.col("from_bank_name")).alias("from_bank_name"),
+            F.when(inward, F.col("from_account_no")).alias("from_account_no"),
+            F.when(inward, F.col("from_bank_name")).alias("from_bank_name"),
             "to_account_no", "session_id", "amount", "transaction_response", "time",
         )
     )
 
 
-def pooled_multi_leg(wallet_txns: DataFrame, failed: Sequence[str] = ("02", "99")) -> DataFrame:
+def pooled_multi_leg(wallet_txns: DataFrame, wallets: DataFrame, failed: Sequence[str] = ("02", "99")) -> DataFrame:
     """Transaction ids of a wallet with more than one accepted leg, initial inflows left out."""
     return (
         wallet_txns.filter((F.col("transaction_type") != "INITIAL INFLOW") & ~F.col("transaction_response").isin(*failed))
-        .groupBy("wallet_name", "transaction_id")
+        .groupBy("wallet_id", "transaction_id")
         .agg(F.count(F.lit(1)).alias("legs"), F.sum("amount").alias("amount"))
         .filter(F.col("legs") > 1)
+        .join(wallets, "wallet_id", "left")
+        .drop("wallet_id")
     )
 
 
-def accepted_flows(wallet_txns: DataFrame, excluded: Sequence[str]) -> DataFrame:
+def accepted_flows(wallet_txns: DataFrame) -> DataFrame:
     return wallet_txns.filter(
-        (F.col("transaction_response") == "00")
-        & F.col("transaction_type").isin("OUTFLOW", "INFLOW")
-        & ~F.col("wallet_name").isin(*excluded)
+        (F.col("transaction_response") == "00") & F.col("transaction_type").isin("OUTFLOW", "INFLOW")
     )
 
 
-def intra_inter_by_wallet(wallet_txns: DataFrame, excluded: Sequence[str]) -> DataFrame:
+def intra_inter_by_wallet(wallet_txns: DataFrame, wallets: DataFrame) -> DataFrame:
     """Own-bank and other-bank volume and value per wallet, direction and day."""
     return (
-        accepted_flows(wallet_txns, excluded)
-        .groupBy("wallet_name", "transaction_type", F.to_date("time").alias("date"))
+        accepted_flows(wallet_txns)
+        .groupBy("wallet_id", "transaction_type", F.to_date("time").alias("date"))
         .agg(*intra_inter_measures())
+        .join(wallets, "wallet_id", "left")
+        .drop("wallet_id")
     )
 
 
-def flow_totals(wallet_txns: DataFrame, excluded: Sequence[str]) -> DataFrame:
+def flow_totals(wallet_txns: DataFrame, wallets: DataFrame) -> DataFrame:
     """Volume and value per wallet and direction, and the direction's grand total beside them."""
     per_wallet = (
-        accepted_flows(wallet_txns, excluded)
-        .groupBy("transaction_type", "wallet_name")
+        accepted_flows(wallet_txns)
+        .groupBy("transaction_type", "wallet_id")
         .agg(F.count(F.lit(1)).alias("volume"), F.sum("amount").alias("value"))
     )
     whole = per_wallet.groupBy("transaction_type").agg(
         F.sum("volume").alias("total_volume"), F.sum("value").alias("total_value")
     )
-    return per_wallet.join(whole, "transaction_type")
+    return per_wallet.join(whole, "transaction_type").join(wallets, "wallet_id", "left").drop("wallet_id")
 
 
-def top_wallets(wallet_txns: DataFrame, excluded: Sequence[str], n: int = 5) -> DataFrame:
+def top_wallets(wallet_txns: DataFrame, wallets: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` wallets with the most outflows, by name where they tie."""
     return (
-        accepted_flows(wallet_txns, excluded)
+        accepted_flows(wallet_txns)
         .filter(F.col("transaction_type") == "OUTFLOW")
-        .groupBy("wallet_name")
+        .groupBy("wallet_id")
         .agg(F.count(F.lit(1)).alias("volume"), F.sum("amount").alias("value"))
+        .join(wallets, "wallet_id", "left")
         .orderBy(F.col("volume").desc(), "wallet_name")
         .limit(n)
+        .select("wallet_name", "volume", "value")
     )
 
 
@@ -137,7 +149,7 @@ def mean_deposit_last_week(daily: DataFrame, accounts: DataFrame, as_of: DateLik
     )
 
 
-def bills_of_week(purchases: DataFrame, wallets: Sequence[str] | None, as_of: DateLike) -> DataFrame:
-    """Purchases of the seven days before ``as_of`` from the wallet channel."""
+def bills_of_week(purchases: DataFrame, billers: DataFrame, as_of: DateLike) -> DataFrame:
+    """Purchases from the wallet channel in the seven days before ``as_of``, with the biller's name."""
     week = purchases.filter(last_days(F.col("transaction_date"), as_of, 7) & (F.col("channel") == "WALLET"))
-    return week if wallets is None else week.filter(F.col("biller").isin(*wallets))
+    return week.join(billers, "biller_id", "left")

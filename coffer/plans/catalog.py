@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from coffer.functions import bands, dates, text
 from coffer.functions.measures import total
 from coffer.operators import bills, clients, customer, kpi, ledger, loans, marts, pos, quantiles, risk, staff, wallets
 from coffer.plans.views import (
-    APP_USER, AS_OF, CLIENT_AS_OF, CORPORATE, EVENT_AS_OF, FIXED_DEPOSIT, MONEY, RETAIL_PRODUCTS, Bank,
+    APP_USER, AS_OF, CLIENT_AS_OF, CORPORATE, EVENT_AS_OF, FIXED_DEPOSIT, RETAIL_PRODUCTS, Bank,
 )
 from coffer.sources import incremental
 
@@ -22,94 +23,90 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOUCHER_CODES = ("VOUCHER|", "|429", "|133")
 TEST_WALLETS = ("Supplier#000000001",)
 TEST_SUBSCRIBERS = ("user-1",)
+TERMINAL_MARK = "%supplier#%7%"
 RELABELLED = ("/view", "/click")
+DAILY_LIMIT = 10_000
 HOLIDAYS = ("2024-01-01", "2024-01-26")
 
 
 class Tables(Bank):
     """The bank, and the tables some operators make for others."""
 
-    @property
+    @cached_property
     def balanced(self) -> DataFrame:
         return ledger.with_running_balance(self.transaction)
 
-    @property
+    @cached_property
     def airtime(self) -> DataFrame:
         """Airtime purchases; the fixture's item names hold no brand, so the part's colour stands for one."""
-        return self.bill_item.filter(F.col("biller_code").rlike("RED|BLUE"))
+        return self.bill_item.filter("biller_code rlike 'RED|BLUE'")
 
-    @property
+    @cached_property
     def transfer(self) -> DataFrame:
         """A transfer per order: from its own transaction to the next one."""
-        k = F.col("o_orderkey")
-        return self.table("orders").select(
-            k.alias("transfer_id"), k.alias("from_txn"),
-            F.when(k % 7 == 0, k).otherwise(k + 1).alias("to_txn"),
-            F.col("o_orderdate").alias("transfer_date"),
-            F.when(k % 3 == 0, "Deposit LIQUIDATION").otherwise("Account transfer").alias("description"),
+        return self.table("orders").selectExpr(
+            "o_orderkey as transfer_id", "o_orderkey as from_txn",
+            "if(o_orderkey % 7 = 0, o_orderkey, o_orderkey + 1) as to_txn", "o_orderdate as transfer_date",
+            "if(o_orderkey % 3 = 0, 'Deposit LIQUIDATION', 'Account transfer') as description",
         )
 
-    @property
+    @cached_property
     def groups(self) -> DataFrame:
-        return self.table("nation").select(
-            (F.lit(9000000) + F.col("n_nationkey")).cast("long").alias("group_id"), F.col("n_name").alias("group_name")
-        )
+        return self.table("nation").selectExpr("cast(9000000 + n_nationkey as bigint) as group_id", "n_name as group_name")
 
-    @property
+    @cached_property
     def grouped_account(self) -> DataFrame:
         """Accounts of which some belong to a group instead of a client."""
-        return self.account.withColumn("client_id", F.when(F.col("group_id").isNull(), F.col("client_id")))
+        return self.account.withColumn("client_id", F.expr("if(group_id is null, client_id, null)"))
 
-    @property
+    @cached_property
     def risk_score(self) -> DataFrame:
         """A rating between 0.5 and 5.0; clients divisible by 6 have none."""
-        k = F.col("c_custkey")
-        return self.table("customer").filter(k % 6 != 0).select(
-            k.alias("client_id"), ((k % 10 + 1) / 2).cast("double").alias("risk_score")
+        return self.table("customer").filter("c_custkey % 6 <> 0").selectExpr(
+            "c_custkey as client_id", "cast((c_custkey % 10 + 1) / 2 as double) as risk_score"
         )
 
-    @property
+    @cached_property
     def staff(self) -> DataFrame:
         """Clients that referred somebody."""
-        who = self.client.select(F.col("referred_by_id").alias("client_id")).filter(F.col("client_id").isNotNull()).distinct()
-        return self.client.join(who, "client_id", "left_semi").select(
-            F.col("client_id").alias("staff_id"), F.col("client_name").alias("staff_name")
+        who = self.client.filter("referred_by_id is not null").selectExpr("referred_by_id as client_id")
+        return self.client.join(who.distinct(), "client_id", "left_semi").selectExpr(
+            "client_id as staff_id", "client_name as staff_name"
         )
 
-    @property
+    @cached_property
     def settlement(self) -> DataFrame:
-        """Settlements exist for accepted partner transactions."""
-        return self.transaction.filter(F.col("partners") != "INTERNAL").select(
-            "transaction_id", F.col("channel").alias("settled_channel"), F.col("response_code").alias("settled_response")
-        )
-
-    @property
-    def pos_account(self) -> DataFrame:
-        """POS rows with the merchant's settlement account."""
-        return self.pos_txn.withColumn(
-            "account_no", F.concat(F.lit("10"), F.lpad((F.col("merchant_id") * 3).cast("string"), 8, "0"))
+        """Settlements exist for partner transactions."""
+        return self.transaction.filter("partners <> 'INTERNAL'").selectExpr(
+            "transaction_id", "channel as settled_channel", "response_code as settled_response"
         )
 
-    @property
+    @cached_property
     def wallet_accounts(self) -> DataFrame:
-        return self.table("supplier").select(
-            F.concat(F.lit("10"), F.lpad((F.col("s_suppkey") * 3).cast("string"), 8, "0")).alias("account_no")
-        )
+        return self.table("supplier").selectExpr("concat('10', lpad(cast(s_suppkey * 3 as string), 8, '0')) as account_no")
 
-    @property
+    @cached_property
     def earlier_limits(self) -> DataFrame:
-        k = F.col("client_id")
-        return self.client.select(
+        return self.client.selectExpr(
             "client_id",
-            (F.col("daily_withdraw_limit") - F.when(k % 9 == 0, 10000).otherwise(0)).cast(MONEY).alias("daily_withdraw_limit"),
-            (F.col("max_transaction_limit") - F.when(k % 14 == 0, 5000).otherwise(0)).cast(MONEY)
-            .alias("max_transaction_limit"),
+            "cast(daily_withdraw_limit - if(client_id % 9 = 0, 10000, 0) as decimal(18,2)) as daily_withdraw_limit",
+            "cast(max_transaction_limit - if(client_id % 14 = 0, 5000, 0) as decimal(18,2)) as max_transaction_limit",
         )
 
-    @property
+    @cached_property
     def calls(self) -> DataFrame:
         return marts.api_calls_kept(self.api_call, TEST_SUBSCRIBERS, RELABELLED)
 
+    @cached_property
+    def kept_wallet_txn(self) -> DataFrame:
+        """Wallet rows without those of test wallets."""
+        return wallets.without_parties(self.wallet_txn, self.wallet, "wallet_id", "wallet_name", TEST_WALLETS)
+
+    @cached_property
+    def terminal_wallet_txn(self) -> DataFrame:
+        """Rows of the wallets whose name has the terminal mark."""
+        return self.wallet_txn.join(self.wallet.filter(F.col("wallet_name").ilike(TERMINAL_MARK)), "wallet_id", "left_semi")
+
 
 def present(df: DataFrame) -> DataFrame:
     """Result types that compare alike in both engines: money as double, dates and times as text."""
@@ -329,9 +326,10 @@ def _(t):
 @query("statement_id_head")
 def _(t):
     rows = t.wallet_txn.filter(F.col("transaction_type") == "OUTFLOW").select(
-        "transaction_id", "wallet_name", "statement_ids", "amount"
+        "transaction_id", "wallet_id", "statement_ids", "amount"
     )
-    return ledger.statement_balance_by_head(rows, t.balanced.select("transaction_id", "running_balance"))
+    named = rows.join(t.wallet, "wallet_id", "left").drop("wallet_id")
+    return ledger.statement_balance_by_head(named, t.balanced.select("transaction_id", "running_balance"))
 
 
 @query("explode_account_list")
@@ -343,8 +341,8 @@ def _(t):
 
 @query("kpi_formatted")
 def _(t):
-    per_wallet = t.wallet_txn.groupBy("wallet_name").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("v"))
-    return per_wallet.select(
+    per_wallet = t.wallet_txn.groupBy("wallet_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("v"))
+    return per_wallet.join(t.wallet, "wallet_id", "left").select(
         "wallet_name", text.thousands(F.col("n")).alias("volume"), text.thousands(F.col("v"), 2, "N").alias("value"),
         text.percent_text(F.col("n") / 4, 2).alias("percent"),
     )
@@ -352,8 +350,7 @@ def _(t):
 
 @query("calendar_spine")
 def _(t):
-    start = t.spark.createDataFrame([], "x int")  # the spine needs a session only
-    days = dates.calendar_spine(start.sparkSession, "1995-01-01", AS_OF)
+    days = dates.calendar_spine(t.spark, "1995-01-01", AS_OF)
     active = t.transaction.groupBy(F.to_date("transaction_date").alias("date")).agg(F.count(F.lit(1)).alias("transactions"))
     return days.join(active, "date", "left").withColumn("transactions", F.coalesce("transactions", F.lit(0)))
 
@@ -394,9 +391,10 @@ def _(t):
 
 @query("bills_not_airtime")
 def _(t):
-    return incremental.missing_keys(t.bill_item, t.airtime, "transaction_id").groupBy("biller").agg(
+    rest = incremental.missing_keys(t.bill_item, t.airtime, "transaction_id").groupBy("biller_id").agg(
         F.count(F.lit(1)).alias("bills"), F.sum("amount").alias("amount")
     )
+    return rest.join(t.biller, "biller_id", "left").drop("biller_id")
 
 
 @query("referrer_self_join")
@@ -514,7 +512,7 @@ def _(t):
 
 @query("wallet_flow_totals")
 def _(t):
-    return wallets.flow_totals(t.wallet_txn, TEST_WALLETS)
+    return wallets.flow_totals(t.kept_wallet_txn, t.wallet)
 
 
 @query("clv_segment_stats")
@@ -662,22 +660,22 @@ def _(t):
 
 @query("wallet_statement_all")
 def _(t):
-    return wallets.wallet_statement(t.wallet_txn, t.bank)
+    return wallets.wallet_statement(t.wallet_txn, t.bank, t.wallet)
 
 
 @query("pooled_multi_leg")
 def _(t):
-    return wallets.pooled_multi_leg(t.wallet_txn)
+    return wallets.pooled_multi_leg(t.wallet_txn, t.wallet)
 
 
 @query("wallet_intra_inter")
 def _(t):
-    return wallets.intra_inter_by_wallet(t.wallet_txn, TEST_WALLETS)
+    return wallets.intra_inter_by_wallet(t.kept_wallet_txn, t.wallet)
 
 
 @query("top_transfer_wallets")
 def _(t):
-    return wallets.top_wallets(t.wallet_txn, TEST_WALLETS)
+    return wallets.top_wallets(t.kept_wallet_txn, t.wallet)
 
 
 @query("api_calls_by_resource")
@@ -699,7 +697,7 @@ def _(t):
 def _(t):
     groups = {"lookup": ("/view", "/view-account"), "click": ("/click", "/click-account"), "sale": ("/purchase",)}
     week = t.calls.filter(dates.last_days(F.col("date"), EVENT_AS_OF, 7))
-    flows = wallets.accepted_flows(t.wallet_txn, TEST_WALLETS).filter(dates.last_days(F.col("time"), AS_OF, 7))
+    flows = wallets.accepted_flows(t.kept_wallet_txn).filter(dates.last_days(F.col("time"), AS_OF, 7))
     return wallets.weekly_kpis(week, flows, groups)
 
 
@@ -757,18 +755,18 @@ def _(t):
 
 @query("pos_transactions")
 def _(t):
-    return pos.pos_transactions(t.pos_account, t.account, t.client, "POSV")
+    return pos.pos_transactions(t.pos_txn, t.account, t.client, "POSV")
 
 
 @query("pos_failed_three_months")
 def _(t):
-    recent = t.pos_account.filter(F.col("transaction_date") >= F.lit(dates.years_back(AS_OF, 3)))
+    recent = t.pos_txn.filter(F.col("transaction_date") >= F.lit(dates.years_back(AS_OF, 3)))
     return pos.pos_transactions(recent, t.account, t.client, "POSV", accepted=False)
 
 
 @query("pos_terminals")
 def _(t):
-    return pos.pos_terminals(t.pos_account, t.account, t.client)
+    return pos.pos_terminals(t.pos_txn, t.account, t.client)
 
 
 @query("term_deposit_maturity")
@@ -921,7 +919,7 @@ def _(t):
 
 @query("wallet_bills_week")
 def _(t):
-    return wallets.bills_of_week(t.bill, None, AS_OF).select("transaction_id", "biller", "amount", "transaction_date")
+    return wallets.bills_of_week(t.bill, t.biller, AS_OF).select("transaction_id", "biller", "amount", "transaction_date")
 
 
 # -- marts -------------------------------------------------------------------------------------------------------------
@@ -929,22 +927,30 @@ def _(t):
 MARTS = {
     **marts.retail_marts(CLIENT_AS_OF, RETAIL_PRODUCTS, (24, 30, 33), APP_USER),
     **marts.payment_marts(AS_OF, FIXED_DEPOSIT, (FIXED_DEPOSIT, 30), CORPORATE, VOUCHER_CODES),
-    **marts.wallet_marts(AS_OF, TEST_WALLETS, "%supplier#%7%"),
+    **marts.wallet_marts(AS_OF),
     **marts.api_marts(EVENT_AS_OF, TEST_SUBSCRIBERS, RELABELLED),
 }
 
 
+BILLER_MARTS = ("bills", "airtime")
+
+
 def _register_marts() -> None:
     for name, mart, grain in kpi.mart_names(MARTS):
-        REGISTRY[name] = lambda t, mart=mart, grain=grain: MARTS[mart].build(t, grain)
+        if mart in BILLER_MARTS:  # counted by id, named after
+            REGISTRY[name] = lambda t, mart=mart, grain=grain: (
+                MARTS[mart].build(t, grain).join(t.biller, "biller_id", "left").drop("biller_id")
+            )
+        else:
+            REGISTRY[name] = lambda t, mart=mart, grain=grain: MARTS[mart].build(t, grain)
     success = lambda df: df.filter(F.col("transaction_status") == "success")
     for grain, suffix in (("monthly", "monthly"), ("ytd", "daily")):
         REGISTRY[f"top_biller_{suffix}"] = lambda t, g=grain: kpi.top_by_period(
-            success(t.bill), "transaction_date", g, "biller", AS_OF, "biller_count"
-        )
+            success(t.bill), "transaction_date", g, "biller_id", AS_OF, "biller_count"
+        ).join(t.biller, "biller_id").drop("biller_id")
         REGISTRY[f"top_airtime_{suffix}"] = lambda t, g=grain: kpi.top_by_period(
-            success(t.airtime), "transaction_date", g, "biller", AS_OF, "biller_count"
-        )
+            success(t.airtime), "transaction_date", g, "biller_id", AS_OF, "biller_count"
+        ).join(t.biller, "biller_id").drop("biller_id")
         REGISTRY[f"free_vs_extra_quota_{suffix}"] = lambda t, g=grain: kpi.quota_by_period(
             t.transaction.filter((F.col("type_enum") == 2) & (F.col("response_code") == "00")), "transaction_date", g,
             "product_name", marts.FREE_TRANSFERS, AS_OF,
@@ -961,13 +967,12 @@ def _(t):
 
 @query("mart_bill_buyers")
 def _(t):
-    return marts.distinct_buyers(t.bill_with_client, "purchase_bill_customers")
+    return marts.distinct_buyers(t.bill.select("order_id"), t.order_owner, "order_id", "purchase_bill_customers")
 
 
 @query("mart_airtime_buyers")
 def _(t):
-    owner = t.bill_with_client.select("order_id", "client_id").distinct()
-    return marts.distinct_buyers(t.airtime.select("order_id").distinct().join(owner, "order_id"), "purchase_airtime_customers")
+    return marts.distinct_buyers(t.airtime.select("order_id"), t.order_owner, "order_id", "purchase_airtime_customers")
 
 
 @query("loan_daily_spine")
@@ -981,11 +986,7 @@ def _(t):
 @query("limit_band_alerts")
 def _(t):
     events = t.api_call.select(F.to_date("date").alias("date"), F.col("date").alias("ts"), "id", "amount")
-    return risk.limit_band_alerts(events, _daily_limit(t))
-
-
-def _daily_limit(t: Tables) -> int:
-    return 10_000
+    return risk.limit_band_alerts(events, DAILY_LIMIT)
 
 
 @query("settlement_position")

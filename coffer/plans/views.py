@@ -1,17 +1,16 @@
 """The test tables seen as a bank: clients, accounts, transactions, bills, wallets, loans, cards, journal.
 
-Each property is a narrow projection of one table (two where a name is looked up), so a query that needs three columns
-of ``transaction`` still reads only the columns behind those three. ``oracle_views`` holds the same definitions as SQL.
+Each view is a narrow projection of one table, so a query that needs three columns of ``transaction`` still reads only
+the columns behind those three. Names of parties (billers, wallets) are tables of their own and joined where a report
+shows them, after aggregation. ``oracle_views`` holds the same definitions as SQL for the checks.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-MONEY = "decimal(18,2)"
+from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = dt.date(2001, 8, 2)          # orders and lineitem run to about here
 CLIENT_AS_OF = dt.date(1994, 10, 15)  # activation dates fill 1994
@@ -31,14 +30,27 @@ FIXED_DEPOSIT = 36
 CORPORATE = 26
 APP_USER = 31
 
-
-def _pick(index: Column, values: tuple) -> Column:
-    """Element of a constant list by a zero-based index column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _key(column: str) -> Column:
-    return F.col(column)
+# Declared schemas: a read then needs no job over file footers.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+_PRODUCT_ID = "element_at(array({}), cast({{a}} % 7 as int) + 1)".format(", ".join(str(p) for p, _ in PRODUCTS))
+_PRODUCT_NAME = "element_at(array({}), cast({{a}} % 7 as int) + 1)".format(", ".join(f"'{n}'" for _, n in PRODUCTS))
+_ACCOUNT_NO = "concat('10', lpad(cast({a} as string), 8, '0'))"
+_SETTLED = ("cast(round(cast(l_extendedprice as decimal(18,2)) * (cast(1 as decimal(4,2)) - cast(l_discount as decimal(4,2))), 2)"
+            " as decimal(18,2))")
 
 
 class Bank:
@@ -47,258 +59,235 @@ class Bank:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # -- parties -------------------------------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def client(self) -> DataFrame:
-        k = _key("c_custkey")
-        return self.table("customer").select(
-            k.alias("client_id"),
-            F.col("c_name").alias("client_name"),
-            F.col("c_mktsegment").alias("client_category"),
-            F.concat(F.lit("Tier "), (1 + k % 3).cast("string")).alias("client_tier"),
-            (99 + k % 3).cast("string").alias("level_code"),
-            F.when(k % 20 == 0, "600").otherwise("300").alias("status_code"),
-            F.when(k % 20 == 0, "Closed").otherwise("Active").alias("client_status"),
-            F.when(k % 13 != 0, F.when(k % 2 == 0, "29").otherwise("30")).alias("gender_code"),
-            (64 + k % 3).cast("string").alias("type_code"),
-            (60 + k % 5).cast("string").alias("marital_code"),
-            F.date_add(F.lit(dt.date(1994, 1, 1)), (k % 365).cast("int")).alias("activation_date"),
-            F.when(k % 20 == 0, F.date_add(F.lit(dt.date(1996, 1, 1)), (k % 1500).cast("int"))).alias("closedon_date"),
-            F.when(k % 4 != 0, k % 50).alias("referred_by_id"),
-            F.when(k % 11 != 0, F.concat(F.lit("01-01-"), (1940 + k % 80).cast("string"))).alias("dob_text"),
-            F.when(k % 5 != 0, k + 1).alias("image_id"),
-            F.when(k % 3 != 0, APP_USER).otherwise(7).alias("activatedon_userid"),
-            (50000 * (1 + k % 3)).cast(MONEY).alias("daily_withdraw_limit"),
-            (20000 * (1 + k % 5)).cast(MONEY).alias("max_transaction_limit"),
-            _pick(k % 4, ("MobileApp", "WhatsApp", "Backend", "MobileApp")).alias("onboard_channel"),
-            F.concat(F.lit("080"), F.lpad(k.cast("string"), 8, "0")).alias("mobile_number"),
-            (F.col("c_acctbal").cast(MONEY)).alias("net_position"),
-            F.col("c_nationkey").alias("state_id"),
+        return self.table("customer").selectExpr(
+            "c_custkey as client_id",
+            "c_name as client_name",
+            "c_mktsegment as client_category",
+            "concat('Tier ', 1 + c_custkey % 3) as client_tier",
+            "cast(99 + c_custkey % 3 as string) as level_code",
+            "if(c_custkey % 20 = 0, '600', '300') as status_code",
+            "if(c_custkey % 20 = 0, 'Closed', 'Active') as client_status",
+            "case when c_custkey % 13 <> 0 then if(c_custkey % 2 = 0, '29', '30') end as gender_code",
+            "cast(64 + c_custkey % 3 as string) as type_code",
+            "cast(60 + c_custkey % 5 as string) as marital_code",
+            "date_add(date'1994-01-01', cast(c_custkey % 365 as int)) as activation_date",
+            "case when c_custkey % 20 = 0 then date_add(date'1996-01-01', cast(c_custkey % 1500 as int)) end as closedon_date",
+            "case when c_custkey % 4 <> 0 then c_custkey % 50 end as referred_by_id",
+            "case when c_custkey % 11 <> 0 then concat('01-01-', 1940 + c_custkey % 80) end as dob_text",
+            "case when c_custkey % 5 <> 0 then c_custkey + 1 end as image_id",
+            f"if(c_custkey % 3 <> 0, {APP_USER}, 7) as activatedon_userid",
+            "cast(50000 * (1 + c_custkey % 3) as decimal(18,2)) as daily_withdraw_limit",
+            "cast(20000 * (1 + c_custkey % 5) as decimal(18,2)) as max_transaction_limit",
+            "element_at(array('MobileApp', 'WhatsApp', 'Backend', 'MobileApp'), cast(c_custkey % 4 as int) + 1) as onboard_channel",
+            "concat('080', lpad(cast(c_custkey as string), 8, '0')) as mobile_number",
+            "cast(c_acctbal as decimal(18,2)) as net_position",
+            "c_nationkey as state_id",
         )
 
-    @property
+    @cached_property
     def state(self) -> DataFrame:
-        return self.table("nation").select(F.col("n_nationkey").alias("state_id"), F.col("n_name").alias("state"))
+        return self.table("nation").selectExpr("n_nationkey as state_id", "n_name as state")
 
-    @property
+    @cached_property
     def account(self) -> DataFrame:
         """Two accounts per client; the second starts 2,000 below the first."""
-        k = _key("c_custkey")
-        base = self.table("customer").select(
-            "c_custkey", "c_acctbal", "c_nationkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("slot")
-        )
-        account_id = k * 2 + F.col("slot")
-        return base.select(
-            account_id.alias("account_id"),
-            k.alias("client_id"),
-            F.concat(F.lit("10"), F.lpad(account_id.cast("string"), 8, "0")).alias("account_no"),
-            _pick(account_id % 7, tuple(p for p, _ in PRODUCTS)).alias("product_id"),
-            _pick(account_id % 7, tuple(n for _, n in PRODUCTS)).alias("product_name"),
-            F.date_add(F.lit(dt.date(1994, 1, 1)), (k % 365 + 30 * F.col("slot")).cast("int")).alias("approvedon_date"),
-            F.when(account_id % 9 == 0, F.date_add(F.lit(dt.date(2000, 6, 1)), (account_id % 400).cast("int")))
-            .alias("closedon_date"),
-            F.when(account_id % 5 == 0, 7).otherwise(APP_USER).alias("submittedby_userid"),
-            (F.col("c_acctbal") - 2000 * F.col("slot")).cast(MONEY).alias("balance"),
-            (5000 + 1000 * (account_id % 5)).cast(MONEY).alias("overdraft_limit"),
-            F.when(account_id % 3 == 0, F.date_sub(F.lit(AS_OF), (account_id % 200).cast("int"))).alias("overdraft_start"),
-            F.when(account_id % 3 == 0, F.date_add(F.lit(AS_OF), (account_id % 100).cast("int") - 5))
-            .alias("overdraft_end"),
-            F.when(account_id % 10 == 9, 9000000 + F.col("c_nationkey")).cast("long").alias("group_id"),
+        slots = self.table("customer").selectExpr("c_custkey", "c_acctbal", "c_nationkey", "explode(array(0, 1)) as slot")
+        numbered = slots.selectExpr("*", "c_custkey * 2 + slot as account_id")
+        return numbered.selectExpr(
+            "account_id",
+            "c_custkey as client_id",
+            f"{_ACCOUNT_NO.format(a='account_id')} as account_no",
+            f"{_PRODUCT_ID.format(a='account_id')} as product_id",
+            f"{_PRODUCT_NAME.format(a='account_id')} as product_name",
+            "date_add(date'1994-01-01', cast(c_custkey % 365 + 30 * slot as int)) as approvedon_date",
+            "case when account_id % 9 = 0 then date_add(date'2000-06-01', cast(account_id % 400 as int)) end as closedon_date",
+            f"if(account_id % 5 = 0, 7, {APP_USER}) as submittedby_userid",
+            "cast(c_acctbal - 2000 * slot as decimal(18,2)) as balance",
+            "cast(5000 + 1000 * (account_id % 5) as decimal(18,2)) as overdraft_limit",
+            f"case when account_id % 3 = 0 then date_sub(date'{AS_OF}', cast(account_id % 200 as int)) end as overdraft_start",
+            f"case when account_id % 3 = 0 then date_add(date'{AS_OF}', cast(account_id % 100 as int) - 5) end as overdraft_end",
+            "case when account_id % 10 = 9 then cast(9000000 + c_nationkey as bigint) end as group_id",
         )
 
-    @property
+    @cached_property
     def product(self) -> DataFrame:
         rows = ", ".join(f"({pid}, '{name}')" for pid, name in PRODUCTS)
         return self.spark.sql(f"SELECT * FROM VALUES {rows} AS t(product_id, product_name)")
 
     # -- movements -----------------------------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def transaction(self) -> DataFrame:
-        k, cust = _key("o_orderkey"), _key("o_custkey")
-        account_id = cust * 2 + k % 2
-        enum = F.when(F.col("o_orderstatus") == "F", 2).otherwise(1)
-        partner = _pick(k % 6, ("INTERNAL", "NIPCREDIT", "CARDLESS", "VOUCHER", "BILLS", "TRANSFER"))
-        return self.table("orders").select(
-            k.alias("transaction_id"),
-            cust.alias("client_id"),
-            account_id.alias("account_id"),
-            F.concat(F.lit("10"), F.lpad(account_id.cast("string"), 8, "0")).alias("account_no"),
-            _pick(account_id % 7, tuple(p for p, _ in PRODUCTS)).alias("product_id"),
-            _pick(account_id % 7, tuple(n for _, n in PRODUCTS)).alias("product_name"),
-            F.col("o_totalprice").cast(MONEY).alias("amount"),
-            F.col("o_orderdate").alias("transaction_date"),
-            enum.alias("type_enum"),
-            F.when(F.col("o_orderstatus") == "F", "withdrawal").otherwise("deposit").alias("transaction_type"),
-            _pick(
-                F.left("o_orderpriority", F.lit(1)).cast("int") - 1, ("MOBILE", "USSD", "CHATBOT", "WALLET", None)
-            ).alias("channel"),
-            F.when(k % 10 == 0, "91").otherwise("00").alias("response_code"),
-            partner.alias("partners"),
-            F.when(k % 6 == 0, "Internal transfer").otherwise("External transfer").alias("partners_description"),
-            F.when(k % 25 == 0, "Yes").otherwise("No").alias("is_reversed"),
-            F.when(k % 8 == 0, "FD Booking")
-            .when(k % 8 == 1, "Roll over")
-            .when(k % 8 == 2, "Loan Disbursement")
-            .when(k % 8 == 3, "Partial Liquidation")
-            .when(k % 8 == 4, F.concat(F.lit("Reversal Of transactionId "), (k - 1).cast("string")))
-            .otherwise(F.concat(F.lit("Transfer to "), (cust % 100).cast("string")))
-            .alias("remarks"),
-            F.when(
-                k % 6 == 3,
-                F.concat(F.lit("VOUCHER|item "), (k % 5).cast("string"), F.when(k % 2 == 0, "|429").otherwise("|133")),
-            ).alias("third_party_name"),
-            F.when(k % 3 != 0, F.concat(F.lit("S"), k.cast("string"))).alias("session_id"),
+        numbered = self.table("orders").selectExpr(
+            "o_orderkey as k", "o_custkey as cust", "o_custkey * 2 + o_orderkey % 2 as account_id", "o_totalprice",
+            "o_orderdate", "o_orderstatus", "o_orderpriority",
+        )
+        return numbered.selectExpr(
+            "k as transaction_id",
+            "cust as client_id",
+            "account_id",
+            f"{_ACCOUNT_NO.format(a='account_id')} as account_no",
+            f"{_PRODUCT_ID.format(a='account_id')} as product_id",
+            f"{_PRODUCT_NAME.format(a='account_id')} as product_name",
+            "cast(o_totalprice as decimal(18,2)) as amount",
+            "o_orderdate as transaction_date",
+            "if(o_orderstatus = 'F', 2, 1) as type_enum",
+            "if(o_orderstatus = 'F', 'withdrawal', 'deposit') as transaction_type",
+            "case left(o_orderpriority, 1) when '1' then 'MOBILE' when '2' then 'USSD' when '3' then 'CHATBOT'"
+            " when '4' then 'WALLET' end as channel",
+            "if(k % 10 = 0, '91', '00') as response_code",
+            "element_at(array('INTERNAL', 'NIPCREDIT', 'CARDLESS', 'VOUCHER', 'BILLS', 'TRANSFER'), cast(k % 6 as int) + 1) as partners",
+            "if(k % 6 = 0, 'Internal transfer', 'External transfer') as partners_description",
+            "if(k % 25 = 0, 'Yes', 'No') as is_reversed",
+            "case k % 8 when 0 then 'FD Booking' when 1 then 'Roll over' when 2 then 'Loan Disbursement'"
+            " when 3 then 'Partial Liquidation' when 4 then concat('Reversal Of transactionId ', k - 1)"
+            " else concat('Transfer to ', cust % 100) end as remarks",
+            "case when k % 6 = 3 then concat('VOUCHER|item ', k % 5, if(k % 2 = 0, '|429', '|133')) end as third_party_name",
+            "case when k % 3 <> 0 then concat('S', k) end as session_id",
         )
 
-    @property
+    @cached_property
     def bill(self) -> DataFrame:
         """Settled purchases, one per order line; the line's supplier is the biller."""
-        line = self.table("lineitem").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_suppkey").alias("biller_id"),
-            F.col("l_partkey").alias("item_id"),
-            F.col("l_extendedprice").cast(MONEY).alias("amount"),
-            F.round(
-                F.col("l_extendedprice").cast(MONEY) * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")),
-                2,
-            ).cast(MONEY).alias("settled_amount"),
-            F.col("l_shipdate").alias("transaction_date"),
-            F.when(F.col("l_returnflag") == "R", "failed").otherwise("success").alias("transaction_status"),
-            _pick(F.col("l_linenumber") % 4, ("MOBILE", "USSD", "CHATBOT", "WALLET")).alias("channel"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber as transaction_id",
+            "l_orderkey as order_id",
+            "l_suppkey as biller_id",
+            "l_partkey as item_id",
+            "cast(l_extendedprice as decimal(18,2)) as amount",
+            f"{_SETTLED} as settled_amount",
+            "l_shipdate as transaction_date",
+            "if(l_returnflag = 'R', 'failed', 'success') as transaction_status",
+            "element_at(array('MOBILE', 'USSD', 'CHATBOT', 'WALLET'), l_linenumber % 4 + 1) as channel",
         )
-        biller = self.table("supplier").select(F.col("s_suppkey").alias("biller_id"), F.col("s_name").alias("biller"))
-        return line.join(biller, "biller_id", "left")
 
-    @property
-    def bill_with_client(self) -> DataFrame:
-        owner = self.table("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("client_id"))
-        return self.bill.join(owner, "order_id", "left")
+    @cached_property
+    def biller(self) -> DataFrame:
+        return self.table("supplier").selectExpr("s_suppkey as biller_id", "s_name as biller")
+
+    @cached_property
+    def order_owner(self) -> DataFrame:
+        return self.table("orders").selectExpr("o_orderkey as order_id", "o_custkey as client_id")
 
-    @property
+    @cached_property
     def bill_item(self) -> DataFrame:
-        """Purchases with the biller code text: part name and type, 'Blank' for every part type SMALL."""
-        part = self.table("part").select(
-            F.col("p_partkey").alias("item_id"),
-            F.when(F.col("p_type") == "SMALL", "Blank").otherwise(F.upper("p_name")).alias("biller_code"),
-            F.concat_ws(" ", F.col("p_type"), F.col("p_name"), F.col("p_brand")).alias("remarks"),
+        """Purchases with the biller code text: the part name, 'Blank' for every part type SMALL."""
+        part = self.table("part").selectExpr(
+            "p_partkey as item_id",
+            "if(p_type = 'SMALL', 'Blank', upper(p_name)) as biller_code",
+            "concat_ws(' ', p_type, p_name, p_brand) as remarks",
         )
         return self.bill.join(part, "item_id", "left")
 
-    @property
+    @cached_property
     def wallet_txn(self) -> DataFrame:
-        line = self.table("lineitem").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_suppkey").alias("wallet_id"),
-            F.when((F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 7), "INITIAL INFLOW")
-            .when(F.col("l_linestatus") == "O", "OUTFLOW")
-            .otherwise("INFLOW")
-            .alias("transaction_type"),
-            F.concat(F.lit("20"), F.lpad((F.col("l_partkey") % 1000).cast("string"), 8, "0")).alias("from_account_no"),
-            F.concat(F.lit("20"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0")).alias("to_account_no"),
-            (F.col("l_partkey") % 25).cast("int").alias("from_bank"),
-            F.when(F.col("l_suppkey") % 2 == 0, "999999").otherwise("000013").alias("to_bank"),
-            F.col("l_extendedprice").cast(MONEY).alias("amount"),
-            F.when(F.col("l_returnflag") == "R", "99").otherwise("00").alias("transaction_response"),
-            F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-            .alias("statement_ids"),
-            F.col("l_shipdate").alias("time"),
-            F.concat(F.lit("S"), F.col("l_orderkey").cast("string")).alias("session_id"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber as transaction_id",
+            "l_orderkey as order_id",
+            "l_suppkey as wallet_id",
+            "case when l_linestatus = 'F' and l_linenumber = 7 then 'INITIAL INFLOW' when l_linestatus = 'O' then 'OUTFLOW'"
+            " else 'INFLOW' end as transaction_type",
+            "concat('20', lpad(cast(l_partkey % 1000 as string), 8, '0')) as from_account_no",
+            "concat('20', lpad(cast(l_suppkey as string), 8, '0')) as to_account_no",
+            "cast(l_partkey % 25 as int) as from_bank",
+            "if(l_suppkey % 2 = 0, '999999', '000013') as to_bank",
+            "cast(l_extendedprice as decimal(18,2)) as amount",
+            "if(l_returnflag = 'R', '99', '00') as transaction_response",
+            "concat(l_orderkey, '-', l_linenumber) as statement_ids",
+            "l_shipdate as time",
+            "concat('S', l_orderkey) as session_id",
         )
-        wallet = self.table("supplier").select(F.col("s_suppkey").alias("wallet_id"), F.col("s_name").alias("wallet_name"))
-        return line.join(wallet, "wallet_id", "left")
 
-    @property
+    @cached_property
+    def wallet(self) -> DataFrame:
+        return self.table("supplier").selectExpr("s_suppkey as wallet_id", "s_name as wallet_name")
+
+    @cached_property
     def bank(self) -> DataFrame:
-        return self.table("nation").select(
-            F.col("n_nationkey").alias("bank_code"), F.concat(F.lit("BANK "), F.col("n_name")).alias("bank_name")
-        )
+        return self.table("nation").selectExpr("n_nationkey as bank_code", "concat('BANK ', n_name) as bank_name")
 
-    @property
+    @cached_property
     def pos_txn(self) -> DataFrame:
-        return self.table("lineitem").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_suppkey").alias("merchant_id"),
-            F.concat(F.lit("T"), F.lpad((F.col("l_suppkey") % 500).cast("string"), 6, "0")).alias("terminal_id"),
-            F.when(F.col("l_returnflag") == "R", "51").otherwise("00").alias("status_code"),
-            F.col("l_extendedprice").cast(MONEY).alias("amount"),
-            F.round(
-                F.col("l_extendedprice").cast(MONEY) * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")),
-                2,
-            ).cast(MONEY).alias("settled_amount"),
-            F.concat(F.lit("506101"), F.lpad(F.col("l_partkey").cast("string"), 10, "0")).alias("card_pan"),
-            F.col("l_shipdate").alias("transaction_date"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber as transaction_id",
+            "l_orderkey as order_id",
+            "l_suppkey as merchant_id",
+            "concat('T', lpad(cast(l_suppkey % 500 as string), 6, '0')) as terminal_id",
+            "if(l_returnflag = 'R', '51', '00') as status_code",
+            "cast(l_extendedprice as decimal(18,2)) as amount",
+            f"{_SETTLED} as settled_amount",
+            "concat('506101', lpad(cast(l_partkey as string), 10, '0')) as card_pan",
+            "l_shipdate as transaction_date",
+            f"{_ACCOUNT_NO.format(a='(l_suppkey * 3)')} as account_no",
         )
 
-    @property
+    @cached_property
     def api_call(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("event_id").alias("id"),
-            F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("subscriber"),
-            F.concat(F.lit("/"), F.col("event_type")).alias("resource"),
-            F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("acct/"), F.col("event_id").cast("string")))
-            .otherwise(F.col("props"))
-            .alias("resource_value"),
-            F.when(F.col("event_type") == "error", "Fail").otherwise("Success").alias("response_status"),
-            F.col("ts").alias("date"),
-            F.col("value").cast(MONEY).alias("amount"),
+        return self.table("events").selectExpr(
+            "event_id as id",
+            "concat('user-', user_id) as subscriber",
+            "concat('/', event_type) as resource",
+            "if(event_id % 4 = 0, concat('acct/', event_id), props) as resource_value",
+            "if(event_type = 'error', 'Fail', 'Success') as response_status",
+            "ts as date",
+            "cast(value as decimal(18,2)) as amount",
         )
 
     # -- credit, deposits, cards ---------------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def loan(self) -> DataFrame:
-        k = _key("o_orderkey")
-        principal = F.col("o_totalprice").cast(MONEY)
-        interest = F.round(principal * F.lit("0.05").cast("decimal(4,2)"), 2).cast(MONEY)
-        repaid = F.when(F.col("o_orderstatus") == "F", principal).otherwise(F.lit(0).cast(MONEY))
-        return self.table("orders").filter(F.col("o_orderpriority") == "1-URGENT").select(
-            k.alias("loan_id"),
-            F.col("o_custkey").alias("client_id"),
-            (k % 4).cast("int").alias("product_id"),
-            F.when(F.col("o_orderstatus") == "F", 600).otherwise(300).alias("loan_status_id"),
-            principal.alias("principal_disbursed"),
-            repaid.alias("principal_repaid"),
-            interest.alias("interest_charged"),
-            (principal + interest).cast(MONEY).alias("total_expected_repayment"),
-            F.col("o_orderdate").alias("disbursedon_date"),
-            F.when(F.col("o_orderstatus") == "F", F.date_add(F.col("o_orderdate").cast("date"), 180))
-            .alias("closedon_date"),
-            (k % 5).cast("int").alias("purpose_id"),
-            (k % 3 + 10).cast("int").alias("collateral_id"),
-            (k % 7).cast("int").alias("officer_id"),
-            (k % 5 + 2).cast("int").alias("approver_id"),
+        priced = self.table("orders").filter("o_orderpriority = '1-URGENT'").selectExpr(
+            "*", "cast(o_totalprice as decimal(18,2)) as principal", "o_orderstatus = 'F' as done",
+        )
+        interest = "cast(round(principal * cast(0.05 as decimal(4,2)), 2) as decimal(18,2))"
+        return priced.selectExpr(
+            "o_orderkey as loan_id",
+            "o_custkey as client_id",
+            "cast(o_orderkey % 4 as int) as product_id",
+            "if(done, 600, 300) as loan_status_id",
+            "principal as principal_disbursed",
+            "if(done, principal, cast(0 as decimal(18,2))) as principal_repaid",
+            f"{interest} as interest_charged",
+            f"cast(principal + {interest} as decimal(18,2)) as total_expected_repayment",
+            "o_orderdate as disbursedon_date",
+            "case when done then date_add(cast(o_orderdate as date), 180) end as closedon_date",
+            "cast(o_orderkey % 5 as int) as purpose_id",
+            "cast(o_orderkey % 3 + 10 as int) as collateral_id",
+            "cast(o_orderkey % 7 as int) as officer_id",
+            "cast(o_orderkey % 5 + 2 as int) as approver_id",
         )
 
-    @property
+    @cached_property
     def schedule(self) -> DataFrame:
         """Instalments of the loans: the lines of the orders that are loans."""
-        loan = self.loan.select("loan_id")
-        line = self.table("lineitem").select(
-            F.col("l_orderkey").alias("loan_id"),
-            F.col("l_shipdate").cast("date").alias("duedate"),
-            F.col("l_extendedprice").cast(MONEY).alias("principal_amount"),
-            F.round(F.col("l_extendedprice").cast(MONEY) * F.col("l_tax").cast("decimal(4,2)"), 2).cast(MONEY)
-            .alias("interest_amount"),
-            F.col("l_returnflag").alias("flag"),
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey as loan_id",
+            "cast(l_shipdate as date) as duedate",
+            "cast(l_extendedprice as decimal(18,2)) as principal_amount",
+            "cast(round(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(4,2)), 2) as decimal(18,2)) as interest_amount",
+            "l_returnflag as flag",
         )
-        return line.join(loan, "loan_id", "left_semi")
+        return lines.join(self.loan.select("loan_id"), "loan_id", "left_semi")
 
-    @property
+    @cached_property
     def payment(self) -> DataFrame:
-        return self.schedule.filter(F.col("flag") == "R").select(
-            "loan_id", F.col("duedate").alias("transaction_date"), F.col("principal_amount").alias("amount")
+        return self.schedule.filter("flag = 'R'").selectExpr(
+            "loan_id", "duedate as transaction_date", "principal_amount as amount"
         )
 
-    @property
+    @cached_property
     def code_value(self) -> DataFrame:
         """One lookup table for all loan codes, as (code_name, code_id, label)."""
         return self.spark.sql(
@@ -310,78 +299,70 @@ class Bank:
             "('product', 3, 'Asset loan') AS t(code_name, code_id, label)"
         )
 
-    @property
+    @cached_property
     def staff_user(self) -> DataFrame:
         return self.spark.sql(
             "SELECT * FROM VALUES (0, 'u.zero'), (1, 'u.one'), (2, 'u.two'), (3, 'u.three'), (4, 'u.four'), "
             "(5, 'u.five') AS t(user_id, username)"
         )
 
-    @property
+    @cached_property
     def term_deposit(self) -> DataFrame:
-        a = self.account.filter(F.col("product_id") == FIXED_DEPOSIT)
-        start = F.date_add(F.col("approvedon_date"), 2557)  # seven years on: the deposit runs in the year of AS_OF
-        period = (30 * (1 + F.col("account_id") % 12)).cast("int")
-        amount = F.abs("balance").cast(MONEY)
-        return a.select(
+        held = self.account.filter(f"product_id = {FIXED_DEPOSIT}").selectExpr(
             "account_id", "client_id", "account_no", "balance",
-            period.alias("deposit_period"),
-            amount.alias("deposit_amount"),
-            F.round(amount * F.lit("1.05").cast("decimal(4,2)"), 2).cast(MONEY).alias("maturity_amount"),
-            start.alias("start_date"),
-            F.date_add(start, period).alias("maturity_date"),
+            "cast(30 * (1 + account_id % 12) as int) as deposit_period",
+            "cast(abs(balance) as decimal(18,2)) as deposit_amount",
+            "date_add(approvedon_date, 2557) as start_date",  # seven years on: the deposit runs in the year of AS_OF
+        )
+        return held.selectExpr(
+            "account_id", "client_id", "account_no", "balance", "deposit_period", "deposit_amount",
+            "cast(round(deposit_amount * cast(1.05 as decimal(4,2)), 2) as decimal(18,2)) as maturity_amount",
+            "start_date", "date_add(start_date, deposit_period) as maturity_date",
         )
 
-    @property
+    @cached_property
     def card(self) -> DataFrame:
-        k = _key("c_custkey")
-        return self.table("customer").select(
-            k.alias("card_id"), k.alias("client_id"),
-            F.when(k % 3 == 0, "PHYSICAL").otherwise("VIRTUAL").alias("pan_type"),
-            _pick(k % 3, ("ACTIVE", "EXPIRED", "BLOCKED")).alias("card_status"),
-            F.concat(F.lpad((94 + k % 6).cast("string"), 2, "0"), F.lpad((1 + k % 12).cast("string"), 2, "0"))
-            .alias("expiry_code"),
-            F.date_add(F.lit(dt.date(1994, 1, 1)), (k % 365).cast("int")).alias("date_created"),
-            (2 * k).alias("account_id"),
-            F.when(k % 7 != 0, (500 * (1 + k % 4))).cast(MONEY).alias("charge"),
+        return self.table("customer").selectExpr(
+            "c_custkey as card_id",
+            "c_custkey as client_id",
+            "if(c_custkey % 3 = 0, 'PHYSICAL', 'VIRTUAL') as pan_type",
+            "element_at(array('ACTIVE', 'EXPIRED', 'BLOCKED'), cast(c_custkey % 3 as int) + 1) as card_status",
+            "concat(lpad(cast(94 + c_custkey % 6 as string), 2, '0'), lpad(cast(1 + c_custkey % 12 as string), 2, '0')) as expiry_code",
+            "date_add(date'1994-01-01', cast(c_custkey % 365 as int)) as date_created",
+            "2 * c_custkey as account_id",
+            "case when c_custkey % 7 <> 0 then cast(500 * (1 + c_custkey % 4) as decimal(18,2)) end as charge",
         )
 
-    @property
+    @cached_property
     def card_txn(self) -> DataFrame:
-        k = _key("o_orderkey")
-        return self.table("orders").select(
-            k.alias("id"), F.col("o_custkey").alias("client_id"),
-            _pick(k % 4, ("cashWithdrawal", "debitGoodsAndServices", "paymentFromAccount", "accountTransfer"))
-            .alias("transaction_type"),
-            F.col("o_totalprice").cast(MONEY).alias("amount"),
-            F.col("o_orderdate").alias("transaction_date"),
-            F.when(F.col("o_orderstatus") == "P", "failed").otherwise("success").alias("transaction_status"),
+        return self.table("orders").selectExpr(
+            "o_orderkey as id",
+            "o_custkey as client_id",
+            "element_at(array('cashWithdrawal', 'debitGoodsAndServices', 'paymentFromAccount', 'accountTransfer'),"
+            " cast(o_orderkey % 4 as int) + 1) as transaction_type",
+            "cast(o_totalprice as decimal(18,2)) as amount",
+            "o_orderdate as transaction_date",
+            "if(o_orderstatus = 'P', 'failed', 'success') as transaction_status",
         )
 
     # -- ledger --------------------------------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def journal(self) -> DataFrame:
         """Two legs per transaction on one of ten ledger accounts; the second leg goes to the next account."""
-        k, cust = _key("o_orderkey"), _key("o_custkey")
-        gl = (cust % 10 + F.col("leg") - 1) % 10
-        return (
-            self.table("orders")
-            .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
-                    F.explode(F.array(F.lit(1), F.lit(2))).alias("leg"))
-            .select(
-                (k * 2 + F.col("leg")).alias("entry_id"),
-                k.alias("transaction_id"),
-                gl.cast("int").alias("gl_account_id"),
-                F.col("leg").alias("type_enum"),
-                F.col("o_totalprice").cast(MONEY).alias("amount"),
-                F.col("o_orderdate").cast("date").alias("entry_date"),
-                (1 + gl % 5).cast("int").alias("classification_enum"),
-            )
+        legs = self.table("orders").selectExpr(
+            "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "explode(array(1, 2)) as leg"
+        ).selectExpr("*", "cast((o_custkey % 10 + leg - 1) % 10 as int) as gl_account_id")
+        return legs.selectExpr(
+            "o_orderkey * 2 + leg as entry_id",
+            "o_orderkey as transaction_id",
+            "gl_account_id",
+            "leg as type_enum",
+            "cast(o_totalprice as decimal(18,2)) as amount",
+            "cast(o_orderdate as date) as entry_date",
+            "1 + gl_account_id % 5 as classification_enum",
         )
 
-    @property
+    @cached_property
     def gl_account(self) -> DataFrame:
-        return self.spark.sql(
-            "SELECT CAST(id AS INT) AS gl_account_id, concat('GL ', id) AS gl_name FROM range(10)"
-        )
+        return self.spark.range(10).selectExpr("cast(id as int) as gl_account_id", "concat('GL ', id) as gl_name")
