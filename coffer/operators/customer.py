@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coffer.functions import bands
@@ -93,9 +93,9 @@ def rfm_segments(base: DataFrame) -> DataFrame:
 
 
 def segment_counts(segments: DataFrame) -> DataFrame:
-    """Clients and whole-number percentage share per segment."""
+    """Clients and whole-number percentage share per segment. The table has one row per segment, eleven at most."""
     sized = segments.groupBy("segment").agg(F.count(F.lit(1)).alias("clients"))
-    whole = sized.agg(F.sum("clients")).scalar()
+    whole = F.sum("clients").over(Window.partitionBy())
     return sized.withColumn("share_percent", F.floor(F.col("clients") * 100 / whole))
 
 

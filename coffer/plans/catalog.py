@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -12,11 +13,14 @@ from pyspark.sql import types as T
 
 from coffer.functions import bands, dates, text
 from coffer.functions.measures import total
-from coffer.operators import bills, clients, customer, kpi, ledger, loans, marts, pos, quantiles, risk, staff, wallets
+from coffer.operators import bills, clients, clv, customer, kpi, ledger, loans, marts, pos, quantiles, risk, staff, wallets
+from coffer.plans.evidence import adoption_evidence
 from coffer.plans.views import (
-    APP_USER, AS_OF, CLIENT_AS_OF, CORPORATE, EVENT_AS_OF, FIXED_DEPOSIT, RETAIL_PRODUCTS, Bank,
+    APP_USER, AS_OF, CLIENT_AS_OF, CORPORATE, EVENT_AS_OF, FIXED_DEPOSIT, RETAIL_PRODUCTS, TABLES, Bank,
 )
+from coffer.session import shared_dir
 from coffer.sources import incremental
+from coffer.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -517,8 +521,6 @@ def _(t):
 
 @query("clv_segment_stats")
 def _(t):
-    from coffer.operators import clv
-
     scored = quantiles.quantile_bins(clv.clv_inputs(_rfm(t)), "mean_value", ["D", "C", "B", "A"], "segment")
     return _rounded(customer.segment_statistics(scored, "segment", "monetary"), "std_value", digits=2)
 
@@ -573,30 +575,22 @@ def _(t):
 
 @query("product_channel_adoption")
 def _(t):
-    from coffer.plans.evidence import adoption_evidence
-
     return customer.adoption_matrix(t.client, adoption_evidence(t), AS_OF)
 
 
 @query("clv_inputs")
 def _(t):
-    from coffer.operators import clv
-
     return clv.clv_inputs(_rfm(t))
 
 
 @query("clv_gamma_gamma_score")
 def _(t):
-    from coffer.operators import clv
-
     scored = clv.gamma_gamma_mean(clv.clv_inputs(_rfm(t)), clv.GammaGammaParams(p=6.25, q=3.74, v=15.44))
     return _rounded(scored.select("client_id", "frequency", "expected_value"), "expected_value", digits=4)
 
 
 @query("clv_quartile_segment")
 def _(t):
-    from coffer.operators import clv
-
     scored = quantiles.quantile_bins(clv.clv_inputs(_rfm(t)), "mean_value", ["D", "C", "B", "A"], "segment")
     return scored.select("client_id", "mean_value", "segment")
 
@@ -1007,6 +1001,92 @@ def _(t):
     return risk.settlement_text(position)
 
 
+# -- streams, run to the end of their input ----------------------------------------------------------------------------
+
+
+def _event_stream(t: Tables) -> DataFrame:
+    events = jobs.read_files(t.spark, t.sf_dir, TABLES["events"], names="events.parquet")
+    return events.selectExpr(
+        "event_id", "cast(ts as timestamp) as ts", "user_id", "event_type", "cast(value as decimal(18,2)) as amount"
+    )
+
+
+def _drain(t: Tables, name: str, stream: DataFrame) -> str:
+    """Runs a stream over all input into a table of the shared folder; gives the table's path."""
+    folder = f"{shared_dir(t.spark, name)}/{uuid.uuid4().hex}"
+    jobs.run_available(stream, f"{folder}/rows", f"{folder}/state")
+    return f"{folder}/rows"
+
+
+def _drained(t: Tables, name: str, stream: DataFrame) -> DataFrame:
+    return t.spark.read.schema(stream.schema).parquet(_drain(t, name, stream))
+
+
+@query("stream_incremental_append")
+def _(t):
+    return _drained(t, "append", jobs.incremental_append(_event_stream(t), "event_id", "ts"))
+
+
+@query("stream_tumbling_10min")
+def _(t):
+    measures = [F.count(F.lit(1)).alias("lines"), F.sum("amount").alias("amount")]
+    return _drained(t, "slices", jobs.tumbling_slices(_event_stream(t), "ts", ["event_type"], measures))
+
+
+@query("stream_limit_band_alerts")
+def _(t):
+    totals = jobs.minute_totals(_event_stream(t), "ts", "amount")
+    minutes = jobs.read_files(t.spark, _drain(t, "minutes", totals), totals.schema)
+    return _drained(t, "bands", jobs.band_alerts(minutes, DAILY_LIMIT))
+
+
+@query("stream_settlement_cycles")
+def _(t):
+    sided = _event_stream(t).filter("event_type in ('purchase', 'signup')").selectExpr(
+        "ts", "amount", "if(event_type = 'purchase', 'out', 'in') as side"
+    )
+    return _drained(t, "cycles", jobs.cycle_totals(sided, "ts"))
+
+
+# -- lifetime value model ----------------------------------------------------------------------------------------------
+
+
+def _fitted(t: Tables) -> tuple[DataFrame, clv.PurchaseParams, clv.GammaGammaParams]:
+    inputs = clv.model_inputs(_rfm(t))
+    return inputs, clv.fit_purchases(inputs), clv.fit_spend(inputs)
+
+
+@query("clv_bgnbd_fit")
+def _(t):
+    p = clv.fit_purchases(clv.model_inputs(_rfm(t)))
+    return t.spark.range(1).select(
+        *[F.round(F.lit(v), 3).alias(k) for k, v in (("r", p.r), ("alpha", p.alpha), ("a", p.a), ("b", p.b))]
+    )
+
+
+@query("clv_gamma_gamma_fit")
+def _(t):
+    p = clv.fit_spend(clv.model_inputs(_rfm(t)))
+    return t.spark.range(1).select(*[F.round(F.lit(v), 3).alias(k) for k, v in (("p", p.p), ("q", p.q), ("v", p.v))])
+
+
+@query("clv_expected_purchases")
+def _(t):
+    inputs, purchases, _ = _fitted(t)
+    scored = clv.with_expected_purchases(inputs, purchases, clv.HORIZON_WEEKS)
+    return scored.select(
+        "client_id", "x", F.round(F.col("expected")[0], 4).alias("expected_12_weeks"),
+        F.round(F.col("expected")[1], 4).alias("expected_24_weeks"),
+    )
+
+
+@query("clv_value")
+def _(t):
+    inputs, purchases, spend = _fitted(t)
+    scored = clv.value_segments(clv.lifetime_value(inputs, purchases, spend))
+    return _rounded(scored, "expected_12_weeks", "expected_24_weeks", "expected_value", "clv", digits=2)
+
+
 def queries() -> dict[str, Query]:
     """Name -> callable(spark, sf_dir)."""
 

@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+def read_files(
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None, names: str = "*.parquet"
+) -> DataFrame:
     """New Parquet files of a folder as a stream."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", names)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
@@ -72,7 +74,10 @@ def cycle_totals(stream: DataFrame, ts: str, cut_hour: int = 14, lateness: str =
 
 
 def minute_totals(stream: DataFrame, ts: str, amount: str, lateness: str = "10 minutes") -> DataFrame:
-    """Amount per minute. Map-side combine makes a busy day 1,440 rows before any state per day sees it."""
+    """Amount per minute. Map-side combine makes a busy day 1,440 rows before any state per day sees it.
+
+    Write this to a table and read that as the stream of ``band_alerts``: two jobs, each with its own checkpoint.
+    """
     return (
         stream.withWatermark(ts, lateness)
         .groupBy(F.window(ts, "1 minute").alias("w"))
