@@ -72,9 +72,8 @@ RFM_SEGMENTS: Sequence[tuple[str, str]] = (
 )
 
 
-def first_mark(text: Column, rules: Sequence[tuple[str, tuple[str, ...]]]) -> Column:
-    """Name of the first rule with a mark contained in the upper-cased text; null where none is."""
-    upper = F.upper(text)
+def first_mark(upper: Column, rules: Sequence[tuple[str, tuple[str, ...]]]) -> Column:
+    """Name of the first rule with a mark contained in the (upper-case) text; null where none is."""
     chain: Column | None = None
     for name, marks in rules:
         hit = F.contains(upper, F.lit(marks[0]))
@@ -84,13 +83,13 @@ def first_mark(text: Column, rules: Sequence[tuple[str, tuple[str, ...]]]) -> Co
     return chain
 
 
-def airtime_brand(code: Column) -> Column:
-    return first_mark(code, AIRTIME_BRANDS)
+def airtime_brand(upper: Column) -> Column:
+    return first_mark(upper, AIRTIME_BRANDS)
 
 
-def biller_name(code: Column) -> Column:
-    """Biller of a code; a code without a rule is cut to 27 characters."""
-    return F.coalesce(first_mark(code, BILLER_RULES), F.left(code, F.lit(27)))
+def biller_name(upper: Column, code: Column) -> Column:
+    """Biller of a code, given in upper case and as it is; a code without a rule is cut to 27 characters."""
+    return F.coalesce(first_mark(upper, BILLER_RULES), F.left(code, F.lit(27)))
 
 
 def rfm_segment(score_pair: Column) -> Column:

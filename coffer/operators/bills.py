@@ -13,17 +13,22 @@ def with_code_text(purchases: DataFrame) -> DataFrame:
     return purchases.withColumn("biller_code", code_or_remarks(F.col("biller_code"), F.col("remarks")))
 
 
+def with_biller(purchases: DataFrame) -> DataFrame:
+    """Biller by rule. The code is upper-cased once, in a column of its own, for the dozens of rules to look at."""
+    upper = purchases.withColumn("_upper", F.upper("biller_code"))
+    return upper.withColumn("biller_by_rule", biller_name(F.col("_upper"), F.col("biller_code"))).drop("_upper")
+
+
 def airtime_transactions(purchases: DataFrame) -> DataFrame:
     """Purchases whose code names an airtime brand, with the brand."""
-    return with_code_text(purchases).withColumn("brand", airtime_brand(F.col("biller_code"))).filter(
-        F.col("brand").isNotNull()
-    )
+    upper = with_code_text(purchases).withColumn("_upper", F.upper("biller_code"))
+    return upper.withColumn("brand", airtime_brand(F.col("_upper"))).filter(F.col("brand").isNotNull()).drop("_upper")
 
 
 def bills_transactions(purchases: DataFrame, airtime: DataFrame) -> DataFrame:
     """Purchases that are not airtime, by the airtime ids, with the biller by rule."""
     rest = purchases.join(airtime.select("transaction_id"), "transaction_id", "left_anti")
-    return with_code_text(rest).withColumn("biller_by_rule", biller_name(F.col("biller_code")))
+    return with_biller(with_code_text(rest))
 
 
 def unmapped_codes(purchases: DataFrame, known: DataFrame) -> DataFrame:

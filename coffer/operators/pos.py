@@ -41,32 +41,37 @@ def pos_terminals(pos: DataFrame, accounts: DataFrame, clients: DataFrame) -> Da
 
 
 def transfers_two_legs(
-    transfers: DataFrame, legs: DataFrame, clients: DataFrame, transit_accounts: DataFrame, bank: str
+    transfers: DataFrame, legs: DataFrame, clients: DataFrame, senders: DataFrame, bank: str
 ) -> DataFrame:
-    """Transfers out of transit accounts with both legs, both accounts and both clients.
+    """Transfers with both legs, both accounts and both clients.
 
-    Transfers are first reduced to those with a transit sender. The sender leg, its account and client come from one
-    transaction row, likewise for the receiver.
+    ``senders`` holds the ids of the sending transactions that count (those on transit accounts); transfers are reduced
+    to them first. ``legs`` carry a running balance and are costly, so they are met once: each transfer is split into a
+    sending and a receiving row, the rows are joined to the legs and put together again by transfer.
     """
-    names = clients.select("client_id", "client_name")
+    ends = transfers.join(senders.select(F.col("transaction_id").alias("from_txn")), "from_txn", "left_semi").select(
+        "transfer_id", "transfer_date", "description", "from_txn",
+        F.explode(F.array(F.struct(F.lit("sender").alias("role"), F.col("from_txn").alias("transaction_id")),
+                          F.struct(F.lit("receiver").alias("role"), F.col("to_txn").alias("transaction_id")))).alias("end"),
+    ).select("transfer_id", "transfer_date", "description", "from_txn", "end.role", "end.transaction_id")
     leg = legs.select("transaction_id", "client_id", "account_no", "amount", "running_balance")
-    side = lambda prefix, key: leg.join(names, "client_id").select(
-        F.col("transaction_id").alias(key), F.col("account_no").alias(f"{prefix}_account_no"),
-        F.col("client_id").alias(f"{prefix}_client_id"), F.col("client_name").alias(f"{prefix}_name"),
-        F.col("running_balance").alias(f"{prefix}_balance"), F.col("amount").alias(f"{prefix}_amount"),
+    side = F.struct("account_no", "client_id", "client_name", "running_balance", "amount")
+    whole = (
+        ends.join(leg, "transaction_id")
+        .join(clients.select("client_id", "client_name"), "client_id")
+        .groupBy("transfer_id", "transfer_date", "description", "from_txn")
+        .agg(F.max(F.when(F.col("role") == "sender", side)).alias("s"),
+             F.max(F.when(F.col("role") == "receiver", side)).alias("r"))
+        .filter(F.col("s").isNotNull() & F.col("r").isNotNull())
     )
-    sender = side("sender", "from_txn").join(
-        transit_accounts.select(F.col("account_no").alias("sender_account_no")).distinct(), "sender_account_no", "left_semi"
-    )
-    return (
-        transfers.join(sender, "from_txn")
-        .join(side("receiver", "to_txn"), "to_txn")
-        .select(
-            "transfer_date", "receiver_account_no", "receiver_client_id", "receiver_name", "receiver_balance",
-            F.col("sender_amount").alias("amount"), F.lit(bank).alias("receiver_bank"), "sender_account_no",
-            "sender_client_id", "sender_name", "sender_balance", F.col("from_txn").alias("resource_id"),
-            F.lit(bank).alias("sender_bank"), F.col("description").alias("narration"),
-        )
+    return whole.select(
+        "transfer_date",
+        F.col("r.account_no").alias("receiver_account_no"), F.col("r.client_id").alias("receiver_client_id"),
+        F.col("r.client_name").alias("receiver_name"), F.col("r.running_balance").alias("receiver_balance"),
+        F.col("s.amount").alias("amount"), F.lit(bank).alias("receiver_bank"),
+        F.col("s.account_no").alias("sender_account_no"), F.col("s.client_id").alias("sender_client_id"),
+        F.col("s.client_name").alias("sender_name"), F.col("s.running_balance").alias("sender_balance"),
+        F.col("from_txn").alias("resource_id"), F.lit(bank).alias("sender_bank"), F.col("description").alias("narration"),
     )
 
 

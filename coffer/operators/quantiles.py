@@ -53,11 +53,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                 (F.col("k") - F.col("upto") + F.col("n")).alias("at"))
     )
 
-    # Values of those bands, in order. ``wanted`` has at most two rows per probability and column.
-    inside = Window.partitionBy("col", "band").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.join(F.broadcast(wanted), ["col", "band"], "left_semi").withColumn("upto", F.sum("n").over(inside))
-    found = ranked.join(F.broadcast(wanted), ["col", "band"]).filter(
-        (F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto"))
+    # Values of those bands, in order, once per wanted rank. ``wanted`` has at most two rows per probability and column.
+    inside = Window.partitionBy("col", "band", "prob", "at").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        counted.join(F.broadcast(wanted), ["col", "band"])
+        .withColumn("upto", F.sum("n").over(inside))
+        .filter((F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto")))
     )
     aggs, cuts = [], []
     for i, c in enumerate(columns):

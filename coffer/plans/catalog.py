@@ -315,7 +315,7 @@ def _(t):
 
 @query("biller_categorise")
 def _(t):
-    return bills.with_code_text(t.bill_item).groupBy(text.biller_name(F.col("biller_code")).alias("biller_by_rule")).agg(
+    return bills.with_biller(bills.with_code_text(t.bill_item)).groupBy("biller_by_rule").agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("amount").alias("amount")
     )
 
@@ -371,9 +371,9 @@ def _(t):
 
 @query("pos_sweep_transfers")
 def _(t):
-    legs = t.balanced.withColumn("amount", F.col("amount"))
-    transit = t.account.filter(F.col("account_id") % 3 == 0).select("account_no")
-    return pos.transfers_two_legs(t.transfer, legs, t.client, transit, "OWN BANK")
+    transit = t.account.filter(F.col("account_id") % 3 == 0).select("account_id")
+    senders = t.transaction.join(transit, "account_id", "left_semi").select("transaction_id")
+    return pos.transfers_two_legs(t.transfer, t.balanced, t.client, senders, "OWN BANK")
 
 
 @query("audit_user_accounts")
