@@ -98,7 +98,7 @@ def _lgamma(z: np.ndarray) -> np.ndarray:
         w = np.where(low, w + 1, w)
     inv = 1 / w
     inv2 = inv * inv
-    series = inv * (1 / 12 - inv2 * (1 / 360 - inv2 * (1 / 1260 - inv2 / 1680)))
+    series = inv * (1 / 12 - inv2 * (1 / 360 - inv2 * (1 / 1260 - inv2 * (1 / 1680 - inv2 / 1188))))
     return (w - 0.5) * np.log(w) - w + 0.5 * np.log(2 * np.pi) + series - shift
 
 
