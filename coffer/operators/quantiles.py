@@ -32,7 +32,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v")) for c in columns])
         ).alias("e")
     ).select("e.col", "e.v").filter(F.col("v").isNotNull())
-    counted = values.groupBy("col", "v").agg(F.count(F.lit(1)).alias("n")).withColumn("band", _band(F.col("v")))
+    # The filter on the band is what the join below would add on its side only; stated here, both uses of the counts
+    # have one plan and share one shuffle.
+    counted = (
+        values.groupBy("col", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("band", _band(F.col("v")))
+        .filter(F.col("band").isNotNull())
+    )
 
     # Bands, in order, with the ranks that fall into each: at most two per probability and column.
     whole = Window.partitionBy("col")

@@ -42,23 +42,23 @@ def running_balance(
 
 
 def running_total_over_day(events: DataFrame, day: str, ts: str, order_id: str, amount: str, name: str) -> DataFrame:
-    """Running sum over each day in time order, for streams where one day may be very large.
+    """Running sum over each day in time order, where one day may hold a large share of all events.
 
-    Same idea with time as the order: rows are summed inside one (day, minute), minutes are added up per day.
-    A day has 1,440 minutes, so the table of totals is small.
+    Same idea with time as the order: events are summed inside one second, seconds are added up per day. A day has
+    86,400 seconds, so the table of totals is small; only the events of one second meet in one task.
     """
-    cut = events.withColumn("_minute", F.date_trunc("minute", ts))
-    inside = Window.partitionBy(day, "_minute").orderBy(ts, order_id).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(day).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
+    cut = events.withColumn("_second", F.date_trunc("second", ts))
+    inside = Window.partitionBy(day, "_second").orderBy(ts, order_id).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(day).orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        cut.groupBy(day, "_minute")
+        cut.groupBy(day, "_second")
         .agg(F.sum(amount).alias("_total"))
         .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
         .drop("_total")
     )
     return (
         cut.withColumn("_inside", F.sum(amount).over(inside))
-        .join(totals, [day, "_minute"])
+        .join(totals, [day, "_second"])
         .withColumn(name, F.col("_inside") + F.col("_before"))
-        .drop("_minute", "_inside", "_before")
+        .drop("_second", "_inside", "_before")
     )

@@ -376,6 +376,11 @@ def _(t):
     return pos.transfers_two_legs(t.transfer, t.balanced, t.client, senders, "OWN BANK")
 
 
+@query("transfer_two_legs")
+def _(t):
+    return pos.transfers_two_legs(t.transfer, t.balanced, t.client, t.transaction.select("transaction_id"), "OWN BANK")
+
+
 @query("audit_user_accounts")
 def _(t):
     k = F.col("o_orderkey")
@@ -953,6 +958,25 @@ def _register_marts() -> None:
 
 _register_marts()
 
+# Inventory names of single building blocks, and the marts that show them.
+BLOCKS = {
+    "channel_volume_value_monthly": "mart_intrabank_monthly",
+    "channel_volume_value_ytd": "mart_intrabank_ytd",
+    "tier_counts_monthly": "mart_retail_tier_monthly",
+    "card_status_monthly": "mart_card_status_monthly",
+    "card_type_monthly": "mart_cards_monthly",
+    "success_fail_monthly": "mart_pos_monthly",
+    "fd_value_corporate": "mart_fd_corporate_monthly",
+    "fd_value_retail": "mart_fd_retail_monthly",
+}
+REGISTRY.update({block: REGISTRY[mart] for block, mart in BLOCKS.items()})
+
+
+@query("free_vs_extra_quota")
+def _(t):
+    transfers = t.transaction.filter((F.col("type_enum") == 2) & (F.col("response_code") == "00"))
+    return kpi.quota_by_period(transfers, "transaction_date", "monthly", "client_id", marts.FREE_TRANSFERS, AS_OF)
+
 
 @query("mart_gender_totals")
 def _(t):

@@ -173,14 +173,16 @@ FROM (SELECT CAST(date AS DATE) AS date, count(*) AS calls FROM api GROUP BY 1)
 TRANSFER = """(SELECT o_orderkey AS from_txn, CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey ELSE o_orderkey + 1 END AS to_txn,
   o_orderkey AS transfer_id, o_orderdate AS transfer_date,
   CASE WHEN o_orderkey % 3 = 0 THEN 'Deposit LIQUIDATION' ELSE 'Account transfer' END AS description FROM orders)"""
-sql("pos_sweep_transfers", "txn_bal client account", f"""
+TWO_LEGS = f"""
 SELECT tr.transfer_date, rt.account_no AS receiver_account_no, rt.client_id AS receiver_client_id, rc.client_name AS receiver_name,
   rt.running_balance AS receiver_balance, st.amount AS amount, 'OWN BANK' AS receiver_bank, st.account_no AS sender_account_no,
   st.client_id AS sender_client_id, sc.client_name AS sender_name, st.running_balance AS sender_balance, tr.from_txn AS resource_id,
   'OWN BANK' AS sender_bank, tr.description AS narration
 FROM {TRANSFER} tr JOIN txn_bal st ON st.transaction_id = tr.from_txn JOIN client sc ON sc.client_id = st.client_id
-JOIN txn_bal rt ON rt.transaction_id = tr.to_txn JOIN client rc ON rc.client_id = rt.client_id
-WHERE st.account_no IN (SELECT account_no FROM account WHERE account_id % 3 = 0)""",
+JOIN txn_bal rt ON rt.transaction_id = tr.to_txn JOIN client rc ON rc.client_id = rt.client_id"""
+sql("transfer_two_legs", "txn_bal client", TWO_LEGS, money="receiver_balance amount sender_balance", ts="transfer_date")
+sql("pos_sweep_transfers", "txn_bal client account",
+    f"{TWO_LEGS} WHERE st.account_no IN (SELECT account_no FROM account WHERE account_id % 3 = 0)",
     money="receiver_balance amount sender_balance", ts="transfer_date")
 sql("audit_user_accounts", "account client staff_user", """
 WITH audit AS (SELECT o_orderkey AS audit_id, CAST(o_orderkey % 7 AS INTEGER) AS maker_id,
@@ -751,6 +753,18 @@ SELECT {_period}, sum(n) AS total_transfers, sum(CASE WHEN n < 50 THEN n ELSE 50
 FROM (SELECT strftime(transaction_date, '{_fmt}') AS {_period}, product_name, count(*) AS n FROM txn WHERE type_enum = 2 AND response_code = '00' AND {_cond} GROUP BY 1, 2)
 GROUP BY 1""", whole="total_transfers free_transfers additional_transfers")
 
+for _block, _mart in (
+    ("channel_volume_value_monthly", "intrabank_monthly"), ("channel_volume_value_ytd", "intrabank_ytd"),
+    ("tier_counts_monthly", "retail_tier_monthly"), ("card_status_monthly", "card_status_monthly"),
+    ("card_type_monthly", "cards_monthly"), ("success_fail_monthly", "pos_monthly"),
+    ("fd_value_corporate", "fd_corporate_monthly"), ("fd_value_retail", "fd_retail_monthly"),
+):
+    ORACLE[_block] = ORACLE[f"mart_{_mart}"]
+sql("free_vs_extra_quota", "txn", """
+SELECT month, sum(n) AS total_transfers, sum(CASE WHEN n < 50 THEN n ELSE 50 END) AS free_transfers, sum(CASE WHEN n < 51 THEN 0 ELSE n - 50 END) AS additional_transfers
+FROM (SELECT strftime(transaction_date, '%Y-%m') AS month, client_id, count(*) AS n FROM txn
+  WHERE type_enum = 2 AND response_code = '00' AND strftime(transaction_date, '%Y-%m') < '2001-08' GROUP BY 1, 2) GROUP BY 1""",
+    whole="total_transfers free_transfers additional_transfers")
 sql("mart_gender_totals", "client", """
 SELECT CASE gender_code WHEN '29' THEN 'male' ELSE 'female' END AS gender, count(DISTINCT client_id) AS customers FROM client WHERE gender_code IS NOT NULL GROUP BY 1""")
 sql("mart_bill_buyers", "bill_client", "SELECT count(DISTINCT client_id) AS purchase_bill_customers FROM bill_client")

@@ -20,14 +20,20 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).saveAsTable(name)
 
 
-def write_per_party(df: DataFrame, path: str, party: str | Sequence[str], files_per_party_rows: int = 5_000_000) -> None:
+def write_per_party(df: DataFrame, path: str, party: str | Sequence[str], max_rows_per_file: int = 5_000_000) -> None:
     """One folder per party in one job.
 
-    Rows are not gathered by party first: a party with a third of the rows is written by all tasks that hold some of
-    them, and file size is bounded by the row limit.
+    Rows are rebalanced by party before the write, so a small party is one file. Adaptive execution splits a party with
+    a large share of the rows over several tasks, and the row limit bounds the files.
     """
     parties = [party] if isinstance(party, str) else list(party)
-    df.write.mode("overwrite").option("maxRecordsPerFile", files_per_party_rows).partitionBy(*parties).parquet(path)
+    (
+        df.hint("rebalance", *parties)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", max_rows_per_file)
+        .partitionBy(*parties)
+        .parquet(path)
+    )
 
 
 def write_by_year(df: DataFrame, path: str, year: str = "year") -> None:
