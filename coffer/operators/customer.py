@@ -80,9 +80,9 @@ def rfm_scores(base: DataFrame) -> DataFrame:
         "recency",
         "frequency",
         "monetary",
-        score_descending(F.col("recency").cast("double"), F.col("cuts.recency"), 4).alias("r_score"),
-        score_ascending(F.col("frequency").cast("double"), F.col("cuts.frequency"), 4).alias("f_score"),
-        score_ascending(F.col("monetary").cast("double"), F.col("cuts.monetary"), 4).alias("m_score"),
+        score_descending("cast(recency as double)", "cuts.recency", 4).alias("r_score"),
+        score_ascending("cast(frequency as double)", "cuts.frequency", 4).alias("f_score"),
+        score_ascending("cast(monetary as double)", "cuts.monetary", 4).alias("m_score"),
     )
 
 

@@ -71,13 +71,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     for i, c in enumerate(columns):
         picks = []
         for j, p in enumerate(probs):
-            here = (F.col("col") == c) & (F.col("prob") == float(p))
+            here = f"col = '{c}' and prob = {float(p)!r}D"
             low, high, share = (f"_{kind}_{i}_{j}" for kind in ("low", "high", "share"))
-            aggs += [F.min(F.when(here, F.col("v"))).alias(low), F.max(F.when(here, F.col("v"))).alias(high),
-                     F.max(F.when(here, F.col("share"))).alias(share)]
-            picks.append(F.col(low) + (F.col(high) - F.col(low)) * F.col(share))
-        cuts.append(F.array(*picks).alias(c))
-    return found.agg(*aggs).select(*cuts)
+            aggs += [F.expr(f"min(case when {here} then v end) as {low}"), F.expr(f"max(case when {here} then v end) as {high}"),
+                     F.expr(f"max(case when {here} then share end) as {share}")]
+            picks.append(f"{low} + ({high} - {low}) * {share}")
+        cuts.append(f"array({', '.join(picks)}) as `{c}`")
+    return found.agg(*aggs).selectExpr(*cuts)
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
@@ -86,17 +86,16 @@ def attach_one_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, row)
 
 
-def score_ascending(value: Column, cuts: Column, count: int) -> Column:
-    """1 .. count+1 by right-closed bins: a value on a cut belongs to the bin below it."""
-    score: Column | None = None
-    for i in range(count):
-        hit = value <= cuts[i]
-        score = F.when(hit, i + 1) if score is None else score.when(hit, i + 1)
-    return score.otherwise(count + 1)
+def score_ascending(value: str, cuts: str, count: int) -> Column:
+    """1 .. count+1 by right-closed bins: a value on a cut belongs to the bin below it. ``value`` and ``cuts`` are SQL text."""
+    arms = " ".join(f"when {value} <= {cuts}[{i}] then {i + 1}" for i in range(count))
+    return F.expr(f"case {arms} else {count + 1} end")
 
 
-def score_descending(value: Column, cuts: Column, count: int) -> Column:
-    return F.lit(count + 2) - score_ascending(value, cuts, count)
+def score_descending(value: str, cuts: str, count: int) -> Column:
+    """count+1 .. 1, with the same bins."""
+    arms = " ".join(f"when {value} <= {cuts}[{i}] then {count + 1 - i}" for i in range(count))
+    return F.expr(f"case {arms} else 1 end")
 
 
 def quantile_bins(df: DataFrame, column: str, labels: Sequence[str], name: str) -> DataFrame:
@@ -105,6 +104,6 @@ def quantile_bins(df: DataFrame, column: str, labels: Sequence[str], name: str)
     probs = [i / n for i in range(1, n)]
     cuts = exact_quantiles(df, [column], probs)
     tagged = attach_one_row(df, cuts, "_cuts")
-    score = score_ascending(F.col(column).cast("double"), F.col(f"_cuts.{column}"), n - 1)
+    score = score_ascending(f"cast({column} as double)", f"_cuts.{column}", n - 1)
     label = F.element_at(F.array(*[F.lit(x) for x in labels]), score)
     return tagged.withColumn(name, F.when(F.col(column).isNotNull(), label)).drop("_cuts")
