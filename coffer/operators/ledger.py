@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -40,51 +41,59 @@ def last_per_key(df: DataFrame, key: str, order: Sequence[str], take: Sequence[s
     return df.groupBy(key).agg(*[F.max_by(c, rank).alias(c) for c in take])
 
 
-def closing_balance_daily(
-    accounts: DataFrame, txns: DataFrame, start: DateLike, end: DateLike
-) -> DataFrame:
-    """Balance of each account at the end of each day from ``start`` through ``end``.
+def _carried_balance(accounts: DataFrame, txns: DataFrame, first: dt.date, last: dt.date, unit: str) -> DataFrame:
+    """Balance per account at the end of each ``unit`` (day or month) of a span; ``date`` is the unit's first day.
 
-    Only days on which an account moved are shuffled: movements are summed to one row per account and day (everything
-    before ``start`` is the opening), the balance is carried over those rows, and each row is spread over the days it
-    holds for at the very end, inside its task. Rows per account are bounded by the days of the span. A day without
-    movement repeats the day before; an account that has not moved yet has a null balance.
+    Only units in which an account moved are shuffled: movements are summed to one row per account and unit (everything
+    before the span is the opening), the balance is carried over those rows, and each row is spread over the units it
+    holds for at the very end, inside its task. Rows per account are bounded by the units of the span.
     """
-    first, last = as_date(start), as_date(end)
-    opening = F.date_sub(F.lit(first), 1)
+    to_unit = (lambda c: F.trunc(c, "month")) if unit == "month" else F.to_date
+    opening = to_unit(F.date_sub(F.lit(first), 1))
     signed = F.when(F.col("type_enum") == 1, F.col("amount")).otherwise(-F.col("amount"))
     moves = (
         txns.filter(F.col("transaction_date") < day(last, 1))
-        .select("account_id", F.greatest(F.to_date("transaction_date"), opening).alias("date"), signed.alias("moved"))
+        .select("account_id", F.greatest(to_unit("transaction_date"), opening).alias("date"), signed.alias("moved"))
         .groupBy("account_id", "date")
         .agg(F.sum("moved").alias("moved"))
     )
     held = accounts.filter(F.col("approvedon_date") <= F.lit(last)).select(
-        "account_id", "account_no", "product_id", "approvedon_date"
+        "account_id", "account_no", "product_id", "client_id", to_unit("approvedon_date").alias("since")
     )
     unmoved = held.select("account_id", opening.alias("date"), F.lit(None).cast("decimal(28,2)").alias("moved"))
     per_account = Window.partitionBy("account_id").orderBy("date")
-    steps = (
+    before_next = F.add_months("next_date", -1) if unit == "month" else F.date_sub("next_date", 1)
+    return (
         moves.unionByName(unmoved)
         .groupBy("account_id", "date")
         .agg(F.sum("moved").alias("moved"))
         .withColumn("closing_balance", F.sum("moved").over(per_account.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("next_date", F.lead("date").over(per_account))
-    )
-    begin = F.greatest("date", F.lit(first), "approvedon_date")
-    until = F.coalesce(F.date_sub("next_date", 1), F.lit(last))
-    return (
-        steps.join(held, "account_id")
-        .withColumn("_begin", begin)
-        .withColumn("_until", until)
+        .join(held, "account_id")
+        .withColumn("_begin", F.greatest("date", to_unit(F.lit(first)), "since"))
+        .withColumn("_until", F.coalesce(before_next, to_unit(F.lit(last))))
         .filter(F.col("_begin") <= F.col("_until"))
         .select(
-            "account_id", "account_no", "product_id",
-            F.explode(F.sequence("_begin", "_until", F.expr("interval 1 day"))).alias("date"), "closing_balance",
+            "account_id", "account_no", "product_id", "client_id",
+            F.explode(F.sequence("_begin", "_until", F.expr(f"interval 1 {unit}"))).alias("date"), "closing_balance",
         )
     )
 
 
+def closing_balance_daily(accounts: DataFrame, txns: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+    """Balance of each account at the end of each day from ``start`` through ``end``.
+
+    A day without movement repeats the day before; an account that has not moved yet has a null balance.
+    """
+    return _carried_balance(accounts, txns, as_date(start), as_date(end), "day")
+
+
+def closing_balance_monthly(accounts: DataFrame, txns: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+    """Balance of each account on the last day of each month of a span that ends with a month."""
+    balances = _carried_balance(accounts, txns, as_date(start), as_date(end), "month")
+    return balances.withColumn("date", F.last_day("date"))
+
+
 def transactions_enriched(
     txns: DataFrame, clients: DataFrame, groups: DataFrame, accounts: DataFrame, settlements: DataFrame
 ) -> DataFrame:
@@ -240,6 +249,25 @@ def average_balance_by_month(daily: DataFrame, keys: Sequence[str] = ("account_n
     )
 
 
+def average_balance_wide(daily: DataFrame, keys: Sequence[str], months: Sequence[str]) -> DataFrame:
+    """Mean daily balance per key with one column per month of a given list (``yyyy-MM``)."""
+    mean = (F.sum("closing_balance").cast("double") / F.count("closing_balance"))
+    return (
+        daily.withColumn("month", F.date_format("date", "yyyy-MM"))
+        .groupBy(*keys)
+        .pivot("month", list(months))
+        .agg(mean.alias("avg"))
+        .withColumnsRenamed({m: f"avg_balance_{m.replace('-', '_')}" for m in months})
+    )
+
+
+def long_to_wide_balances(daily: DataFrame, key: str, days: Sequence[DateLike]) -> DataFrame:
+    """One row per key with one column per day of a given list, named ``yyyy_MM_dd``."""
+    names = [as_date(d).strftime("%Y_%m_%d") for d in days]
+    wide = daily.withColumn("_day", F.date_format("date", "yyyy_MM_dd")).groupBy(key).pivot("_day", names)
+    return wide.agg(F.max("closing_balance"))
+
+
 def wide_to_long_balances(wide: DataFrame, account: str = "account_no") -> DataFrame:
     """A balance table with one column per day as (account, date, balance). Column names are dates, ``yyyy_MM_dd``."""
     days = [c for c in wide.columns if c != account]

@@ -77,6 +77,17 @@ def staff_attribution(loans: DataFrame, clients: DataFrame) -> DataFrame:
     return per_referrer.join(staff, "referred_by_id", "left").select("referred_by_id", "staff_name", "loans", "principal")
 
 
+def staff_loans(loans: DataFrame, clients: DataFrame) -> DataFrame:
+    """Loans of referred clients with the referrer's name."""
+    staff = clients.select(F.col("client_id").alias("referred_by_id"), F.col("client_name").alias("staff_name"))
+    referred = clients.filter(F.col("referred_by_id").isNotNull()).select("client_id", "referred_by_id").join(
+        staff, "referred_by_id"
+    )
+    return loans.join(referred, "client_id").select(
+        "loan_id", "client_id", "principal_disbursed", "disbursedon_date", "referred_by_id", "staff_name"
+    )
+
+
 def loans_disbursed_last_month(loans: DataFrame, clients: DataFrame, as_of: DateLike) -> DataFrame:
     return (
         loans.filter(last_full_month(F.col("disbursedon_date"), as_of))
@@ -92,12 +103,11 @@ def partner_loans_yesterday(loans: DataFrame, product_ids: Sequence[int], as_of:
     )
 
 
-def open_or_closed_this_year(loans: DataFrame, as_of: DateLike) -> DataFrame:
-    """Loans still open, or closed in the year of ``as_of``: one pass for what a union of two reads gives."""
+def open_or_closed_this_year(items: DataFrame, columns: Sequence[str], as_of: DateLike) -> DataFrame:
+    """Loans or accounts still open, or closed in the year of ``as_of``: one pass for what a union of two reads gives."""
     year_start = F.lit(as_date(as_of).replace(month=1, day=1))
-    return loans.filter(F.col("closedon_date").isNull() | (F.col("closedon_date") >= year_start)).select(
-        "loan_id", "client_id", "disbursedon_date", "closedon_date"
-    ).distinct()
+    kept = items.filter(F.col("closedon_date").isNull() | (F.col("closedon_date") >= year_start))
+    return kept.select(*columns).distinct()
 
 
 def collections(txns: DataFrame, as_of: DateLike) -> DataFrame:

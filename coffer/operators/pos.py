@@ -91,6 +91,23 @@ def audit_users(audit: DataFrame, users: DataFrame, accounts: DataFrame, clients
     return out
 
 
+def card_transactions(fresh: DataFrame, owners: DataFrame) -> DataFrame:
+    """New card transactions with the owner of the card's account, client or group."""
+    return fresh.join(owners.select("account_id", "account_no", "owner_id", "owner_name"), "account_id", "left")
+
+
+def terminal_wallet_load(fresh: DataFrame, banks: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
+    """New wallet rows of terminals with the sender's bank and the receiving client."""
+    named = banks.select(F.col("bank_code").alias("from_bank"), "bank_name")
+    owner = accounts.select(F.col("account_no").alias("to_account_no"), "client_id").join(
+        clients.select("client_id", "client_name"), "client_id"
+    )
+    return fresh.join(named, "from_bank", "left").join(owner.drop("client_id"), "to_account_no", "left").select(
+        "transaction_id", "statement_ids", "transaction_type", "transaction_response", "from_account_no", "from_bank",
+        "bank_name", "to_account_no", "client_name", "amount", "time",
+    )
+
+
 def card_requests(requests: DataFrame, charges: DataFrame, accounts: DataFrame, groups: DataFrame) -> DataFrame:
     """Card requests with owner (client or group), charge and the card kind the charge stands for."""
     owner = accounts.select("account_id", "account_no", F.col("client_id").alias("owner_client"), "group_id").join(

@@ -115,6 +115,26 @@ def staff_month_pivot(loans: DataFrame, clients: DataFrame, year: int, months: S
     )
 
 
+def staff_balance_pivot(month_ends: DataFrame, clients: DataFrame, months: Sequence[str]) -> DataFrame:
+    """Month-end total and number of non-zero balances per referrer, one pair of columns per month (``yyyy-MM``).
+
+    Balances are summed per client before they meet the referrers.
+    """
+    per_client = (
+        month_ends.withColumn("month", F.date_format("date", "yyyy-MM"))
+        .filter(F.col("month").isin(list(months)))
+        .groupBy("client_id", "month")
+        .agg(F.sum("closing_balance").alias("value"), F.count(F.when(F.col("closing_balance") != 0, 1)).alias("count"))
+    )
+    referred = clients.filter(F.col("referred_by_id").isNotNull()).select("client_id", "referred_by_id")
+    return (
+        per_client.join(referred, "client_id")
+        .groupBy("referred_by_id")
+        .pivot("month", list(months))
+        .agg(F.sum("value").alias("value"), F.sum("count").alias("count"))
+    )
+
+
 def corporate_accounts_opened(accounts: DataFrame, clients: DataFrame, product: int, since: DateLike, until: DateLike) -> DataFrame:
     """Corporate accounts approved in a span, parent or sub by the client, with the referrer's name."""
     opened = accounts.filter(

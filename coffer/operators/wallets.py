@@ -104,10 +104,13 @@ def top_clients(calls: DataFrame, n: int = 5) -> DataFrame:
     return calls_by(calls, "subscriber").orderBy(F.col("calls").desc(), "subscriber").limit(n)
 
 
-def weekly_kpis(calls: DataFrame, wallet_txns: DataFrame, call_groups: dict[str, Sequence[str]]) -> DataFrame:
+def weekly_kpis(
+    calls: DataFrame, wallet_txns: DataFrame, call_groups: dict[str, Sequence[str]], mean_deposits: DataFrame
+) -> DataFrame:
     """KPI list as rows (metric, value as text).
 
-    Per call group: number of calls and the busiest client. Then volume and value of all flows and of each direction.
+    Per call group: number of calls and the busiest client. Then volume and value of all flows and of each direction,
+    and the sum of the accounts' mean deposits.
     Calls are summed per client first, so the top client of each group comes out of the small table.
     """
     per_client = calls.groupBy("subscriber").agg(
@@ -130,7 +133,10 @@ def weekly_kpis(calls: DataFrame, wallet_txns: DataFrame, call_groups: dict[str,
         thousands(F.col("ov")).alias("Total outflow volume"), thousands(F.col("oa"), 2, "N").alias("Total outflow value"),
         thousands(F.col("iv")).alias("Total inflow volume"), thousands(F.col("ia"), 2, "N").alias("Total inflow value"),
     )
-    return kpi_rows(call_row).unionByName(kpi_rows(flow_row))
+    deposit_row = mean_deposits.agg(F.sum(F.round("avg_deposit", 2).cast("decimal(28,2)")).alias("d")).select(
+        thousands(F.col("d"), 2, "N").alias("Cumulative average deposit")
+    )
+    return kpi_rows(call_row).unionByName(kpi_rows(flow_row)).unionByName(kpi_rows(deposit_row))
 
 
 def kpi_rows(one_row: DataFrame) -> DataFrame:

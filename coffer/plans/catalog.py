@@ -615,7 +615,7 @@ def _(t):
 
 @query("closing_balance_daily")
 def _(t):
-    return ledger.closing_balance_daily(t.account, t.transaction, "2001-07-01", "2001-07-31")
+    return ledger.closing_balance_daily(t.account, t.transaction, "2001-07-01", "2001-07-31").drop("client_id")
 
 
 @query("avg_balance_by_month")
@@ -626,8 +626,34 @@ def _(t):
 
 @query("monthly_balance_totals")
 def _(t):
-    daily = ledger.closing_balance_daily(t.account, t.transaction, "2001-01-01", "2001-07-31")
-    return ledger.monthly_balance_totals(daily)
+    return ledger.monthly_balance_totals(_month_ends(t))
+
+
+def _month_ends(t: Tables) -> DataFrame:
+    return ledger.closing_balance_monthly(t.account, t.transaction, "2001-01-01", "2001-07-31")
+
+
+@query("closing_balance_monthly")
+def _(t):
+    return _month_ends(t).drop("client_id")
+
+
+@query("staff_balance_pivot")
+def _(t):
+    return staff.staff_balance_pivot(_month_ends(t), t.client, [f"2001-{m:02d}" for m in range(1, 8)])
+
+
+@query("avg_balance_wide")
+def _(t):
+    daily = ledger.closing_balance_daily(t.account, t.transaction, "2001-05-01", "2001-07-31")
+    return ledger.average_balance_wide(daily, ["account_no"], ["2001-05", "2001-06", "2001-07"])
+
+
+@query("balances_wide_to_long")
+def _(t):
+    days = [dt.date(2001, 7, 25) + dt.timedelta(days=i) for i in range(7)]
+    daily = ledger.closing_balance_daily(t.account, t.transaction, days[0], days[-1])
+    return ledger.wide_to_long_balances(ledger.long_to_wide_balances(daily, "account_no", days))
 
 
 @query("bank_statement_lines")
@@ -697,7 +723,7 @@ def _(t):
     groups = {"lookup": ("/view", "/view-account"), "click": ("/click", "/click-account"), "sale": ("/purchase",)}
     week = t.calls.filter(dates.last_days(F.col("date"), EVENT_AS_OF, 7))
     flows = wallets.accepted_flows(t.kept_wallet_txn).filter(dates.last_days(F.col("time"), AS_OF, 7))
-    return wallets.weekly_kpis(week, flows, groups)
+    return wallets.weekly_kpis(week, flows, groups, _mean_deposits(t))
 
 
 @query("kpi_unpivot")
@@ -710,7 +736,11 @@ def _(t):
 
 @query("mean_deposit_last_week")
 def _(t):
-    daily = ledger.closing_balance_daily(t.account, t.transaction, "2001-07-20", "2001-08-01")
+    return _mean_deposits(t)
+
+
+def _mean_deposits(t: Tables) -> DataFrame:
+    daily = ledger.closing_balance_daily(t.account, t.transaction, "2001-07-26", "2001-08-01")
     return wallets.mean_deposit_last_week(daily, t.wallet_accounts, AS_OF)
 
 
@@ -810,7 +840,19 @@ def _(t):
 
 @query("open_or_closed_this_year")
 def _(t):
-    return loans.open_or_closed_this_year(t.loan, AS_OF)
+    return loans.open_or_closed_this_year(t.loan, ["loan_id", "client_id", "disbursedon_date", "closedon_date"], AS_OF)
+
+
+@query("accounts_open_or_closed_this_year")
+def _(t):
+    return loans.open_or_closed_this_year(
+        t.account, ["account_id", "client_id", "product_name", "approvedon_date", "closedon_date"], AS_OF
+    )
+
+
+@query("staff_loans")
+def _(t):
+    return loans.staff_loans(t.loan, t.client)
 
 
 @query("downline_split")
@@ -881,6 +923,21 @@ def _(t):
     return pos.card_requests(requests, charges, t.grouped_account, t.groups)
 
 
+@query("card_transactions")
+def _(t):
+    loaded = t.card_txn.filter(F.col("transaction_date") < dates.day("1995-01-10"))
+    fresh = incremental.incremental_since(t.card_txn, loaded, "id").withColumn("account_id", F.expr("client_id * 2"))
+    return pos.card_transactions(fresh, clients.client_or_group(t.grouped_account, t.client, t.groups))
+
+
+@query("terminal_wallet_load")
+def _(t):
+    loaded = t.terminal_wallet_txn.filter("transaction_type = 'INITIAL INFLOW'").filter(F.col("time") < dates.day("1995-06-01"))
+    fresh = incremental.incremental_since(t.terminal_wallet_txn, loaded, "transaction_id")
+    held = t.account.withColumn("account_no", F.expr("concat('20', lpad(cast(client_id as string), 8, '0'))"))
+    return pos.terminal_wallet_load(fresh, t.bank, held.filter("account_id % 2 = 0"), t.client)
+
+
 @query("card_type_by_charge")
 def _(t):
     return t.card.groupBy(bands.card_type_by_charge(F.col("charge")).alias("card_type")).agg(F.count(F.lit(1)).alias("cards"))
@@ -978,6 +1035,12 @@ def _(t):
     return kpi.quota_by_period(transfers, "transaction_date", "monthly", "client_id", marts.FREE_TRANSFERS, AS_OF)
 
 
+@query("free_vs_extra_quota_ytd")
+def _(t):
+    transfers = t.transaction.filter((F.col("type_enum") == 2) & (F.col("response_code") == "00"))
+    return kpi.quota_by_period(transfers, "transaction_date", "ytd", "client_id", marts.FREE_TRANSFERS, AS_OF)
+
+
 @query("mart_gender_totals")
 def _(t):
     return marts.gender_totals(t.client)

@@ -409,6 +409,20 @@ SELECT account_no, strftime(date, '%Y-%m') AS month, CAST(sum(closing_balance) A
 sql("monthly_balance_totals", "account txn_bal", f"""WITH {_daily('2001-01-01', '2001-07-31')} --main
 SELECT date, sum(closing_balance) AS total_balance, count(*) FILTER (closing_balance <> 0) AS nonzero_accounts FROM daily
 WHERE date = last_day(date) GROUP BY 1""", money="total_balance", date="date")
+sql("closing_balance_monthly", "account txn_bal", f"WITH {_daily('2001-01-01', '2001-07-31')} --main SELECT * FROM daily WHERE date = last_day(date)",
+    money="closing_balance", date="date", whole="product_id")
+_staff_months = []
+for _m in range(1, 8):
+    _staff_months.append(f"CAST(sum(closing_balance) FILTER (month(date) = {_m}) AS DOUBLE) AS \"2001-{_m:02d}_value\"")
+    _staff_months.append(f"CAST(count(*) FILTER (month(date) = {_m} AND closing_balance <> 0) AS BIGINT) AS \"2001-{_m:02d}_count\"")
+sql("staff_balance_pivot", "account txn_bal client", f"""WITH {_daily('2001-01-01', '2001-07-31')}
+SELECT referred_by_id, {', '.join(_staff_months)} FROM daily d JOIN account a ON a.account_id = d.account_id JOIN client c ON c.client_id = a.client_id
+WHERE d.date = last_day(d.date) AND referred_by_id IS NOT NULL GROUP BY 1""")
+sql("avg_balance_wide", "account txn_bal", f"""WITH {_daily('2001-05-01', '2001-07-31')}
+SELECT account_no, {', '.join(f"CAST(sum(closing_balance) FILTER (month(date) = {m}) AS DOUBLE) / count(closing_balance) FILTER (month(date) = {m}) AS avg_balance_2001_{m:02d}" for m in (5, 6, 7))}
+FROM daily GROUP BY 1""")
+sql("balances_wide_to_long", "account txn_bal", f"""WITH {_daily('2001-07-25', '2001-07-31')} --main
+SELECT account_no, date, closing_balance AS balance FROM daily""", money="balance", date="date")
 LINES = """SELECT transaction_id, session_id, transaction_date, account_no, product_name, CASE WHEN type_enum = 2 THEN amount ELSE 0 END AS debit,
   CASE WHEN type_enum = 1 THEN amount ELSE 0 END AS credit, running_balance AS balance, is_reversed AS reversed, remarks AS narration FROM txn_bal"""
 sql("bank_statement_lines", "txn_bal", LINES, money="debit credit balance", ts="transaction_date")
@@ -462,10 +476,13 @@ _FLOW_KPIS = " UNION ALL ".join(
     f"SELECT 'Total {name} volume', format('{{:,}}', count(*)) FROM flows {cond} UNION ALL SELECT 'Total {name} value', {_SUM} FROM flows {cond}"
     for name, cond in (("transfer", ""), ("outflow", "WHERE transaction_type = 'OUTFLOW'"), ("inflow", "WHERE transaction_type = 'INFLOW'"))
 )
-sql("weekly_kpi_unpivot", "api wallet", f"""WITH {CALLS}, week AS (SELECT * FROM calls WHERE date >= TIMESTAMP '2024-01-24' AND date < TIMESTAMP '2024-01-31'),
+sql("weekly_kpi_unpivot", "api wallet account txn_bal", f"""WITH {CALLS}, {_daily('2001-07-26', '2001-08-01')},
+deposits AS (SELECT account_no, CAST(round(CAST(sum(closing_balance) AS DOUBLE) / count(closing_balance), 2) AS DECIMAL(28,2)) AS d FROM daily
+  WHERE account_no IN ({WALLET_ACCOUNTS}) GROUP BY 1), week AS (SELECT * FROM calls WHERE date >= TIMESTAMP '2024-01-24' AND date < TIMESTAMP '2024-01-31'),
 flows AS (SELECT * FROM wallet WHERE {ACCEPTED} AND time >= TIMESTAMP '2001-07-26' AND time < TIMESTAMP '2001-08-02')
 {_group_kpi('lookup', "'/view', '/view-account'")} UNION ALL {_group_kpi('click', "'/click', '/click-account'")} UNION ALL {_group_kpi('sale', "'/purchase'")}
-UNION ALL {_FLOW_KPIS}""")
+UNION ALL {_FLOW_KPIS}
+UNION ALL SELECT 'Cumulative average deposit', 'N' || format('{{:,.2f}}', CAST(sum(d) AS DOUBLE)) FROM deposits""")
 sql("kpi_unpivot", "txn", """
 SELECT 'transactions' AS metric, CAST(count(*) AS VARCHAR) AS value FROM txn UNION ALL SELECT 'amount', CAST(sum(amount) AS VARCHAR) FROM txn
 UNION ALL SELECT 'clients', CAST(count(DISTINCT client_id) AS VARCHAR) FROM txn""")
@@ -545,6 +562,13 @@ sql("staff_loan_attribution", "loan client", """
 SELECT c.referred_by_id, r.client_name AS staff_name, count(*) AS loans, sum(principal_disbursed) AS principal
 FROM loan l JOIN client c ON c.client_id = l.client_id LEFT JOIN client r ON r.client_id = c.referred_by_id
 WHERE c.referred_by_id IS NOT NULL GROUP BY 1, 2""", money="principal", whole="loans")
+sql("accounts_open_or_closed_this_year", "account", """
+SELECT account_id, client_id, product_name, approvedon_date, closedon_date FROM account WHERE closedon_date IS NULL
+UNION SELECT account_id, client_id, product_name, approvedon_date, closedon_date FROM account WHERE year(closedon_date) >= 2001""",
+    date="approvedon_date closedon_date")
+sql("staff_loans", "loan client", """
+SELECT loan_id, l.client_id, principal_disbursed, disbursedon_date, c.referred_by_id, r.client_name AS staff_name
+FROM loan l JOIN client c ON c.client_id = l.client_id JOIN client r ON r.client_id = c.referred_by_id""", money="principal_disbursed", ts="disbursedon_date")
 sql("loans_disbursed_month", "loan client", """
 SELECT loan_id, l.client_id, client_name, client_tier, principal_disbursed, disbursedon_date FROM loan l LEFT JOIN client c ON c.client_id = l.client_id
 WHERE strftime(disbursedon_date, '%Y-%m') = '2001-07'""", money="principal_disbursed", ts="disbursedon_date")
@@ -614,6 +638,17 @@ sql("card_requests", "card account", f"""
 SELECT card_id, k.client_id, account_no, CASE WHEN group_id IS NULL THEN a.client_id ELSE group_id END AS owner_id, n_name AS group_name,
   charge AS amount_charged, {CHARGE_TYPE} AS card_type
 FROM card k LEFT JOIN account a ON a.account_id = k.account_id LEFT JOIN nation ON 9000000 + n_nationkey = group_id""", money="amount_charged")
+sql("card_transactions", "card_txn account client", f"""
+WITH own AS ({OWNER})
+--main SELECT k.id, k.client_id, k.transaction_type, k.amount, k.transaction_date, k.transaction_status, k.client_id * 2 AS account_id, own.account_no, owner_id, owner_name
+FROM card_txn k LEFT JOIN own ON own.account_id = k.client_id * 2
+WHERE k.id > (SELECT coalesce(max(id), 0) FROM card_txn WHERE transaction_date < DATE '1995-01-10')""", money="amount", ts="transaction_date")
+sql("terminal_wallet_load", "wallet bank client", """
+SELECT transaction_id, statement_ids, transaction_type, transaction_response, from_account_no, from_bank, bank_name, to_account_no, client_name, amount, time
+FROM wallet LEFT JOIN bank ON bank_code = from_bank LEFT JOIN client ON '20' || lpad(CAST(client_id AS VARCHAR), 8, '0') = to_account_no
+WHERE wallet_name ILIKE '%supplier#%7%' AND transaction_id > (SELECT coalesce(max(transaction_id), 0) FROM wallet
+  WHERE wallet_name ILIKE '%supplier#%7%' AND transaction_type = 'INITIAL INFLOW' AND time < TIMESTAMP '1995-06-01')""",
+    money="amount", ts="time", whole="from_bank")
 sql("card_type_by_charge", "card", f"SELECT {CHARGE_TYPE} AS card_type, count(*) AS cards FROM card GROUP BY 1")
 sql("cards_produced", "card client", """
 SELECT card_id, k.client_id, client_name, pan_type, card_status, expiry_code, date_created FROM card k LEFT JOIN client c ON c.client_id = k.client_id""", date="date_created")
@@ -745,14 +780,19 @@ for _suffix, _fmt, _cond in (
     _period = "month" if _suffix == "monthly" else "date"
     for _item, _views, _src in (("biller", "bill", "bill"), ("airtime", "bill_item", AIRTIME)):
         sql(f"top_{_item}_{_suffix}", _views, f"""
-SELECT {_period}, biller, biller_count FROM (SELECT *, rank() OVER (PARTITION BY {_period} ORDER BY biller_count DESC) AS ranking FROM (
-  SELECT strftime(transaction_date, '{_fmt}') AS {_period}, biller, count(*) AS biller_count FROM {_src} AS s
-  WHERE transaction_status = 'success' AND {_cond} GROUP BY 1, 2)) WHERE ranking = 1""")
+WITH c AS (SELECT strftime(transaction_date, '{_fmt}') AS {_period}, biller, count(*) AS biller_count FROM {_src} AS s
+  WHERE transaction_status = 'success' AND {_cond} GROUP BY 1, 2)
+--main SELECT * FROM c WHERE biller_count = (SELECT max(x.biller_count) FROM c x WHERE x.{_period} = c.{_period})""")
     sql(f"free_vs_extra_quota_{_suffix}", "txn", f"""
 SELECT {_period}, sum(n) AS total_transfers, sum(CASE WHEN n < 50 THEN n ELSE 50 END) AS free_transfers, sum(CASE WHEN n < 51 THEN 0 ELSE n - 50 END) AS additional_transfers
 FROM (SELECT strftime(transaction_date, '{_fmt}') AS {_period}, product_name, count(*) AS n FROM txn WHERE type_enum = 2 AND response_code = '00' AND {_cond} GROUP BY 1, 2)
 GROUP BY 1""", whole="total_transfers free_transfers additional_transfers")
 
+sql("free_vs_extra_quota_ytd", "txn", """
+SELECT date, sum(n) AS total_transfers, sum(CASE WHEN n < 50 THEN n ELSE 50 END) AS free_transfers, sum(CASE WHEN n < 51 THEN 0 ELSE n - 50 END) AS additional_transfers
+FROM (SELECT strftime(transaction_date, '%Y-%m-%d') AS date, client_id, count(*) AS n FROM txn
+  WHERE type_enum = 2 AND response_code = '00' AND year(transaction_date) = 2001 AND transaction_date < DATE '2001-08-03' GROUP BY 1, 2) GROUP BY 1""",
+    whole="total_transfers free_transfers additional_transfers")
 for _block, _mart in (
     ("channel_volume_value_monthly", "intrabank_monthly"), ("channel_volume_value_ytd", "intrabank_ytd"),
     ("tier_counts_monthly", "retail_tier_monthly"), ("card_status_monthly", "card_status_monthly"),
