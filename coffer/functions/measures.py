@@ -41,3 +41,11 @@ def volume_value_by(column: str, values: Iterable[str], amount: str = "amount",
 def count_by(column: str, values: dict[str, str]) -> list[Column]:
     """One count per code, named by the mapping code -> column name."""
     return [count_when(F.col(column) == code).alias(name) for code, name in values.items()]
+
+
+def percent_of(part: Column, whole: Column) -> Column:
+    """Percentage with two decimals, halves away from zero. Reckoned in whole cents, so no half is lost to binary fractions."""
+    cents = lambda c: (c.cast("decimal(28,2)") * 100).cast("decimal(30,0)")
+    p, w = cents(part), cents(whole)
+    hundredths = F.call_function("div", F.abs(p) * 20000 + w, w * 2)
+    return F.signum(p) * hundredths / 100

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from coffer.functions import bands
 from coffer.functions.dates import DateLike, as_date, day, last_full_month, yesterday
-from coffer.functions.measures import sum_when
+from coffer.functions.measures import percent_of, sum_when
 from coffer.functions.text import percent_text
 
 
@@ -129,8 +129,8 @@ def overdraft_book(accounts: DataFrame, clients: DataFrame, txns: DataFrame, as_
     """Every overdraft with drawn amount, maturity band, collections, ratios to the limit and account officer."""
     books = accounts.filter(F.col("overdraft_start").isNotNull())
     officer = clients.select(F.col("client_id").alias("referred_by_id"), F.col("client_name").alias("account_officer"))
-    ratio = lambda c: (F.coalesce(c, F.lit(0)).cast("double") * 100 / F.col("overdraft_limit").cast("double"))
     zero = F.lit(0).cast("decimal(18,2)")
+    ratio = lambda c: percent_of(F.coalesce(c, zero), F.col("overdraft_limit"))
     return (
         books.join(clients.select("client_id", "client_name", "referred_by_id"), "client_id")
         .join(officer, "referred_by_id", "left")
@@ -145,8 +145,8 @@ def overdraft_book(accounts: DataFrame, clients: DataFrame, txns: DataFrame, as_
             "last_collection_date",
             F.coalesce("one_month_collection", zero).alias("one_month_collection"),
             F.coalesce("three_month_collection", zero).alias("three_month_collection"),
-            percent_text(F.round(ratio(F.col("one_month_collection")), 2)).alias("one_month_ratio"),
-            percent_text(F.round(ratio(F.col("three_month_collection")), 2)).alias("three_month_ratio"),
+            percent_text(ratio(F.col("one_month_collection"))).alias("one_month_ratio"),
+            percent_text(ratio(F.col("three_month_collection"))).alias("three_month_ratio"),
             "account_officer",
         )
     )

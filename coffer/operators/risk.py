@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from coffer.functions import bands
 from coffer.functions.dates import DateLike, cycle_start
-from coffer.functions.measures import total
+from coffer.functions.measures import percent_of, total
 from coffer.functions.text import percent_text, thousands
 from coffer.operators.running import running_total_over_day
 
@@ -142,7 +142,7 @@ def limit_utilisation(payments: DataFrame, limit: int) -> DataFrame:
         total("amount").alias("amount_used"),
     ).select(
         "date", "transaction_count", "amount_used", F.lit(limit).alias("limit_amount"),
-        F.round(F.col("amount_used").cast("double") / limit * 100, 2).alias("percent_utilised"),
+        percent_of(F.col("amount_used"), F.lit(limit)).alias("percent_utilised"),
     )
 
 
@@ -189,7 +189,7 @@ def settlement_position(
         F.max(F.when(out, F.col("ts"))).alias("out_end"),
     )
     difference = F.col("out_value") - F.col("in_value")
-    percent = F.round(difference.cast("double") / threshold * 100, 2)
+    percent = percent_of(difference, F.lit(threshold))
     return position.select(
         "*", difference.alias("difference"), F.lit(threshold).alias("threshold"),
         (F.lit(threshold) - difference).alias("threshold_balance"), percent.alias("percent_consumption"),

@@ -65,8 +65,8 @@ class Tables(Bank):
 
     @cached_property
     def risk_score(self) -> DataFrame:
-        """A rating between 0.5 and 5.0; clients divisible by 6 have none."""
-        return self.table("customer").filter("c_custkey % 6 <> 0").selectExpr(
+        """A rating between 0.5 and 5.0; clients of the segment FURNITURE have none."""
+        return self.table("customer").filter("c_mktsegment <> 'FURNITURE'").selectExpr(
             "c_custkey as client_id", "cast((c_custkey % 10 + 1) / 2 as double) as risk_score"
         )
 
@@ -371,7 +371,7 @@ def _(t):
 
 @query("pos_sweep_transfers")
 def _(t):
-    transit = t.account.filter(F.col("account_id") % 3 == 0).select("account_id")
+    transit = t.account.filter(F.col("product_id") == CORPORATE).select("account_id")
     senders = t.transaction.join(transit, "account_id", "left_semi").select("transaction_id")
     return pos.transfers_two_legs(t.transfer, t.balanced, t.client, senders, "OWN BANK")
 
@@ -763,9 +763,9 @@ def _(t):
 @query("new_account_compliance")
 def _(t):
     a = F.col("account_id")
-    blocks = t.account.filter(a % 4 == 0).select(
+    blocks = t.account.filter(F.col("balance") < 0).select(
         "account_id",
-        F.when(a % 12 == 0, "BLOCK DEBIT").when(a % 12 == 4, "BLOCK CREDIT").otherwise("NOTE").alias("sub_status"),
+        F.when(a % 3 == 0, "BLOCK DEBIT").when(a % 3 == 1, "BLOCK CREDIT").otherwise("NOTE").alias("sub_status"),
         F.concat(F.lit("note "), (a % 10).cast("string")).alias("note"),
         F.date_add("approvedon_date", 30).alias("created_date"),
     )
@@ -934,8 +934,8 @@ def _(t):
 def _(t):
     loaded = t.terminal_wallet_txn.filter("transaction_type = 'INITIAL INFLOW'").filter(F.col("time") < dates.day("1995-06-01"))
     fresh = incremental.incremental_since(t.terminal_wallet_txn, loaded, "transaction_id")
-    held = t.account.withColumn("account_no", F.expr("concat('20', lpad(cast(client_id as string), 8, '0'))"))
-    return pos.terminal_wallet_load(fresh, t.bank, held.filter("account_id % 2 = 0"), t.client)
+    held = t.client.selectExpr("client_id", "concat('20', lpad(cast(client_id as string), 8, '0')) as account_no")
+    return pos.terminal_wallet_load(fresh, t.bank, held, t.client)
 
 
 @query("card_type_by_charge")

@@ -29,6 +29,12 @@ def sql(name: str, views: str, body: str, money: str = "", date: str = "", ts: s
     ORACLE[name] = with_views(views, body)
 
 
+def _percent(part: str, whole: str) -> str:
+    """Two decimals, halves away from zero, in whole cents."""
+    p, w = (f"CAST(CAST({x} AS DECIMAL(28,2)) * 100 AS HUGEINT)" for x in (part, whole))
+    return f"sign({p}) * CAST((abs({p}) * 20000 + {w}) // ({w} * 2) AS DOUBLE) / 100"
+
+
 # -- loads and repairs -------------------------------------------------------------------------------------------------
 
 LOADED = "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20'"
@@ -101,7 +107,7 @@ COHORT = """CASE WHEN dob_text IS NULL THEN 'Not Found' WHEN right(dob_text, 4)
   WHEN right(dob_text, 4) BETWEEN '1980' AND '1994' THEN 'Millennials' WHEN right(dob_text, 4) BETWEEN '1995' AND '2012' THEN 'Generation Z'
   WHEN right(dob_text, 4) > '2012' THEN 'Generation Alpha' END"""
 sql("generation_cohort", "client", f"SELECT {COHORT} AS generation, count(*) AS clients FROM client WHERE client_status <> 'Closed' GROUP BY 1")
-RISK = "(SELECT c_custkey AS client_id, CAST((c_custkey % 10 + 1) AS DOUBLE) / 2 AS risk_score FROM customer WHERE c_custkey % 6 <> 0)"
+RISK = "(SELECT c_custkey AS client_id, CAST((c_custkey % 10 + 1) AS DOUBLE) / 2 AS risk_score FROM customer WHERE c_mktsegment <> 'FURNITURE')"
 BAND = "CASE WHEN risk_score <= 1.5 THEN 'Low risk' WHEN risk_score < 4 THEN 'Medium risk' WHEN risk_score >= 4 THEN 'High risk' END"
 sql("aml_risk_band", "client", f"""
 SELECT client.client_id, risk_score, {BAND} AS aml_risk_rating FROM client LEFT JOIN {RISK} r ON r.client_id = client.client_id""")
@@ -182,7 +188,7 @@ FROM {TRANSFER} tr JOIN txn_bal st ON st.transaction_id = tr.from_txn JOIN clien
 JOIN txn_bal rt ON rt.transaction_id = tr.to_txn JOIN client rc ON rc.client_id = rt.client_id"""
 sql("transfer_two_legs", "txn_bal client", TWO_LEGS, money="receiver_balance amount sender_balance", ts="transfer_date")
 sql("pos_sweep_transfers", "txn_bal client account",
-    f"{TWO_LEGS} WHERE st.account_no IN (SELECT account_no FROM account WHERE account_id % 3 = 0)",
+    f"{TWO_LEGS} WHERE st.account_no IN (SELECT account_no FROM account WHERE product_id = 26)",
     money="receiver_balance amount sender_balance", ts="transfer_date")
 sql("audit_user_accounts", "account client staff_user", """
 WITH audit AS (SELECT o_orderkey AS audit_id, CAST(o_orderkey % 7 AS INTEGER) AS maker_id,
@@ -282,9 +288,9 @@ FROM txn WHERE type_enum = 1 AND is_reversed = 'No' GROUP BY 1"""
 sql("overdraft_collection_ratio", "txn account", f"""
 SELECT c.*, round(CAST(three_month_collection AS DOUBLE) / CAST(overdraft_limit AS DOUBLE), 6) AS three_month_ratio
 FROM ({COLLECT}) c JOIN account a ON a.account_id = c.account_id""", money="one_month_collection three_month_collection", date="last_collection_date")
-sql("limit_utilisation", "txn", """
+sql("limit_utilisation", "txn", f"""
 SELECT CAST(transaction_date AS DATE) AS date, count(*) AS transaction_count, sum(amount) AS amount_used, 90000000 AS limit_amount,
-  round(CAST(sum(amount) AS DOUBLE) / 90000000 * 100, 2) AS percent_utilised
+  {_percent("sum(amount)", "90000000")} AS percent_utilised
 FROM txn WHERE partners = 'TRANSFER' AND response_code = '00' GROUP BY 1""", money="amount_used", date="date", whole="limit_amount")
 sql("expected_vs_actual_daily", "schedule payment", """
 SELECT e.date, expected, coalesce(actual, 0) AS actual
@@ -503,13 +509,13 @@ SELECT account_id, account_no, a.client_id, c.client_name, c.client_tier, produc
 FROM account a LEFT JOIN client c ON c.client_id = a.client_id LEFT JOIN {RISK} r ON r.client_id = a.client_id LEFT JOIN client o ON o.client_id = c.referred_by_id
 WHERE submittedby_userid <> 31 AND product_id IN (24, 26, 29, 33, 212)""", date="activation_date")
 sql("new_account_compliance", "account client", f"""
-WITH blocks AS (SELECT account_id, CASE WHEN account_id % 12 = 0 THEN 'BLOCK DEBIT' WHEN account_id % 12 = 4 THEN 'BLOCK CREDIT' ELSE 'NOTE' END AS sub_status FROM account WHERE account_id % 4 = 0)
+WITH blocks AS (SELECT account_id, CASE WHEN account_id % 3 = 0 THEN 'BLOCK DEBIT' WHEN account_id % 3 = 1 THEN 'BLOCK CREDIT' ELSE 'NOTE' END AS sub_status FROM account WHERE balance < 0)
 --main SELECT c.client_id, client_name, activation_date, min(account_no) AS account_no, arg_min(submittedby_userid, account_no) AS opened_by,
   max(sub_status) AS sub_status, any_value(risk_score) AS risk_score, {BAND.replace('risk_score', 'any_value(risk_score)')} AS aml_risk_rating
 FROM client c JOIN account a ON a.client_id = c.client_id AND product_id IN (29, 31, 33)
 LEFT JOIN blocks b ON b.account_id = a.account_id AND sub_status IN ('BLOCK DEBIT', 'BLOCK CREDIT')
 LEFT JOIN {RISK} r ON r.client_id = c.client_id WHERE activation_date = DATE '1994-03-15' GROUP BY 1, 2, 3""", date="activation_date", whole="opened_by")
-RATIO = "format('{{:,.2f}}', round(coalesce(CAST({c} AS DOUBLE), 0) * 100 / CAST(overdraft_limit AS DOUBLE), 2)) || '%'"
+RATIO = "format('{{:,.2f}}', " + _percent("coalesce({c}, 0)", "overdraft_limit") + ") || '%'"
 sql("overdraft_book", "account client txn", f"""
 SELECT a.account_id, account_no, c.client_name, overdraft_limit, balance AS principal_balance, overdraft_limit + balance AS overdrawn_amount,
   overdraft_start AS disbursement_date, overdraft_end AS maturity_date, {MATURITY.format(d='overdraft_end')} AS remaining_days_to_maturity,
@@ -825,12 +831,12 @@ b AS (SELECT *, CAST(floor(used * 10 / 10000) * 10 AS INTEGER) AS band FROM r)
 --main SELECT day AS date, band, ts AS reached_at, id AS event_id, used AS amount_used
 FROM (SELECT *, row_number() OVER (PARTITION BY day, band ORDER BY ts, id) AS n FROM b WHERE band >= 50 AND band < 100) WHERE n = 1""",
     money="amount_used", date="date", ts="reached_at", whole="band")
-POSITION = """p AS (SELECT count(*) FILTER (side = 'out') AS out_volume, count(*) FILTER (side = 'in') AS in_volume, sum(amount) FILTER (side = 'out') AS out_value,
+POSITION = f"""p AS (SELECT count(*) FILTER (side = 'out') AS out_volume, count(*) FILTER (side = 'in') AS in_volume, sum(amount) FILTER (side = 'out') AS out_value,
   sum(amount) FILTER (side = 'in') AS in_value, min(date) FILTER (side = 'out') AS out_start, max(date) FILTER (side = 'out') AS out_end
   FROM (SELECT *, CASE resource WHEN '/purchase' THEN 'out' ELSE 'in' END AS side FROM api WHERE resource IN ('/purchase', '/signup')
     AND date >= TIMESTAMP '2024-01-25 14:00:00' AND date < TIMESTAMP '2024-01-29 10:30:00')),
 q AS (SELECT *, out_value - in_value AS difference, 20000 AS threshold, 20000 - (out_value - in_value) AS threshold_balance,
-  round(CAST(out_value - in_value AS DOUBLE) / 20000 * 100, 2) AS percent_consumption FROM p)"""
+  {_percent("out_value - in_value", "20000")} AS percent_consumption FROM p)"""
 sql("settlement_position", "api", f"WITH {POSITION} --main SELECT *, percent_consumption >= 50 AS alert FROM q",
     money="out_value in_value difference threshold_balance", ts="out_start out_end", whole="threshold")
 sql("settlement_text", "api", f"""WITH {POSITION} SELECT format('{{:,}}', out_volume) AS out_volume, format('{{:,}}', in_volume) AS in_volume,

@@ -134,3 +134,17 @@ def test_channel_measures_count_only_named_channels(spark):
     row = df.agg(*volume_value_by("channel", ["MOBILE", "CHATBOT"])).first()
     assert (row["mobile_volume"], row["mobile_value"], row["chatbot_volume"], row["chatbot_value"]) == (1, 5, 0, 0)
     assert (row["total_volume"], row["total_value"]) == (3, 21)
+
+
+def test_percent_of_is_half_up_in_cents_and_wide(spark):
+    from decimal import Decimal
+
+    from coffer.functions.measures import percent_of
+
+    cases = [("1.00", "3.00", 33.33), ("338.49", "1.00", 33849.0), ("0.01", "80.00", 0.01), ("0.01", "200.00", 0.01),
+             ("-0.01", "200.00", -0.01), ("0.01", "201.00", 0.0), ("0.00", "5.00", 0.0),
+             ("90000000000000000.00", "90000000.00", 1e11)]
+    df = spark.createDataFrame([(i, Decimal(a), Decimal(b)) for i, (a, b, _) in enumerate(cases)],
+                               "i int, a decimal(28,2), b decimal(28,2)")
+    got = [r[0] for r in df.orderBy("i").select(percent_of(F.col("a"), F.col("b"))).collect()]
+    assert got == [c[2] for c in cases]
