@@ -16,7 +16,7 @@ from coffer.functions.measures import total
 from coffer.operators import bills, clients, clv, customer, kpi, ledger, loans, marts, pos, quantiles, risk, staff, wallets
 from coffer.plans.evidence import adoption_evidence
 from coffer.plans.views import (
-    APP_USER, AS_OF, CLIENT_AS_OF, CORPORATE, EVENT_AS_OF, FIXED_DEPOSIT, RETAIL_PRODUCTS, TABLES, Bank,
+    APP_USER, AS_OF, CLIENT_AS_OF, CORPORATE, EVENT_AS_OF, EVENT_MART_AS_OF, FIXED_DEPOSIT, RETAIL_PRODUCTS, TABLES, Bank,
 )
 from coffer.session import shared_dir
 from coffer.sources import incremental
@@ -488,7 +488,7 @@ def _(t):
 
 @query("gl_account_lines")
 def _(t):
-    return ledger.gl_account_lines(t.journal, t.gl_account, 3, "2001-07-20")
+    return ledger.gl_account_lines(t.journal, t.gl_account, 3, "1996-08-05")
 
 
 @query("gl_opening_balance")
@@ -912,8 +912,8 @@ def _branded(t: Tables) -> DataFrame:
 
 @query("unmapped_biller_codes")
 def _(t):
-    known = t.bill_item.filter(F.col("transaction_date") < dates.day("1995-03-01"))
-    return bills.unmapped_codes(t.bill_item, known)
+    coded = t.bill_item.withColumn("biller_code", F.concat_ws(" ", "biller_code", F.col("biller_id").cast("string")))
+    return bills.unmapped_codes(coded, coded.filter(F.col("transaction_date") < dates.day("2001-01-01")))
 
 
 @query("card_requests")
@@ -984,7 +984,7 @@ MARTS = {
     **marts.retail_marts(CLIENT_AS_OF, RETAIL_PRODUCTS, (24, 30, 33), APP_USER),
     **marts.payment_marts(AS_OF, FIXED_DEPOSIT, (FIXED_DEPOSIT, 30), CORPORATE, VOUCHER_CODES),
     **marts.wallet_marts(AS_OF),
-    **marts.api_marts(EVENT_AS_OF, TEST_SUBSCRIBERS, RELABELLED),
+    **marts.api_marts(EVENT_MART_AS_OF, TEST_SUBSCRIBERS, RELABELLED),
 }
 
 

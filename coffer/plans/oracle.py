@@ -272,7 +272,7 @@ sql("gl_account_lines", "journal gl_account", """
 SELECT DISTINCT j1.entry_id, j1.entry_date, gl_name, j1.transaction_id, CASE WHEN j1.type_enum = 1 THEN j1.amount ELSE 0 END AS debit_amount,
   CASE WHEN j1.type_enum = 2 THEN j1.amount ELSE 0 END AS credit_amount, j1.type_enum
 FROM journal j1 JOIN journal je ON je.transaction_id = j1.transaction_id LEFT JOIN gl_account g ON g.gl_account_id = j1.gl_account_id
-WHERE j1.entry_date = DATE '2001-07-20' AND je.entry_date = DATE '2001-07-20' AND j1.gl_account_id <> 3 AND je.gl_account_id = 3""",
+WHERE j1.entry_date = DATE '1996-08-05' AND je.entry_date = DATE '1996-08-05' AND j1.gl_account_id <> 3 AND je.gl_account_id = 3""",
     money="debit_amount credit_amount", date="entry_date", whole="type_enum")
 sql("gl_opening_balance", "journal gl_account", """
 SELECT j.gl_account_id, gl_name, classification_enum,
@@ -638,7 +638,8 @@ sql("bills_transactions", "bill_item", f"""WITH {BRANDED} --main
 SELECT {_biller_case('code')} AS biller_by_rule, count(*) AS purchases, sum(amount) AS amount FROM branded
 WHERE transaction_id NOT IN (SELECT transaction_id FROM branded WHERE {_brand_case('code')} IS NOT NULL) GROUP BY 1""", money="amount")
 sql("unmapped_biller_codes", "bill_item", """
-SELECT DISTINCT biller_code FROM bill_item EXCEPT SELECT biller_code FROM bill_item WHERE transaction_date < TIMESTAMP '1995-03-01'""")
+SELECT biller_code || ' ' || biller_id AS biller_code FROM bill_item GROUP BY 1
+EXCEPT SELECT biller_code || ' ' || biller_id FROM bill_item WHERE transaction_date < TIMESTAMP '2001-01-01'""")
 CHARGE_TYPE = "CASE WHEN charge <= 1000 THEN 'Virtual' WHEN charge > 1000 THEN 'Physical' ELSE 'Unclassified' END"
 sql("card_requests", "card account", f"""
 SELECT card_id, k.client_id, account_no, CASE WHEN group_id IS NULL THEN a.client_id ELSE group_id END AS owner_id, n_name AS group_name,
@@ -704,7 +705,7 @@ def channel_measures() -> tuple[str, str]:
     return ", ".join(parts), " ".join([*money, "total_value"])
 
 
-C, E, O = "1994-10-15", "2024-01-31", "2001-08-02"
+C, E, O = "1994-10-15", "2024-02-10", "2001-08-02"
 RETAIL = """(SELECT a.*, c.client_tier, c.gender_code, c.activation_date, c.activatedon_userid FROM account a JOIN client c ON c.client_id = a.client_id
   WHERE a.product_id IN {p}) x"""
 R = RETAIL.format(p="(29, 31, 33)")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-PRODUCT_ID = "CASE {a} % 7 WHEN 0 THEN 33 WHEN 1 THEN 36 WHEN 2 THEN 30 WHEN 3 THEN 24 WHEN 4 THEN 26 WHEN 5 THEN 29 ELSE 31 END"
+PRODUCT_ID = "CASE {a} % 7 WHEN 0 THEN 33 WHEN 1 THEN 36 WHEN 2 THEN 26 WHEN 3 THEN 24 WHEN 4 THEN 30 WHEN 5 THEN 29 ELSE 31 END"
 PRODUCT_NAME = (
     "CASE {a} % 7 WHEN 0 THEN 'Universal Savings Account' WHEN 1 THEN 'Term Fixed Deposit' "
-    "WHEN 2 THEN 'Target Savings Account' WHEN 3 THEN 'Child Savings' WHEN 4 THEN 'Corporate Current Account' "
+    "WHEN 2 THEN 'Corporate Current Account' WHEN 3 THEN 'Child Savings' WHEN 4 THEN 'Target Savings Account' "
     "WHEN 5 THEN 'Individual Current Account' ELSE 'Staff Current Account' END"
 )
 
@@ -58,7 +58,7 @@ SELECT k AS transaction_id, cust AS client_id, account_id,
   CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS type_enum,
   CASE WHEN o_orderstatus = 'F' THEN 'withdrawal' ELSE 'deposit' END AS transaction_type,
   CASE left(o_orderpriority, 1) WHEN '1' THEN 'MOBILE' WHEN '2' THEN 'USSD' WHEN '3' THEN 'CHATBOT' WHEN '4' THEN 'WALLET' END AS channel,
-  CASE WHEN k % 10 = 0 THEN '91' ELSE '00' END AS response_code,
+  CASE WHEN k % 7 = 0 THEN '91' ELSE '00' END AS response_code,
   CASE k % 6 WHEN 0 THEN 'INTERNAL' WHEN 1 THEN 'NIPCREDIT' WHEN 2 THEN 'CARDLESS' WHEN 3 THEN 'VOUCHER' WHEN 4 THEN 'BILLS' ELSE 'TRANSFER' END AS partners,
   CASE WHEN k % 6 = 0 THEN 'Internal transfer' ELSE 'External transfer' END AS partners_description,
   CASE WHEN k % 25 = 0 THEN 'Yes' ELSE 'No' END AS is_reversed,

@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 AS_OF = dt.date(2001, 8, 2)          # orders and lineitem run to about here
 CLIENT_AS_OF = dt.date(1994, 10, 15)  # activation dates fill 1994
 EVENT_AS_OF = dt.date(2024, 1, 31)
+EVENT_MART_AS_OF = dt.date(2024, 2, 10)  # the events fill January
 
 PRODUCTS = (
     (33, "Universal Savings Account"),
     (36, "Term Fixed Deposit"),
-    (30, "Target Savings Account"),
-    (24, "Child Savings"),
     (26, "Corporate Current Account"),
+    (24, "Child Savings"),
+    (30, "Target Savings Account"),
     (29, "Individual Current Account"),
     (31, "Staff Current Account"),
 )
@@ -146,7 +147,7 @@ class Bank:
             "if(o_orderstatus = 'F', 'withdrawal', 'deposit') as transaction_type",
             "case left(o_orderpriority, 1) when '1' then 'MOBILE' when '2' then 'USSD' when '3' then 'CHATBOT'"
             " when '4' then 'WALLET' end as channel",
-            "if(k % 10 = 0, '91', '00') as response_code",
+            "if(k % 7 = 0, '91', '00') as response_code",
             "element_at(array('INTERNAL', 'NIPCREDIT', 'CARDLESS', 'VOUCHER', 'BILLS', 'TRANSFER'), cast(k % 6 as int) + 1) as partners",
             "if(k % 6 = 0, 'Internal transfer', 'External transfer') as partners_description",
             "if(k % 25 = 0, 'Yes', 'No') as is_reversed",
