@@ -166,18 +166,19 @@ def _gradient_hessian(f: np.ndarray, d: int, pairs: list[tuple[int, int]], h: fl
 
 
 def maximise(
-    data: DataFrame, columns: Sequence[str], loglik: LogLik, dim: int, penalty: float, tolerance: float = 1e-7,
-    max_steps: int = 40, h: float = 1e-3,
+    data: DataFrame, columns: Sequence[str], loglik: LogLik, dim: int, penalty: float, floor: Sequence[float] | None = None,
+    tolerance: float = 1e-7, max_steps: int = 40, h: float = 1e-3,
 ) -> np.ndarray:
-    """Parameters (all positive) with the lowest penalised mean negative log-likelihood.
+    """Parameters (all above ``floor``, zero by default) with the lowest penalised mean negative log-likelihood.
 
-    Damped Newton steps on the log parameters. A step takes two jobs: one for all difference points, one for all step
+    Damped Newton steps on the logs of the parameters less their floor. A step takes two jobs: one for all difference points, one for all step
     lengths. ``data`` has the columns and a count ``n``.
     """
     weight = data.agg(F.sum("n")).first()[0]
+    least = np.zeros(dim) if floor is None else np.asarray(floor, dtype=float)
 
     def objective(thetas: np.ndarray) -> np.ndarray:
-        points = np.exp(thetas)
+        points = least + np.exp(thetas)
         return -_sum_loglik(data, columns, loglik, points) / weight + penalty * np.sum(points**2, axis=1)
 
     theta = np.zeros(dim)
@@ -198,7 +199,7 @@ def maximise(
                 theta = theta + lengths[best] * step
             break
         theta = theta + lengths[best] * step
-    return np.exp(theta)
+    return least + np.exp(theta)
 
 
 def fit_purchases(inputs: DataFrame, penalty: float = PURCHASE_PENALTY, reach: float = 10.0) -> PurchaseParams:
@@ -214,8 +215,13 @@ def fit_purchases(inputs: DataFrame, penalty: float = PURCHASE_PENALTY, reach: f
     return PurchaseParams(float(r), float(alpha / scale), float(a), float(b))
 
 
-def fit_spend(inputs: DataFrame, penalty: float = SPEND_PENALTY) -> GammaGammaParams:
-    """Gamma-gamma fit on clients with a repeat purchase."""
+def fit_spend(inputs: DataFrame, penalty: float = SPEND_PENALTY, stable: bool = False) -> GammaGammaParams:
+    """Gamma-gamma fit on clients with a repeat purchase.
+
+    The penalty weighs parameters as they are, so with amounts in the hundred thousands it presses v, and with it q,
+    towards zero, and below q = 1 the population has no finite mean. ``stable`` fits amounts divided by their mean and
+    keeps q above 1; v is scaled back.
+    """
     ensure_checkpoint_dir(inputs.sparkSession)
     counted = (
         inputs.filter((F.col("x") > 0) & (F.col("mean_value") > 0))
@@ -223,8 +229,13 @@ def fit_spend(inputs: DataFrame, penalty: float = SPEND_PENALTY) -> GammaGammaPa
         .agg(F.count(F.lit(1)).alias("n"))
         .checkpoint()
     )
-    p, q, v = maximise(counted, ["x", "mean_value"], spend_loglik, 3, penalty)
-    return GammaGammaParams(float(p), float(q), float(v))
+    if not stable:
+        p, q, v = maximise(counted, ["x", "mean_value"], spend_loglik, 3, penalty)
+        return GammaGammaParams(float(p), float(q), float(v))
+    unit = counted.agg(F.sum(F.col("n") * F.col("mean_value")) / F.sum("n")).first()[0]
+    scaled = counted.withColumn("mean_value", F.col("mean_value") / unit)
+    p, q, v = maximise(scaled, ["x", "mean_value"], spend_loglik, 3, penalty, (0.0, 1.0, 0.0))
+    return GammaGammaParams(float(p), float(q), float(v * unit))
 
 
 # -- scoring -----------------------------------------------------------------------------------------------------------

@@ -95,10 +95,15 @@ def limit_increases(today: DataFrame, before: DataFrame) -> DataFrame:
 
 
 def limit_increase_details(increases: DataFrame, accounts: DataFrame, txns: DataFrame, clients: DataFrame) -> DataFrame:
-    """Increases with the client's first account number, tier and last unreversed movement."""
-    first_account = accounts.groupBy("client_id").agg(F.min("account_no").alias("account_no"))
+    """Increases with the client's first account number, tier and last unreversed movement.
+
+    Few clients have an increase, so accounts and movements are reduced to theirs before they are summed up.
+    """
+    raised = increases.select("client_id")
+    first_account = accounts.join(raised, "client_id", "left_semi").groupBy("client_id").agg(F.min("account_no").alias("account_no"))
     last_move = (
         txns.filter(F.col("type_enum").isin(1, 2) & (F.col("is_reversed") == "No"))
+        .join(raised, "client_id", "left_semi")
         .groupBy("client_id")
         .agg(F.max("transaction_date").cast("date").alias("last_transaction_date"))
     )

@@ -1138,11 +1138,6 @@ def _(t):
 # -- lifetime value model ----------------------------------------------------------------------------------------------
 
 
-def _fitted(t: Tables) -> tuple[DataFrame, clv.PurchaseParams, clv.GammaGammaParams]:
-    inputs = clv.model_inputs(_rfm(t))
-    return inputs, clv.fit_purchases(inputs), clv.fit_spend(inputs)
-
-
 @query("clv_bgnbd_fit")
 def _(t):
     p = clv.fit_purchases(clv.model_inputs(_rfm(t)))
@@ -1159,8 +1154,8 @@ def _(t):
 
 @query("clv_expected_purchases")
 def _(t):
-    inputs, purchases, _ = _fitted(t)
-    scored = clv.with_expected_purchases(inputs, purchases, clv.HORIZON_WEEKS)
+    inputs = clv.model_inputs(_rfm(t))
+    scored = clv.with_expected_purchases(inputs, clv.fit_purchases(inputs), clv.HORIZON_WEEKS)
     return scored.select(
         "client_id", "x", F.round(F.col("expected")[0], 4).alias("expected_12_weeks"),
         F.round(F.col("expected")[1], 4).alias("expected_24_weeks"),
@@ -1169,8 +1164,9 @@ def _(t):
 
 @query("clv_value")
 def _(t):
-    inputs, purchases, spend = _fitted(t)
-    scored = clv.value_segments(clv.lifetime_value(inputs, purchases, spend))
+    inputs = clv.model_inputs(_rfm(t))
+    spend = clv.fit_spend(inputs, stable=True)
+    scored = clv.value_segments(clv.lifetime_value(inputs, clv.fit_purchases(inputs), spend))
     return _rounded(scored, "expected_12_weeks", "expected_24_weeks", "expected_value", "clv", digits=2)
 
 

@@ -70,7 +70,11 @@ def test_spend_fit_recovers_population_mean(spark):
     x = rng.integers(1, 12, n).astype(float)
     nu = rng.gamma(q, 1 / v, n)
     m = rng.gamma(p * x, 1 / (nu * x))
-    got = clv.fit_spend(spark.createDataFrame(pd.DataFrame({"x": x, "mean_value": m})), penalty=0.0)
+    data = spark.createDataFrame(pd.DataFrame({"x": x, "mean_value": m}))
+    got = clv.fit_spend(data, penalty=0.0)
+    stable = clv.fit_spend(data, penalty=0.0, stable=True)
+    assert (stable.p, stable.q, stable.v) == pytest.approx((got.p, got.q, got.v), rel=0.05)
+    assert clv.fit_spend(data, penalty=10.0, stable=True).q > 1
     assert got.v * got.p / (got.q - 1) == pytest.approx(v * p / (q - 1), rel=0.06)
 
 
