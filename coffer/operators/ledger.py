@@ -41,7 +41,9 @@ def last_per_key(df: DataFrame, key: str, order: Sequence[str], take: Sequence[s
     return df.groupBy(key).agg(*[F.max_by(c, rank).alias(c) for c in take])
 
 
-def _carried_balance(accounts: DataFrame, txns: DataFrame, first: dt.date, last: dt.date, unit: str) -> DataFrame:
+def _carried_balance(
+    accounts: DataFrame, txns: DataFrame, first: dt.date, last: dt.date, unit: str, keep: Sequence[str]
+) -> DataFrame:
     """Balance per account at the end of each ``unit`` (day or month) of a span; ``date`` is the unit's first day.
 
     Only units in which an account moved are shuffled: movements are summed to one row per account and unit (everything
@@ -58,7 +60,7 @@ def _carried_balance(accounts: DataFrame, txns: DataFrame, first: dt.date, last:
         .agg(F.sum("moved").alias("moved"))
     )
     held = accounts.filter(F.col("approvedon_date") <= F.lit(last)).select(
-        "account_id", "account_no", "product_id", "client_id", to_unit("approvedon_date").alias("since")
+        "account_id", *keep, to_unit("approvedon_date").alias("since")
     )
     unmoved = held.select("account_id", opening.alias("date"), F.lit(None).cast("decimal(28,2)").alias("moved"))
     per_account = Window.partitionBy("account_id").orderBy("date")
@@ -74,23 +76,30 @@ def _carried_balance(accounts: DataFrame, txns: DataFrame, first: dt.date, last:
         .withColumn("_until", F.coalesce(before_next, to_unit(F.lit(last))))
         .filter(F.col("_begin") <= F.col("_until"))
         .select(
-            "account_id", "account_no", "product_id", "client_id",
+            "account_id", *keep,
             F.explode(F.sequence("_begin", "_until", F.expr(f"interval 1 {unit}"))).alias("date"), "closing_balance",
         )
     )
 
 
-def closing_balance_daily(accounts: DataFrame, txns: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
-    """Balance of each account at the end of each day from ``start`` through ``end``.
+ACCOUNT_COLUMNS = ("account_no", "product_id")
+
+
+def closing_balance_daily(
+    accounts: DataFrame, txns: DataFrame, start: DateLike, end: DateLike, keep: Sequence[str] = ACCOUNT_COLUMNS
+) -> DataFrame:
+    """Balance of each account at the end of each day from ``start`` through ``end``, with the kept account columns.
 
     A day without movement repeats the day before; an account that has not moved yet has a null balance.
     """
-    return _carried_balance(accounts, txns, as_date(start), as_date(end), "day")
+    return _carried_balance(accounts, txns, as_date(start), as_date(end), "day", keep)
 
 
-def closing_balance_monthly(accounts: DataFrame, txns: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+def closing_balance_monthly(
+    accounts: DataFrame, txns: DataFrame, start: DateLike, end: DateLike, keep: Sequence[str] = ACCOUNT_COLUMNS
+) -> DataFrame:
     """Balance of each account on the last day of each month of a span that ends with a month."""
-    balances = _carried_balance(accounts, txns, as_date(start), as_date(end), "month")
+    balances = _carried_balance(accounts, txns, as_date(start), as_date(end), "month", keep)
     return balances.withColumn("date", F.last_day("date"))
 
 

@@ -615,7 +615,7 @@ def _(t):
 
 @query("closing_balance_daily")
 def _(t):
-    return ledger.closing_balance_daily(t.account, t.transaction, "2001-07-01", "2001-07-31").drop("client_id")
+    return ledger.closing_balance_daily(t.account, t.transaction, "2001-07-01", "2001-07-31")
 
 
 @query("avg_balance_by_month")
@@ -635,12 +635,13 @@ def _month_ends(t: Tables) -> DataFrame:
 
 @query("closing_balance_monthly")
 def _(t):
-    return _month_ends(t).drop("client_id")
+    return _month_ends(t)
 
 
 @query("staff_balance_pivot")
 def _(t):
-    return staff.staff_balance_pivot(_month_ends(t), t.client, [f"2001-{m:02d}" for m in range(1, 8)])
+    owned = ledger.closing_balance_monthly(t.account, t.transaction, "2001-01-01", "2001-07-31", ["client_id"])
+    return staff.staff_balance_pivot(owned, t.client, [f"2001-{m:02d}" for m in range(1, 8)])
 
 
 @query("avg_balance_wide")
