@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -31,13 +28,11 @@ def build_session(app_name: str = "coffer", master: str | None = None, **conf: s
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder for checkpoints and hand-over tables, under the shared folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset (single-machine tests) a temporary
-    folder takes its place.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset the session's warehouse takes its place, which
+    all executors share too; a folder of one machine never does.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="coffer-")
-    return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return f"{root.rstrip('/')}/{name}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

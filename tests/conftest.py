@@ -14,7 +14,8 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[4]",
         **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
-           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
+           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+           "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
