@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from coffer.llm import exact_dedup
+from coffer.llm import exact_dedup, kd_sharding
 
-MODULES = (exact_dedup,)
+MODULES = (exact_dedup, kd_sharding)
 
 
 def queries() -> dict:
