@@ -6,13 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coffer.session import ensure_checkpoint_dir
 
-#: Rows of an Arrow batch that hold whole texts; keeps a batch in the range of megabytes.
-TEXT_BATCH = 512
+#: UTF-8 bytes of text that a task works on at once; a longer text is a block of its own.
+BLOCK_BYTES = 8_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,15 +39,35 @@ def held_out(column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 3 == 1, F.lit(True))
 
 
+def blocks_of(batch: pa.RecordBatch, text_column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``BLOCK_BYTES`` of text."""
+    sizes = pc.binary_length(batch.column(text_column)).to_numpy(zero_copy_only=False)
+    block = (np.cumsum(sizes, dtype=np.int64) - sizes) // BLOCK_BYTES
+    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else []
+    for a, b in zip(starts, [*starts[1:], len(block)], strict=True):
+        yield batch.slice(int(a), int(b - a))
+
+
 def map_texts(df: DataFrame, function, schema: str) -> DataFrame:
-    """Apply ``function(pyarrow.RecordBatch) -> pyarrow.RecordBatch`` to blocks of at most ``TEXT_BATCH`` rows."""
+    """Apply ``function(RecordBatch) -> RecordBatch`` to blocks of rows; the second column holds the texts, not null."""
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, TEXT_BATCH):
-                yield function(batch.slice(start, TEXT_BATCH))
+            for block in blocks_of(batch):
+                yield function(block)
+
+    return df.mapInArrow(work, schema)
+
 
-    return df.mapInArrow(blocks, schema)
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of a block of texts, parted by ASCII white space: codes in text order, words per text, the distinct words."""
+    lists = pc.ascii_split_whitespace(texts)
+    words = pc.list_flatten(lists)
+    owner = pc.list_parent_indices(lists).to_numpy()
+    full = pc.greater(pc.binary_length(words), 0)
+    words, owner = words.filter(full), owner[full.to_numpy(zero_copy_only=False)]
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), np.bincount(owner, minlength=len(texts)), coded.dictionary
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
