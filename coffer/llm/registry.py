@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from coffer.llm import exact_dedup, kd_sharding, repetition_rules, token_counts
+from coffer.llm import exact_dedup, kd_sharding, line_dedup, repetition_rules, token_counts
 
-MODULES = (exact_dedup, kd_sharding, repetition_rules, token_counts)
+MODULES = (exact_dedup, kd_sharding, line_dedup, repetition_rules, token_counts)
 
 
 def queries() -> dict:
