@@ -39,6 +39,19 @@ def held_out(column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 3 == 1, F.lit(True))
 
 
+def examples(docs: DataFrame, labelled: DataFrame, label: str, most: int) -> DataFrame:
+    """At most ``most`` labelled rows that are not held out, those with the smallest hash of their id: doc_id, text, label.
+
+    The sample is bounded, so it may be sent to all tasks that read the texts.
+    """
+    known = labelled.where(F.col(label).isNotNull() & ~held_out()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")
+    )
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    return rows.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
+
+
 def blocks_of(batch: pa.RecordBatch, text_column: int = 1) -> Iterator[pa.RecordBatch]:
     """Slices of about ``BLOCK_BYTES`` of text."""
     sizes = pc.binary_length(batch.column(text_column)).to_numpy(zero_copy_only=False)

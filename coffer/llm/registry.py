@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from coffer.llm import exact_dedup, kd_sharding, line_dedup, repetition_rules, token_counts
+from coffer.llm import (
+    exact_dedup, kd_sharding, line_dedup, quality_ranking, repetition_rules, source_mixing, token_counts,
+)
 
-MODULES = (exact_dedup, kd_sharding, line_dedup, repetition_rules, token_counts)
+MODULES = (
+    exact_dedup, kd_sharding, quality_ranking, line_dedup, source_mixing, repetition_rules, token_counts,
+)
 
 
 def queries() -> dict:
