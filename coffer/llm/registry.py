@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from coffer.llm import (
-    exact_dedup, kd_sharding, line_dedup, quality_ranking, repetition_rules, source_mixing, token_counts,
+    exact_dedup, kd_sharding, line_dedup, near_dedup, quality_ranking, repetition_rules, source_mixing, token_counts,
     toxicity_neighbours,
 )
 
 MODULES = (
-    exact_dedup, kd_sharding, quality_ranking, toxicity_neighbours, line_dedup, source_mixing, repetition_rules,
+    exact_dedup, near_dedup, kd_sharding, quality_ranking, toxicity_neighbours, line_dedup, source_mixing, repetition_rules,
     token_counts,
 )
 
