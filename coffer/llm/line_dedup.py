@@ -140,6 +140,13 @@ def delete_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` after ``delete_repeats``, same columns, without the rows of which no word is left."""
+    found = delete_repeats(docs)
+    emptied = (F.size("deleted_lines") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return found.where(~emptied).select(*docs.columns)
+
+
 def maximal_runs(lines: Column) -> Column:
     """Deleted line numbers as runs: an array of (first line, number of lines)."""
     starts = F.filter(lines, lambda x: ~F.array_contains(lines, x - 1))

@@ -52,7 +52,7 @@ MULTIPLIERS = _DRAW.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint
 ROOTS = [(t, t) for t in range(TREES)] + [(t, TREES + t) for t in range(0, TREES, 4)]
 
 
-def shingles(texts: pa.Array, words_each: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+def shingles(texts: pa.Array, words_each: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of at most ``GROUP_TEXTS`` texts, one text after another, and how many each has."""
     codes, counts, distinct = words_of(pc.ascii_lower(texts))
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
@@ -84,8 +84,8 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SKETCH_SCHEMA = "doc_id long, tag long, n_shingles long, set_a long, set_b long, paths array<long>, sketch binary"
 
 
-def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    values, sizes = shingles(batch.column(1))
+def _sketch(batch: pa.RecordBatch, words_each: int) -> pa.RecordBatch:
+    values, sizes = shingles(batch.column(1), words_each)
     full = np.flatnonzero(sizes)
     starts = (np.cumsum(sizes) - sizes)[full]
     n = batch.num_rows
@@ -113,8 +113,8 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.xxhash64(text_of()).alias("tag"))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    return _rows(docs).mapInArrow(lambda batches: map(_sketch, _grouped(batches)), SKETCH_SCHEMA)
+def sketches(docs: DataFrame, words_each: int) -> DataFrame:
+    return _rows(docs).mapInArrow(lambda batches: (_sketch(b, words_each) for b in _grouped(batches)), SKETCH_SCHEMA)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -247,8 +247,8 @@ def across_components(members: DataFrame) -> DataFrame:
     return cut(found.distinct())
 
 
-def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-    values, sizes = shingles(batch.column(1))
+def _sets(batch: pa.RecordBatch, words_each: int) -> pa.RecordBatch:
+    values, sizes = shingles(batch.column(1), words_each)
     ends = np.cumsum(sizes)
     parts = [values[e - n:e].tobytes() for e, n in zip(ends, sizes, strict=True)]
     return pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.binary())], names=["node", "items"])
@@ -265,14 +265,14 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _pair_batch(batch.column(0).to_numpy()[ok], batch.column(1).to_numpy()[ok])
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words_each: int) -> DataFrame:
     """The pairs that are links on their full sets, which are made again from the texts of these nodes only."""
     wanted = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     keys = cut(nodes.join(wanted, "node").select("node", F.col("doc_id").alias("key_id"), F.col("tag").alias("key_tag")))
     near = F.broadcast(keys) if keys.count() <= SENT_KEYS else keys
     match = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("tag") == F.col("key_tag"))
     texts = _rows(docs).join(near, match).select("node", "text")
-    sets = texts.mapInArrow(lambda batches: map(_sets, _grouped(batches)), "node long, items binary")
+    sets = texts.mapInArrow(lambda batches: (_sets(b, words_each) for b in _grouped(batches)), "node long, items binary")
     sets = cut(sets.groupBy("node").agg(F.first("items").alias("items")))  # rows may repeat id and text
     one = sets.select(F.col("node").alias("src"), F.col("items").alias("items_a"))
     other = sets.select(F.col("node").alias("dst"), F.col("items").alias("items_b"))
@@ -280,14 +280,14 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return cut(both.mapInArrow(_confirm, PAIRS))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, tag (hash of the text), n_shingles, component_id and kept of every row.
 
     Null, empty and blank texts have an empty set, are linked with nothing and stand for themselves. Rows that repeat id and
     text are linked and share a component; ``kept`` is then true for each. A null id is never the smallest: rows without id
     belong to the component of their text, with null only if no member has an id, and are kept only then.
     """
-    rows = cut(sketches(docs))
+    rows = cut(sketches(docs, words_each))
     worded = rows.where("n_shingles > 0")
     of_set = ["n_shingles", "set_a", "set_b"]
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tag")).alias("first")
@@ -303,11 +303,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = cut(placed.join(sizes, "path"))
     stars = shared.select("node", F.explode(F.array("low", "high")).alias("dst")).where("node <> dst")
     stars = stars.select(F.greatest("node", "dst").alias("src"), F.least("node", "dst").alias("dst")).distinct()
-    links = confirmed(cut(_sketched(stars, nodes)), nodes, docs)
+    links = confirmed(cut(_sketched(stars, nodes)), nodes, docs, words_each)
     known = components(links)
     more = shared.where("n > 2").select("path", "node").join(known, "node", "left").join(nodes.select("node", "sketch"), "node")
     members = more.select("path", "node", F.coalesce("component", "node").alias("component"), "sketch")
-    links = links.unionByName(confirmed(across_components(members), nodes, docs))
+    links = links.unionByName(confirmed(across_components(members), nodes, docs, words_each))
     grouped = nodes.select("node", "doc_id", *of_set).join(components(links), "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -319,5 +319,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, words_each: int) -> DataFrame:
+    """The rows of ``docs`` that stay: of every group of near duplicates the document with the smallest id, once."""
+    kept = cut(near_duplicates(docs, words_each).where("kept").groupBy("doc_id", "tag").agg(F.count("*").alias("n")))
+    keys = kept.select(F.col("doc_id").alias("_key_id"), F.col("tag").alias("_key_tag"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_key_id")) & (F.xxhash64(text_of()) == F.col("_key_tag"))
+    stay = docs.join(keys, same, "left_semi")
+    return stay if kept.where("n > 1").isEmpty() else stay.dropDuplicates(["doc_id", "text"])
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).drop("tag")

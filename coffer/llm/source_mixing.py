@@ -128,6 +128,13 @@ def mix(docs: DataFrame, weights: dict | None = None, block_bytes: int = BLOCK_B
     )
 
 
+def in_mix(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix takes."""
+    taken = mix(docs).where("in_mix").select(F.col("doc_id").alias("_key_id"), F.col("tag").alias("_key_tag"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_key_id")) & (F.xxhash64(text_of()) == F.col("_key_tag"))
+    return docs.join(taken, same, "left_semi")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every document in the mix of the sources."""
     return mix(documents(spark, sf_dir)).drop("tag")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from coffer.llm.common import documents, map_texts, text_of
-from coffer.llm.pieces import Memory, chunks_of, specials, sums, unusual
+from coffer.llm.pieces import Memory, byte_letters, chunks_of, specials, sums, unusual
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -25,13 +25,6 @@ WORD_END = "</w>"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in byte-level vocabularies, and its byte."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 def whole_tokens(path: str) -> dict[str, int]:
     """Strings that are proven to encode alone as the single token that spells them."""
     tokenizer, letters = Tokenizer.from_file(path), byte_letters()

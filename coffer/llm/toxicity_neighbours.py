@@ -198,6 +198,28 @@ def learn(docs: DataFrame, labelled: DataFrame, max_examples: int = MAX_EXAMPLES
 SCHEMA = "doc_id long, held_out boolean, score double, evidence_ids array<long>, evidence_cosines array<double>"
 
 
+def judged(texts: pa.Array, model: dict) -> tuple[list[float], list[list[int]], list[list[float]]]:
+    """Scores of a block of texts, the nearest examples, and their cosines."""
+    index = model["index"]
+    start, term, weight = weighted(texts, model["known"], model["idf"])
+    seen: dict[bytes, tuple] = {}
+    scores, ids, cosines = [], [], []
+    for a, b in zip(start[:-1], start[1:], strict=True):
+        key = term[a:b].tobytes() + weight[a:b].tobytes()
+        if key not in seen:
+            near, cosine = index.nearest(term[a:b], weight[a:b], NEIGHBOURS)
+            vote = HALF_DISTANCE / (HALF_DISTANCE + np.maximum(0, 1 - cosine))
+            if len(near):
+                prior = PRIOR_VOTES * vote.max()
+                value = (vote @ index.labels[near] + prior * model["rate"]) / (vote.sum() + prior)
+            else:
+                value = model["bare_rate"]
+            seen[key] = (float(value), index.ids[near].tolist(), cosine.tolist())
+        for out, x in zip((scores, ids, cosines), seen[key], strict=True):
+            out.append(x)
+    return scores, ids, cosines
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, score, predicted, and the neighbours with their cosines as evidence, per row.
 
@@ -207,23 +229,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known, idf, index = shared.value["known"], shared.value["idf"], shared.value["index"]
-        start, term, weight = weighted(batch.column(1), known, idf)
-        seen: dict[bytes, tuple] = {}
-        scores, ids, cosines = [], [], []
-        for a, b in zip(start[:-1], start[1:], strict=True):
-            key = term[a:b].tobytes() + weight[a:b].tobytes()
-            if key not in seen:
-                near, cosine = index.nearest(term[a:b], weight[a:b], NEIGHBOURS)
-                vote = HALF_DISTANCE / (HALF_DISTANCE + np.maximum(0, 1 - cosine))
-                if len(near):
-                    value = (vote @ index.labels[near] + PRIOR_VOTES * vote.max() * shared.value["rate"]) / (
-                        vote.sum() + PRIOR_VOTES * vote.max())
-                else:
-                    value = shared.value["bare_rate"]
-                seen[key] = (float(value), index.ids[near].tolist(), cosine.tolist())
-            for out, x in zip((scores, ids, cosines), seen[key], strict=True):
-                out.append(x)
+        scores, ids, cosines = judged(batch.column(1), shared.value)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(scores, pa.float64()), pa.array(ids, pa.list_(pa.int64())),
              pa.array(cosines, pa.list_(pa.float64()))],
@@ -234,6 +240,23 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     return map_texts(rows, rate, SCHEMA).withColumn("predicted", (F.col("score") >= REJECT).cast("int"))
 
 
+def without_toxic(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``REJECT``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = pa.RecordBatch.from_arrays([*batch.columns, pc.fill_null(batch.column(at), "")], names=[*docs_columns, "_text"])
+            for block in blocks_of(whole, len(docs_columns)):
+                scores, _, _ = judged(block.column(len(docs_columns)), shared.value)
+                ok = pa.array(np.array(scores) < REJECT)
+                yield block.select(list(range(len(docs_columns)))).filter(ok)
+
+    docs_columns = docs.columns
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op6_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return score(docs, learn(docs, labels(spark, sf_dir)))

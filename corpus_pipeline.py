@@ -5,11 +5,50 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from coffer.llm import line_dedup, near_dedup, retrieval_packing, source_mixing, toxicity_neighbours
+from coffer.llm.common import labels
 from coffer.session import shared_dir
 
-STAGES: list = []
+#: Words of a shingle in the near-duplicate stage.
+SHINGLE_WORDS = 5
 
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose nearest labelled examples do not make them toxic; learnt from the labels of ``sf_dir``."""
+    return toxicity_neighbours.without_toxic(docs, toxicity_neighbours.learn(docs, labels(spark, sf_dir)))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of line runs, and their new lengths; a document that was nothing else goes."""
+    return line_dedup.without_copies(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dedup.one_of_each(docs, SHINGLE_WORDS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the schedule takes before the first source runs dry, so that sources have their target weights."""
+    return source_mixing.in_mix(docs)
+
+
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in windows of related documents, with their token ids."""
+    return retrieval_packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_copies),
+    ("source_mixing", mix_sources),
+    ("packing", pack_windows),
+]
+
+#: The stages learn, sketch and tokenise; SQL cannot express them. A test holds them against a brute-force version.
 ORACLE_SQL = None
 
 
