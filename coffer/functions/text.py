@@ -87,9 +87,13 @@ def airtime_brand(upper: Column) -> Column:
     return first_mark(upper, AIRTIME_BRANDS)
 
 
-def biller_name(upper: Column, code: Column) -> Column:
-    """Biller of a code, given in upper case and as it is; a code without a rule is cut to 27 characters."""
-    return F.coalesce(first_mark(upper, BILLER_RULES), F.left(code, F.lit(27)))
+def biller_name(upper: Column, code: Column, width: int | None = None) -> Column:
+    """Biller of a code, given in upper case and as it is; a code without a rule is its own name.
+
+    ``width`` cuts such a name, for reports that print 27 characters. Codes that agree so far then share a name, so
+    nothing here groups by it unless asked to.
+    """
+    return F.coalesce(first_mark(upper, BILLER_RULES), code if width is None else F.left(code, F.lit(width)))
 
 
 def rfm_segment(score_pair: Column) -> Column:
@@ -117,6 +121,15 @@ def clip_strings(df: DataFrame, limits: dict[str, int] | int, only: Iterable[str
     return df.withColumns(out) if out else df
 
 
+def clip_beside(df: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """Adds ``<column>_clipped`` and ``<column>_was_cut`` for each column with a limit; the column itself stays whole."""
+    out = {}
+    for name, limit in limits.items():
+        out[f"{name}_clipped"] = F.left(F.col(name), F.lit(limit))
+        out[f"{name}_was_cut"] = F.coalesce(F.char_length(F.col(name)) > limit, F.lit(False))
+    return df.withColumns(out)
+
+
 def pan_head(pan: Column) -> Column:
     return F.left(pan, F.lit(6))
 

@@ -25,10 +25,10 @@ def airtime_transactions(purchases: DataFrame) -> DataFrame:
     return upper.withColumn("brand", airtime_brand(F.col("_upper"))).filter(F.col("brand").isNotNull()).drop("_upper")
 
 
-def bills_transactions(purchases: DataFrame, airtime: DataFrame) -> DataFrame:
-    """Purchases that are not airtime, by the airtime ids, with the biller by rule."""
-    rest = purchases.join(airtime.select("transaction_id"), "transaction_id", "left_anti")
-    return with_biller(with_code_text(rest))
+def bills_transactions(purchases: DataFrame) -> DataFrame:
+    """Purchases that are not airtime, with the biller by rule: one pass, as the brand is seen in the row itself."""
+    upper = with_code_text(purchases).withColumn("_upper", F.upper("biller_code"))
+    return with_biller(upper.filter(airtime_brand(F.col("_upper")).isNull()).drop("_upper"))
 
 
 def unmapped_codes(purchases: DataFrame, known: DataFrame) -> DataFrame:

@@ -36,6 +36,22 @@ def _in_channels(df: DataFrame) -> DataFrame:
     return df.filter(F.col("channel").isin(*CHANNELS))
 
 
+def _in_channels_or_unknown(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("channel").isin(*CHANNELS) | F.col("channel").isNull())
+
+
+def _by_known_channel() -> list[Column]:
+    """By channel, with the rows without one counted apart; totals hold them too."""
+    return [count_when(F.col("channel").isNull()).alias("null_volume"), *_by_channel()]
+
+
+def free_quota_transfers(txns: DataFrame) -> DataFrame:
+    """Accepted outward transfers over the channels, to which a client's free quota applies."""
+    return _in_channels(txns).filter(
+        (F.col("partners") == "NIPCREDIT") & (F.col("type_enum") == 2) & (F.col("response_code") == "00")
+    )
+
+
 def _withdrawals(t) -> DataFrame:
     accepted = F.col("response_code").isin(*ACCEPTED_CODES)
     return _in_channels(t.transaction).filter((F.col("type_enum") == 2) & accepted)
@@ -122,7 +138,7 @@ def retail_marts(as_of: DateLike, retail: Sequence[int], account_products: Seque
 def payment_marts(as_of: DateLike, deposit_product: int, liquid_products: Sequence[int], corporate: int,
                   voucher_codes: Sequence[str]) -> dict[str, Mart]:
     """Marts on account transactions, settlements, bills and cards."""
-    successful_bills = lambda t: t.bill.filter(F.col("transaction_status") == "success")
+    successful_bills = lambda t: t.bill_only.filter(F.col("transaction_status") == "success")
     airtime = lambda t: t.airtime.filter(F.col("transaction_status") == "success")
     biller_count = lambda: [F.count(F.lit(1)).alias("biller_count")]
 
@@ -142,19 +158,16 @@ def payment_marts(as_of: DateLike, deposit_product: int, liquid_products: Sequen
 
     return {
         "intrabank": Mart(
-            lambda t: _in_channels(t.transaction).filter(F.col("partners_description") == "Internal transfer"),
-            "transaction_date", _by_channel, as_of,
+            lambda t: _in_channels_or_unknown(t.transaction).filter(F.col("partners_description") == "Internal transfer"),
+            "transaction_date", _by_known_channel, as_of,
         ),
         "interbank_failure": Mart(failed, "transaction_date", _by_channel, as_of),
         "avg_customer_transfers": Mart(_withdrawals, "transaction_date", lambda: customers_and_mean("client_id"), as_of),
         "interbank_out": Mart(
-            lambda t: t.transaction.filter(
+            lambda t: _in_channels_or_unknown(t.transaction).filter(
                 (F.col("partners") == "NIPCREDIT") & (F.col("response_code") == "00")
-                & (F.col("channel").isin(*CHANNELS) | F.col("channel").isNull())
             ),
-            "transaction_date",
-            lambda: [count_when(F.col("channel").isNull()).alias("null_volume"), *_by_channel()],
-            as_of,
+            "transaction_date", _by_known_channel, as_of,
         ),
         "interbank_out_failed": Mart(failed, "transaction_date", _by_channel, as_of),
         "cardless": Mart(settled("CARDLESS", "response_code = '00'"), "transaction_date", _by_channel, as_of),

@@ -30,6 +30,9 @@ TEST_SUBSCRIBERS = ("user-1",)
 TERMINAL_MARK = "%supplier#%7%"
 RELABELLED = ("/view", "/click")
 DAILY_LIMIT = 10_000
+# Widths of text columns of the staging tables.
+SHORT_TEXT, LONG_TEXT = 256, 65_000
+SMALL_QUOTA = 3
 HOLIDAYS = ("2024-01-01", "2024-01-26")
 
 
@@ -40,11 +43,6 @@ class Tables(Bank):
     def balanced(self) -> DataFrame:
         return ledger.with_running_balance(self.transaction)
 
-    @cached_property
-    def airtime(self) -> DataFrame:
-        """Airtime purchases; the fixture's item names hold no brand, so the part's colour stands for one."""
-        return self.bill_item.filter("biller_code rlike 'RED|BLUE'")
-
     @cached_property
     def transfer(self) -> DataFrame:
         """A transfer per order: from its own transaction to the next one."""
@@ -154,24 +152,30 @@ def _loaded_events(t: Tables) -> DataFrame:
 
 @query("incremental_high_water")
 def _(t):
-    return incremental.incremental_since(t.table("events"), _loaded_events(t), "event_id").drop("props")
+    return incremental.incremental_since(t.table("events"), _loaded_events(t), "event_id")
 
 
 @query("incremental_high_water_default")
 def _(t):
     empty = _loaded_events(t).filter(F.col("ts") < dates.day("2023-01-01"))
-    return incremental.incremental_since_both(t.table("events"), empty, "event_id", "ts").drop("props")
+    return incremental.incremental_since_both(t.table("events"), empty, "event_id", "ts")
 
 
 @query("incremental_two_marks")
 def _(t):
-    return incremental.incremental_since_both(t.table("events"), _loaded_events(t), "event_id", "ts").drop("props")
+    return incremental.incremental_since_both(t.table("events"), _loaded_events(t), "event_id", "ts")
 
 
 @query("incremental_min_watermark")
 def _(t):
     slower = t.table("events").filter(F.col("ts") < dates.day("2024-01-12"))
-    return incremental.incremental_since_slower(t.table("events"), [_loaded_events(t), slower], "event_id").drop("props")
+    return incremental.incremental_since_slower(t.table("events"), [_loaded_events(t), slower], "event_id")
+
+
+@query("incremental_high_water_batch")
+def _(t):
+    """A pull of bounded size takes the lowest new keys."""
+    return incremental.incremental_since(t.table("events"), _loaded_events(t), "event_id", limit=500)
 
 
 @query("full_reload_snapshot")
@@ -205,8 +209,8 @@ def _(t):
 
 @query("dedupe_exact_rows")
 def _(t):
-    lines = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag")
-    return incremental.exact_row_repair(lines)
+    repeated = t.table("lineitem").unionByName(t.table("lineitem").filter("l_linenumber = 3"))
+    return incremental.exact_row_repair(repeated)
 
 
 @query("duplicate_keys_report")
@@ -216,21 +220,20 @@ def _(t):
 
 @query("dedupe_by_key")
 def _(t):
-    lines = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey")
-    order = [F.col(c).desc() for c in ("l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey")]
-    return incremental.one_row_per_key(lines, ["l_orderkey", "l_linenumber"], order)
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = t.table("lineitem")
+    order = [F.col(c).desc() for c in ("l_shipdate", *[c for c in lines.columns if c not in (*keys, "l_shipdate")])]
+    return incremental.one_row_per_key(lines, keys, order)
 
 
 @query("truncate_strings")
 def _(t):
-    docs = t.table("documents").select("doc_id", "text", "source")
-    return text.clip_strings(docs, {"text": 256, "source": 3})
+    return text.clip_beside(t.table("documents"), {"text": SHORT_TEXT})
 
 
 @query("truncate_long_text")
 def _(t):
-    docs = text.clip_strings(t.table("documents").select("doc_id", "text"), 10_000)
-    return docs.select("doc_id", F.length("text").alias("chars"))
+    return text.clip_beside(t.table("documents"), {"text": LONG_TEXT})
 
 
 @query("normalize_columns")
@@ -315,7 +318,7 @@ def _(t):
 
 @query("biller_categorise")
 def _(t):
-    return bills.with_biller(bills.with_code_text(t.bill_item)).groupBy("biller_by_rule").agg(
+    return bills.with_biller(bills.with_code_text(t.branded_item)).groupBy("biller_by_rule").agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("amount").alias("amount")
     )
 
@@ -691,7 +694,7 @@ def _(t):
 
 @query("pooled_multi_leg")
 def _(t):
-    return wallets.pooled_multi_leg(t.wallet_txn, t.wallet)
+    return wallets.pooled_multi_leg(t.wallet_txn.withColumn("transaction_id", F.col("pooled_id")), t.wallet)
 
 
 @query("wallet_intra_inter")
@@ -889,26 +892,26 @@ def _(t):
 
 @query("airtime_transactions")
 def _(t):
-    return bills.airtime_transactions(_branded(t)).groupBy("brand").agg(
-        F.count(F.lit(1)).alias("purchases"), F.sum("amount").alias("amount")
-    )
+    return bills.airtime_transactions(t.branded_item)
 
 
 @query("bills_transactions")
 def _(t):
-    branded = _branded(t)
-    return bills.bills_transactions(branded, bills.airtime_transactions(branded)).groupBy("biller_by_rule").agg(
+    return bills.bills_transactions(t.branded_item)
+
+
+@query("airtime_by_brand")
+def _(t):
+    return bills.airtime_transactions(t.branded_item).groupBy("brand").agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("amount").alias("amount")
     )
 
 
-def _branded(t: Tables) -> DataFrame:
-    """Purchases with biller codes as merchants write them: item name words stand for known marks."""
-    code = F.col("biller_code")
-    for word, mark in (("RED", "mtn vtu"), ("BLUE", "Airtel data"), ("SMALL", "IKEDC prepaid"), ("LARGE", "DSTV"),
-                       ("GREEN", "bet 9ja"), ("GEAR", "EKO disco")):
-        code = F.replace(code, F.lit(word), F.lit(mark))
-    return t.bill_item.withColumn("biller_code", code)
+@query("bills_by_rule")
+def _(t):
+    return bills.bills_transactions(t.branded_item).groupBy("biller_by_rule").agg(
+        F.count(F.lit(1)).alias("purchases"), F.sum("amount").alias("amount")
+    )
 
 
 @query("unmapped_biller_codes")
@@ -1003,14 +1006,13 @@ def _register_marts() -> None:
     success = lambda df: df.filter(F.col("transaction_status") == "success")
     for grain, suffix in (("monthly", "monthly"), ("ytd", "daily")):
         REGISTRY[f"top_biller_{suffix}"] = lambda t, g=grain: kpi.top_by_period(
-            success(t.bill), "transaction_date", g, "biller_id", AS_OF, "biller_count"
+            success(t.bill_only), "transaction_date", g, "biller_id", AS_OF, "biller_count"
         ).join(t.biller, "biller_id").drop("biller_id")
         REGISTRY[f"top_airtime_{suffix}"] = lambda t, g=grain: kpi.top_by_period(
             success(t.airtime), "transaction_date", g, "biller_id", AS_OF, "biller_count"
         ).join(t.biller, "biller_id").drop("biller_id")
         REGISTRY[f"free_vs_extra_quota_{suffix}"] = lambda t, g=grain: kpi.quota_by_period(
-            t.transaction.filter((F.col("type_enum") == 2) & (F.col("response_code") == "00")), "transaction_date", g,
-            "product_name", marts.FREE_TRANSFERS, AS_OF,
+            marts.free_quota_transfers(t.transaction), "transaction_date", g, "client_id", marts.FREE_TRANSFERS, AS_OF,
         )
 
 
@@ -1032,14 +1034,15 @@ REGISTRY.update({block: REGISTRY[mart] for block, mart in BLOCKS.items()})
 
 @query("free_vs_extra_quota")
 def _(t):
+    """With a quota that clients of the test data pass: all accepted outward movements count."""
     transfers = t.transaction.filter((F.col("type_enum") == 2) & (F.col("response_code") == "00"))
-    return kpi.quota_by_period(transfers, "transaction_date", "monthly", "client_id", marts.FREE_TRANSFERS, AS_OF)
+    return kpi.quota_by_period(transfers, "transaction_date", "monthly", "client_id", 1, AS_OF)
 
 
 @query("free_vs_extra_quota_ytd")
 def _(t):
     transfers = t.transaction.filter((F.col("type_enum") == 2) & (F.col("response_code") == "00"))
-    return kpi.quota_by_period(transfers, "transaction_date", "ytd", "client_id", marts.FREE_TRANSFERS, AS_OF)
+    return kpi.quota_by_period(transfers, "transaction_date", "ytd", "channel", SMALL_QUOTA, AS_OF)
 
 
 @query("mart_gender_totals")
@@ -1049,7 +1052,7 @@ def _(t):
 
 @query("mart_bill_buyers")
 def _(t):
-    return marts.distinct_buyers(t.bill.select("order_id"), t.order_owner, "order_id", "purchase_bill_customers")
+    return marts.distinct_buyers(t.bill_only.select("order_id"), t.order_owner, "order_id", "purchase_bill_customers")
 
 
 @query("mart_airtime_buyers")

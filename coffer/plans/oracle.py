@@ -39,16 +39,18 @@ def _percent(part: str, whole: str) -> str:
 
 LOADED = "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20'"
 sql("incremental_high_water", "", f"""
-SELECT event_id, ts, user_id, event_type, value FROM events
+SELECT * FROM events
 WHERE event_id > (SELECT coalesce(max(event_id), 0) FROM ({LOADED}))""", ts="ts")
 sql("incremental_high_water_default", "", """
-SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_id > 0 AND ts > TIMESTAMP '2000-01-01'""", ts="ts")
+SELECT * FROM events WHERE event_id > 0 AND ts > TIMESTAMP '2000-01-01'""", ts="ts")
 sql("incremental_two_marks", "", f"""
-SELECT event_id, ts, user_id, event_type, value FROM events
+SELECT * FROM events
 WHERE event_id > (SELECT max(event_id) FROM ({LOADED})) AND ts > (SELECT max(ts) FROM ({LOADED}))""", ts="ts")
 sql("incremental_min_watermark", "", f"""
-SELECT event_id, ts, user_id, event_type, value FROM events
+SELECT * FROM events
 WHERE event_id > least((SELECT max(event_id) FROM ({LOADED})), (SELECT max(event_id) FROM events WHERE ts < TIMESTAMP '2024-01-12'))""", ts="ts")
+sql("incremental_high_water_batch", "", f"""
+SELECT * FROM events WHERE event_id > (SELECT max(event_id) FROM ({LOADED})) ORDER BY event_id LIMIT 500""", ts="ts")
 sql("full_reload_snapshot", "loan client", """
 SELECT loan_id, loan.client_id, client_name, principal_disbursed, disbursedon_date, DATE '2001-08-02' AS load_date
 FROM loan LEFT JOIN client ON client.client_id = loan.client_id""", money="principal_disbursed", date="load_date", ts="disbursedon_date")
@@ -61,16 +63,16 @@ FROM api GROUP BY 1, 2""", money="amount", ts="slice_start")
 sql("missing_keys_anti", "", """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag <> 'R')""")
-sql("dedupe_exact_rows", "", "SELECT DISTINCT l_orderkey, l_linenumber, l_linestatus, l_returnflag FROM lineitem", whole="l_linenumber")
+sql("dedupe_exact_rows", "", "SELECT DISTINCT * FROM lineitem", ts="l_shipdate", whole="l_linenumber")
 sql("duplicate_keys_report", "", """
 SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""", whole="l_linenumber")
 sql("dedupe_by_key", "", """
-SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_partkey, l_suppkey FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_shipdate DESC, l_extendedprice DESC, l_partkey DESC, l_suppkey DESC) AS n FROM lineitem) WHERE n = 1""",
-    ts="l_shipdate", whole="l_linenumber")
-sql("truncate_strings", "", "SELECT doc_id, left(text, 256) AS text, left(source, 3) AS source FROM documents")
-sql("truncate_long_text", "", "SELECT doc_id, CAST(length(left(text, 10000)) AS BIGINT) AS chars FROM documents")
+SELECT * EXCLUDE (n) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC,
+    l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS n FROM lineitem)
+WHERE n = 1""", ts="l_shipdate", whole="l_linenumber")
+for _name, _width in (("truncate_strings", 256), ("truncate_long_text", 65000)):
+    sql(_name, "", f"SELECT *, left(text, {_width}) AS text_clipped, length(text) > {_width} AS text_was_cut FROM documents")
 sql("normalize_columns", "", "SELECT c_custkey AS client_id, c_name AS client_name, c_mktsegment AS client_category FROM customer")
 
 # -- codes, classes, text ----------------------------------------------------------------------------------------------
@@ -131,14 +133,54 @@ SELECT c_custkey, left(c_name, 8) AS head, right(c_name, 4) AS tail, substring(c
 FROM customer""")
 
 
+# The marks of each biller, first match wins; written out here, so that a rule mistyped in the code is seen.
+BILLER_MARKS = """
+GOTV CABLE SERVICE: GOTV
+BET9JA: BET 9JA, BET9JA
+SPORTYBET: SPORTYBET, SPORTY BET
+IKEJA ELECTRIC: IKEJA, IKEDC
+DSTV CABLE SERVICE: DSTV
+ABUJA ELECTRIC: ABUJA
+EKO ELECTRIC: EKO, EKEDC
+IBADAN ELECTRIC: IBADAN, IBEDC
+BETKING: BETKING, BET KING
+1XBET: 1XBET, 1X BET
+STARTIMES CABLE SERVICE: STARTIMES, STAR TIMES
+SMILE INTERNET SERVICE: SMILE
+NAIRABET: NAIRABET
+ENUGU ELECTRIC: ENUGU, EEDC
+XBOX: XBOX
+MERRYBET: MERRYBET, MERRY BET
+SWIFT INTERNET SERVICE: SWIFT
+BENIN ELECTRIC: BENIN, BEEDC
+GOOGLE PLAY SERVICE: GOOGLE
+BETWAY: BETWAY, BET WAY
+IPNX: IPNX
+SONY PLAYSTATION: SONY PLAYSTATION
+AMAZON: AMAZON
+SPOTIFY: SPOTIFY
+BANGBET: BANGBET, BANG BET
+PORTHARCOURT ELECTRIC: PORTHARCOURT, PHEDC, PEDC
+KADUNA ELECTRIC: KADUNA
+TSTV CABLE SERVICE: TSTV
+ARIK AIRLINE: ARIK
+KANO ELECTRIC: KANO
+AXA MANSARD: AXA
+NAIJABET: NAIJABET
+WINNERS CHAPEL: WINNERS CHAPEL
+SPECTRANET INTERNET SERVICE: SPECTRANET
+MLOTTO BET: MLOTTO
+WINNERS GOLDEN BET: WINNERS GOLDEN CHANCE, WGB
+FLEXI INTERNET: FLEXI
+"""
+
+
 def _biller_case(code: str) -> str:
     """The ordered biller rules as one CASE."""
-    from coffer.functions.text import BILLER_RULES
-
     arms = []
-    for label, marks in BILLER_RULES:
-        arms.append("WHEN " + " OR ".join(f"upper({code}) LIKE '%{m}%'" for m in marks) + f" THEN '{label}'")
-    return "CASE " + " ".join(arms) + f" ELSE left({code}, 27) END"
+    for label, marks in (line.split(": ") for line in BILLER_MARKS.strip().splitlines()):
+        arms.append("WHEN " + " OR ".join(f"contains(upper({code}), '{m}')" for m in marks.split(", ")) + f" THEN '{label}'")
+    return "CASE " + " ".join(arms) + f" ELSE {code} END"
 
 
 def _brand_case(code: str) -> str:
@@ -147,9 +189,9 @@ def _brand_case(code: str) -> str:
 
 
 CODE = "CASE WHEN biller_code IS NULL OR biller_code = 'Blank' THEN remarks ELSE biller_code END"
-sql("biller_categorise", "bill_item", f"""
+sql("biller_categorise", "branded_item", f"""
 SELECT {_biller_case('code')} AS biller_by_rule, count(*) AS purchases, sum(amount) AS amount
-FROM (SELECT {CODE} AS code, amount FROM bill_item) GROUP BY 1""", money="amount")
+FROM (SELECT {CODE} AS code, amount FROM branded_item) GROUP BY 1""", money="amount")
 sql("voucher_name_clean", "txn", """
 SELECT replace(replace(replace(third_party_name, 'VOUCHER|', ''), '|429', ''), '|133', '') AS voucher, count(*) AS volume
 FROM txn WHERE third_party_name IS NOT NULL GROUP BY 1""")
@@ -455,7 +497,7 @@ SELECT wallet_name, CASE transaction_type WHEN 'OUTFLOW' THEN 'Outflow' WHEN 'IN
   CASE WHEN transaction_type <> 'OUTFLOW' THEN bank_name END AS from_bank_name, to_account_no, session_id, amount, transaction_response, time
 FROM wallet LEFT JOIN bank ON bank_code = from_bank""", money="amount", ts="time")
 sql("pooled_multi_leg", "wallet", """
-SELECT wallet_name, transaction_id, count(*) AS legs, sum(amount) AS amount FROM wallet
+SELECT wallet_name, pooled_id AS transaction_id, count(*) AS legs, sum(amount) AS amount FROM wallet
 WHERE transaction_type <> 'INITIAL INFLOW' AND transaction_response NOT IN ('02', '99') GROUP BY 1, 2 HAVING count(*) > 1""", money="amount")
 FLOWS = """count(CASE WHEN to_bank = '999999' THEN 1 END) AS intra_volume, count(CASE WHEN to_bank <> '999999' THEN 1 END) AS inter_volume,
   coalesce(sum(CASE WHEN to_bank = '999999' THEN amount END), 0) AS intra_value, coalesce(sum(CASE WHEN to_bank <> '999999' THEN amount END), 0) AS inter_value"""
@@ -628,15 +670,17 @@ WHERE product_id = 26 AND approvedon_date >= DATE '1994-03-01' AND approvedon_da
 sql("signups_last_month", "client", """
 SELECT activation_date, count(*) AS signups, count(CASE WHEN onboard_channel = 'MobileApp' THEN 1 END) AS app_signups
 FROM client WHERE strftime(activation_date, '%Y-%m') = '1994-09' GROUP BY 1""", date="activation_date")
-_branded = "biller_code"
-for _word, _mark in (("RED", "mtn vtu"), ("BLUE", "Airtel data"), ("SMALL", "IKEDC prepaid"), ("LARGE", "DSTV"), ("GREEN", "bet 9ja"), ("GEAR", "EKO disco")):
-    _branded = f"replace({_branded}, '{_word}', '{_mark}')"
-BRANDED = f"branded AS (SELECT transaction_id, amount, CASE WHEN code = 'Blank' THEN remarks ELSE code END AS code FROM (SELECT *, {_branded} AS code FROM bill_item))"
-sql("airtime_transactions", "bill_item", f"""WITH {BRANDED} --main
-SELECT {_brand_case('code')} AS brand, count(*) AS purchases, sum(amount) AS amount FROM branded WHERE {_brand_case('code')} IS NOT NULL GROUP BY 1""", money="amount")
-sql("bills_transactions", "bill_item", f"""WITH {BRANDED} --main
-SELECT {_biller_case('code')} AS biller_by_rule, count(*) AS purchases, sum(amount) AS amount FROM branded
-WHERE transaction_id NOT IN (SELECT transaction_id FROM branded WHERE {_brand_case('code')} IS NOT NULL) GROUP BY 1""", money="amount")
+BRANDED = "branded AS (SELECT * REPLACE (CASE WHEN biller_code = 'Blank' THEN remarks ELSE biller_code END AS biller_code) FROM (SELECT * EXCLUDE (biller) FROM branded_item))"
+_TOLD = f"""airtime AS (SELECT *, {_brand_case('biller_code')} AS brand FROM branded WHERE {_brand_case('biller_code')} IS NOT NULL),
+bills AS (SELECT *, {_biller_case('biller_code')} AS biller_by_rule FROM branded WHERE {_brand_case('biller_code')} IS NULL)"""
+for _name, _body in (
+    ("airtime_transactions", "SELECT * FROM airtime"), ("bills_transactions", "SELECT * FROM bills"),
+    ("airtime_by_brand", "SELECT brand, count(*) AS purchases, sum(amount) AS amount FROM airtime GROUP BY 1"),
+    ("bills_by_rule", "SELECT biller_by_rule, count(*) AS purchases, sum(amount) AS amount FROM bills GROUP BY 1"),
+):
+    _whole_row = _name.endswith("transactions")
+    sql(_name, "branded_item", f"WITH {BRANDED}, {_TOLD} --main {_body}", money="amount settled_amount" if _whole_row else "amount",
+        ts="transaction_date" if _whole_row else "")
 sql("unmapped_biller_codes", "bill_item", """
 SELECT biller_code || ' ' || biller_id AS biller_code FROM bill_item GROUP BY 1
 EXCEPT SELECT biller_code || ' ' || biller_id FROM bill_item WHERE transaction_date < TIMESTAMP '2001-01-01'""")
@@ -729,7 +773,8 @@ mart("business_dropoff", "client", "activation_date", "(SELECT * FROM client WHE
 CH, CHM = channel_measures()
 IN3 = "channel IN ('MOBILE', 'USSD', 'CHATBOT')"
 VV = "count(*) AS volume, sum(amount) AS value"
-mart("intrabank", "txn", "transaction_date", f"(SELECT * FROM txn WHERE {IN3} AND partners_description = 'Internal transfer') x", CH, O, money=CHM)
+mart("intrabank", "txn", "transaction_date", f"(SELECT * FROM txn WHERE ({IN3} OR channel IS NULL) AND partners_description = 'Internal transfer') x",
+     f"count(CASE WHEN channel IS NULL THEN 1 END) AS null_volume, {CH}", O, money=CHM)
 for _name in ("interbank_failure", "interbank_out_failed"):
     mart(_name, "txn", "transaction_date", f"(SELECT * FROM txn WHERE {IN3} AND partners = 'NIPCREDIT' AND response_code <> '00') x", CH, O, money=CHM)
 WDL = f"(SELECT * FROM txn WHERE {IN3} AND type_enum = 2 AND response_code IN ('00', '201', '200', '9000')) x"
@@ -738,8 +783,8 @@ mart("avg_customer_transfers", "txn", "transaction_date", WDL,
 mart("interbank_out", "txn", "transaction_date", f"(SELECT * FROM txn WHERE ({IN3} OR channel IS NULL) AND partners = 'NIPCREDIT' AND response_code = '00') x",
      f"count(CASE WHEN channel IS NULL THEN 1 END) AS null_volume, {CH}", O, money=CHM)
 mart("cardless", "txn", "transaction_date", f"(SELECT * FROM txn WHERE {IN3} AND partners = 'CARDLESS' AND response_code = '00') x", CH, O, money=CHM)
-mart("bills_by_channel", "bill", "transaction_date", f"(SELECT * FROM bill WHERE transaction_status = 'success' AND {IN3}) x", CH, O, money=CHM)
-mart("bills", "bill", "transaction_date", "(SELECT * FROM bill WHERE transaction_status = 'success') x", "count(*) AS biller_count", O, "biller")
+mart("bills_by_channel", "bill_only", "transaction_date", f"(SELECT * FROM bill_only WHERE transaction_status = 'success' AND {IN3}) x", CH, O, money=CHM)
+mart("bills", "bill_only", "transaction_date", "(SELECT * FROM bill_only WHERE transaction_status = 'success') x", "count(*) AS biller_count", O, "biller")
 mart("airtime_by_channel", "bill_item", "transaction_date", f"(SELECT * FROM {AIRTIME} WHERE transaction_status = 'success' AND {IN3}) x", CH, O, money=CHM)
 mart("airtime", "bill_item", "transaction_date", f"(SELECT * FROM {AIRTIME} WHERE transaction_status = 'success') x", "count(*) AS biller_count", O, "biller")
 _cards, _cards_money = [], []
@@ -780,25 +825,28 @@ _CALLS = CALLS.removeprefix("calls AS ")
 mart("api_calls", "api", "x.date", f"{_CALLS} x", "count(*) AS calls", E, "subscriber, resource_consumed")
 mart("message_charges", "api", "x.date", "api x", "count(*) AS messages, sum(amount) AS hold_amount", E, money="hold_amount")
 
+def quota(fmt: str, period: str, party: str, free: int, condition: str) -> str:
+    """Each party's movements of a period in order; the first ``free`` of them cost nothing."""
+    return f"""
+SELECT {period}, count(*) AS total_transfers, count(*) FILTER (nth <= {free}) AS free_transfers, count(*) FILTER (nth > {free}) AS additional_transfers
+FROM (SELECT strftime(transaction_date, '{fmt}') AS {period}, row_number() OVER (PARTITION BY {party}, strftime(transaction_date, '{fmt}') ORDER BY transaction_id) AS nth
+  FROM txn WHERE type_enum = 2 AND response_code = '00' AND {condition}) GROUP BY 1"""
+
+
 for _suffix, _fmt, _cond in (
     ("monthly", "%Y-%m", "strftime(transaction_date, '%Y-%m') < '2001-08'"),
     ("daily", "%Y-%m-%d", "year(transaction_date) = 2001 AND CAST(transaction_date AS DATE) <= DATE '2001-08-02'"),
 ):
     _period = "month" if _suffix == "monthly" else "date"
-    for _item, _views, _src in (("biller", "bill", "bill"), ("airtime", "bill_item", AIRTIME)):
+    for _item, _views, _src in (("biller", "bill_only", "bill_only"), ("airtime", "bill_item", AIRTIME)):
         sql(f"top_{_item}_{_suffix}", _views, f"""
 WITH c AS (SELECT strftime(transaction_date, '{_fmt}') AS {_period}, biller, count(*) AS biller_count FROM {_src} AS s
   WHERE transaction_status = 'success' AND {_cond} GROUP BY 1, 2)
 --main SELECT * FROM c WHERE biller_count = (SELECT max(x.biller_count) FROM c x WHERE x.{_period} = c.{_period})""")
-    sql(f"free_vs_extra_quota_{_suffix}", "txn", f"""
-SELECT {_period}, sum(n) AS total_transfers, sum(CASE WHEN n < 50 THEN n ELSE 50 END) AS free_transfers, sum(CASE WHEN n < 51 THEN 0 ELSE n - 50 END) AS additional_transfers
-FROM (SELECT strftime(transaction_date, '{_fmt}') AS {_period}, product_name, count(*) AS n FROM txn WHERE type_enum = 2 AND response_code = '00' AND {_cond} GROUP BY 1, 2)
-GROUP BY 1""", whole="total_transfers free_transfers additional_transfers")
-
-sql("free_vs_extra_quota_ytd", "txn", """
-SELECT date, sum(n) AS total_transfers, sum(CASE WHEN n < 50 THEN n ELSE 50 END) AS free_transfers, sum(CASE WHEN n < 51 THEN 0 ELSE n - 50 END) AS additional_transfers
-FROM (SELECT strftime(transaction_date, '%Y-%m-%d') AS date, client_id, count(*) AS n FROM txn
-  WHERE type_enum = 2 AND response_code = '00' AND year(transaction_date) = 2001 AND transaction_date < DATE '2001-08-03' GROUP BY 1, 2) GROUP BY 1""",
+    sql(f"free_vs_extra_quota_{_suffix}", "txn", quota(_fmt, _period, "client_id", 50, f"{_cond} AND {IN3} AND partners = 'NIPCREDIT'"),
+        whole="total_transfers free_transfers additional_transfers")
+
+sql("free_vs_extra_quota_ytd", "txn", quota("%Y-%m-%d", "date", "channel", 3, "year(transaction_date) = 2001 AND transaction_date < DATE '2001-08-03'"),
     whole="total_transfers free_transfers additional_transfers")
 for _block, _mart in (
     ("channel_volume_value_monthly", "intrabank_monthly"), ("channel_volume_value_ytd", "intrabank_ytd"),
@@ -807,14 +855,11 @@ for _block, _mart in (
     ("fd_value_corporate", "fd_corporate_monthly"), ("fd_value_retail", "fd_retail_monthly"),
 ):
     ORACLE[_block] = ORACLE[f"mart_{_mart}"]
-sql("free_vs_extra_quota", "txn", """
-SELECT month, sum(n) AS total_transfers, sum(CASE WHEN n < 50 THEN n ELSE 50 END) AS free_transfers, sum(CASE WHEN n < 51 THEN 0 ELSE n - 50 END) AS additional_transfers
-FROM (SELECT strftime(transaction_date, '%Y-%m') AS month, client_id, count(*) AS n FROM txn
-  WHERE type_enum = 2 AND response_code = '00' AND strftime(transaction_date, '%Y-%m') < '2001-08' GROUP BY 1, 2) GROUP BY 1""",
+sql("free_vs_extra_quota", "txn", quota("%Y-%m", "month", "client_id", 1, "strftime(transaction_date, '%Y-%m') < '2001-08'"),
     whole="total_transfers free_transfers additional_transfers")
 sql("mart_gender_totals", "client", """
 SELECT CASE gender_code WHEN '29' THEN 'male' ELSE 'female' END AS gender, count(DISTINCT client_id) AS customers FROM client WHERE gender_code IS NOT NULL GROUP BY 1""")
-sql("mart_bill_buyers", "bill_client", "SELECT count(DISTINCT client_id) AS purchase_bill_customers FROM bill_client")
+sql("mart_bill_buyers", "bill_only", "SELECT count(DISTINCT o_custkey) AS purchase_bill_customers FROM bill_only JOIN orders ON o_orderkey = order_id")
 sql("mart_airtime_buyers", "bill_item", f"SELECT count(DISTINCT o_custkey) AS purchase_airtime_customers FROM {AIRTIME} a JOIN orders ON o_orderkey = order_id")
 sql("loan_daily_spine", "loan schedule payment", """
 SELECT d.date, coalesce(a, 0) AS total_disbursed, coalesce(b, 0) AS expected_repayment, coalesce(c, 0) AS actual_repayment

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from coffer.plans.views import MERCHANT_CODES
+
 PRODUCT_ID = "CASE {a} % 7 WHEN 0 THEN 33 WHEN 1 THEN 36 WHEN 2 THEN 26 WHEN 3 THEN 24 WHEN 4 THEN 30 WHEN 5 THEN 29 ELSE 31 END"
 PRODUCT_NAME = (
     "CASE {a} % 7 WHEN 0 THEN 'Universal Savings Account' WHEN 1 THEN 'Term Fixed Deposit' "
@@ -9,6 +11,9 @@ PRODUCT_NAME = (
     "WHEN 5 THEN 'Individual Current Account' ELSE 'Staff Current Account' END"
 )
 
+_CODES = ", ".join(f"'{c}'" for c in MERCHANT_CODES)
+_N_CODES = len(MERCHANT_CODES)
+
 # name -> (views it reads, select text)
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "client": ((), """
@@ -72,7 +77,7 @@ SELECT *, CAST(sum(CASE WHEN type_enum = 1 THEN amount ELSE -amount END)
   OVER (PARTITION BY account_id ORDER BY transaction_date, transaction_id ROWS UNBOUNDED PRECEDING) AS DECIMAL(28,2)) AS running_balance
 FROM txn"""),
     "bill": ((), """
-SELECT l_orderkey * 10 + l_linenumber AS transaction_id, l_orderkey AS order_id, l_suppkey AS biller_id, l_partkey AS item_id,
+SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS transaction_id, l_orderkey AS order_id, l_suppkey AS biller_id, l_partkey AS item_id,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
   CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2)) AS settled_amount,
   l_shipdate AS transaction_date,
@@ -85,8 +90,11 @@ FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey"""),
 SELECT bill.*, CASE WHEN p_type = 'SMALL' THEN 'Blank' ELSE upper(p_name) END AS biller_code,
   p_type || ' ' || p_name || ' ' || p_brand AS remarks
 FROM bill LEFT JOIN part ON p_partkey = item_id"""),
+    "bill_only": (("bill_item",), "SELECT * FROM bill_item WHERE NOT (coalesce(biller_code, '') LIKE '%RED%' OR coalesce(biller_code, '') LIKE '%BLUE%')"),
+    "branded_item": (("bill_item",), f"""
+SELECT * REPLACE (([{_CODES}])[CAST(item_id % {_N_CODES} AS INTEGER) + 1] AS biller_code) FROM bill_item"""),
     "wallet": ((), """
-SELECT l_orderkey * 10 + l_linenumber AS transaction_id, l_orderkey AS order_id, l_suppkey AS wallet_id,
+SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS transaction_id, l_orderkey AS order_id, l_suppkey AS wallet_id,
   CASE WHEN l_linestatus = 'F' AND l_linenumber = 7 THEN 'INITIAL INFLOW' WHEN l_linestatus = 'O' THEN 'OUTFLOW' ELSE 'INFLOW' END AS transaction_type,
   '20' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 8, '0') AS from_account_no,
   '20' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS to_account_no,
@@ -94,11 +102,12 @@ SELECT l_orderkey * 10 + l_linenumber AS transaction_id, l_orderkey AS order_id,
   CASE WHEN l_suppkey % 2 = 0 THEN '999999' ELSE '000013' END AS to_bank,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
   CASE WHEN l_returnflag = 'R' THEN '99' ELSE '00' END AS transaction_response,
-  l_orderkey || '-' || l_linenumber AS statement_ids, l_shipdate AS time, 'S' || l_orderkey AS session_id, s_name AS wallet_name
+  l_orderkey || '-' || l_linenumber AS statement_ids, l_shipdate AS time, 'S' || l_orderkey AS session_id, s_name AS wallet_name,
+  l_orderkey * 10 + l_linenumber AS pooled_id
 FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey"""),
     "bank": ((), "SELECT n_nationkey AS bank_code, 'BANK ' || n_name AS bank_name FROM nation"),
     "pos": ((), """
-SELECT l_orderkey * 10 + l_linenumber AS transaction_id, l_orderkey AS order_id, l_suppkey AS merchant_id,
+SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS transaction_id, l_orderkey AS order_id, l_suppkey AS merchant_id,
   'T' || lpad(CAST(l_suppkey % 500 AS VARCHAR), 6, '0') AS terminal_id,
   CASE WHEN l_returnflag = 'R' THEN '51' ELSE '00' END AS status_code,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,

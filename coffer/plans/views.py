@@ -31,6 +31,17 @@ FIXED_DEPOSIT = 36
 CORPORATE = 26
 APP_USER = 31
 
+# Biller codes as merchants write them: at least one for each mark of the biller and airtime rules, and some for none.
+MERCHANT_CODES = (
+    "GOtv max", "bet 9ja", "BET9JA", "SportyBet", "sporty bet ng", "Ikeja prepaid", "IKEDC prepaid", "DSTV", "Abuja AEDC",
+    "EKO disco", "EKEDC", "Ibadan disco", "ibedc", "BetKing", "bet king", "1xbet", "1X BET", "StarTimes", "star times",
+    "Smile data", "NairaBet", "Enugu disco", "EEDC", "Xbox gift", "MerryBet", "merry bet", "Swift net", "Benin disco",
+    "BEEDC", "Google card", "BetWay", "bet way", "IPNX fibre", "Sony PlayStation", "Amazon card", "Spotify", "BangBet",
+    "bang bet", "PortHarcourt disco", "PHEDC", "PEDC", "Kaduna disco", "TStv", "Arik air", "Kano disco", "AXA health",
+    "NaijaBet", "Winners Chapel", "Spectranet", "MLotto", "Winners Golden Chance", "WGB", "Flexi net", "mtn vtu",
+    "Airtel data", "glo topup", "9mobile", "Blank", "City library fine of the year 2001, second notice", "Toll gate",
+)
+
 # Declared schemas: a read then needs no job over file footers.
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -50,6 +61,8 @@ TABLES = {
 _PRODUCT_ID = "element_at(array({}), cast({{a}} % 7 as int) + 1)".format(", ".join(str(p) for p, _ in PRODUCTS))
 _PRODUCT_NAME = "element_at(array({}), cast({{a}} % 7 as int) + 1)".format(", ".join(f"'{n}'" for _, n in PRODUCTS))
 _ACCOUNT_NO = "concat('10', lpad(cast({a} as string), 8, '0'))"
+# Unique in the test data; order and line number alone are not, see ``pooled_id``.
+_LINE_ID = "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey"
 _SETTLED = ("cast(round(cast(l_extendedprice as decimal(18,2)) * (cast(1 as decimal(4,2)) - cast(l_discount as decimal(4,2))), 2)"
             " as decimal(18,2))")
 
@@ -162,7 +175,7 @@ class Bank:
     def bill(self) -> DataFrame:
         """Settled purchases, one per order line; the line's supplier is the biller."""
         return self.table("lineitem").selectExpr(
-            "l_orderkey * 10 + l_linenumber as transaction_id",
+            f"{_LINE_ID} as transaction_id",
             "l_orderkey as order_id",
             "l_suppkey as biller_id",
             "l_partkey as item_id",
@@ -191,10 +204,27 @@ class Bank:
         )
         return self.bill.join(part, "item_id", "left")
 
+    @cached_property
+    def bill_only(self) -> DataFrame:
+        """Purchases that are not airtime; the fixture's item names hold no brand, so the part's colour stands for one."""
+        return self.bill_item.filter("not coalesce(biller_code rlike 'RED|BLUE', false)")
+
+    @cached_property
+    def airtime(self) -> DataFrame:
+        return self.bill_item.filter("biller_code rlike 'RED|BLUE'")
+
+    @cached_property
+    def branded_item(self) -> DataFrame:
+        """Purchases with the biller code as merchants write it: the item decides which of ``MERCHANT_CODES``."""
+        codes = ", ".join(f"'{c}'" for c in MERCHANT_CODES)
+        return self.bill_item.drop("biller_code").selectExpr(
+            "*", f"element_at(array({codes}), cast(item_id % {len(MERCHANT_CODES)} as int) + 1) as biller_code"
+        )
+
     @cached_property
     def wallet_txn(self) -> DataFrame:
         return self.table("lineitem").selectExpr(
-            "l_orderkey * 10 + l_linenumber as transaction_id",
+            f"{_LINE_ID} as transaction_id",
             "l_orderkey as order_id",
             "l_suppkey as wallet_id",
             "case when l_linestatus = 'F' and l_linenumber = 7 then 'INITIAL INFLOW' when l_linestatus = 'O' then 'OUTFLOW'"
@@ -208,6 +238,7 @@ class Bank:
             "concat(l_orderkey, '-', l_linenumber) as statement_ids",
             "l_shipdate as time",
             "concat('S', l_orderkey) as session_id",
+            "l_orderkey * 10 + l_linenumber as pooled_id",
         )
 
     @cached_property
@@ -221,7 +252,7 @@ class Bank:
     @cached_property
     def pos_txn(self) -> DataFrame:
         return self.table("lineitem").selectExpr(
-            "l_orderkey * 10 + l_linenumber as transaction_id",
+            f"{_LINE_ID} as transaction_id",
             "l_orderkey as order_id",
             "l_suppkey as merchant_id",
             "concat('T', lpad(cast(l_suppkey % 500 as string), 6, '0')) as terminal_id",

@@ -55,7 +55,9 @@ def test_expiry_at_year_end(spark):
 def test_biller_rules_first_match_wins_and_case_is_ignored(spark):
     got = _map(spark, ["bet 9ja and EKO disco", "Eko Electric", "Kano and ikeja", "unknown biller with a very long name"],
                lambda c: text.biller_name(F.upper(c), c))
-    assert got == ["BET9JA", "EKO ELECTRIC", "IKEJA ELECTRIC", "unknown biller with a very "]
+    assert got == ["BET9JA", "EKO ELECTRIC", "IKEJA ELECTRIC", "unknown biller with a very long name"]
+    cut = _map(spark, ["unknown biller with a very long name"], lambda c: text.biller_name(F.upper(c), c, 27))
+    assert cut == ["unknown biller with a very "]
 
 
 def test_biller_rules_are_thirty_seven(spark):
