@@ -8,9 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coffer.functions.dates import DateLike, as_date, day
+from coffer.functions.dates import DateLike, as_date, day, on_day
 from coffer.functions.measures import sum_when
 from coffer.functions.text import id_head
+from coffer.operators.joins import left_join_known
 from coffer.operators.running import running_balance
 
 
@@ -22,6 +23,12 @@ def with_running_balance(txns: DataFrame) -> DataFrame:
     )
 
 
+def balances_of(txns: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``with_running_balance`` for the accounts of the ``wanted`` transaction ids only; no other account is sorted."""
+    accounts = txns.join(wanted, "transaction_id", "left_semi").select("account_id").distinct()
+    return with_running_balance(txns.join(accounts, "account_id", "left_semi"))
+
+
 def latest_running_balance(txns: DataFrame, order: Sequence[str] = ("transaction_date", "transaction_id")) -> DataFrame:
     """Balance after the last movement of each account.
 
@@ -31,7 +38,8 @@ def latest_running_balance(txns: DataFrame, order: Sequence[str] = ("transaction
     signed = F.when(F.col("type_enum") == 1, F.col("amount")).otherwise(-F.col("amount"))
     last = F.max(F.struct(*order))
     return txns.groupBy("account_id").agg(F.sum(signed).alias("running_balance"), last.alias("_last")).select(
-        "account_id", F.col("_last.transaction_id").alias("last_transaction_id"), "running_balance"
+        "account_id", F.col("_last.transaction_id").alias("last_transaction_id"),
+        F.col("_last.transaction_date").alias("last_transaction_date"), "running_balance",
     )
 
 
@@ -41,6 +49,30 @@ def last_per_key(df: DataFrame, key: str, order: Sequence[str], take: Sequence[s
     return df.groupBy(key).agg(*[F.max_by(c, rank).alias(c) for c in take])
 
 
+def stored_closing_balance(txns_with_balance: DataFrame, on: DateLike) -> DataFrame:
+    """Balance of each account after a day, from the running balance that its last row through that day stores.
+
+    Unlike a sum it needs no history before the stored row, and holds where an account began with a balance.
+    """
+    until = txns_with_balance.filter(F.col("transaction_date") < day(on, 1))
+    last = last_per_key(until, "account_id", ("transaction_date", "transaction_id"), ["running_balance"])
+    return last.withColumnRenamed("running_balance", "closing_balance").withColumn("date", F.lit(as_date(on)))
+
+
+def closing_balance_carried(yesterday: DataFrame, txns: DataFrame, on: DateLike) -> DataFrame:
+    """Closing balances of a day from those of the day before and the movements of the day alone.
+
+    ``yesterday``: account_id, closing_balance. Accounts without a movement keep their balance, accounts without one
+    yesterday begin with their movements. The day is a filter on the scan, so history is not read.
+    """
+    signed = F.when(F.col("type_enum") == 1, F.col("amount")).otherwise(-F.col("amount"))
+    moved = txns.filter(on_day(F.col("transaction_date"), on)).select("account_id", signed.alias("amount"))
+    kept = yesterday.select("account_id", F.col("closing_balance").alias("amount"))
+    return kept.unionByName(moved).groupBy("account_id").agg(F.sum("amount").alias("closing_balance")).withColumn(
+        "date", F.lit(as_date(on))
+    )
+
+
 def _carried_balance(
     accounts: DataFrame, txns: DataFrame, first: dt.date, last: dt.date, unit: str, keep: Sequence[str]
 ) -> DataFrame:
@@ -149,15 +181,26 @@ def reversal_lines(txns: DataFrame) -> DataFrame:
 def statement_with_reference(lines: DataFrame, wallet_txns: DataFrame) -> DataFrame:
     """Statement lines with the wallet reference of their session; one reference per session, the lowest."""
     reference = wallet_txns.groupBy("session_id").agg(F.min("transaction_id").alias("transaction_reference"))
-    return lines.join(reference, "session_id", "left")
+    return left_join_known(lines, reference, "session_id")
 
 
-def call_over(commands: DataFrame, accounts: DataFrame, txns: DataFrame, users: DataFrame) -> DataFrame:
-    """Maker and checker list with account number, amount and narration looked up."""
-    maker = users.select(F.col("user_id").alias("maker_id"), F.col("username").alias("maker"))
+def call_over(
+    commands: DataFrame, accounts: DataFrame, txns: DataFrame, users: DataFrame, maker: str | None = None,
+    on: DateLike | None = None,
+) -> DataFrame:
+    """Maker and checker list with account number, amount and narration looked up.
+
+    ``maker`` (a user name) and ``on`` (the day of ``made_on``) limit the list before the lookups.
+    """
+    if on is not None:
+        commands = commands.filter(on_day(F.col("made_on"), on))
+    if maker is not None:
+        users_of = users.filter(F.col("username") == maker).select(F.col("user_id").alias("maker_id"))
+        commands = commands.join(users_of, "maker_id", "left_semi")
+    makers = users.select(F.col("user_id").alias("maker_id"), F.col("username").alias("maker"))
     checker = users.select(F.col("user_id").alias("checker_id"), F.col("username").alias("checker"))
     return (
-        commands.join(maker, "maker_id")
+        commands.join(makers, "maker_id")
         .join(checker, "checker_id", "left")
         .join(accounts.select("account_id", "account_no"), "account_id", "left")
         .join(txns.select(F.col("transaction_id").alias("resource_id"), "amount", F.col("remarks").alias("narration")),

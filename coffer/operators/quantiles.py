@@ -18,14 +18,29 @@ from pyspark.sql import functions as F
 _BANDS_PER_E = 4096
 
 
+# Steps into which a band that holds a wanted rank is cut again: scores that lie close together may all share a band.
+_STEPS = 4096
+_NAN_BAND = 2**62
+
+
+def _magnitude(value: Column) -> Column:
+    return F.signum(value) * F.log1p(F.abs(value)) * _BANDS_PER_E
+
+
 def _band(value: Column) -> Column:
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _BANDS_PER_E)
+    return F.when(F.isnan(value), F.lit(_NAN_BAND)).otherwise(F.floor(_magnitude(value)))
+
+
+def _step(value: Column) -> Column:
+    """Place of a value between the edges of its band."""
+    place = _magnitude(value) - F.floor(_magnitude(value))
+    return F.when(F.isnan(value), F.lit(0)).otherwise(F.floor(place * _STEPS))
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """One row: for each column an array of its quantiles at ``probs``, linear between order statistics.
 
-    Nulls are left out. A column without values gives nulls.
+    Nulls are left out. A column without values gives nulls. NaN stands above all numbers, as in Spark's own order.
     """
     values = df.select(
         F.explode(
@@ -60,10 +75,23 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                 (F.col("k") - F.col("upto") + F.col("n")).alias("at"))
     )
 
-    # Values of those bands, in order, once per wanted rank. ``wanted`` has at most two rows per probability and column.
-    inside = Window.partitionBy("col", "band", "prob", "at").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
+    # The step of the band in which the rank lies. ``wanted`` has at most two rows per probability and column.
+    place = ["col", "band", "prob", "at"]
+    along = Window.partitionBy(*place).orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    steps = (
         counted.join(F.broadcast(wanted), ["col", "band"])
+        .groupBy(*place, "share", _step(F.col("v")).alias("step"))
+        .agg(F.sum("n").alias("n"))
+        .withColumn("upto", F.sum("n").over(along))
+        .filter((F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto")))
+        .select("col", "band", "prob", "share", "step", (F.col("at") - F.col("upto") + F.col("n")).alias("at"))
+    )
+
+    # Values of those steps, in order, once per wanted rank; again at most two rows per probability and column.
+    inside = Window.partitionBy(*place, "step").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        counted.withColumn("step", _step(F.col("v")))
+        .join(F.broadcast(steps), ["col", "band", "step"])
         .withColumn("upto", F.sum("n").over(inside))
         .filter((F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto")))
     )
@@ -75,7 +103,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             low, high, share = (f"_{kind}_{i}_{j}" for kind in ("low", "high", "share"))
             aggs += [F.expr(f"min(case when {here} then v end) as {low}"), F.expr(f"max(case when {here} then v end) as {high}"),
                      F.expr(f"max(case when {here} then share end) as {share}")]
-            picks.append(f"{low} + ({high} - {low}) * {share}")
+            picks.append(f"if({share} = 0, {low}, {low} + ({high} - {low}) * {share})")
         cuts.append(f"array({', '.join(picks)}) as `{c}`")
     return found.agg(*aggs).selectExpr(*cuts)
 

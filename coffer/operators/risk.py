@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coffer.functions import bands
-from coffer.functions.dates import DateLike, cycle_start
+from coffer.functions.dates import DateLike, cycle_start, on_day
 from coffer.functions.measures import percent_of, total
 from coffer.functions.text import percent_text, thousands
+from coffer.operators.joins import left_join_known, referrers
 from coffer.operators.running import running_total_over_day
 
 # Smallest reported amount per tier, and remarks that are not reported.
@@ -35,12 +36,16 @@ def large_transactions(txns: DataFrame, minimum: int, products: Sequence[int] =
 
 
 def tier_alerts(
-    txns: DataFrame, clients: DataFrame, thresholds: Mapping[str, int] = TIER_THRESHOLDS
+    txns: DataFrame, clients: DataFrame, thresholds: Mapping[str, int] = TIER_THRESHOLDS, on: DateLike | None = None
 ) -> DataFrame:
-    """Large transactions by the threshold of the client's tier, all tiers in one pass.
+    """Large transactions by the threshold of the client's tier, all tiers in one pass; of one day, where ``on`` is given.
 
-    Rows below the lowest threshold are dropped at the scan, before the join to clients.
+    The day and the lowest threshold are filters at the scan, before the join to clients. A ``running_balance`` that the
+    transactions carry is shown.
     """
+    if on is not None:
+        txns = txns.filter(on_day(F.col("transaction_date"), on))
+    balance = [c for c in ("running_balance",) if c in txns.columns]
     floor = F.lit(None).cast("int")
     for tier, amount in thresholds.items():
         floor = F.when(F.col("client_tier") == tier, amount).otherwise(floor)
@@ -49,7 +54,7 @@ def tier_alerts(
         candidates.join(clients.select("client_id", "client_tier", "client_name", "mobile_number"), "client_id")
         .filter(F.col("amount") >= floor)
         .select("transaction_id", "client_id", "client_name", "client_tier", "account_no", "product_name",
-                "transaction_type", "amount", "transaction_date", "remarks", "mobile_number")
+                "transaction_type", "amount", "transaction_date", "remarks", "mobile_number", *balance)
     )
 
 
@@ -66,11 +71,12 @@ def manual_accounts_opened(
 ) -> DataFrame:
     """Accounts not opened by the app user, with risk band and account officer (the client's referrer)."""
     opened = accounts.filter((F.col("submittedby_userid") != app_user) & F.col("product_id").isin(*products))
-    officer = clients.select(F.col("client_id").alias("referred_by_id"), F.col("client_name").alias("account_officer_name"))
-    return (
+    owned = (
         opened.join(clients.select("client_id", "client_name", "client_tier", "referred_by_id"), "client_id", "left")
         .join(risk, "client_id", "left")
-        .join(officer, "referred_by_id", "left")
+    )
+    return (
+        left_join_known(owned, referrers(clients, "account_officer_name"), "referred_by_id")
         .select("account_id", "account_no", "client_id", "client_name", "client_tier", "product_name",
                 F.col("approvedon_date").alias("activation_date"), "risk_score",
                 bands.risk_band(F.col("risk_score")).alias("aml_risk_rating"), "account_officer_name")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from coffer.functions.dates import DateLike, as_date, day, last_full_month
 from coffer.functions.measures import count_when, sum_when
+from coffer.operators.joins import left_join_known, referrers
+from coffer.operators.ledger import latest_running_balance
 
 OTHERS = "others"
 
@@ -16,10 +18,11 @@ OTHERS = "others"
 def with_referrer(clients: DataFrame) -> DataFrame:
     """Clients with the name of who referred them.
 
-    A referrer may own a large share of the clients; adaptive execution splits such a key of the left side.
+    Few clients refer others, so the right side is reduced to those and Spark may send it to all tasks; where it may not, a
+    referrer that owns a large share of the clients is a key that adaptive execution splits.
     """
-    referrer = clients.select(F.col("client_id").alias("referred_by_id"), F.col("client_name").alias("referrer_name"))
-    return clients.select("client_id", "client_name", "referred_by_id").join(referrer, "referred_by_id", "left")
+    people = clients.select("client_id", "client_name", "referred_by_id")
+    return left_join_known(people, referrers(clients, "referrer_name"), "referred_by_id")
 
 
 def downlines(accounts: DataFrame, clients: DataFrame, loans: DataFrame) -> DataFrame:
@@ -140,10 +143,10 @@ def corporate_accounts_opened(accounts: DataFrame, clients: DataFrame, product:
     opened = accounts.filter(
         (F.col("product_id") == product) & (F.col("approvedon_date") >= day(since)) & (F.col("approvedon_date") < day(until))
     )
-    referrer = clients.select(F.col("client_id").alias("referred_by_id"), F.col("client_name").alias("referrer_name"))
     people = clients.select("client_id", "client_name", "referred_by_id",
                             F.when(F.col("referred_by_id").isNull(), "parent").otherwise("sub").alias("level"))
-    return opened.join(people, "client_id", "left").join(referrer, "referred_by_id", "left").select(
+    owned = opened.join(people, "client_id", "left")
+    return left_join_known(owned, referrers(clients, "referrer_name"), "referred_by_id").select(
         "account_no", "product_name", "client_name", "approvedon_date", "level", "referrer_name"
     )
 
@@ -157,12 +160,14 @@ def signups_last_month(clients: DataFrame, as_of: DateLike) -> DataFrame:
     )
 
 
-def subaccount_last_txn(accounts: DataFrame, clients: DataFrame, txns_with_balance: DataFrame, product: int) -> DataFrame:
-    """Accounts of a product with the date and balance of their last movement."""
-    rank = F.struct("transaction_date", "transaction_id")
-    last = txns_with_balance.filter(F.col("product_id") == product).groupBy("account_id").agg(
-        F.max("transaction_date").cast("date").alias("last_transaction_date"),
-        F.max_by("running_balance", rank).alias("balance_at_last_transaction"),
+def subaccount_last_txn(accounts: DataFrame, clients: DataFrame, txns: DataFrame, product: int) -> DataFrame:
+    """Accounts of a product with the date and balance of their last movement.
+
+    Movements are reduced to the product at the scan; the last balance is their sum, so one aggregation gives both.
+    """
+    last = latest_running_balance(txns.filter(F.col("product_id") == product)).select(
+        "account_id", F.col("last_transaction_date").cast("date").alias("last_transaction_date"),
+        F.col("running_balance").alias("balance_at_last_transaction"),
     )
     return (
         accounts.filter(F.col("product_id") == product)

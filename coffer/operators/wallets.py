@@ -76,10 +76,14 @@ def flow_totals(wallet_txns: DataFrame, wallets: DataFrame) -> DataFrame:
         .groupBy("transaction_type", "wallet_id")
         .agg(F.count(F.lit(1)).alias("volume"), F.sum("amount").alias("value"))
     )
-    whole = per_wallet.groupBy("transaction_type").agg(
-        F.sum("volume").alias("total_volume"), F.sum("value").alias("total_value")
-    )
-    return per_wallet.join(whole, "transaction_type").join(wallets, "wallet_id", "left").drop("wallet_id")
+    directions = ("OUTFLOW", "INFLOW")
+    sums = [F.sum(F.when(F.col("transaction_type") == d, F.col(c))).alias(f"{d}_{c}") for d in directions for c in ("volume", "value")]
+    totals = per_wallet.agg(*sums).select(F.struct("*").alias("t")).scalar()
+    one = per_wallet.withColumn("_totals", totals)
+    for c in ("volume", "value"):
+        picked = F.when(F.col("transaction_type") == directions[0], F.col(f"_totals.{directions[0]}_{c}"))
+        one = one.withColumn(f"total_{c}", picked.otherwise(F.col(f"_totals.{directions[1]}_{c}")))
+    return one.drop("_totals").join(wallets, "wallet_id", "left").drop("wallet_id")
 
 
 def top_wallets(wallet_txns: DataFrame, wallets: DataFrame, n: int = 5) -> DataFrame:

@@ -33,6 +33,7 @@ DAILY_LIMIT = 10_000
 # Widths of text columns of the staging tables.
 SHORT_TEXT, LONG_TEXT = 256, 65_000
 SMALL_QUOTA = 3
+ALERT_DAY = dt.date(1998, 7, 6)
 HOLIDAYS = ("2024-01-01", "2024-01-26")
 
 
@@ -376,7 +377,9 @@ def _(t):
 def _(t):
     transit = t.account.filter(F.col("product_id") == CORPORATE).select("account_id")
     senders = t.transaction.join(transit, "account_id", "left_semi").select("transaction_id")
-    return pos.transfers_two_legs(t.transfer, t.balanced, t.client, senders, "OWN BANK")
+    sent = t.transfer.join(senders.select(F.col("transaction_id").alias("from_txn")), "from_txn", "left_semi")
+    legs = ledger.balances_of(t.transaction, sent.select(F.explode(F.array("from_txn", "to_txn")).alias("transaction_id")))
+    return pos.transfers_two_legs(t.transfer, legs, t.client, senders, "OWN BANK")
 
 
 @query("transfer_two_legs")
@@ -428,14 +431,24 @@ def _(t):
     return ledger.gl_entry_descriptions(t.journal, t.gl_account, t.transaction, t.client)
 
 
-@query("call_over_lookup")
-def _(t):
+def _commands(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
     commands = t.table("orders").select(
         k.alias("command_id"), k.alias("resource_id"), (k % 6).cast("int").alias("maker_id"),
         (k % 8).cast("int").alias("checker_id"), (F.col("o_custkey") * 2).alias("account_id"),
+        F.col("o_orderdate").alias("made_on"),
     )
-    return ledger.call_over(commands, t.account, t.transaction, t.staff_user)
+    return commands
+
+
+@query("call_over_lookup")
+def _(t):
+    return ledger.call_over(_commands(t), t.account, t.transaction, t.staff_user)
+
+
+@query("call_over_of_day")
+def _(t):
+    return ledger.call_over(_commands(t), t.account, t.transaction, t.staff_user, "u.two", ALERT_DAY)
 
 
 @query("client_or_group")
@@ -481,7 +494,7 @@ def _(t):
 
 @query("subaccount_last_txn")
 def _(t):
-    return staff.subaccount_last_txn(t.account, t.client, t.balanced, 33)
+    return staff.subaccount_last_txn(t.account, t.client, t.transaction, 33)
 
 
 @query("avg_txn_per_customer")
@@ -616,6 +629,18 @@ def _(t):
     return ledger.latest_running_balance(t.transaction)
 
 
+@query("closing_balance_stored")
+def _(t):
+    return ledger.stored_closing_balance(t.balanced, AS_OF)
+
+
+@query("closing_balance_carried")
+def _(t):
+    """Yesterday's table and today's rows give what the full history gives."""
+    yesterday = ledger.stored_closing_balance(t.balanced, AS_OF - dt.timedelta(days=1))
+    return ledger.closing_balance_carried(yesterday, t.transaction, AS_OF)
+
+
 @query("closing_balance_daily")
 def _(t):
     return ledger.closing_balance_daily(t.account, t.transaction, "2001-07-01", "2001-07-31")
@@ -753,6 +778,11 @@ def _(t):
     return risk.tier_alerts(t.transaction, t.client)
 
 
+@query("tier_alerts_of_day")
+def _(t):
+    return risk.tier_alerts(t.balanced, t.client, on=ALERT_DAY)
+
+
 @query("repeat_txn_clients")
 def _(t):
     monthly = risk.tier_alerts(t.transaction, t.client).withColumn("transaction_date", F.trunc("transaction_date", "month"))

@@ -265,14 +265,16 @@ sql("gl_entry_description", "journal gl_account txn client", """
 SELECT entry_id, coalesce(gl_name || '-(' || account_no || '-' || client_name || ')', gl_name) AS account_name, remarks AS description
 FROM journal j LEFT JOIN gl_account g ON g.gl_account_id = j.gl_account_id
 LEFT JOIN txn ON txn.transaction_id = j.transaction_id LEFT JOIN client ON client.client_id = txn.client_id""")
-sql("call_over_lookup", "account txn staff_user", """
-WITH cmd AS (SELECT o_orderkey AS command_id, o_orderkey AS resource_id, o_orderkey % 6 AS maker_id, o_orderkey % 8 AS checker_id, o_custkey * 2 AS account_id FROM orders)
+for _name, _limit in (("call_over_lookup", ""), ("call_over_of_day", "WHERE m.username = 'u.two' AND CAST(made_on AS DATE) = DATE '1998-07-06'")):
+    sql(_name, "account txn staff_user", f"""
+WITH cmd AS (SELECT o_orderkey AS command_id, o_orderkey AS resource_id, o_orderkey % 6 AS maker_id, o_orderkey % 8 AS checker_id, o_custkey * 2 AS account_id,
+  o_orderdate AS made_on FROM orders)
 --main SELECT command_id, resource_id, m.username AS maker,
   (SELECT username FROM staff_user c WHERE c.user_id = cmd.checker_id) AS checker,
   (SELECT account_no FROM account a WHERE a.account_id = cmd.account_id) AS account_no,
   (SELECT amount FROM txn t WHERE t.transaction_id = cmd.resource_id) AS amount,
   (SELECT remarks FROM txn t WHERE t.transaction_id = cmd.resource_id) AS narration
-FROM cmd JOIN staff_user m ON m.user_id = cmd.maker_id""", money="amount")
+FROM cmd JOIN staff_user m ON m.user_id = cmd.maker_id {_limit}""", money="amount")
 OWNER = """SELECT a.account_id, a.account_no, CASE WHEN group_id IS NULL THEN a.client_id ELSE group_id END AS owner_id,
   CASE WHEN group_id IS NULL THEN client_name ELSE n_name END AS owner_name
 FROM account a LEFT JOIN client c ON c.client_id = a.client_id LEFT JOIN nation ON 9000000 + n_nationkey = group_id"""
@@ -436,9 +438,9 @@ FROM segmented GROUP BY 1""", money="sum_value max_value min_value")
 
 sql("running_balance", "txn_bal", "SELECT transaction_id, account_id, amount, running_balance FROM txn_bal", money="amount running_balance")
 sql("latest_running_balance", "txn_bal", """
-SELECT account_id, transaction_id AS last_transaction_id, running_balance FROM (
+SELECT account_id, transaction_id AS last_transaction_id, transaction_date AS last_transaction_date, running_balance FROM (
   SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY transaction_date DESC, transaction_id DESC) AS n FROM txn_bal) WHERE n = 1""",
-    money="running_balance")
+    money="running_balance", ts="last_transaction_date")
 
 
 def _daily(first: str, last: str) -> str:
@@ -473,6 +475,10 @@ sql("balances_wide_to_long", "account txn_bal", f"""WITH {_daily('2001-07-25', '
 SELECT account_no, date, closing_balance AS balance FROM daily""", money="balance", date="date")
 LINES = """SELECT transaction_id, session_id, transaction_date, account_no, product_name, CASE WHEN type_enum = 2 THEN amount ELSE 0 END AS debit,
   CASE WHEN type_enum = 1 THEN amount ELSE 0 END AS credit, running_balance AS balance, is_reversed AS reversed, remarks AS narration FROM txn_bal"""
+for _name in ("closing_balance_stored", "closing_balance_carried"):
+    sql(_name, "txn", """
+SELECT account_id, sum(CASE WHEN type_enum = 1 THEN amount ELSE -amount END) AS closing_balance, DATE '2001-08-02' AS date
+FROM txn WHERE transaction_date < TIMESTAMP '2001-08-03' GROUP BY 1""", money="closing_balance", date="date")
 sql("bank_statement_lines", "txn_bal", LINES, money="debit credit balance", ts="transaction_date")
 sql("reversal_lines", "txn", """
 SELECT transaction_id, account_no, amount, remarks AS transaction_remark, transaction_date FROM txn WHERE remarks LIKE '%Reversal Of transactionId%'""",
@@ -541,6 +547,11 @@ ALERTS = f"""alerts AS (SELECT transaction_id, txn.client_id, client_name, clien
   FROM txn JOIN client ON client.client_id = txn.client_id
   WHERE {LARGE} AND amount >= CASE client_tier WHEN 'Tier 1' THEN 100000 WHEN 'Tier 2' THEN 200000 WHEN 'Tier 3' THEN 200000 END)"""
 sql("tier_large_txn_alert", "txn client", f"WITH {ALERTS} --main SELECT * FROM alerts", money="amount", ts="transaction_date")
+sql("tier_alerts_of_day", "txn_bal client", f"""
+SELECT transaction_id, t.client_id, client_name, client_tier, account_no, product_name, transaction_type, amount, transaction_date, remarks, mobile_number, running_balance
+FROM txn_bal t JOIN client ON client.client_id = t.client_id
+WHERE {LARGE} AND amount >= CASE client_tier WHEN 'Tier 1' THEN 100000 ELSE 200000 END AND CAST(transaction_date AS DATE) = DATE '1998-07-06'""",
+    money="amount running_balance", ts="transaction_date")
 sql("repeat_txn_clients", "txn client", f"""WITH {ALERTS} --main
 SELECT transaction_id, client_id, transaction_type, alert_date, hits, amount FROM (
   SELECT *, date_trunc('month', transaction_date) AS alert_date, count(*) OVER (PARTITION BY client_id, transaction_type, date_trunc('month', transaction_date)) AS hits
