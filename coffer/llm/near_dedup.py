@@ -9,8 +9,8 @@ probability 0.16 after one level and 0.42 after four, so in all ten with less th
 
 Members of a tree node are compared as follows, so that a hot group never means all pairs:
 
-1. All members of a root child are compared with its smallest and largest member. What is linked is confirmed on the full
-   sets and joined to components.
+1. All members of a root child are compared with two of them, drawn anew in each child. What is linked is confirmed on
+   the full sets and joined to components.
 2. A node all of whose members are in one component is settled. One of few members is compared exhaustively, across
    components. One in which all but a few members are in one component is compared in chunks: each chunk holds part of
    that component and all the others. Any other node branches again.
@@ -37,8 +37,10 @@ SHINGLE_WORDS = 4
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
 COORDINATES, TREES = 128, 10
-#: Members of a tree node that are compared exhaustively by one task.
-LEAF = 128
+#: Members of a tree node that are compared exhaustively by one task: what a row costs there at most.
+LEAF = 1024
+#: Pairs whose sketches are compared at once.
+PAIR_BLOCK = 32_768
 #: Branchings after which what is left is compared in pairs of blocks.
 LEVELS = 10
 #: Nodes whose sets are sought by sending their keys to all tasks; beyond it by a shuffle.
@@ -159,7 +161,7 @@ def _exhaustive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(np.r_[start, len(path)])
         end = np.repeat(start + size, size)
         later = end - np.arange(len(path)) - 1
-        src, dst, step = [], [], max(1, 200_000 // max(1, int(size.max())))
+        src, dst, step = [], [], max(1, PAIR_BLOCK // int(size.max()))
         for a in range(0, len(path), step):  # each row with the later rows of its group
             n = later[a:a + step]
             i = np.repeat(np.arange(a, a + len(n)), n)
@@ -297,8 +299,9 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFra
         .drop("first")
     )
     placed = nodes.select(F.explode("paths").alias("path"), "node")
+    order = F.xxhash64("path", "node")  # another pair in each child, so a large group is tied together by many of its members
     sizes = placed.groupBy("path").agg(
-        F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")
+        F.count("*").alias("n"), F.min_by("node", order).alias("low"), F.max_by("node", order).alias("high")
     ).where("n > 1")
     shared = cut(placed.join(sizes, "path"))
     stars = shared.select("node", F.explode(F.array("low", "high")).alias("dst")).where("node <> dst")
