@@ -115,8 +115,7 @@ def cycle_start(now: dt.datetime, cut_hour: int = 14, holidays: Iterable[DateLik
 def with_previous_business_day(days: DataFrame, holidays: Iterable[DateLike] = ()) -> DataFrame:
     """Adds the last business day before each ``date``. ``days`` is a calendar, one row per day without gaps.
 
-    The carry runs inside one year plus a lead-in: a calendar holds 366 rows a year, so the window is small and its
-    size is known.
+    The carry is one window over the calendar, which holds 366 rows a year however large the data are.
     """
     from pyspark.sql import Window
 

@@ -1132,33 +1132,37 @@ def _event_stream(t: Tables) -> DataFrame:
     )
 
 
-def _drain(t: Tables, name: str, stream: DataFrame) -> str:
-    """Runs a stream over all input into a table of the shared folder; gives the table's path."""
-    folder = f"{shared_dir(t.spark, name)}/{uuid.uuid4().hex}"
-    jobs.run_available(stream, f"{folder}/rows", f"{folder}/state")
-    return f"{folder}/rows"
+def _folder(t: Tables, name: str) -> str:
+    """A new folder of the shared folder. These queries run their stream when they are built."""
+    return f"{shared_dir(t.spark, name)}/{uuid.uuid4().hex}"
 
 
-def _drained(t: Tables, name: str, stream: DataFrame) -> DataFrame:
-    return t.spark.read.schema(stream.schema).parquet(_drain(t, name, stream))
+def _kept_up(t: Tables, name: str, stream: DataFrame, keys: list[str]) -> DataFrame:
+    folder = _folder(t, name)
+    jobs.run_updates(stream, f"{folder}/rows", f"{folder}/state")
+    return jobs.latest(t.spark, f"{folder}/rows", stream.schema, keys)
 
 
 @query("stream_incremental_append")
 def _(t):
-    return _drained(t, "append", jobs.incremental_append(_event_stream(t), "event_id", "ts"))
+    folder, stream = _folder(t, "append"), _event_stream(t)
+    jobs.run_append(stream, f"{folder}/rows", f"{folder}/state", "event_id")
+    return jobs.parts(t.spark, f"{folder}/rows", stream.schema).drop("batch")
 
 
 @query("stream_tumbling_10min")
 def _(t):
     measures = [F.count(F.lit(1)).alias("lines"), F.sum("amount").alias("amount")]
-    return _drained(t, "slices", jobs.tumbling_slices(_event_stream(t), "ts", ["event_type"], measures))
+    slices = jobs.tumbling_slices(_event_stream(t), "ts", ["event_type"], measures)
+    return _kept_up(t, "slices", slices, ["slice_start", "event_type"])
 
 
 @query("stream_limit_band_alerts")
 def _(t):
-    totals = jobs.minute_totals(_event_stream(t), "ts", "amount")
-    minutes = jobs.read_files(t.spark, _drain(t, "minutes", totals), totals.schema)
-    return _drained(t, "bands", jobs.band_alerts(minutes, DAILY_LIMIT))
+    folder = _folder(t, "bands")
+    events = _event_stream(t).select(F.to_date("ts").alias("date"), "ts", F.col("event_id").alias("id"), "amount")
+    jobs.run_band_alerts(events, folder, f"{folder}/state", DAILY_LIMIT)
+    return jobs.parts(t.spark, f"{folder}/alerts", jobs.ALERT_SCHEMA).drop("batch")
 
 
 @query("stream_settlement_cycles")
@@ -1166,7 +1170,8 @@ def _(t):
     sided = _event_stream(t).filter("event_type in ('purchase', 'signup')").selectExpr(
         "ts", "amount", "if(event_type = 'purchase', 'out', 'in') as side"
     )
-    return _drained(t, "cycles", jobs.cycle_totals(sided, "ts"))
+    calendar = dates.date_spine(t.spark, "2023-12-01", EVENT_MART_AS_OF)
+    return _kept_up(t, "cycles", jobs.cycle_totals(jobs.with_cycle(sided, "ts", calendar, holidays=HOLIDAYS)), ["cycle_start"])
 
 
 # -- lifetime value model ----------------------------------------------------------------------------------------------

@@ -902,25 +902,20 @@ sql("settlement_text", "api", f"""WITH {POSITION} SELECT format('{{:,}}', out_vo
   'N ' || format('{{:,.2f}}', CAST(threshold_balance AS DOUBLE)) AS threshold_balance, format('{{:,.2f}}', percent_consumption) || '%' AS percent_consumption FROM q""")
 
 
-# -- streams: what the watermark had passed when the input ended -------------------------------------------------------
+# -- streams: the batch result over all rows -----------------------------------------------------------------------------
 
 sql("stream_incremental_append", "", "SELECT event_id, ts, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS amount FROM events", money="amount", ts="ts")
 sql("stream_tumbling_10min", "", """
-SELECT * FROM (SELECT time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '2024-01-01') AS slice_start, event_type, count(*) AS lines, sum(CAST(value AS DECIMAL(18,2))) AS amount
-FROM events GROUP BY 1, 2) WHERE slice_start + INTERVAL '10 minutes' <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '1 hour' FROM events)""", money="amount", ts="slice_start")
-sql("stream_limit_band_alerts", "", """
-WITH m AS (SELECT date_trunc('minute', ts) AS minute, sum(CAST(value AS DECIMAL(18,2))) AS amount FROM events GROUP BY 1),
-closed AS (SELECT * FROM m WHERE minute + INTERVAL '1 minute' <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '10 minutes' FROM events)),
-r AS (SELECT CAST(minute AS DATE) AS date, minute, sum(amount) OVER (PARTITION BY CAST(minute AS DATE) ORDER BY minute ROWS UNBOUNDED PRECEDING) AS used FROM closed),
-b AS (SELECT *, CAST(floor(used * 10 / 10000) * 10 AS INTEGER) AS band FROM r)
---main SELECT date, band, minute AS reached_at, used AS amount_used FROM (SELECT *, row_number() OVER (PARTITION BY date, band ORDER BY minute) AS n FROM b
-WHERE band >= 50 AND band < 100) WHERE n = 1""", money="amount_used", date="date", ts="reached_at", whole="band")
+SELECT time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '2024-01-01') AS slice_start, event_type, count(*) AS lines, sum(CAST(value AS DECIMAL(18,2))) AS amount
+FROM events GROUP BY 1, 2""", money="amount", ts="slice_start")
+ORACLE["stream_limit_band_alerts"] = ORACLE["limit_band_alerts"]
 sql("stream_settlement_cycles", "", """
-SELECT * FROM (SELECT time_bucket(INTERVAL '1 day', ts, TIMESTAMP '2024-01-01 14:00:00') AS cycle_start, count(*) FILTER (event_type = 'purchase') AS out_volume,
-  count(*) FILTER (event_type = 'signup') AS in_volume, sum(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'purchase') AS out_value,
-  sum(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'signup') AS in_value
-FROM events WHERE event_type IN ('purchase', 'signup') GROUP BY 1)
-WHERE cycle_start + INTERVAL '1 day' <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '1 day' FROM events WHERE event_type IN ('purchase', 'signup'))""",
+WITH moved AS (SELECT *, CAST(ts - INTERVAL '14 hours' AS DATE) AS on_day, CAST(value AS DECIMAL(18,2)) AS amount FROM events WHERE event_type IN ('purchase', 'signup')),
+open_days AS (SELECT CAST(range AS DATE) AS d FROM range(TIMESTAMP '2023-12-01', TIMESTAMP '2024-02-11', INTERVAL '1 day')
+  WHERE isodow(range) < 6 AND CAST(range AS DATE) NOT IN (DATE '2024-01-01', DATE '2024-01-26'))
+--main SELECT cycle_start, count(*) FILTER (event_type = 'purchase') AS out_volume, count(*) FILTER (event_type = 'signup') AS in_volume,
+  sum(amount) FILTER (event_type = 'purchase') AS out_value, sum(amount) FILTER (event_type = 'signup') AS in_value
+FROM (SELECT moved.*, (SELECT max(d) FROM open_days WHERE d <= on_day) + INTERVAL '14 hours' AS cycle_start FROM moved) GROUP BY 1""",
     money="out_value in_value", ts="cycle_start")
 
 

@@ -77,7 +77,7 @@ SELECT *, CAST(sum(CASE WHEN type_enum = 1 THEN amount ELSE -amount END)
   OVER (PARTITION BY account_id ORDER BY transaction_date, transaction_id ROWS UNBOUNDED PRECEDING) AS DECIMAL(28,2)) AS running_balance
 FROM txn"""),
     "bill": ((), """
-SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS transaction_id, l_orderkey AS order_id, l_suppkey AS biller_id, l_partkey AS item_id,
+SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS transaction_id, l_orderkey AS order_id, l_suppkey AS biller_id, l_partkey AS item_id,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
   CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2)) AS settled_amount,
   l_shipdate AS transaction_date,
@@ -94,7 +94,7 @@ FROM bill LEFT JOIN part ON p_partkey = item_id"""),
     "branded_item": (("bill_item",), f"""
 SELECT * REPLACE (([{_CODES}])[CAST(item_id % {_N_CODES} AS INTEGER) + 1] AS biller_code) FROM bill_item"""),
     "wallet": ((), """
-SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS transaction_id, l_orderkey AS order_id, l_suppkey AS wallet_id,
+SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS transaction_id, l_orderkey AS order_id, l_suppkey AS wallet_id,
   CASE WHEN l_linestatus = 'F' AND l_linenumber = 7 THEN 'INITIAL INFLOW' WHEN l_linestatus = 'O' THEN 'OUTFLOW' ELSE 'INFLOW' END AS transaction_type,
   '20' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 8, '0') AS from_account_no,
   '20' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS to_account_no,
@@ -107,7 +107,7 @@ SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppk
 FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey"""),
     "bank": ((), "SELECT n_nationkey AS bank_code, 'BANK ' || n_name AS bank_name FROM nation"),
     "pos": ((), """
-SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS transaction_id, l_orderkey AS order_id, l_suppkey AS merchant_id,
+SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS transaction_id, l_orderkey AS order_id, l_suppkey AS merchant_id,
   'T' || lpad(CAST(l_suppkey % 500 AS VARCHAR), 6, '0') AS terminal_id,
   CASE WHEN l_returnflag = 'R' THEN '51' ELSE '00' END AS status_code,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,

@@ -62,7 +62,7 @@ _PRODUCT_ID = "element_at(array({}), cast({{a}} % 7 as int) + 1)".format(", ".jo
 _PRODUCT_NAME = "element_at(array({}), cast({{a}} % 7 as int) + 1)".format(", ".join(f"'{n}'" for _, n in PRODUCTS))
 _ACCOUNT_NO = "concat('10', lpad(cast({a} as string), 8, '0'))"
 # Unique in the test data; order and line number alone are not, see ``pooled_id``.
-_LINE_ID = "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey"
+_LINE_ID = "(((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + cast(l_quantity as bigint)"
 _SETTLED = ("cast(round(cast(l_extendedprice as decimal(18,2)) * (cast(1 as decimal(4,2)) - cast(l_discount as decimal(4,2))), 2)"
             " as decimal(18,2))")
 

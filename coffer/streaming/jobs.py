@@ -1,18 +1,21 @@
 """Streaming forms of the poll, the time slices, the band alerts and the settlement position.
 
-Each job takes a streaming DataFrame and returns one; ``run_available`` drives it to the end of the input. Positions and
-state live in the checkpoint folder, so a job that is stopped goes on where it was.
+``read_files`` gives a stream; each ``run_*`` drives one job over all input there is and stops. Positions and state live in
+the checkpoint folder, so a job goes on where it was. Every micro-batch writes a part of its own, ``batch=<id>``, which a
+repeated batch replaces; nothing waits for a watermark and no row is dropped for being late, so what is read back equals
+the batch query over the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from coffer.functions.dates import is_business_day
+from coffer.operators.risk import limit_band_alerts
 
 
 def read_files(
@@ -25,91 +28,109 @@ def read_files(
     return reader.parquet(path)
 
 
-def run_available(
-    stream: DataFrame, path: str, checkpoint: str, mode: str = "append", partition_by: Sequence[str] = ()
-) -> None:
-    """Processes all input there is into a Parquet table and stops."""
-    writer = (
-        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode(mode).trigger(availableNow=True)
-    )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.start().awaitTermination()
+def _run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> None:
+    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    writer.outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+
+
+def _replace_part(df: DataFrame, path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def parts(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """What the batches (those before a number) wrote; ``batch`` is its number. Batches count from 0 without gaps."""
+    if before == 0:
+        return spark.createDataFrame([], schema).withColumn("batch", F.lit(None).cast("int"))
+    whole = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])).parquet(path)
+    return whole if before is None else whole.filter(F.col("batch") < before)
+
+
+def run_append(stream: DataFrame, path: str, checkpoint: str, key: str) -> None:
+    """New rows once each: a key that the table has is not written again, however late it comes."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        there = parts(batch.sparkSession, path, batch.schema, batch_id).select(key)
+        _replace_part(batch.dropDuplicates([key]).join(there, key, "left_anti").select(*batch.columns), path, batch_id)
+
+    _run(stream, step, checkpoint, "append")
+
 
+def run_updates(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Keeps an aggregation up to date: each batch writes the groups that it changed, with their new values."""
+    _run(stream, lambda batch, batch_id: _replace_part(batch, path, batch_id), checkpoint, "update")
 
-def incremental_append(stream: DataFrame, key: str, ts: str, lateness: str = "1 hour") -> DataFrame:
-    """New rows once each: a key seen again within the lateness is dropped. Needs a timestamp ``ts``."""
-    return stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
+
+def latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """The last value of every group that ``run_updates`` wrote, open windows too."""
+    values = [f.name for f in schema.fields if f.name not in keys]
+    newest = F.max_by(F.struct(*values), F.col("batch")).alias("v")
+    return parts(spark, path, schema).groupBy(*keys).agg(newest).select(*keys, "v.*")
 
 
 def tumbling_slices(
-    stream: DataFrame, ts: str, keys: Sequence[str], measures: Sequence[Column], minutes: int = 10, lateness: str = "1 hour",
+    stream: DataFrame, ts: str, keys: Sequence[str], measures: Sequence[Column], minutes: int = 10, lateness: str | None = None,
     offset_minutes: int = 0,
 ) -> DataFrame:
-    """Measures by tumbling slice, each written once when the watermark has passed it."""
+    """Measures by tumbling slice, for ``run_updates``.
+
+    State holds one row per slice and key. ``lateness`` bounds it: slices older than that are let go, and rows that come
+    later than that no longer count. Without it every row counts.
+    """
     window = F.window(ts, f"{minutes} minutes", startTime=f"{offset_minutes} minutes")
-    return (
-        stream.withWatermark(ts, lateness)
-        .groupBy(window.alias("w"), *keys)
-        .agg(*measures)
-        .select(F.col("w.start").alias("slice_start"), "*")
-        .drop("w")
-    )
+    timed = stream.withWatermark(ts, lateness) if lateness else stream
+    return timed.groupBy(window.alias("w"), *keys).agg(*measures).select(F.col("w.start").alias("slice_start"), "*").drop("w")
 
 
-def cycle_totals(stream: DataFrame, ts: str, cut_hour: int = 14, lateness: str = "1 day") -> DataFrame:
-    """Outward and inward totals per settlement cycle from ``cut_hour`` to ``cut_hour``. Needs ``side`` and ``amount``."""
-    cycle = F.window(ts, "1 day", startTime=f"{cut_hour} hours")
-    out, inn = F.col("side") == "out", F.col("side") == "in"
-    return (
-        stream.withWatermark(ts, lateness)
-        .groupBy(cycle.alias("w"))
-        .agg(
-            F.count(F.when(out, 1)).alias("out_volume"), F.count(F.when(inn, 1)).alias("in_volume"),
-            F.sum(F.when(out, F.col("amount"))).alias("out_value"), F.sum(F.when(inn, F.col("amount"))).alias("in_value"),
-        )
-        .select(F.col("w.start").alias("cycle_start"), "out_volume", "in_volume", "out_value", "in_value")
-    )
+def with_cycle(stream: DataFrame, ts: str, calendar: DataFrame, cut_hour: int = 14, holidays: Sequence[str] = ()) -> DataFrame:
+    """Adds ``cycle_start``: the last cut, at ``cut_hour`` of a business day, at or before the time.
 
+    ``calendar`` has a column ``date``, one row per day without gaps from before the first to after the last time.
+    """
+    days = calendar.select(F.to_date("date").alias("date"))
+    business = days.filter(is_business_day(F.col("date"), holidays)).select(F.col("date").alias("cut_day"))
+    # the business days are few and a closed spell is short: each day meets those of the fortnight before it
+    last_cut = (
+        days.withColumn("cut_day", F.explode(F.sequence(F.date_sub("date", 14), F.col("date"))))
+        .join(business, "cut_day").groupBy("date").agg(F.max("cut_day").alias("cut_day"))
+    )
+    cut = F.make_timestamp(F.year("cut_day"), F.month("cut_day"), F.dayofmonth("cut_day"), F.lit(cut_hour), F.lit(0), F.lit(0))
+    cuts = last_cut.select(F.col("date").alias("_cut_date"), cut.alias("cycle_start"))
+    moved = stream.withColumn("_cut_date", F.to_date(F.col(ts) - F.expr(f"interval {cut_hour} hours")))
+    return moved.join(cuts, "_cut_date").drop("_cut_date")
 
-def minute_totals(stream: DataFrame, ts: str, amount: str, lateness: str = "10 minutes") -> DataFrame:
-    """Amount per minute. Map-side combine makes a busy day 1,440 rows before any state per day sees it.
 
-    Write this to a table and read that as the stream of ``band_alerts``: two jobs, each with its own checkpoint.
-    """
-    return (
-        stream.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, "1 minute").alias("w"))
-        .agg(F.sum(amount).alias("amount"))
-        .select(F.col("w.start").alias("minute"), F.to_date(F.col("w.start")).alias("date"), "amount")
+def cycle_totals(timed: DataFrame) -> DataFrame:
+    """Outward and inward totals per settlement cycle, for ``run_updates``. Needs ``cycle_start``, ``side``, ``amount``."""
+    out, inn = F.col("side") == "out", F.col("side") == "in"
+    return timed.groupBy("cycle_start").agg(
+        F.count(F.when(out, 1)).alias("out_volume"), F.count(F.when(inn, 1)).alias("in_volume"),
+        F.sum(F.when(out, F.col("amount"))).alias("out_value"), F.sum(F.when(inn, F.col("amount"))).alias("in_value"),
     )
 
 
-ALERT_SCHEMA = "date date, band int, reached_at timestamp, amount_used decimal(18,2)"
-_STATE_SCHEMA = "used decimal(28,2), last_band int"
+ALERT_SCHEMA = T.StructType([
+    T.StructField("date", T.DateType()), T.StructField("band", T.IntegerType()), T.StructField("reached_at", T.TimestampType()),
+    T.StructField("event_id", T.LongType()), T.StructField("amount_used", T.DecimalType(28, 2)),
+])
+_USED_SCHEMA = T.StructType([T.StructField("date", T.DateType()), T.StructField("amount", T.DecimalType(28, 2))])
 
 
-def band_alerts(totals: DataFrame, limit: int, first_band: int = 50) -> DataFrame:
-    """One alert per day and 10 % band of the limit, from ``first_band`` to below 100 %.
+def run_band_alerts(stream: DataFrame, path: str, checkpoint: str, limit: int, first_band: int = 50) -> None:
+    """One alert per day and 10 % band of the limit, by the rule of the batch form, event by event.
 
-    ``totals``: date, minute, amount, the rows of one day in order of arrival over micro-batches. State per day is the
-    amount used and the last band told.
+    ``stream``: date, ts, id, amount. What earlier batches used up of a day is added before the rule is applied, and bands
+    that were told before, whichever, are not told again. Both are small tables beside the alerts (``alerts``, ``used``); the
+    sums over the events of a batch are distributed as in the batch form.
     """
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        used, last = state.get if state.exists else (0, 0)
-        out = []
-        rows = pd.concat(list(frames)).sort_values("minute")
-        for minute, amount in zip(rows["minute"], rows["amount"]):
-            used = used + amount
-            band = int(used * 10 // limit) * 10
-            if first_band <= band < 100 and band != last:
-                out.append((key[0], band, minute, used))
-                last = band
-        state.update((used, last))
-        yield pd.DataFrame(out, columns=["date", "band", "reached_at", "amount_used"])
-
-    return totals.groupBy("date").applyInPandasWithState(
-        step, ALERT_SCHEMA, _STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        used = parts(spark, f"{path}/used", _USED_SCHEMA, batch_id).groupBy("date").agg(F.sum("amount").alias("carried"))
+        told = parts(spark, f"{path}/alerts", ALERT_SCHEMA, batch_id).select("date", "band")
+        found = limit_band_alerts(batch, limit, first_band, carried=used).join(told, ["date", "band"], "left_anti")
+        shaped = found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ALERT_SCHEMA.fields])
+        _replace_part(shaped, f"{path}/alerts", batch_id)
+        sums = batch.groupBy("date").agg(F.sum("amount").cast("decimal(28,2)").alias("amount"))
+        _replace_part(sums, f"{path}/used", batch_id)
+
+    _run(stream, step, checkpoint, "append")

@@ -90,3 +90,22 @@ def test_gl_lines_are_one_per_counter_entry(spark):
     gl = spark.createDataFrame([(3, "three"), (4, "four")], "gl_account_id int, gl_name string")
     got = ledger.gl_account_lines(journal, gl, 3, "2001-01-01").collect()
     assert [(r["entry_id"], r["credit_amount"], r["debit_amount"]) for r in got] == [(2, 5, 0)]
+
+
+def test_a_day_booked_at_one_instant_is_summed_in_slices(spark):
+    rows = [(dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), i, Decimal(i % 7)) for i in range(500)]
+    df = spark.createDataFrame(rows, "date date, ts timestamp, id long, amount decimal(18,2)")
+    got = {r.id: r.used for r in running_total_over_day(df, "date", "ts", "id", "amount", "used", width=32).collect()}
+    total, want = Decimal(0), {}
+    for _, _, i, amount in rows:
+        total += amount
+        want[i] = total
+    assert got == want
+
+
+def test_ids_of_line_views_are_unique(spark):
+    from coffer.plans.views import Bank
+
+    bank = Bank(spark, "/root/testdata/sf0.001")
+    for view in (bank.bill, bank.wallet_txn, bank.pos_txn):
+        assert view.count() == view.select("transaction_id").distinct().count()

@@ -56,3 +56,11 @@ def test_bin_edge_belongs_below(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4, 5)], "v double")
     got = {r["v"]: r["s"] for r in quantile_bins(df, "v", ["D", "C", "B", "A"], "s").collect()}
     assert got == {1.0: "D", 2.0: "D", 3.0: "C", 4.0: "B", 5.0: "A"}
+
+
+def test_nan_stands_above_all_numbers_and_close_values_are_told_apart(spark):
+    df = spark.createDataFrame([(float("nan"),), (-3.0,), (-2.0,), (1.0,), (2.0,), (3.0,), (4.0,)], "v double")
+    low, middle, high = exact_quantiles(df, ["v"], [0.0, 0.5, 1.0]).first().v
+    assert (low, middle) == (-3.0, 2.0) and high != high
+    close = spark.range(50_000).selectExpr("0.5 + id * 1e-12 as v")
+    assert exact_quantiles(close, ["v"], [0.5]).first().v[0] == close.selectExpr("percentile(v, 0.5) as p").first().p

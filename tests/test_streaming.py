@@ -1,9 +1,10 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
+from coffer.functions import dates
+from coffer.operators import risk
 from coffer.streaming import jobs
+from pyspark.sql import functions as F
 
 SCHEMA = "id long, ts timestamp, amount decimal(18,2)"
 
@@ -12,46 +13,62 @@ def _write(spark, path, rows):
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
+def _folders(tmp_path):
+    return tuple(str(tmp_path / n) for n in ("src", "out", "state"))
+
+
 def test_append_goes_on_where_it_stopped_and_drops_repeats(spark, tmp_path):
-    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    src, out, state = _folders(tmp_path)
     at = dt.datetime(2024, 1, 1, 10)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    run = lambda: jobs.run_append(jobs.read_files(spark, src, SCHEMA), out, state, "id")
+    ids = lambda: sorted(r["id"] for r in jobs.parts(spark, out, schema).collect())
     _write(spark, src, [(1, at, Decimal(1)), (2, at, Decimal(1)), (2, at, Decimal(1))])
-    run = lambda: jobs.run_available(jobs.incremental_append(jobs.read_files(spark, src, SCHEMA), "id", "ts"), out, state)
     run()
-    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2]
-    _write(spark, src, [(2, at, Decimal(1)), (3, at, Decimal(1))])
+    assert ids() == [1, 2]
+    late = at - dt.timedelta(days=400)
+    _write(spark, src, [(2, at, Decimal(1)), (3, late, Decimal(1))])
     run()
-    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+    assert ids() == [1, 2, 3]
 
 
-def test_slices_equal_the_batch_slices(spark, tmp_path):
-    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+def test_slices_equal_the_batch_slices_over_several_batches_and_late_rows(spark, tmp_path):
+    src, out, state = _folders(tmp_path)
     start = dt.datetime(2024, 1, 1)
-    rows = [(i, start + dt.timedelta(minutes=3 * i), Decimal(i)) for i in range(40)]
-    _write(spark, src, rows)
+    rows = [(i, start + dt.timedelta(minutes=3 * (i * 7 % 40)), Decimal(i)) for i in range(40)]
     measures = [F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")]
-    stream = jobs.tumbling_slices(jobs.read_files(spark, src, SCHEMA), "ts", [], measures, lateness="0 seconds")
-    jobs.run_available(stream, out, state)
-    got = {r["slice_start"]: (r["n"], r["amount"]) for r in spark.read.parquet(out).collect()}
+    for part in (rows[:15], rows[15:16], rows[16:]):
+        _write(spark, src, part)
+        stream = jobs.tumbling_slices(jobs.read_files(spark, src, SCHEMA), "ts", [], measures)
+        jobs.run_updates(stream, out, state)
+    got = {r["slice_start"]: (r["n"], r["amount"]) for r in jobs.latest(spark, out, stream.schema, ["slice_start"]).collect()}
     want = {}
     for _, ts, amount in rows:
         key = ts.replace(minute=ts.minute // 10 * 10)
         n, total = want.get(key, (0, Decimal(0)))
         want[key] = (n + 1, total + amount)
-    want.pop(max(want))  # still open when the input ends
     assert got == want
 
 
-def test_band_state_lives_on_between_runs(spark, tmp_path):
-    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
-    schema = "minute timestamp, date date, amount decimal(28,2)"
-    at = lambda m: (dt.datetime(2024, 1, 1, 9, m), dt.date(2024, 1, 1))
+def test_bands_are_told_once_over_several_batches(spark, tmp_path):
+    src, out, state = _folders(tmp_path)
+    at = lambda m: dt.datetime(2024, 1, 1, 9, m)
+    rows = [(1, at(1), Decimal(30)), (2, at(2), Decimal(25)), (3, at(3), Decimal(2)), (4, at(4), Decimal(-20)), (5, at(5), Decimal(20)),
+            (6, at(6), Decimal(30)), (7, at(7), Decimal(4)), (8, at(8), Decimal(30))]
+    for part in (rows[:2], rows[2:4], rows[4:7], rows[7:]):
+        _write(spark, src, part)
+        stream = jobs.read_files(spark, src, SCHEMA).select(F.to_date("ts").alias("date"), "ts", "id", "amount")
+        jobs.run_band_alerts(stream, out, state, 100)
+    got = sorted((r["band"], r["event_id"], r["amount_used"]) for r in jobs.parts(spark, f"{out}/alerts", jobs.ALERT_SCHEMA).collect())
+    events = spark.createDataFrame(rows, SCHEMA).select(F.to_date("ts").alias("date"), "ts", "id", "amount")
+    want = sorted((r["band"], r["event_id"], r["amount_used"]) for r in risk.limit_band_alerts(events, 100).collect())
+    assert got == want == [(50, 2, Decimal(55)), (80, 6, Decimal(87)), (90, 7, Decimal(91))]
 
-    def feed(rows):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
-        jobs.run_available(jobs.band_alerts(jobs.read_files(spark, src, schema), 100), out, state)
-        return {r["band"]: r["amount_used"] for r in spark.read.schema(jobs.ALERT_SCHEMA).parquet(out).collect()}
 
-    assert feed([(*at(1), Decimal(30)), (*at(2), Decimal(25))]) == {50: 55}
-    assert feed([(*at(3), Decimal(2))]) == {50: 55}
-    assert feed([(*at(4), Decimal(30)), (*at(5), Decimal(30))]) == {50: 55, 80: 87}
+def test_cycles_begin_at_business_day_cuts(spark):
+    times = [dt.datetime(2024, 1, 25, 13), dt.datetime(2024, 1, 25, 14), dt.datetime(2024, 1, 27, 18), dt.datetime(2024, 1, 29, 13, 59),
+             dt.datetime(2024, 1, 29, 14)]
+    calendar = dates.date_spine(spark, "2024-01-01", "2024-02-01")
+    df = spark.createDataFrame([(t,) for t in times], "ts timestamp")
+    got = {r["ts"]: r["cycle_start"] for r in jobs.with_cycle(df, "ts", calendar, holidays=("2024-01-26",)).collect()}
+    assert got == {t: dates.cycle_start(t, 14, ("2024-01-26",)) for t in times}
