@@ -26,6 +26,7 @@ PURCHASE_PENALTY = 0.001
 SPEND_PENALTY = 0.01
 HORIZON_WEEKS = (12.0, 24.0)
 SEGMENTS = ("D", "C", "B", "A")
+SERIES_TERMS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -124,8 +125,8 @@ def spend_loglik(params: np.ndarray, data: dict[str, np.ndarray]) -> np.ndarray:
 LogLik = Callable[[np.ndarray, dict[str, np.ndarray]], np.ndarray]
 
 
-def _sum_loglik(data: DataFrame, columns: Sequence[str], loglik: LogLik, points: np.ndarray) -> np.ndarray:
-    """Weighted log-likelihood of each parameter point: one job, partition sums added up by Spark."""
+def loglik_totals(data: DataFrame, columns: Sequence[str], loglik: LogLik, points: np.ndarray) -> DataFrame:
+    """Weighted log-likelihood of each parameter point (point, total): one job, partition sums added up by Spark."""
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(len(points))
@@ -137,7 +138,11 @@ def _sum_loglik(data: DataFrame, columns: Sequence[str], loglik: LogLik, points:
         yield pd.DataFrame({"point": np.arange(len(points)), "total": sums})
 
     parts = data.mapInPandas(partial, "point long, total double")
-    rows = parts.groupBy("point").agg(F.sum("total").alias("total")).collect()  # one row per parameter point
+    return parts.groupBy("point").agg(F.sum("total").alias("total"))
+
+
+def _sum_loglik(data: DataFrame, columns: Sequence[str], loglik: LogLik, points: np.ndarray) -> np.ndarray:
+    rows = loglik_totals(data, columns, loglik, points).collect()  # one row per parameter point
     out = np.zeros(len(points))
     for row in rows:
         out[row["point"]] = row["total"]
@@ -167,12 +172,12 @@ def _gradient_hessian(f: np.ndarray, d: int, pairs: list[tuple[int, int]], h: fl
 
 def maximise(
     data: DataFrame, columns: Sequence[str], loglik: LogLik, dim: int, penalty: float, floor: Sequence[float] | None = None,
-    tolerance: float = 1e-7, max_steps: int = 40, h: float = 1e-3,
+    tolerance: float = 1e-7, max_steps: int = 200, h: float = 1e-3,
 ) -> np.ndarray:
     """Parameters (all above ``floor``, zero by default) with the lowest penalised mean negative log-likelihood.
 
     Damped Newton steps on the logs of the parameters less their floor. A step takes two jobs: one for all difference points, one for all step
-    lengths. ``data`` has the columns and a count ``n``.
+    lengths. ``data`` has the columns and a count ``n``. Raises where no point is found in ``max_steps``.
     """
     weight = data.agg(F.sum("n")).first()[0]
     least = np.zeros(dim) if floor is None else np.asarray(floor, dtype=float)
@@ -199,6 +204,8 @@ def maximise(
                 theta = theta + lengths[best] * step
             break
         theta = theta + lengths[best] * step
+    else:
+        raise RuntimeError(f"the fit did not settle in {max_steps} steps; last point {least + np.exp(theta)}")
     return least + np.exp(theta)
 
 
@@ -242,15 +249,15 @@ def fit_spend(inputs: DataFrame, penalty: float = SPEND_PENALTY, stable: bool =
 
 
 def _hyp2f1(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Gauss series for 0 <= z < 1."""
+    """Gauss series for 0 <= z < 1, until every term is negligible; raises where it is still not after ``SERIES_TERMS``."""
     total = np.ones_like(z)
     term = np.ones_like(z)
-    for n in range(10_000):
+    for n in range(SERIES_TERMS):
         term = term * ((a + n) * (b + n)) / ((c + n) * (n + 1)) * z
         total = total + term
         if np.all(np.abs(term) <= 1e-14 * np.abs(total)):
-            break
-    return total
+            return total
+    raise ArithmeticError(f"the series does not settle for z up to {float(np.max(z))}")
 
 
 def expected_purchases(p: PurchaseParams, x: np.ndarray, t_x: np.ndarray, age: np.ndarray, t: float) -> np.ndarray:

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,9 @@ DAILY_LIMIT = 10_000
 # Widths of text columns of the staging tables.
 SHORT_TEXT, LONG_TEXT = 256, 65_000
 SMALL_QUOTA = 3
+# Parameter points at which the model is checked.
+PURCHASE_POINTS = np.array([(0.5, 8.0, 1.6, 2.5), (1.2, 20.0, 0.7, 3.0)])
+SPEND_POINTS = np.array([(6.25, 3.74, 15.44), (2.0, 4.0, 90_000.0)])
 ALERT_DAY = dt.date(1998, 7, 6)
 HOLIDAYS = ("2024-01-01", "2024-01-26")
 
@@ -1191,6 +1195,28 @@ def _(t):
     return t.spark.range(1).select(*[F.round(F.lit(v), 3).alias(k) for k, v in (("p", p.p), ("q", p.q), ("v", p.v))])
 
 
+@query("clv_purchase_loglik")
+def _(t):
+    counted = clv.model_inputs(_rfm(t)).groupBy("x", "t_x", "age").agg(F.count(F.lit(1)).alias("n"))
+    totals = clv.loglik_totals(counted, ["x", "t_x", "age"], clv.purchase_loglik, PURCHASE_POINTS)
+    return _rounded(totals, "total", digits=3)
+
+
+@query("clv_spend_loglik")
+def _(t):
+    inputs = clv.model_inputs(_rfm(t)).filter("x > 0")
+    counted = inputs.groupBy("x", "mean_value").agg(F.count(F.lit(1)).alias("n"))
+    return _rounded(clv.loglik_totals(counted, ["x", "mean_value"], clv.spend_loglik, SPEND_POINTS), "total", digits=3)
+
+
+@query("clv_value_at_point")
+def _(t):
+    """Expected purchases, spend and value at stated parameters, for every client."""
+    scored = clv.lifetime_value(clv.model_inputs(_rfm(t)), clv.PurchaseParams(*PURCHASE_POINTS[0]), clv.GammaGammaParams(*SPEND_POINTS[0]))
+    scored = scored.select("client_id", "x", "expected_12_weeks", "expected_24_weeks", "expected_value", "clv")
+    return _rounded(_rounded(scored, "expected_12_weeks", "expected_24_weeks", digits=6), "expected_value", "clv", digits=3)
+
+
 @query("clv_expected_purchases")
 def _(t):
     inputs = clv.model_inputs(_rfm(t))

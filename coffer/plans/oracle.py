@@ -428,6 +428,39 @@ sql("clv_inputs", "txn client", f"WITH {INPUTS} --main SELECT * FROM inputs", mo
 sql("clv_gamma_gamma_score", "txn client", f"""WITH {INPUTS} SELECT client_id, frequency,
   round((1 - p * frequency / (p * frequency + q - 1)) * (v * p / (q - 1)) + p * frequency / (p * frequency + q - 1) * mean_value, 4) AS expected_value
 FROM inputs, (SELECT CAST(6.25 AS DOUBLE) AS p, CAST(3.74 AS DOUBLE) AS q, CAST(15.44 AS DOUBLE) AS v)""")
+MODEL = f"""{INPUTS}, model AS (SELECT client_id, CAST(frequency - 1 AS DOUBLE) AS x, greatest(t_weekly - recency_weekly, 0.0) AS t_x, t_weekly AS age, mean_value FROM inputs)"""
+POINTS = "(VALUES (0, 0.5e0, 8.0e0, 1.6e0, 2.5e0), (1, 1.2e0, 20.0e0, 0.7e0, 3.0e0)) AS pt(point, r, alpha, a, b)"
+SPENDS = "(VALUES (0, 6.25e0, 3.74e0, 15.44e0), (1, 2.0e0, 4.0e0, 90000.0e0)) AS pt(point, p, q, v)"
+sql("clv_purchase_loglik", "txn client", f"""WITH {MODEL},
+legs AS (SELECT *, -(r + x) * ln(alpha + age) AS alive, ln(a) - ln(b + greatest(x, 1) - 1) - (r + x) * ln(alpha + t_x) AS gone FROM model, {POINTS})
+--main SELECT point, round(sum(lgamma(r + x) - lgamma(r) + r * ln(alpha) + lgamma(a + b) + lgamma(b + x) - lgamma(b) - lgamma(a + b + x)
+  + CASE WHEN x > 0 THEN greatest(alive, gone) + ln(1 + exp(-abs(alive - gone))) ELSE alive END), 3) AS total FROM legs GROUP BY 1""")
+sql("clv_spend_loglik", "txn client", f"""WITH {MODEL} --main
+SELECT point, round(sum(lgamma(p * x + q) - lgamma(p * x) - lgamma(q) + q * ln(v) + (p * x - 1) * ln(mean_value) + p * x * ln(x)
+  - (p * x + q) * ln(x * mean_value + v)), 3) AS total FROM model, {SPENDS} WHERE x > 0 GROUP BY 1""")
+
+
+def _expected(weeks: float) -> str:
+    """Expected purchases in ``weeks`` by the published formula; its Gauss series is summed term by term."""
+    z = f"({weeks} / (alpha + age + {weeks}))"
+    series = (f"list_sum([exp(lgamma(r + x + n) - lgamma(r + x) + lgamma(b + x + n) - lgamma(b + x) - lgamma(a + b + x - 1 + n)"
+              f" + lgamma(a + b + x - 1) - lgamma(n + 1) + n * ln({z})) for n in range(0, 400)])")
+    front = "(a + b + x - 1) / (a - 1)"
+    shrink = f"pow((alpha + age) / (alpha + age + {weeks}), r + x)"
+    odds = "CASE WHEN x > 0 THEN a / (b + x - 1) * pow((alpha + age) / (alpha + t_x), r + x) ELSE 0 END"
+    return f"({front} * (1 - {shrink} * {series}) / (1 + {odds}))"
+
+
+_STEPS = [4.345 * m for m in range(1, 7)]
+_VALUE = " + ".join(
+    f"(e{m} - {f'e{m - 1}' if m > 1 else '0'}) / pow(1.01, {m})" for m in range(1, 7)
+)
+sql("clv_value_at_point", "txn client", f"""WITH {MODEL},
+told AS (SELECT client_id, x, {_expected(12.0)} AS w12, {_expected(24.0)} AS w24, {", ".join(f"{_expected(t)} AS e{m}" for m, t in enumerate(_STEPS, 1))},
+  (1 - p * x / (p * x + q - 1)) * (v * p / (q - 1)) + p * x / (p * x + q - 1) * mean_value AS spend
+  FROM model, {POINTS}, (SELECT 6.25e0 AS p, 3.74e0 AS q, 15.44e0 AS v) WHERE point = 0)
+--main SELECT client_id, x, round(w12, 6) AS expected_12_weeks, round(w24, 6) AS expected_24_weeks, round(spend, 3) AS expected_value,
+  round(spend * ({_VALUE}), 3) AS clv FROM told""")
 sql("clv_quartile_segment", "txn client", f"WITH {QUARTERS} SELECT client_id, mean_value, segment FROM segmented")
 sql("clv_segment_stats", "txn client", f"""WITH {QUARTERS} --main
 SELECT segment, CAST(sum(monetary) AS DOUBLE) / count(*) AS mean_value, sum(monetary) AS sum_value, count(*) AS clients,
