@@ -15,7 +15,8 @@ Members of a tree node are compared as follows, so that a hot group never means
    components. One in which all but a few members are in one component is compared in chunks: each chunk holds part of
    that component and all the others. Any other node branches again.
 
-Comparison is by the minwise sketch, with a margin of five standard deviations; what passes is confirmed on the full sets.
+Comparison is by the minwise sketch, with a margin of four standard deviations; what passes is confirmed on the full sets.
+A pair that meets in several trees is passed on by the first root child only in which it was compared.
 """
 
 from __future__ import annotations
@@ -120,9 +121,9 @@ def sketches(docs: DataFrame, words_each: int) -> DataFrame:
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Marks the sketch pairs that may reach the threshold; misses one at it with a chance of about 3e-7."""
+    """Marks the sketch pairs that may reach the threshold; misses one at it with a chance of about 3e-5."""
     share = PERCENT / 100
-    least = COORDINATES * share - 5 * math.sqrt(COORDINATES * share * (1 - share))
+    least = COORDINATES * share - 4 * math.sqrt(COORDINATES * share * (1 - share))
     return (a == b).sum(axis=1) >= least
 
 
@@ -150,12 +151,25 @@ def _sketched(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(one, "src").join(other, "dst").select("src", "dst", "sketch_a", "sketch_b").mapInArrow(keep, PAIRS)
 
 
+ROOT_COORDINATES = np.array([c for _, c in ROOTS])
+GROUP_COLUMNS = ("path", "chunk", "node", "component", "sketch", "root", "compared", "spread")
+
+
 def _exhaustive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All similar pairs across components within the groups (path, chunk) of a sorted partition."""
+    """All similar pairs across components within the groups (path, chunk) of a sorted partition.
+
+    ``root`` is the number of the root child a group comes from, ``compared`` has a bit for each root child of the row whose
+    members were compared; a pair with the same token at an earlier one of those has been seen there. ``spread`` marks rows
+    that stand in one chunk only; two that stand in all chunks are compared in the first.
+    """
 
     def pairs(rows: pa.RecordBatch) -> pa.RecordBatch:
         path, chunk, node, comp = (rows.column(i).to_numpy() for i in range(4))
         sketch = _matrix(rows.column(4))
+        earlier = rows.column(6).to_numpy() & ((np.int64(1) << rows.column(5).to_numpy().astype(np.int64)) - 1)
+        spread = rows.column(7).to_numpy(zero_copy_only=False)
+        seen_at = (earlier[:, None] >> np.arange(len(ROOTS))) & 1 == 1
+        tokens = sketch[:, ROOT_COORDINATES]
         new = np.r_[True, (path[1:] != path[:-1]) | (chunk[1:] != chunk[:-1])]
         start = np.flatnonzero(new)
         size = np.diff(np.r_[start, len(path)])
@@ -166,13 +180,14 @@ def _exhaustive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = later[a:a + step]
             i = np.repeat(np.arange(a, a + len(n)), n)
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
-            across = comp[i] != comp[j]
+            across = (comp[i] != comp[j]) & (spread[i] | spread[j] | (chunk[i] == 0))
             i, j = i[across], j[across]
             ok = similar(sketch[i], sketch[j])
-            src.append(np.maximum(node[i], node[j])[ok])
-            dst.append(np.minimum(node[i], node[j])[ok])
-        found = np.unique(np.column_stack([np.concatenate(src), np.concatenate(dst)]), axis=0)
-        return _pair_batch(found[:, 0], found[:, 1])
+            i, j = i[ok], j[ok]
+            fresh = ~((tokens[i] == tokens[j]) & seen_at[i]).any(axis=1)
+            src.append(np.maximum(node[i], node[j])[fresh])
+            dst.append(np.minimum(node[i], node[j])[fresh])
+        return _pair_batch(np.concatenate(src), np.concatenate(dst))
 
     held: list[pa.RecordBatch] = []  # a group may go on in the next batch
     for batch in batches:
@@ -194,8 +209,8 @@ def _exhaustive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compared(groups: DataFrame) -> DataFrame:
-    """``groups``: path, chunk, node, component, sketch; no group has more than a few times ``LEAF`` rows."""
-    dealt = groups.select("path", "chunk", "node", "component", "sketch").repartition("path", "chunk")
+    """``groups`` has the columns ``GROUP_COLUMNS``; no group has more than a few times ``LEAF`` rows."""
+    dealt = groups.select(*GROUP_COLUMNS).repartition("path", "chunk")
     return dealt.sortWithinPartitions("path", "chunk").mapInArrow(_exhaustive, PAIRS)
 
 
@@ -212,30 +227,39 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             child = mix64(path[at] ^ mix64((coordinate << np.uint64(16)) + token + np.uint64(1)))
             rows = batch.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(child.view(np.int64)), rows.column(1), rows.column(2), rows.column(3)],
-                names=["path", "node", "component", "sketch"],
+                [pa.array(child.view(np.int64)), *rows.columns[1:]],
+                names=["path", "node", "component", "sketch", "compared"],
             )
 
 
-MEMBERS = "path long, node long, component long, sketch binary"
+MEMBERS = "path long, node long, component long, sketch binary, compared long"
+
+
+def _unsettled(members: DataFrame) -> DataFrame:
+    """Tree nodes with several components: their size, largest component, and in how many chunks to compare them.
+
+    ``chunks`` is null where the node has to branch.
+    """
+    sizes = members.groupBy("path", "component").agg(F.count("*").alias("n")).groupBy("path").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top")
+    )
+    chunks = F.when(F.col("n") <= LEAF, 1).when(F.col("n") - F.col("top.n") <= LEAF, F.ceil(F.col("top.n") / LEAF))
+    return sizes.where("n > top.n").select("path", "n", F.col("top.component").alias("top"), chunks.cast("int").alias("chunks"))
 
 
-def across_components(members: DataFrame) -> DataFrame:
-    """Similar pairs between components, of all tree nodes in ``members`` (path, node, component, sketch)."""
-    found = members.sparkSession.createDataFrame([], PAIRS)
+def across_components(placed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Similar pairs between components; ``placed`` has the members of the root children: path, root, node, component."""
+    rows = placed.join(_unsettled(placed), "path")
+    bit = F.when(F.col("chunks").isNotNull(), F.expr("shiftleft(1L, root)")).otherwise(F.lit(0))
+    seen = rows.groupBy("node").agg(F.bit_or(bit).alias("compared"))
+    open_nodes = cut(rows.join(seen, "node").join(nodes.select("node", "sketch"), "node"))
+    found = placed.sparkSession.createDataFrame([], PAIRS)
     for level in range(LEVELS + 1):
-        counts = members.groupBy("path", "component").agg(F.count("*").alias("n"))
-        sizes = (
-            counts.groupBy("path").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"))
-            .where("n > top.n").select("path", "n", F.col("top.n").alias("n_top"), F.col("top.component").alias("top"))
-        )
-        others = F.col("n") - F.col("n_top")
-        chunks = F.when(F.col("n") <= LEAF, 1).when(others <= LEAF, F.ceil(F.col("n_top") / LEAF)).cast("int")
-        open_nodes = cut(members.join(sizes.withColumn("chunks", chunks), "path"))
         leaves = open_nodes.where("chunks is not null")
+        spread = (F.col("component") == F.col("top")) | (F.col("chunks") == 1)
         own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-        place = F.when(F.col("component") == F.col("top"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))
-        found = found.unionByName(_compared(leaves.withColumn("chunk", F.explode(place))))
+        place = F.when(spread, F.array(own)).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))
+        found = found.unionByName(_compared(leaves.withColumn("spread", spread).withColumn("chunk", F.explode(place))))
         rest = open_nodes.where("chunks is null")
         if rest.isEmpty():
             break
@@ -243,9 +267,12 @@ def across_components(members: DataFrame) -> DataFrame:
             n_blocks = F.ceil(F.col("n") / LEAF).cast("int")
             block = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
             pair = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda j: F.least(j, block) * n_blocks + F.greatest(j, block))
-            found = found.unionByName(_compared(rest.withColumn("chunk", F.explode(pair))))
+            whole = rest.withColumn("spread", F.lit(True)).withColumn("chunk", F.explode(pair))
+            found = found.unionByName(_compared(whole))
         else:
-            members = rest.select("path", "node", "component", "sketch").mapInArrow(_branch, MEMBERS)
+            members = rest.select("path", "node", "component", "sketch", "compared").mapInArrow(_branch, MEMBERS)
+            members = members.withColumn("root", F.lit(len(ROOTS)))
+            open_nodes = cut(members.join(_unsettled(members), "path"))
     return cut(found.distinct())
 
 
@@ -298,7 +325,7 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFra
         .select("*", F.col("first.doc_id").alias("doc_id"), F.col("first.tag").alias("tag"), F.monotonically_increasing_id().alias("node"))
         .drop("first")
     )
-    placed = nodes.select(F.explode("paths").alias("path"), "node")
+    placed = nodes.select(F.posexplode("paths").alias("root", "path"), "node")
     order = F.xxhash64("path", "node")  # another pair in each child, so a large group is tied together by many of its members
     sizes = placed.groupBy("path").agg(
         F.count("*").alias("n"), F.min_by("node", order).alias("low"), F.max_by("node", order).alias("high")
@@ -308,9 +335,10 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFra
     stars = stars.select(F.greatest("node", "dst").alias("src"), F.least("node", "dst").alias("dst")).distinct()
     links = confirmed(cut(_sketched(stars, nodes)), nodes, docs, words_each)
     known = components(links)
-    more = shared.where("n > 2").select("path", "node").join(known, "node", "left").join(nodes.select("node", "sketch"), "node")
-    members = more.select("path", "node", F.coalesce("component", "node").alias("component"), "sketch")
-    links = links.unionByName(confirmed(across_components(members), nodes, docs, words_each))
+    members = shared.where("n > 2").select("path", "root", "node").join(known, "node", "left")
+    members = members.withColumn("component", F.coalesce("component", "node"))
+    more = confirmed(across_components(members, nodes), nodes, docs, words_each)
+    links = known.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more)
     grouped = nodes.select("node", "doc_id", *of_set).join(components(links), "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
