@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from coffer.plans.views import (
     APP_USER, AS_OF, CLIENT_AS_OF, CORPORATE, EVENT_AS_OF, EVENT_MART_AS_OF, FIXED_DEPOSIT, RETAIL_PRODUCTS, TABLES, Bank,
 )
 from coffer.session import shared_dir
-from coffer.sources import incremental
+from coffer.sources import incremental, readers, sinks
 from coffer.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,6 +250,58 @@ def _(t):
     )
 
 
+# -- sinks, read back: these queries write when they are built ---------------------------------------------------------
+
+
+@query("append_load")
+def _(t):
+    """Two loads into one table: what was there, then what is new."""
+    path = _folder(t, "append_load")
+    sinks.append_rows(_loaded_events(t), path)
+    there = t.spark.read.schema(TABLES["events"]).parquet(path)
+    sinks.append_rows(incremental.incremental_since(t.table("events"), there, "event_id"), path)
+    return t.spark.read.schema(TABLES["events"]).parquet(path)
+
+
+@query("saved_table")
+def _(t):
+    """A report saved as a table of the catalog and read by its name."""
+    name = f"saved_{uuid.uuid4().hex}"
+    sinks.save_table(t.account.groupBy("product_id", "product_name").agg(F.count(F.lit(1)).alias("accounts")), name)
+    return t.spark.table(name)
+
+
+@query("staged_tables")
+def _(t):
+    """Tables staged by name, one of them from where its target stopped; the rows of each."""
+    root, loaded = _folder(t, "staged"), _loaded_events(t)
+    sinks.append_rows(loaded, f"{root}/events")
+    write = lambda df, name: (sinks.append_rows if name == "events" else sinks.overwrite_snapshot)(df, f"{root}/{name}")
+    names = ["region", "nation", "customer", "events"]
+    incremental.stage_tables(names, t.table, write, {"events": (loaded, "event_id")})
+    counts = [t.spark.read.schema(TABLES[n]).parquet(f"{root}/{n}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
+              for n in names]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("csv_file")
+def _(t):
+    """A report written as CSV with a header, and read as a reference list."""
+    path = _folder(t, "csv")
+    signups = t.client.select("client_id", "client_name", "client_tier", "referred_by_id")
+    sinks.write_csv(signups, path)
+    return readers.read_csv_list(t.spark, path, signups.schema)
+
+
+@query("reference_list_join")
+def _(t):
+    """Clients of a reference list that is kept as a file."""
+    path = _folder(t, "list")
+    sinks.write_csv(t.staff, path)
+    staff_list = readers.read_csv_list(t.spark, path, t.staff.schema)
+    return t.client.join(staff_list, F.col("referred_by_id") == F.col("staff_id")).select("client_id", "staff_id", "staff_name")
+
+
 # -- codes, classes, text ----------------------------------------------------------------------------------------------
 
 
