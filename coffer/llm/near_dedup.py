@@ -38,6 +38,8 @@ SHINGLE_WORDS = 4
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
 COORDINATES, TREES = 128, 10
+#: Further tokens, one byte each, that only tell close pairs apart.
+FINE = 384
 #: Members of a tree node that are compared exhaustively by one task: what a row costs there at most.
 LEAF = 1024
 #: Pairs whose sketches are compared at once.
@@ -51,6 +53,7 @@ GROUP_TEXTS, HASH_BITS = 4096, 52
 
 _DRAW = np.random.default_rng(20_240_229)
 MULTIPLIERS = _DRAW.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+FINE_MULTIPLIERS = _DRAW.integers(0, 1 << 31, FINE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 #: (tree, coordinate) selected at the roots: one each, and a second one in every fourth tree.
 ROOTS = [(t, t) for t in range(TREES)] + [(t, TREES + t) for t in range(0, TREES, 4)]
 
@@ -102,7 +105,13 @@ def _sketch(batch: pa.RecordBatch, words_each: int) -> pa.RecordBatch:
             tokens[full, k] = np.minimum.reduceat(mixed * multiplier, starts)
     paths = np.column_stack([mix64(mix64(tokens[:, c]) + np.uint64(t * COORDINATES + c + 1)) for t, c in ROOTS])
     width = len(ROOTS)
-    sketch = ((tokens >> np.uint64(9)) & np.uint64(0xFFFF)).astype("<u2")
+    fine = np.zeros((n, FINE), np.uint8)
+    if len(full):
+        half = (mixed >> np.uint64(32)).astype(np.uint32)
+        for k, multiplier in enumerate(FINE_MULTIPLIERS):
+            fine[full, k] = (np.minimum.reduceat(half * multiplier, starts) >> np.uint32(5)).astype(np.uint8)
+    coarse = ((tokens >> np.uint64(9)) & np.uint64(0xFFFF)).astype("<u2")
+    sketch = np.hstack([coarse.view(np.uint8), fine])
     return pa.RecordBatch.from_arrays(
         [batch.column(0), batch.column(2), pa.array(sizes.astype(np.int64)), pa.array(set_a.view(np.int64)),
          pa.array(set_b.view(np.int64)),
@@ -120,15 +129,31 @@ def sketches(docs: DataFrame, words_each: int) -> DataFrame:
     return _rows(docs).mapInArrow(lambda batches: (_sketch(b, words_each) for b in _grouped(batches)), SKETCH_SCHEMA)
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Marks the sketch pairs that may reach the threshold; misses one at it with a chance of about 3e-5."""
+def _least(coordinates: int) -> float:
+    """Equal tokens below which a pair is let go: four standard deviations less than the threshold has on average."""
     share = PERCENT / 100
-    least = COORDINATES * share - 4 * math.sqrt(COORDINATES * share * (1 - share))
-    return (a == b).sum(axis=1) >= least
+    return coordinates * share - 4 * math.sqrt(coordinates * share * (1 - share))
+
+
+Sketches = tuple[np.ndarray, np.ndarray]
+
+
+def similar(one: Sketches, i: np.ndarray, other: Sketches, j: np.ndarray) -> np.ndarray:
+    """Marks the pairs of rows i and j that may reach the threshold; misses one at it with a chance of about 6e-5.
+
+    The fine tokens are looked at only where the others agree enough.
+    """
+    equal = (one[0][i] == other[0][j]).sum(axis=1)
+    ok = equal >= _least(COORDINATES)
+    at = np.flatnonzero(ok)
+    ok[at] = equal[at] + (one[1][i[at]] == other[1][j[at]]).sum(axis=1) >= _least(COORDINATES + FINE)
+    return ok
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, COORDINATES)
+def _matrix(column: pa.Array) -> Sketches:
+    """16-bit tokens and fine tokens of each row."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2 * COORDINATES + FINE)
+    return np.ascontiguousarray(raw[:, : 2 * COORDINATES]).view("<u2"), raw[:, 2 * COORDINATES :]
 
 
 PAIRS = "src long, dst long"
@@ -143,7 +168,8 @@ def _sketched(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = similar(_matrix(batch.column(2)), _matrix(batch.column(3)))
+            rows = np.arange(batch.num_rows)
+            ok = similar(_matrix(batch.column(2)), rows, _matrix(batch.column(3)), rows)
             yield _pair_batch(batch.column(0).to_numpy()[ok], batch.column(1).to_numpy()[ok])
 
     one = nodes.select(F.col("node").alias("src"), F.col("sketch").alias("sketch_a"))
@@ -169,7 +195,7 @@ def _exhaustive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         earlier = rows.column(6).to_numpy() & ((np.int64(1) << rows.column(5).to_numpy().astype(np.int64)) - 1)
         spread = rows.column(7).to_numpy(zero_copy_only=False)
         seen_at = (earlier[:, None] >> np.arange(len(ROOTS))) & 1 == 1
-        tokens = sketch[:, ROOT_COORDINATES]
+        tokens = sketch[0][:, ROOT_COORDINATES]
         new = np.r_[True, (path[1:] != path[:-1]) | (chunk[1:] != chunk[:-1])]
         start = np.flatnonzero(new)
         size = np.diff(np.r_[start, len(path)])
@@ -182,7 +208,7 @@ def _exhaustive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
             across = (comp[i] != comp[j]) & (spread[i] | spread[j] | (chunk[i] == 0))
             i, j = i[across], j[across]
-            ok = similar(sketch[i], sketch[j])
+            ok = similar(sketch, i, sketch, j)
             i, j = i[ok], j[ok]
             fresh = ~((tokens[i] == tokens[j]) & seen_at[i]).any(axis=1)
             src.append(np.maximum(node[i], node[j])[fresh])
@@ -218,7 +244,7 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Children of each row's tree node: one, or in every fourth node two, coordinates that the path selects."""
     for batch in batches:
         path = batch.column(0).to_numpy().view(np.uint64)
-        sketch = _matrix(batch.column(3))
+        sketch, _ = _matrix(batch.column(3))
         chosen = mix64(path + np.uint64(0x2545F4914F6CDD1D))
         for turn in range(2):
             at = np.flatnonzero((chosen >> np.uint64(40)) % np.uint64(4) == 0) if turn else np.arange(len(path))
@@ -296,7 +322,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words_each: int) -> DataFrame:
     """The pairs that are links on their full sets, which are made again from the texts of these nodes only."""
-    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    wanted = pairs.select(F.col("src").alias("node")).distinct().unionByName(pairs.select(F.col("dst").alias("node")).distinct()).distinct()
     keys = cut(nodes.join(wanted, "node").select("node", F.col("doc_id").alias("key_id"), F.col("tag").alias("key_tag")))
     near = F.broadcast(keys) if keys.count() <= SENT_KEYS else keys
     match = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("tag") == F.col("key_tag"))
