@@ -15,7 +15,8 @@ Members of a tree node are compared as follows, so that a hot group never means
    components. One in which all but a few members are in one component is compared in chunks: each chunk holds part of
    that component and all the others. Any other node branches again.
 
-Comparison is by the minwise sketch, with a margin of four standard deviations; what passes is confirmed on the full sets.
+Comparison is by the minwise tokens and then by ``FINE`` further ones, with a margin of four standard deviations; what passes
+is confirmed on the full sets, for which only the texts of those nodes are read again.
 A pair that meets in several trees is passed on by the first root child only in which it was compared.
 """
 
