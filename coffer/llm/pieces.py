@@ -3,8 +3,8 @@
 Byte-pair merges never cross a piece of a tokenizer's splitting pattern, and in both patterns used here a piece never goes
 on over a blank that a non-blank follows. So a text's tokens are those of its blank-separated chunks in order, and each
 distinct chunk is encoded once per worker and then remembered. Texts on which two regular-expression engines could
-disagree (rare scripts, control characters, combining marks), texts with runs of blanks and texts that hold a special
-string go through the tokenizer whole.
+disagree (rare scripts, control characters, combining marks), texts with runs of blanks where these are tokens, and texts
+that hold a special string go through the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 #: Distinct chunks remembered by a worker before it starts afresh.
 REMEMBERED = 300_000
 #: What else than letters, digits and signs of the basic Latin blocks, general punctuation and the euro sign there is.
-UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa0-\u024f\u2010-\u2027\u2030-\u205e\u20ac]|  ")
+UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa0-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
 
 
 def byte_letters() -> dict[str, int]:
@@ -49,9 +49,10 @@ def specials(tokenizer: Tokenizer) -> list[str]:
     return [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
 
-def unusual(texts: list[str], special: list[str]) -> np.ndarray:
-    """Marks the texts that the tokenizer must see whole."""
-    found = [UNUSUAL.search(t) is not None or any(s in t for s in special) for t in texts]
+def unusual(texts: list[str], special: list[str], runs: bool) -> np.ndarray:
+    """Marks the texts that the tokenizer must see whole; with ``runs`` also those with runs of blanks, if they are tokens."""
+    apart = [*special, "  "] if runs else special
+    found = [UNUSUAL.search(t) is not None or any(s in t for s in apart) for t in texts]
     return np.array(found, dtype=bool)
 
 

@@ -75,7 +75,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
         texts = batch.column(1).to_pylist()
         codes, counts, distinct = chunks_of(batch.column(1))
         begins = np.cumsum(counts) - counts
-        rare = unusual(texts, state["special"])
+        rare = unusual(texts, state["special"], runs=True)
         used = np.zeros(len(distinct), bool)
         after = ~np.repeat(rare, counts)
         after[begins] = False  # the first chunk has no blank before it

@@ -59,7 +59,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
         texts = batch.column(1).to_pylist()
         codes, counts, distinct = chunks_of(batch.column(1))
         used = np.zeros(len(distinct), bool)
-        rare = unusual(texts, state["special"])
+        rare = unusual(texts, state["special"], runs=False)
         used[codes[~np.repeat(rare, counts)]] = True
         memory, values = state["memory"], np.zeros(len(distinct), np.int64)
         at = np.flatnonzero(used)
