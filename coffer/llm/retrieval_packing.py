@@ -196,12 +196,15 @@ def _last_in_powers(pieces: list, sequence: int, total: int) -> list:
     return whole
 
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary, slot long"
 
 
-def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES,
+         order: DataFrame | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and the ids themselves.
 
+    ``order`` (doc_id, tag, slot; once each) says in which order seeds are taken. Pieces then have the column ``slot`` too,
+    the slot of the document that begins their sequence; read by it, sequences follow the order.
     Null and empty texts are one token, the end id. Every row is packed by itself, also if rows repeat an id and text.
     Sequence ids are unique, not gapless: the shard in the upper, the number in the shard in the lower 32 bits. An empty
     table gives no pieces.
@@ -212,23 +215,30 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
     shard_no = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(n_shards)).alias("shard")
 
     def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["no_id", "doc_id", "tag"], kind="stable")
+        pdf = pdf.sort_values(["slot", "no_id", "doc_id", "tag"], kind="stable")
         tokens = [np.append(np.frombuffer(x, "<u2"), np.uint16(end_id)) for x in pdf["ids"]]
         pieces = pack_shard(tokens, window)
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
         cuts = [tokens[d][a:a + n].astype("<u4").tobytes() for d, a, n, _, _ in pieces]
         ids = pd.array(pdf["doc_id"].to_numpy()[doc], dtype="Int64")
         ids[pdf["no_id"].to_numpy()[doc]] = pd.NA
+        first = dict(zip(sequence[offset == 0], pdf["slot"].to_numpy()[doc[offset == 0]], strict=True))
         return pd.DataFrame({
             "doc_id": ids, "start": start, "length": length, "ids_crc32": [zlib.crc32(c) for c in cuts],
             "doc_tokens": np.array([len(t) for t in tokens])[doc], "sequence_id": (int(key[0]) << 32) + sequence,
-            "offset": offset, "ids": cuts,
+            "offset": offset, "ids": cuts, "slot": [first[k] for k in sequence],
         })
 
-    rows = tokenised(docs, path).select(
-        shard_no, F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "tag", "ids"
+    rows = tokenised(docs, path).withColumn("slot", F.lit(0).cast("long"))
+    if order is not None:
+        slots = order.select(F.col("doc_id").alias("key_id"), F.col("tag").alias("key_tag"), F.col("slot").alias("key_slot"))
+        same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("tag") == F.col("key_tag"))
+        rows = rows.join(slots, same, "left").withColumn("slot", F.coalesce("key_slot", F.lit((1 << 63) - 1)))
+    rows = rows.select(
+        shard_no, F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "tag", "ids", "slot"
     )
-    return rows.groupBy("shard").applyInPandas(fill, SCHEMA)
+    packed = rows.groupBy("shard").applyInPandas(fill, SCHEMA)
+    return packed if order is not None else packed.drop("slot")
 
 
 def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

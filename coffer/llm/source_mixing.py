@@ -29,6 +29,8 @@ TEMPERATURE = 0.95
 PART_ROWS = 20_000
 #: Stands for a null source while rows are grouped.
 NO_SOURCE = "\x00"
+#: Stands behind every slot.
+NO_SLOT = (1 << 63) - 1
 
 
 def slots_per_period(weights: dict, period: int = PERIOD) -> dict:
@@ -99,8 +101,9 @@ def mix(docs: DataFrame, weights: dict | None = None, block_bytes: int = BLOCK_B
     """doc_id, source, tag (hash of the text), block, slot and in_mix of every row.
 
     ``weights`` names target weights by source; without it they follow the sources' bytes to ``power``. Rows of sources
-    without a weight have no slot. The mix goes on until the first source has no block for its next slot; rows behind
-    that slot are surplus (``in_mix`` false), as no order of them could hold the weights. A null source is a source of
+    without a weight have no slot. A source ends with its last block; its later slots stay empty, so the others go on in
+    proportion to their own weights. ``in_mix`` marks the rows before the first empty slot: up to there the weights of
+    all sources hold, behind it those of the sources that are left. A null source is a source of
     its own, named None in ``weights``. Null texts weigh ``ROW_BYTES``. Rows that repeat an id stand next to each
     other. An empty table gives no rows.
     """
@@ -135,6 +138,21 @@ def in_mix(docs: DataFrame) -> DataFrame:
     return docs.join(taken, same, "left_semi")
 
 
+def slots_of(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, tag and slot, once each; rows that repeat id and text have the first of their slots."""
+    return mix(docs, **options).groupBy("doc_id", "tag").agg(F.min("slot").alias("slot"))
+
+
+def in_order(docs: DataFrame, **options) -> DataFrame:
+    """All rows of ``docs`` in the order of their slots; those without one come last."""
+    keys = slots_of(docs, **options).select(
+        F.col("doc_id").alias("_key_id"), F.col("tag").alias("_key_tag"), F.coalesce("slot", F.lit(NO_SLOT)).alias("_key_slot")
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_key_id")) & (F.xxhash64(text_of()) == F.col("_key_tag"))
+    order = ["_key_slot", "_key_id", "_key_tag"]
+    return docs.join(keys, same).orderBy(*order).drop(*order)
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every document in the mix of the sources."""
     return mix(documents(spark, sf_dir)).drop("tag")

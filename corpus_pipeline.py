@@ -31,13 +31,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the schedule takes before the first source runs dry, so that sources have their target weights."""
-    return source_mixing.in_mix(docs)
+    """All documents in the order of the schedule; a source that runs dry leaves the rest in their proportions."""
+    return source_mixing.in_order(docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in windows of related documents, with their token ids."""
-    return retrieval_packing.pack(docs)
+    """The pieces of all documents in windows of related documents, with their token ids and the slot of the window.
+
+    The slots are those of the stage before, which kept every row: they follow from the rows alone.
+    """
+    return retrieval_packing.pack(docs, order=source_mixing.slots_of(docs))
 
 
 STAGES = [

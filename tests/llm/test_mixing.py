@@ -43,3 +43,43 @@ def test_awkward_rows(awkward, no_docs):
     assert not any(r.in_mix for r in some if r.source in ("b", "c"))
     assert op.mix(no_docs).count() == 0
     assert op.in_mix(awkward).columns == awkward.columns
+
+
+def test_stage_keeps_every_document_when_a_source_runs_dry(make_docs):
+    # one block of "typo", three larger sources over many periods
+    docs = make_docs([(-1, "one small text", "en", "typo")] + [
+        (i, prose(i, 30), "en", "hot" if i % 3 else f"s{i % 2}") for i in range(3000)
+    ])
+    options = {"block_bytes": 2000, "period": 16}
+    rows = op.mix(docs, **options).collect()
+    slot = {r.doc_id: r.slot for r in rows}
+    assert max(slot.values()) > 10 * 16 and sum(r.in_mix for r in rows) < 1000
+    got = [r.doc_id for r in op.in_order(docs, **options).collect()]
+    assert sorted(got) == sorted(slot) and [slot[i] for i in got] == sorted(slot.values())
+    # brute force: each period again, block by block, without the blocks that a source does not have
+    blocks = {k: max(r.block for r in rows if r.source == k) + 1 for k in ("typo", "hot", "s0", "s1")}
+    sizes = {k: sum(len(prose(i, 30).encode()) + op.ROW_BYTES for i in range(3000) if ("hot" if i % 3 else f"s{i % 2}") == k) for k in blocks}
+    sizes["typo"] = len("one small text") + op.ROW_BYTES
+    slots = op.slots_per_period({k: n ** op.TEMPERATURE for k, n in sizes.items()}, 16)
+    plan, had, want = op.schedule(slots), Counter(), {}
+    for turn in range(max(blocks.values()) + 1):
+        for k, _, at in plan:
+            if had[k] < blocks[k]:
+                want[k, had[k]] = turn * 16 + at
+            had[k] += 1
+    assert {(r.source, r.block): r.slot for r in rows} == want
+    # once "typo" is dry, those that are left are within two blocks each of their renormalised weights
+    dry = sorted((s, k) for (k, _), s in want.items())
+    dry = dry[[k for _, k in dry].index("typo") + 1:]
+    end = min(max(s for s, k in dry if k == one) for one in ("hot", "s0", "s1"))
+    left, total, seen = sum(slots.values()) - slots["typo"], 0, Counter()
+    for s, k in dry:
+        if s > end:
+            break
+        seen[k], total = seen[k] + 1, total + 1
+        assert all(abs(seen[one] - slots[one] / left * total) < 4 for one in ("hot", "s0", "s1"))
+
+
+def test_in_order_on_awkward_rows(awkward, no_docs):
+    assert sorted(map(str, op.in_order(awkward, block_bytes=500).collect())) == sorted(map(str, awkward.collect()))
+    assert op.in_order(no_docs).count() == 0

@@ -74,3 +74,14 @@ def test_bm25_scores_against_the_formula():
     want = idf * 3 * (op.K1 + 1) / (3 + op.K1 * (1 - op.B + op.B * 4 / mean))
     at = slice(index.term_start[term], index.term_start[term + 1])
     assert dict(zip(index.doc[at], index.weight[at], strict=True))[doc] == want
+
+
+def test_seeds_follow_the_given_order(spark, make_docs):
+    docs = make_docs([(i, prose(i, 60)) for i in range(80)], clashing=False)
+    tags = docs.selectExpr("doc_id", "xxhash64(text) tag", "100 - doc_id AS slot")
+    rows = op.pack(docs, window=128, order=tags).collect()
+    assert {r.doc_id for r in rows} == set(range(80))
+    begins = {r.sequence_id: 100 - r.doc_id for r in rows if r.offset == 0}
+    assert all(r.slot == begins[r.sequence_id] for r in rows)
+    first = min(rows, key=lambda r: (r.sequence_id, r.offset))
+    assert first.doc_id == 79
