@@ -1,10 +1,15 @@
 """Lexical retrieval packing: documents fill a window next to their BM25 neighbours.
 
-Documents become token ids and are dealt into shards by a hash; the number of shards grows with the bytes of the table, so
-a shard has about ``SHARD_BYTES`` of text whatever the size or source. A shard's task builds a BM25 inverted index over its
-documents, with token ids as terms, and packs it: the document that begins a window is its seed, the index ranks the
-unused documents of the shard by the seed's rarest terms, and these follow in that order until the window is full. The
-last one is cut there and its rest is the seed of the next window. Without a neighbour the next unused document follows.
+Documents become token ids and are dealt into shards by content; the number of shards grows with the bytes of the table, so
+a shard has about ``SHARD_BYTES`` of text whatever the size or source. The key of a document is a row of minwise terms, where
+a term's chance to be drawn is in proportion to its idf, so two documents draw the same with the probability that their
+idf-weighted sets overlap. Documents in the order of their keys are cut into shards: equal ones stand together, and a group
+too large for a shard is parted by its further terms, at last by a hash. A seed's neighbours in other shards are not found.
+
+A shard's task builds a BM25 inverted index over its documents, with token ids as terms and the idf of the whole table, and
+packs it: the document that begins a window is its seed, the index ranks the unused documents of the shard by the seed's
+rarest terms, and these follow in that order until the window is full. The last one is cut there and its rest is the seed of
+the next window. Without a neighbour the next unused document follows.
 
 Only the end of a shard does not fill a window. It is cut into sequences of powers of two, which need no padding.
 """
@@ -14,6 +19,8 @@ from __future__ import annotations
 import json
 import math
 import zlib
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -22,9 +29,10 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from coffer.llm.common import documents, map_texts, text_of
+from coffer.llm.common import cut, documents, map_texts, mix64, text_of
 from coffer.llm.pieces import Memory, byte_letters, chunks_of, joined, specials, sums, unusual
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -35,6 +43,9 @@ SHARD_BYTES = 4_000_000
 #: Terms of a seed that are looked up, rarest first, and the largest share of a shard that a term may occur in.
 QUERY_TERMS, COMMON = 16, 0.1
 K1, B = 1.2, 0.75
+#: Minwise terms of a document's key, and documents looked at per shard to find where shards begin.
+KEY_TERMS, SAMPLED = 8, 24
+IDS = 1 << 16
 #: Fixed value: the splitting pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -111,10 +122,113 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
     return map_texts(rows, encode, "doc_id long, tag long, ids binary")
 
 
+class Corpus(NamedTuple):
+    """Documents of the table, their mean length, and in how many of them each id occurs."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+    @property
+    def idf(self) -> np.ndarray:
+        return np.log1p((self.n - self.df + 0.5) / (self.df + 0.5))
+
+
+def corpus_of(rows: DataFrame, end_id: int) -> Corpus:
+    """Counts over all ``ids``, each with the end id behind it; one number per id of the vocabulary comes to the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, total = np.zeros(IDS, np.int64), 0, 0
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                ids = np.sort(np.append(np.frombuffer(x, "<u2"), np.uint16(end_id)), kind="stable")
+                df[ids[np.r_[True, ids[1:] != ids[:-1]]]] += 1
+                n, total = n + 1, total + len(ids)
+        term = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[-2, -1, term], pa.int64()), pa.array(np.r_[n, total, df[term]], pa.int64())], names=["term", "n"]
+        )
+
+    sums_of = rows.select("ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = {r["term"]: r["n"] for r in sums_of}
+    n, total = found.pop(-2, 0), found.pop(-1, 0)
+    df = np.zeros(IDS, np.int64)
+    df[list(found)] = list(found.values())
+    return Corpus(n, total / max(1, n), df)
+
+
+def term_orders(corpus: Corpus) -> np.ndarray:
+    """For each of ``KEY_TERMS`` draws the place of every id; the first place in a document is drawn.
+
+    Places follow exponential values divided by the idf. Ids of a single document come last: nothing shares them.
+    """
+    weight = np.where(corpus.df > 1, corpus.idf, 0)
+    places = np.empty((KEY_TERMS, IDS), np.uint16)
+    numbers = np.arange(IDS, dtype=np.uint64)
+    for k in range(KEY_TERMS):
+        uniform = ((mix64(mix64(numbers + np.uint64(k * IDS + 1))) >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+        with np.errstate(divide="ignore"):
+            order = np.argsort(-np.log(uniform) / weight, kind="stable")
+        places[k, order] = np.arange(IDS)
+    return places
+
+
+def content_keys(ids: list[bytes], hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A sortable key per document: the places of its drawn terms, then a hash. Documents without ids come last."""
+    sizes = np.array([len(x) // 2 for x in ids], np.int64)
+    full = np.flatnonzero(sizes)
+    drawn = np.full((len(ids), KEY_TERMS), IDS - 1, ">u2")
+    if len(full):
+        flat = np.frombuffer(b"".join(ids), "<u2")
+        starts = (np.cumsum(sizes) - sizes)[full]
+        for k in range(KEY_TERMS):
+            drawn[full, k] = np.minimum.reduceat(places[k][flat], starts)
+    tail = hashes.astype(">i8").view(np.uint8).reshape(-1, 8)
+    raw = np.ascontiguousarray(np.hstack([drawn.view(np.uint8).reshape(len(ids), -1), tail]))
+    return raw.view(f"S{raw.shape[1]}").reshape(-1)
+
+
+def dealt(rows: DataFrame, n_shards: int, corpus: Corpus) -> DataFrame:
+    """``rows`` (doc_id, tag, ids, ...) with their shard. Shards begin at keys of a sample that a hash selects."""
+    if n_shards == 1:
+        return rows.withColumn("shard", F.lit(0).cast("long"))
+    places = term_orders(corpus)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            made = content_keys(ids, batch.column(1).to_numpy(), places)
+            raw = [made[k:k + 1].tobytes() for k in range(len(made))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(raw, pa.binary()), pa.array([len(x) + 2 for x in ids], pa.int64())], names=["key", "size"]
+            )
+
+    share = min(1.0, SAMPLED * n_shards / max(1, corpus.n))
+    few = rows.select("ids", F.xxhash64("doc_id", "tag").alias("hash")).where(F.pmod(F.xxhash64("hash"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = sorted((bytes(r["key"]), r["size"]) for r in few.mapInArrow(keys, "key binary, size long").collect())
+    weight = np.cumsum([size for _, size in sample])
+    wanted = np.arange(1, n_shards) * (weight[-1] / n_shards) if len(sample) else []
+    begins = [sample[k][0] for k in np.searchsorted(weight, wanted)]
+    terms = [key[:2 * KEY_TERMS] for key in begins]
+    # a shard begins with all documents of its first terms, unless those fill more than a shard
+    begins = [b if t == last else t for b, t, last in zip(begins, terms, [None, *terms], strict=False)]
+    bounds = np.array(begins, f"S{2 * KEY_TERMS + 8}")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = content_keys(batch.column("ids").to_pylist(), batch.column("hash").to_numpy(), places)
+            shard = np.searchsorted(bounds, made, side="right").astype(np.int64)
+            kept = batch.drop_columns(["hash"])
+            yield kept.append_column("shard", pa.array(shard))
+
+    out = StructType([*rows.schema.fields, StructField("shard", LongType())])
+    return rows.withColumn("hash", F.xxhash64("doc_id", "tag")).mapInArrow(place, out)
+
+
 class ShardIndex:
-    """BM25 postings of a shard: for each term the documents and their weights."""
+    """BM25 postings of a shard: for each term the documents and their weights. Without ``corpus`` the shard is all there is."""
 
-    def __init__(self, tokens: list[np.ndarray]):
+    def __init__(self, tokens: list[np.ndarray], corpus: Corpus | None = None):
         n = len(tokens)
         sizes = np.array([len(t) for t in tokens], np.int64)
         flat = np.concatenate(tokens).astype(np.int64) if n else np.zeros(0, np.int64)
@@ -124,8 +238,9 @@ class ShardIndex:
         df = np.bincount(term, minlength=width)
         kept = (df[term] > 1) & (df[term] <= max(2, COMMON * n))
         term, doc, times = term[kept], doc[kept], times[kept]
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        length = 1 - B + B * sizes[doc] / max(1.0, sizes.mean() if n else 1.0)
+        corpus = corpus or Corpus(n, sizes.mean() if n else 1.0, df)
+        idf = corpus.idf
+        length = 1 - B + B * sizes[doc] / max(1.0, corpus.mean)
         self.doc, self.n = doc, n
         self.weight = idf[term] * times * (K1 + 1) / (times + K1 * length)
         self.term_start = np.searchsorted(term, np.arange(width + 1))
@@ -146,9 +261,9 @@ class ShardIndex:
         return found[np.lexsort((found, -score))[:most]]
 
 
-def pack_shard(tokens: list[np.ndarray], window: int) -> list[tuple[int, int, int, int, int]]:
+def pack_shard(tokens: list[np.ndarray], window: int, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of a shard's documents, which are not empty."""
-    index = ShardIndex(tokens)
+    index = ShardIndex(tokens, corpus)
     unused = np.ones(len(tokens), bool)
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence, offset, following, seed = 0, 0, 0, -1
@@ -212,12 +327,13 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
     path = path or public_tokenizers.path(VOCABULARY)
     total = docs.agg(F.sum(F.octet_length(text_of()) + 4)).first()[0] or 0
     n_shards = max(1, math.ceil(total / shard_bytes))
-    shard_no = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(n_shards)).alias("shard")
+    coded = cut(tokenised(docs, path))
+    corpus = corpus_of(coded, end_id)
 
     def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["slot", "no_id", "doc_id", "tag"], kind="stable")
         tokens = [np.append(np.frombuffer(x, "<u2"), np.uint16(end_id)) for x in pdf["ids"]]
-        pieces = pack_shard(tokens, window)
+        pieces = pack_shard(tokens, window, corpus)
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
         cuts = [tokens[d][a:a + n].astype("<u4").tobytes() for d, a, n, _, _ in pieces]
         ids = pd.array(pdf["doc_id"].to_numpy()[doc], dtype="Int64")
@@ -229,13 +345,14 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
             "offset": offset, "ids": cuts, "slot": [first[k] for k in sequence],
         })
 
-    rows = tokenised(docs, path).withColumn("slot", F.lit(0).cast("long"))
+    rows = coded.withColumn("slot", F.lit(0).cast("long"))
     if order is not None:
         slots = order.select(F.col("doc_id").alias("key_id"), F.col("tag").alias("key_tag"), F.col("slot").alias("key_slot"))
         same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("tag") == F.col("key_tag"))
         rows = rows.join(slots, same, "left").withColumn("slot", F.coalesce("key_slot", F.lit((1 << 63) - 1)))
-    rows = rows.select(
-        shard_no, F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "tag", "ids", "slot"
+    rows = rows.select("doc_id", "tag", "ids", "slot")
+    rows = dealt(rows, n_shards, corpus).select(
+        "shard", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "tag", "ids", "slot"
     )
     packed = rows.groupBy("shard").applyInPandas(fill, SCHEMA)
     return packed if order is not None else packed.drop("slot")

@@ -85,3 +85,25 @@ def test_seeds_follow_the_given_order(spark, make_docs):
     assert all(r.slot == begins[r.sequence_id] for r in rows)
     first = min(rows, key=lambda r: (r.sequence_id, r.offset))
     assert first.doc_id == 79
+
+
+def test_related_documents_meet_in_one_of_many_shards(make_docs):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(150):  # twins under other ids, one of them with a tenth of its words changed
+        words = prose(k, 60).split(" ")
+        twin = [prose(9000 + k * 60 + i, 1) if rng.random() < 0.1 else w for i, w in enumerate(words)]
+        rows += [(k, " ".join(words)), (1000 + k, " ".join(words)), (2000 + k, " ".join(twin))]
+    shards = {r.doc_id: r.sequence_id >> 32 for r in check(make_docs(rows), 128, shard_bytes=6000)}
+    assert len(set(shards.values())) > 15
+    assert np.mean([shards[k] == shards[1000 + k] for k in range(150)]) > 0.9
+    assert np.mean([shards[k] == shards[2000 + k] for k in range(150)]) > 0.5
+
+
+def test_hot_group_is_parted(make_docs):
+    docs = make_docs([(i, prose(1, 60)) for i in range(300)])
+    rows = check(docs, 128, shard_bytes=10_000)
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.sequence_id >> 32] += r.length
+    assert len(sizes) > 5 and max(sizes.values()) < 4 * sum(sizes.values()) / len(sizes)
