@@ -7,9 +7,10 @@ idf-weighted sets overlap. Documents in the order of their keys are cut into sha
 too large for a shard is parted by its further terms, at last by a hash. A seed's neighbours in other shards are not found.
 
 A shard's task builds a BM25 inverted index over its documents, with token ids as terms and the idf of the whole table, and
-packs it: the document that begins a window is its seed, the index ranks the unused documents of the shard by the seed's
-rarest terms, and these follow in that order until the window is full. The last one is cut there and its rest is the seed of
-the next window. Without a neighbour the next unused document follows.
+packs it: the document that begins a window is its seed, the index ranks the unused documents of the shard by all terms of
+the seed, and these follow in that order until the window is full. The last one is cut there and its rest is the seed of
+the next window. Where the seed has no neighbour left, the document last placed is the seed; without a neighbour of that
+the next unused document follows.
 
 Only the end of a shard does not fill a window. It is cut into sequences of powers of two, which need no padding.
 """
@@ -40,8 +41,6 @@ WINDOW = 2048
 #: Follows the ids of every document.
 END_ID = 1
 SHARD_BYTES = 4_000_000
-#: Terms of a seed that are looked up, rarest first, and the largest share of a shard that a term may occur in.
-QUERY_TERMS, COMMON = 16, 0.1
 K1, B = 1.2, 0.75
 #: Minwise terms of a document's key, and documents looked at per shard to find where shards begin.
 KEY_TERMS, SAMPLED = 8, 24
@@ -236,7 +235,7 @@ class ShardIndex:
         keys, times = np.unique(flat * n + np.repeat(np.arange(n), sizes), return_counts=True)
         term, doc = keys // max(1, n), keys % max(1, n)
         df = np.bincount(term, minlength=width)
-        kept = (df[term] > 1) & (df[term] <= max(2, COMMON * n))
+        kept = df[term] > 1  # nothing shares the others
         term, doc, times = term[kept], doc[kept], times[kept]
         corpus = corpus or Corpus(n, sizes.mean() if n else 1.0, df)
         idf = corpus.idf
@@ -244,21 +243,32 @@ class ShardIndex:
         self.doc, self.n = doc, n
         self.weight = idf[term] * times * (K1 + 1) / (times + K1 * length)
         self.term_start = np.searchsorted(term, np.arange(width + 1))
-        by = np.lexsort((term, df[term], doc))  # each document's terms, rarest first
-        self.own_terms = term[by]
+        by = np.argsort(doc, kind="stable")
+        self.own_terms, self.own_weight = term[by], self.weight[by]
         self.own_start = np.searchsorted(doc[by], np.arange(n + 1))
+        self.asked = np.zeros(width)
+        self._search_in(np.arange(n))
+
+    def _search_in(self, docs: np.ndarray) -> None:
+        """Keeps the terms and weights of ``docs``, one after another, for the searches to come."""
+        docs = docs[self.own_start[docs + 1] > self.own_start[docs]]
+        begin, size = self.own_start[docs], self.own_start[docs + 1] - self.own_start[docs]
+        self.live, self.live_start = docs, np.cumsum(size) - size
+        self.live_terms = joined(self.own_terms, begin, size)
+        self.live_weight = joined(self.own_weight, begin, size)
 
     def neighbours(self, seed: int, unused: np.ndarray, most: int) -> np.ndarray:
-        """Unused documents by falling score for the seed's rarest terms; at most ``most``."""
-        terms = self.own_terms[self.own_start[seed]:self.own_start[seed + 1]][:QUERY_TERMS]
-        begin = self.term_start[terms]
-        at = joined(np.arange(len(self.doc)), begin, self.term_start[terms + 1] - begin)
-        at = at[unused[self.doc[at]]]
-        if not len(at):
-            return at
-        found, inverse = np.unique(self.doc[at], return_inverse=True)
-        score = np.bincount(inverse, weights=self.weight[at])
-        return found[np.lexsort((found, -score))[:most]]
+        """Unused documents by falling score for all terms of the seed; at most ``most``."""
+        if 2 * np.count_nonzero(unused[self.live]) < len(self.live):
+            self._search_in(self.live[unused[self.live]])
+        if not len(self.live):
+            return self.live
+        terms = self.own_terms[self.own_start[seed]:self.own_start[seed + 1]]
+        self.asked[terms] = 1
+        score = np.add.reduceat(self.live_weight * self.asked[self.live_terms], self.live_start)
+        self.asked[terms] = 0
+        at = np.flatnonzero((score > 0) & unused[self.live])
+        return self.live[at[np.argsort(-score[at], kind="stable")[:most]]]
 
 
 def pack_shard(tokens: list[np.ndarray], window: int, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
@@ -266,14 +276,17 @@ def pack_shard(tokens: list[np.ndarray], window: int, corpus: Corpus | None = No
     index = ShardIndex(tokens, corpus)
     unused = np.ones(len(tokens), bool)
     pieces: list[tuple[int, int, int, int, int]] = []
-    sequence, offset, following, seed = 0, 0, 0, -1
+    sequence, offset, following, seed, placed = 0, 0, 0, -1, -1
     queue: list[int] = []
     while True:
         while queue and not unused[queue[0]]:
             queue.pop(0)
         if not queue and seed >= 0:
             queue = index.neighbours(seed, unused, window).tolist()
-            seed = -1  # asked once
+            seed, placed = -1, placed if placed != seed else -1  # asked once
+        if not queue and placed >= 0:
+            seed, placed = placed, -1
+            continue
         if not queue:
             while following < len(tokens) and not unused[following]:
                 following += 1
@@ -282,6 +295,7 @@ def pack_shard(tokens: list[np.ndarray], window: int, corpus: Corpus | None = No
             queue = [following]
         doc = queue.pop(0)
         unused[doc] = False
+        placed = doc
         if offset == 0:
             seed, queue = doc, []
         start = 0
@@ -293,6 +307,7 @@ def pack_shard(tokens: list[np.ndarray], window: int, corpus: Corpus | None = No
                 sequence, offset = sequence + 1, 0
                 # the rest of the document, if any, begins the next window
                 seed, queue = (doc, []) if start < len(tokens[doc]) else (-1, [])
+                placed = seed
     return _last_in_powers(pieces, sequence, offset)
 
 

@@ -107,3 +107,34 @@ def test_hot_group_is_parted(make_docs):
     for r in rows:
         sizes[r.sequence_id >> 32] += r.length
     assert len(sizes) > 5 and max(sizes.values()) < 4 * sum(sizes.values()) / len(sizes)
+
+
+def test_neighbours_by_all_terms_against_brute_force():
+    rng = np.random.default_rng(7)
+    words = np.arange(100, 130)  # a family of a third of the documents, beside noise that any may share
+    tokens = [np.r_[rng.integers(0, 90, 40), rng.choice(words, 20) if k % 3 == 0 else rng.integers(200, 900, 20)] for k in range(90)]
+    tokens = [t.astype(np.uint16) for t in tokens]
+    n, mean = len(tokens), np.mean([len(t) for t in tokens])
+    df = np.bincount(np.concatenate([np.unique(t) for t in tokens]))
+
+    def score(seed, doc):
+        total = 0.0
+        for t in set(tokens[seed].tolist()) & set(tokens[doc].tolist()):
+            times = int((tokens[doc] == t).sum())
+            total += np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * times * (op.K1 + 1) / (times + op.K1 * (1 - op.B + op.B * len(tokens[doc]) / mean))
+        return total
+
+    index, unused = op.ShardIndex(tokens), np.ones(n, bool)
+    for seed in range(n):  # ever fewer are unused
+        unused[seed] = False
+        got = index.neighbours(seed, unused, n).tolist()
+        left = [d for d in range(n) if unused[d] and score(seed, d) > 0]
+        assert sorted(got) == left
+        scores = [score(seed, d) for d in got]
+        assert all(a >= b - 1e-9 for a, b in zip(scores, scores[1:], strict=False))
+
+
+def test_last_placed_document_is_the_next_seed():
+    tokens = [np.array(t, np.uint16) for t in ([1, 2], [50, 51], [2, 3], [60, 61], [3, 4], [4, 5])]
+    pieces = op.pack_shard(tokens, 12)
+    assert [p[0] for p in sorted(pieces, key=lambda p: (p[3], p[4]))] == [0, 2, 4, 5, 1, 3]
