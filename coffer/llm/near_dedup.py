@@ -4,8 +4,9 @@ A document is the set of its word shingles. Documents of equal sets are one node
 tree branches its members by selected ones: the root selects one or two coordinates, every member goes to the
 child of its token there, and children branch again as their own path selects. 5 / 4 coordinates are selected on
 average, so a pair at the threshold of 0.8 meets in one child per branching as a mean, and pairs below it die out.
-``TREES`` independent trees make up for those that part: a pair at the threshold misses each other in one tree with
-probability 0.16 after one level and 0.42 after four, so in all ten with less than 0.0002.
+``TREES`` independent trees make up for those that part: a pair at the threshold misses each other in all of them with a
+probability of less than 0.0001 after three branchings. Nodes that branch further select more coordinates (``SECOND``), which
+keeps it under 0.0002 after any number of branchings up to ``LEVELS``; ``missed`` computes it.
 
 Members of a tree node are compared as follows, so that a hot group never means all pairs:
 
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,8 @@ LEAF = 1024
 PAIR_BLOCK = 32_768
 #: Branchings after which what is left is compared in pairs of blocks.
 LEVELS = 10
+#: Share of nodes that select a second coordinate, in quarters, at each branching.
+SECOND = (1, 1, 1, 4, 4, 4, 2, 2, 2, 2)
 #: Nodes whose sets are sought by sending their keys to all tasks; beyond it by a shuffle.
 SENT_KEYS = 200_000
 #: Texts hashed together; a shingle keeps 52 bits beside the number of its text.
@@ -59,6 +63,15 @@ FINE_MULTIPLIERS = _DRAW.integers(0, 1 << 31, FINE, dtype=np.uint32) * np.uint32
 ROOTS = [(t, t) for t in range(TREES)] + [(t, TREES + t) for t in range(0, TREES, 4)]
 
 
+def missed(branchings: int, similarity: float = PERCENT / 100) -> float:
+    """Probability that a pair meets in no child of any tree after so many branchings."""
+    apart = 0.0
+    for quarters in reversed(SECOND[:branchings]):
+        one = 1 - similarity + similarity * apart
+        apart = (1 - quarters / 4) * one + quarters / 4 * one * one
+    return (1 - similarity + similarity * apart) ** len(ROOTS)
+
+
 def shingles(texts: pa.Array, words_each: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of at most ``GROUP_TEXTS`` texts, one text after another, and how many each has."""
     codes, counts, distinct = words_of(pc.ascii_lower(texts))
@@ -241,14 +254,14 @@ def _compared(groups: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("path", "chunk").mapInArrow(_exhaustive, PAIRS)
 
 
-def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Children of each row's tree node: one, or in every fourth node two, coordinates that the path selects."""
+def _branch(batches: Iterator[pa.RecordBatch], quarters: int) -> Iterator[pa.RecordBatch]:
+    """Children of each row's tree node: one, or in so many quarters of the nodes two, coordinates that the path selects."""
     for batch in batches:
         path = batch.column(0).to_numpy().view(np.uint64)
         sketch, _ = _matrix(batch.column(3))
         chosen = mix64(path + np.uint64(0x2545F4914F6CDD1D))
         for turn in range(2):
-            at = np.flatnonzero((chosen >> np.uint64(40)) % np.uint64(4) == 0) if turn else np.arange(len(path))
+            at = np.flatnonzero((chosen >> np.uint64(40)) % np.uint64(4) < quarters) if turn else np.arange(len(path))
             coordinate = (chosen[at] >> np.uint64(16 * turn)) % np.uint64(COORDINATES)
             token = sketch[at, coordinate.astype(np.int64)].astype(np.uint64)
             child = mix64(path[at] ^ mix64((coordinate << np.uint64(16)) + token + np.uint64(1)))
@@ -297,7 +310,9 @@ def across_components(placed: DataFrame, nodes: DataFrame) -> DataFrame:
             whole = rest.withColumn("spread", F.lit(True)).withColumn("chunk", F.explode(pair))
             found = found.unionByName(_compared(whole))
         else:
-            members = rest.select("path", "node", "component", "sketch", "compared").mapInArrow(_branch, MEMBERS)
+            members = rest.select("path", "node", "component", "sketch", "compared").mapInArrow(
+                partial(_branch, quarters=SECOND[level]), MEMBERS
+            )
             members = members.withColumn("root", F.lit(len(ROOTS)))
             open_nodes = cut(members.join(_unsettled(members), "path"))
     return cut(found.distinct())

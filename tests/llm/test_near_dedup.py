@@ -96,3 +96,18 @@ def test_one_of_each_keeps_one_document_per_group(awkward):
     assert kept.columns == awkward.columns
     ids = sorted((r.doc_id, r.text) for r in kept.select("doc_id", "text").collect() if r.doc_id is not None)
     assert [i for i, _ in ids] == [-5, 1, 3, 4, 5, 6, 8, 10, 11]
+
+
+def test_chance_of_a_miss_at_any_depth():
+    assert len(op.SECOND) == op.LEVELS
+    assert all(op.missed(k) < 0.0002 for k in range(op.LEVELS + 1))
+
+
+def test_small_leaves_against_brute_force(make_docs, monkeypatch):
+    monkeypatch.setattr(op, "LEAF", 12)  # nodes are compared whole, in chunks, and after branching
+    rows = [(i, t) for i, t in enumerate(variants(prose(7, 100), 60, 4, 99))]
+    shared = prose(8, 80)
+    for k in range(60):  # a template family below the threshold, each with a pair above it
+        own = shared + " " + prose(1000 + k, 25)
+        rows += [(1000 + k, own), (2000 + k, own.rsplit(" ", 1)[0] + " end")]
+    check(make_docs(rows))
