@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from coffer.llm import (
-    exact_dedup, kd_sharding, line_dedup, near_dedup, quality_ranking, repetition_rules, retrieval_packing,
-    source_mixing, token_counts, toxicity_neighbours,
+    code_compression, embedding_whitening, exact_dedup, kd_sharding, license_scan, line_dedup, near_dedup, quality_ranking,
+    repetition_rules, retrieval_packing, source_mixing, token_counts, toxicity_neighbours,
 )
 
 MODULES = (
     exact_dedup, near_dedup, kd_sharding, retrieval_packing, quality_ranking, toxicity_neighbours, line_dedup,
-    source_mixing, repetition_rules, token_counts,
+    source_mixing, repetition_rules, token_counts, license_scan, code_compression, embedding_whitening,
 )
 
 
