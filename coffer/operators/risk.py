@@ -157,17 +157,11 @@ def limit_utilisation(payments: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def limit_band_alerts(
-    events: DataFrame, limit: float, first_band: int = 50, carried: DataFrame | None = None
-) -> DataFrame:
-    """First event of each day that reaches each 10 % band of the limit, from ``first_band`` to below 100 %.
+def first_in_bands(running: DataFrame, limit: float, first_band: int = 50) -> DataFrame:
+    """First event per day and 10 % band, from ``first_band`` to below 100 %, of events with the amount ``used`` up to each.
 
-    ``events``: date, ts, id, amount. A day's total is never scanned in one task, see ``running_total_over_day``; the
-    first event of a band is a ``min`` with map-side combine. ``carried`` (date, carried) is what a day had used before.
+    The first event is a ``min`` with map-side combine.
     """
-    running = running_total_over_day(events, "date", "ts", "id", "amount", "used")
-    if carried is not None:
-        running = running.join(carried, "date", "left").withColumn("used", F.col("used") + F.coalesce("carried", F.lit(0)))
     band = F.floor(F.col("used") * 10 / F.lit(limit)) * 10
     return (
         running.withColumn("band", band.cast("int"))
@@ -179,6 +173,14 @@ def limit_band_alerts(
     )
 
 
+def limit_band_alerts(events: DataFrame, limit: float, first_band: int = 50) -> DataFrame:
+    """First event of each day that reaches each 10 % band of the limit, from ``first_band`` to below 100 %.
+
+    ``events``: date, ts, id, amount. A day's total is never scanned in one task, see ``running_total_over_day``.
+    """
+    return first_in_bands(running_total_over_day(events, "date", "ts", "id", "amount", "used"), limit, first_band)
+
+
 def settlement_position(
     outward: DataFrame, inward: DataFrame, now: dt.datetime, threshold: int, cut_hour: int = 14,
     holidays: Iterable[DateLike] = (),

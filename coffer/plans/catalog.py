@@ -1202,8 +1202,8 @@ def _kept_up(t: Tables, name: str, stream: DataFrame, keys: list[str]) -> DataFr
 @query("stream_incremental_append")
 def _(t):
     folder, stream = _folder(t, "append"), _event_stream(t)
-    jobs.run_append(stream, f"{folder}/rows", f"{folder}/state", "event_id")
-    return jobs.parts(t.spark, f"{folder}/rows", stream.schema).drop("batch")
+    jobs.run_append(stream, f"{folder}/rows", f"{folder}/state", "event_id", repeats_within="1 hour")
+    return jobs.appended(t.spark, f"{folder}/rows", stream.schema)
 
 
 @query("stream_tumbling_10min")
@@ -1218,7 +1218,7 @@ def _(t):
     folder = _folder(t, "bands")
     events = _event_stream(t).select(F.to_date("ts").alias("date"), "ts", F.col("event_id").alias("id"), "amount")
     jobs.run_band_alerts(events, folder, f"{folder}/state", DAILY_LIMIT)
-    return jobs.parts(t.spark, f"{folder}/alerts", jobs.ALERT_SCHEMA).drop("batch")
+    return jobs.band_alerts(t.spark, folder)
 
 
 @query("stream_settlement_cycles")
