@@ -73,14 +73,14 @@ RFM_SEGMENTS: Sequence[tuple[str, str]] = (
 
 
 def first_mark(upper: Column, rules: Sequence[tuple[str, tuple[str, ...]]]) -> Column:
-    """Name of the first rule with a mark contained in the (upper-case) text; null where none is."""
-    chain: Column | None = None
-    for name, marks in rules:
-        hit = F.contains(upper, F.lit(marks[0]))
-        for mark in marks[1:]:
-            hit = hit | F.contains(upper, F.lit(mark))
-        chain = F.when(hit, name) if chain is None else chain.when(hit, name)
-    return chain
+    """Name of the first rule with a mark contained in the (upper-case) text; null where none is.
+
+    The rules are data, one constant array, so the generated code stays as small as it is for a single rule. Meant for
+    distinct codes, see ``operators.bills``.
+    """
+    table = F.array(*[F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, marks)).alias("marks")) for name, marks in rules])
+    hits = F.filter(table, lambda rule: F.exists(rule["marks"], lambda mark: F.contains(upper, mark)))
+    return F.get(hits, F.lit(0))["name"]
 
 
 def airtime_brand(upper: Column) -> Column:

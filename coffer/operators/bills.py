@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coffer.functions.text import airtime_brand, biller_name, code_or_remarks
+from coffer.operators.joins import left_join_known
 
 
 def with_code_text(purchases: DataFrame) -> DataFrame:
@@ -13,22 +14,37 @@ def with_code_text(purchases: DataFrame) -> DataFrame:
     return purchases.withColumn("biller_code", code_or_remarks(F.col("biller_code"), F.col("remarks")))
 
 
-def with_biller(purchases: DataFrame) -> DataFrame:
-    """Biller by rule. The code is upper-cased once, in a column of its own, for the dozens of rules to look at."""
-    upper = purchases.withColumn("_upper", F.upper("biller_code"))
-    return upper.withColumn("biller_by_rule", biller_name(F.col("_upper"), F.col("biller_code"))).drop("_upper")
+def classified_codes(purchases: DataFrame, width: int | None = None) -> DataFrame:
+    """Each known ``biller_code`` in use once, with its airtime ``brand`` and its ``biller_by_rule``.
+
+    Codes are few and purchases many: dozens of rules look at each text once, and purchases take the answer by an equi
+    join. Spark broadcasts the codes where their size allows it.
+    """
+    codes = purchases.select("biller_code").filter(F.col("biller_code").isNotNull()).distinct()
+    upper = F.upper("biller_code")
+    return codes.select(
+        "biller_code", airtime_brand(upper).alias("brand"), biller_name(upper, F.col("biller_code"), width).alias("biller_by_rule")
+    )
+
+
+def with_biller(purchases: DataFrame, width: int | None = None) -> DataFrame:
+    """Purchases with the biller by rule; one without a code has none."""
+    return left_join_known(purchases, classified_codes(purchases, width).drop("brand"), "biller_code").select(*purchases.columns, "biller_by_rule")
 
 
 def airtime_transactions(purchases: DataFrame) -> DataFrame:
     """Purchases whose code names an airtime brand, with the brand."""
-    upper = with_code_text(purchases).withColumn("_upper", F.upper("biller_code"))
-    return upper.withColumn("brand", airtime_brand(F.col("_upper"))).filter(F.col("brand").isNotNull()).drop("_upper")
+    coded = with_code_text(purchases)
+    branded = classified_codes(coded).filter(F.col("brand").isNotNull()).drop("biller_by_rule")
+    return coded.join(branded, "biller_code").select(*coded.columns, "brand")
 
 
 def bills_transactions(purchases: DataFrame) -> DataFrame:
-    """Purchases that are not airtime, with the biller by rule: one pass, as the brand is seen in the row itself."""
-    upper = with_code_text(purchases).withColumn("_upper", F.upper("biller_code"))
-    return with_biller(upper.filter(airtime_brand(F.col("_upper")).isNull()).drop("_upper"))
+    """Purchases that are not airtime, with the biller by rule. A purchase without a code is kept; no rule knows it."""
+    coded = with_code_text(purchases)
+    others = classified_codes(coded).filter(F.col("brand").isNull()).drop("brand")
+    named = coded.join(others, "biller_code").select(*coded.columns, "biller_by_rule")
+    return named.unionByName(coded.filter(F.col("biller_code").isNull()).withColumn("biller_by_rule", F.lit(None).cast("string")))
 
 
 def unmapped_codes(purchases: DataFrame, known: DataFrame) -> DataFrame:

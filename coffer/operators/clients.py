@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coffer.functions import bands
+from coffer.operators.joins import left_join_known, referrers
 
 
 def decode_client(clients: DataFrame) -> DataFrame:
@@ -82,15 +83,12 @@ def account_type(
 
 def client_or_group(accounts: DataFrame, clients: DataFrame, groups: DataFrame) -> DataFrame:
     """Owner of each account: the client, or the group where the account has no client."""
-    return (
-        accounts.join(clients.select("client_id", "client_name"), "client_id", "left")
-        .join(groups, "group_id", "left")
-        .select(
-            "account_id",
-            "account_no",
-            F.coalesce("client_id", "group_id").alias("owner_id"),
-            F.coalesce("client_name", "group_name").alias("owner_name"),
-        )
+    named = left_join_known(accounts, clients.select("client_id", "client_name"), "client_id")
+    return left_join_known(named, groups, "group_id").select(
+        "account_id",
+        "account_no",
+        F.coalesce("client_id", "group_id").alias("owner_id"),
+        F.coalesce("client_name", "group_name").alias("owner_name"),
     )
 
 
@@ -143,13 +141,9 @@ def onboarding(
     applications: DataFrame, clients: DataFrame, risk: DataFrame
 ) -> DataFrame:
     """Business applications with client, risk band and referrer name."""
-    names = clients.select(F.col("client_id").alias("referred_by_id"), F.col("client_name").alias("referrer_name"))
-    return (
-        applications.join(clients.select("client_id", "client_name", "client_tier", "referred_by_id"), "client_id", "left")
-        .join(risk, "client_id", "left")
-        .join(names, "referred_by_id", "left")
-        .select(
-            "application_id", "client_id", "client_name", "client_tier", "created_on",
-            "risk_score", bands.risk_band(F.col("risk_score")).alias("risk_rating"), "referrer_name",
-        )
+    known = left_join_known(applications, clients.select("client_id", "client_name", "client_tier", "referred_by_id"), "client_id")
+    rated = left_join_known(known, risk, "client_id")
+    return left_join_known(rated, referrers(clients, "referrer_name"), "referred_by_id").select(
+        "application_id", "client_id", "client_name", "client_tier", "created_on",
+        "risk_score", bands.risk_band(F.col("risk_score")).alias("risk_rating"), "referrer_name",
     )

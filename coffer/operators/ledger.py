@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coffer.functions.dates import DateLike, as_date, day, on_day
@@ -73,28 +73,32 @@ def closing_balance_carried(yesterday: DataFrame, txns: DataFrame, on: DateLike)
     )
 
 
-def _carried_balance(
-    accounts: DataFrame, txns: DataFrame, first: dt.date, last: dt.date, unit: str, keep: Sequence[str]
+def _held_balances(
+    accounts: DataFrame, txns: DataFrame, first: dt.date, last: dt.date, unit: str, keep: Sequence[str],
+    opening: DataFrame | None = None,
 ) -> DataFrame:
-    """Balance per account at the end of each ``unit`` (day or month) of a span; ``date`` is the unit's first day.
+    """Balances of a span as intervals: ``begins`` and ``until`` are the first and last ``unit`` (day or month) they hold.
 
     Only units in which an account moved are shuffled: movements are summed to one row per account and unit (everything
-    before the span is the opening), the balance is carried over those rows, and each row is spread over the units it
-    holds for at the very end, inside its task. Rows per account are bounded by the units of the span.
+    before the span is the opening) and the balance is carried over those rows. Rows per account are bounded by the units
+    of the span. With an ``opening`` (account_id, closing_balance) its balances stand for all that ``txns`` leave out.
     """
     to_unit = (lambda c: F.trunc(c, "month")) if unit == "month" else F.to_date
-    opening = to_unit(F.date_sub(F.lit(first), 1))
+    before = to_unit(F.date_sub(F.lit(first), 1))
     signed = F.when(F.col("type_enum") == 1, F.col("amount")).otherwise(-F.col("amount"))
     moves = (
         txns.filter(F.col("transaction_date") < day(last, 1))
-        .select("account_id", F.greatest(to_unit("transaction_date"), opening).alias("date"), signed.alias("moved"))
+        .select("account_id", F.greatest(to_unit("transaction_date"), before).alias("date"), signed.alias("moved"))
         .groupBy("account_id", "date")
         .agg(F.sum("moved").alias("moved"))
     )
     held = accounts.filter(F.col("approvedon_date") <= F.lit(last)).select(
         "account_id", *keep, to_unit("approvedon_date").alias("since")
     )
-    unmoved = held.select("account_id", opening.alias("date"), F.lit(None).cast("decimal(28,2)").alias("moved"))
+    # a row per account, so that one that did not move has an interval too
+    unmoved = held.select("account_id", before.alias("date"), F.lit(None).cast("decimal(28,2)").alias("moved"))
+    if opening is not None:
+        unmoved = unmoved.unionByName(opening.select("account_id", before.alias("date"), F.col("closing_balance").alias("moved")))
     per_account = Window.partitionBy("account_id").orderBy("date")
     before_next = F.add_months("next_date", -1) if unit == "month" else F.date_sub("next_date", 1)
     return (
@@ -104,16 +108,20 @@ def _carried_balance(
         .withColumn("closing_balance", F.sum("moved").over(per_account.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("next_date", F.lead("date").over(per_account))
         .join(held, "account_id")
-        .withColumn("_begin", F.greatest("date", to_unit(F.lit(first)), "since"))
-        .withColumn("_until", F.coalesce(before_next, to_unit(F.lit(last))))
-        .filter(F.col("_begin") <= F.col("_until"))
-        .select(
-            "account_id", *keep,
-            F.explode(F.sequence("_begin", "_until", F.expr(f"interval 1 {unit}"))).alias("date"), "closing_balance",
-        )
+        .withColumn("begins", F.greatest("date", to_unit(F.lit(first)), "since"))
+        .withColumn("until", F.coalesce(before_next, to_unit(F.lit(last))))
+        .filter(F.col("begins") <= F.col("until"))
+        .select("account_id", *keep, "begins", "until", "closing_balance")
     )
 
 
+def _spread(held: DataFrame, unit: str) -> DataFrame:
+    """A row per unit that a balance holds for: in the task that has the interval, after the last shuffle."""
+    units = F.sequence("begins", "until", F.expr(f"interval 1 {unit}"))
+    keep = [c for c in held.columns if c not in ("begins", "until", "closing_balance")]
+    return held.select(*keep, F.explode(units).alias("date"), "closing_balance")
+
+
 ACCOUNT_COLUMNS = ("account_no", "product_id")
 
 
@@ -124,26 +132,57 @@ def closing_balance_daily(
 
     A day without movement repeats the day before; an account that has not moved yet has a null balance.
     """
-    return _carried_balance(accounts, txns, as_date(start), as_date(end), "day", keep)
+    return _spread(balance_intervals(accounts, txns, start, end, keep), "day")
+
+
+def balance_intervals(
+    accounts: DataFrame, txns: DataFrame, start: DateLike, end: DateLike, keep: Sequence[str] = ACCOUNT_COLUMNS,
+    opening: DataFrame | None = None,
+) -> DataFrame:
+    """``closing_balance_daily`` without its repetitions: each balance once, with the first and last day it holds.
+
+    ``opening`` (account_id, closing_balance): balances before the rows of ``txns``, which then need not reach back further.
+    """
+    return _held_balances(accounts, txns, as_date(start), as_date(end), "day", keep, opening)
+
+
+def closing_balance_backfill(
+    accounts: DataFrame, statements: DataFrame, snapshots: DataFrame, start: DateLike, end: DateLike,
+    keep: Sequence[str] = ACCOUNT_COLUMNS,
+) -> DataFrame:
+    """``closing_balance_daily`` of many days from one stored snapshot and the movements since.
+
+    ``snapshots``: account_id, closing_balance, date; the last one before ``start`` is taken, whichever that is when the query
+    runs. ``statements`` is the transaction table in folders by ``year``: years after the span are left out when the query
+    is planned, years before the snapshot when its date is known. Without a snapshot the whole history is read.
+    """
+    first, last = as_date(start), as_date(end)
+    earlier = snapshots.filter(F.col("date") < F.lit(first))
+    # a scalar subquery: found once, then a filter on folders and rows
+    taken = earlier.agg(F.coalesce(F.max("date"), F.lit("0001-01-01").cast("date"))).scalar()
+    since = statements.filter(
+        (F.col("year") <= last.year) & (F.col("year") >= F.year(taken)) & (F.to_date("transaction_date") > taken)
+    )
+    opening = earlier.filter(F.col("date") == taken)
+    return _spread(balance_intervals(accounts, since, first, last, keep, opening), "day")
 
 
 def closing_balance_monthly(
     accounts: DataFrame, txns: DataFrame, start: DateLike, end: DateLike, keep: Sequence[str] = ACCOUNT_COLUMNS
 ) -> DataFrame:
     """Balance of each account on the last day of each month of a span that ends with a month."""
-    balances = _carried_balance(accounts, txns, as_date(start), as_date(end), "month", keep)
-    return balances.withColumn("date", F.last_day("date"))
+    held = _held_balances(accounts, txns, as_date(start), as_date(end), "month", keep)
+    return _spread(held, "month").withColumn("date", F.last_day("date"))
 
 
 def transactions_enriched(
     txns: DataFrame, clients: DataFrame, groups: DataFrame, accounts: DataFrame, settlements: DataFrame
 ) -> DataFrame:
     """Transactions with owner (client or group), account category and settlement channel."""
-    owner = (
-        accounts.select("account_id", "group_id", F.col("client_id").alias("_client"))
-        .join(clients.select(F.col("client_id").alias("_client"), "client_name"), "_client", "left")
-        .join(groups, "group_id", "left")
-        .select("account_id", F.coalesce("client_name", "group_name").alias("owner_name"))
+    held = accounts.select("account_id", "group_id", F.col("client_id").alias("_client"))
+    named = left_join_known(held, clients.select(F.col("client_id").alias("_client"), "client_name"), "_client")
+    owner = left_join_known(named, groups, "group_id").select(
+        "account_id", F.coalesce("client_name", "group_name").alias("owner_name")
     )
     return (
         txns.join(owner, "account_id", "left")
@@ -294,25 +333,46 @@ def monthly_balance_totals(daily: DataFrame) -> DataFrame:
     )
 
 
-def average_balance_by_month(daily: DataFrame, keys: Sequence[str] = ("account_no",)) -> DataFrame:
-    """Mean of the known daily balances per key and month. Days without a known balance do not count."""
-    return daily.groupBy(*keys, F.date_format("date", "yyyy-MM").alias("month")).agg(
-        (F.sum("closing_balance").cast("double") / F.count("closing_balance")).alias("avg_balance")
+def _days_by_month(held: DataFrame) -> DataFrame:
+    """Balance intervals cut at month ends: the month (its first day) and the days held in it."""
+    months = F.sequence(F.trunc("begins", "month"), F.trunc("until", "month"), F.expr("interval 1 month"))
+    cut = held.withColumn("month_start", F.explode(months))
+    from_day, to_day = F.greatest("begins", "month_start"), F.least("until", F.last_day("month_start"))
+    return cut.withColumn("days", F.datediff(to_day, from_day) + 1)
+
+
+def _mean_by_days() -> Column:
+    """Mean of known balances, each as often as the days it holds."""
+    known = F.when(F.col("closing_balance").isNotNull(), F.col("days"))
+    return F.sum(F.col("closing_balance") * F.col("days")).cast("double") / F.sum(known)
+
+
+def average_balance_by_month(held: DataFrame, keys: Sequence[str] = ("account_no",)) -> DataFrame:
+    """Mean daily balance per key and month, from ``balance_intervals``. Days without a known balance do not count.
+
+    A balance weighs as many days as it holds; there is no row per day.
+    """
+    return _days_by_month(held).groupBy(*keys, F.date_format("month_start", "yyyy-MM").alias("month")).agg(
+        _mean_by_days().alias("avg_balance")
     )
 
 
-def average_balance_wide(daily: DataFrame, keys: Sequence[str], months: Sequence[str]) -> DataFrame:
-    """Mean daily balance per key with one column per month of a given list (``yyyy-MM``)."""
-    mean = (F.sum("closing_balance").cast("double") / F.count("closing_balance"))
+def average_balance_wide(held: DataFrame, keys: Sequence[str], months: Sequence[str]) -> DataFrame:
+    """Mean daily balance per key with one column per month of a given list (``yyyy-MM``), from ``balance_intervals``."""
     return (
-        daily.withColumn("month", F.date_format("date", "yyyy-MM"))
+        _days_by_month(held).withColumn("month", F.date_format("month_start", "yyyy-MM"))
         .groupBy(*keys)
         .pivot("month", list(months))
-        .agg(mean.alias("avg"))
+        .agg(_mean_by_days().alias("avg"))
         .withColumnsRenamed({m: f"avg_balance_{m.replace('-', '_')}" for m in months})
     )
 
 
+def as_intervals(daily: DataFrame) -> DataFrame:
+    """A stored table of daily balances as intervals of a day each, for the means above."""
+    return daily.withColumns({"begins": F.col("date"), "until": F.col("date")}).drop("date")
+
+
 def long_to_wide_balances(daily: DataFrame, key: str, days: Sequence[DateLike]) -> DataFrame:
     """One row per key with one column per day of a given list, named ``yyyy_MM_dd``."""
     names = [as_date(d).strftime("%Y_%m_%d") for d in days]

@@ -11,6 +11,7 @@ from coffer.functions import bands
 from coffer.functions.dates import DateLike, as_date, day, last_full_month, yesterday
 from coffer.functions.measures import percent_of, sum_when
 from coffer.functions.text import percent_text
+from coffer.operators.joins import left_join_known, referrers
 
 
 def lookup_codes(df: DataFrame, codes: DataFrame, wanted: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -110,31 +111,43 @@ def open_or_closed_this_year(items: DataFrame, columns: Sequence[str], as_of: Da
     return kept.select(*columns).distinct()
 
 
-def collections(txns: DataFrame, as_of: DateLike) -> DataFrame:
-    """Credits of each account in the last 30 and 90 days, and the last credit, in one pass."""
+def collections(txns: DataFrame, as_of: DateLike, last_known: DataFrame | None = None) -> DataFrame:
+    """Credits of each account in the last 30 and 90 days, and the last credit, in one pass.
+
+    With ``last_known`` (account_id, last_collection_date), the table that an earlier run kept, only 90 days are read: the bound
+    is a filter on the scan, and an account that had no credit since has the date of the kept table.
+    """
     ts = F.col("transaction_date")
     recent = lambda days: (ts >= day(as_of, -days)) & (ts < day(as_of, 1))
-    return (
-        txns.filter((F.col("type_enum") == 1) & (F.col("is_reversed") == "No"))
-        .groupBy("account_id")
-        .agg(
-            sum_when(recent(30), "amount").alias("one_month_collection"),
-            sum_when(recent(90), "amount").alias("three_month_collection"),
-            F.max("transaction_date").cast("date").alias("last_collection_date"),
+    credits_ = txns.filter((F.col("type_enum") == 1) & (F.col("is_reversed") == "No")).select("account_id", "transaction_date", "amount")
+    if last_known is not None:
+        kept = last_known.select(
+            "account_id", F.col("last_collection_date").cast(credits_.schema["transaction_date"].dataType).alias("transaction_date"),
+            F.lit(None).cast(credits_.schema["amount"].dataType).alias("amount"),
         )
+        credits_ = credits_.filter(ts >= day(as_of, -90)).unionByName(kept)
+    return credits_.groupBy("account_id").agg(
+        sum_when(recent(30), "amount").alias("one_month_collection"),
+        sum_when(recent(90), "amount").alias("three_month_collection"),
+        F.max("transaction_date").cast("date").alias("last_collection_date"),
     )
 
 
-def overdraft_book(accounts: DataFrame, clients: DataFrame, txns: DataFrame, as_of: DateLike) -> DataFrame:
-    """Every overdraft with drawn amount, maturity band, collections, ratios to the limit and account officer."""
+def overdraft_book(
+    accounts: DataFrame, clients: DataFrame, txns: DataFrame, as_of: DateLike, last_known: DataFrame | None = None
+) -> DataFrame:
+    """Every overdraft with drawn amount, maturity band, collections, ratios to the limit and account officer.
+
+    Overdrafts are few, so credits are reduced to their accounts before they are summed.
+    """
     books = accounts.filter(F.col("overdraft_start").isNotNull())
-    officer = clients.select(F.col("client_id").alias("referred_by_id"), F.col("client_name").alias("account_officer"))
+    of_books = txns.join(books.select("account_id"), "account_id", "left_semi")
     zero = F.lit(0).cast("decimal(18,2)")
     ratio = lambda c: percent_of(F.coalesce(c, zero), F.col("overdraft_limit"))
+    owned = books.join(clients.select("client_id", "client_name", "referred_by_id"), "client_id")
     return (
-        books.join(clients.select("client_id", "client_name", "referred_by_id"), "client_id")
-        .join(officer, "referred_by_id", "left")
-        .join(collections(txns, as_of), "account_id", "left")
+        left_join_known(owned, referrers(clients, "account_officer"), "referred_by_id")
+        .join(collections(of_books, as_of, last_known), "account_id", "left")
         .select(
             "account_id", "account_no", "client_name", "overdraft_limit",
             F.col("balance").alias("principal_balance"),

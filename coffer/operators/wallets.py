@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coffer.functions.dates import DateLike, last_days
+from coffer.functions.dates import DateLike, day, last_days
 from coffer.functions.measures import total
 from coffer.functions.text import thousands
 from coffer.operators.marts import intra_inter_measures
@@ -149,13 +149,19 @@ def kpi_rows(one_row: DataFrame) -> DataFrame:
     return texts.unpivot([], [F.col(f"`{c}`") for c in texts.columns], "metric", "value")
 
 
-def mean_deposit_last_week(daily: DataFrame, accounts: DataFrame, as_of: DateLike) -> DataFrame:
-    """Mean daily balance over the seven days before ``as_of`` of each listed account; unknown days do not count."""
+def mean_deposit_last_week(held: DataFrame, accounts: DataFrame, as_of: DateLike) -> DataFrame:
+    """Mean daily balance over the seven days before ``as_of`` of each listed account, from ``ledger.balance_intervals``.
+
+    A balance weighs the days of the week that it holds; unknown days do not count.
+    """
+    first, last = F.date_sub(day(as_of), 7).cast("date"), F.date_sub(day(as_of), 1).cast("date")
+    days = F.datediff(F.least("until", last), F.greatest("begins", first)) + 1
+    known = F.when(F.col("closing_balance").isNotNull(), F.col("days"))
     return (
-        daily.filter(last_days(F.col("date"), as_of, 7))
+        held.withColumn("days", days).filter(F.col("days") > 0)
         .join(accounts.select("account_no"), "account_no", "left_semi")
         .groupBy("account_no")
-        .agg((F.sum("closing_balance").cast("double") / F.count("closing_balance")).alias("avg_deposit"))
+        .agg((F.sum(F.col("closing_balance") * F.col("days")).cast("double") / F.sum(known)).alias("avg_deposit"))
     )
 
 

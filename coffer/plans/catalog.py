@@ -218,6 +218,25 @@ def _(t):
     return incremental.exact_row_repair(repeated)
 
 
+@query("repeats_repaired_in_place")
+def _(t):
+    """A partitioned table in which some days were loaded twice; only their folders are written again."""
+    path = _folder(t, "repair")
+    events = t.table("events").withColumn("day", F.to_date("ts"))
+    twice = events.filter(F.dayofmonth("day").isin(3, 17) & (F.col("event_id") % 5 == 0))
+    sinks.write_per_party(events.unionByName(twice), path, "day")
+    sinks.repair_in_place(t.spark, path, ["day"], ["event_id"], [F.col("ts")])
+    return t.spark.read.parquet(path).select(*events.columns)
+
+
+@query("reconcile_by_ranges")
+def _(t):
+    """Orders against what the terminals accepted, range by range of keys."""
+    target = t.pos_txn.filter((F.col("status_code") == "00") | (F.col("order_id") > 4000)).select(F.col("order_id").alias("o_orderkey"))
+    source = t.table("orders").select("o_orderkey").filter("o_orderkey % 1000 <> 7")
+    return incremental.reconcile(source, target, "o_orderkey", width=512)
+
+
 @query("duplicate_keys_report")
 def _(t):
     return incremental.duplicate_keys(t.table("lineitem"), ["l_orderkey", "l_linenumber"])
@@ -578,6 +597,14 @@ def _(t):
     )
 
 
+@query("overdraft_book_bounded")
+def _(t):
+    """The book from 90 days of credits and the last dates that were kept before them."""
+    before = t.transaction.filter(F.col("transaction_date") < dates.day(AS_OF, -90))
+    kept = loans.collections(before, AS_OF).select("account_id", "last_collection_date")
+    return loans.overdraft_book(t.account, t.client, t.transaction, AS_OF, kept)
+
+
 @query("limit_utilisation")
 def _(t):
     paid = t.transaction.filter((F.col("partners") == "TRANSFER") & (F.col("response_code") == "00")).select(
@@ -702,10 +729,22 @@ def _(t):
     return ledger.closing_balance_daily(t.account, t.transaction, "2001-07-01", "2001-07-31")
 
 
+@query("closing_balance_backfill")
+def _(t):
+    """Many days from a stored snapshot and the statements in their yearly folders; an older snapshot is not used."""
+    folder = _folder(t, "statements")
+    sinks.write_by_year(t.transaction.withColumn("year", F.year("transaction_date")), folder)
+    statements = t.spark.read.parquet(folder)
+    snapshots = ledger.stored_closing_balance(t.balanced, "2001-05-31").unionByName(
+        ledger.stored_closing_balance(t.balanced, "1995-12-31")
+    )
+    return ledger.closing_balance_backfill(t.account, statements, snapshots, "2001-07-01", "2001-07-31")
+
+
 @query("avg_balance_by_month")
 def _(t):
-    daily = ledger.closing_balance_daily(t.account, t.transaction, "2001-05-01", "2001-07-31")
-    return ledger.average_balance_by_month(daily)
+    held = ledger.balance_intervals(t.account, t.transaction, "2001-05-01", "2001-07-31")
+    return ledger.average_balance_by_month(held)
 
 
 @query("monthly_balance_totals")
@@ -730,8 +769,8 @@ def _(t):
 
 @query("avg_balance_wide")
 def _(t):
-    daily = ledger.closing_balance_daily(t.account, t.transaction, "2001-05-01", "2001-07-31")
-    return ledger.average_balance_wide(daily, ["account_no"], ["2001-05", "2001-06", "2001-07"])
+    held = ledger.balance_intervals(t.account, t.transaction, "2001-05-01", "2001-07-31")
+    return ledger.average_balance_wide(held, ["account_no"], ["2001-05", "2001-06", "2001-07"])
 
 
 @query("balances_wide_to_long")
@@ -825,8 +864,8 @@ def _(t):
 
 
 def _mean_deposits(t: Tables) -> DataFrame:
-    daily = ledger.closing_balance_daily(t.account, t.transaction, "2001-07-26", "2001-08-01")
-    return wallets.mean_deposit_last_week(daily, t.wallet_accounts, AS_OF)
+    held = ledger.balance_intervals(t.account, t.transaction, "2001-07-26", "2001-08-01")
+    return wallets.mean_deposit_last_week(held, t.wallet_accounts, AS_OF)
 
 
 @query("tier_large_txn_alert")

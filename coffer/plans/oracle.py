@@ -64,6 +64,12 @@ sql("missing_keys_anti", "", """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag <> 'R')""")
 sql("dedupe_exact_rows", "", "SELECT DISTINCT * FROM lineitem", ts="l_shipdate", whole="l_linenumber")
+sql("repeats_repaired_in_place", "", "SELECT *, CAST(ts AS DATE) AS day FROM events", date="day", ts="ts")
+sql("reconcile_by_ranges", "", """
+WITH source AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 1000 <> 7),
+target AS (SELECT l_orderkey AS o_orderkey FROM lineitem WHERE l_returnflag <> 'R' OR l_orderkey > 4000)
+--main SELECT *, 'missing' AS side FROM (SELECT o_orderkey FROM source EXCEPT SELECT o_orderkey FROM target)
+UNION ALL SELECT *, 'surplus' FROM (SELECT o_orderkey FROM target EXCEPT SELECT o_orderkey FROM source)""")
 sql("duplicate_keys_report", "", """
 SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""", whole="l_linenumber")
 sql("dedupe_by_key", "", """
@@ -494,6 +500,7 @@ def _daily(first: str, last: str) -> str:
 
 sql("closing_balance_daily", "account txn_bal", f"WITH {_daily('2001-07-01', '2001-07-31')} --main SELECT * FROM daily",
     money="closing_balance", date="date", whole="product_id")
+ORACLE["closing_balance_backfill"] = ORACLE["closing_balance_daily"]
 sql("avg_balance_by_month", "account txn_bal", f"""WITH {_daily('2001-05-01', '2001-07-31')}
 SELECT account_no, strftime(date, '%Y-%m') AS month, CAST(sum(closing_balance) AS DOUBLE) / count(closing_balance) AS avg_balance FROM daily GROUP BY 1, 2""")
 sql("monthly_balance_totals", "account txn_bal", f"""WITH {_daily('2001-01-01', '2001-07-31')} --main
@@ -618,6 +625,7 @@ FROM account a JOIN client c ON c.client_id = a.client_id LEFT JOIN ({COLLECT})
 LEFT JOIN client o ON o.client_id = c.referred_by_id WHERE overdraft_start IS NOT NULL""",
     money="overdraft_limit principal_balance overdrawn_amount one_month_collection three_month_collection",
     date="disbursement_date maturity_date last_collection_date")
+ORACLE["overdraft_book_bounded"] = ORACLE["overdraft_book"]
 sql("overdrafts_granted", "account client", """
 SELECT account_id, account_no, client_name, overdraft_limit, overdraft_start, overdraft_end FROM account a JOIN client c ON c.client_id = a.client_id
 WHERE overdraft_start = DATE '2001-06-03'""", money="overdraft_limit", date="overdraft_start overdraft_end")

@@ -60,6 +60,21 @@ def test_biller_rules_first_match_wins_and_case_is_ignored(spark):
     assert cut == ["unknown biller with a very "]
 
 
+def test_codes_are_classified_once_and_purchases_without_a_code_are_kept(spark):
+    from coffer.operators import bills
+
+    rows = [(1, "MTN topup", "r"), (2, "Blank", "dstv box"), (3, None, None), (4, "corner shop", None), (5, "glo", "x"), (6, "MTN topup", "z")]
+    df = spark.createDataFrame(rows, "id int, biller_code string, remarks string")
+    got = {r["id"]: (r["biller_code"], r["biller_by_rule"]) for r in bills.bills_transactions(df).collect()}
+    assert got == {2: ("dstv box", "DSTV CABLE SERVICE"), 3: (None, None), 4: ("corner shop", "corner shop")}
+    assert {r["id"]: r["brand"] for r in bills.airtime_transactions(df).collect()} == {1: "MTN", 5: "GLO", 6: "MTN"}
+    named = {r["id"]: r["biller_by_rule"] for r in bills.with_biller(df).collect()}
+    assert named[3] is None and named[1] == "MTN topup" and len(named) == 6
+    codegen = bills.bills_transactions(df)._jdf.queryExecution().debug().codegenToSeq()
+    stats = [codegen.apply(i)._3().maxMethodCodeSize() for i in range(codegen.length())]
+    assert max(stats, default=0) < 4000
+
+
 def test_biller_rules_are_thirty_seven(spark):
     assert len(text.BILLER_RULES) == 37
     marks = [m for _, ms in text.BILLER_RULES for m in ms]

@@ -3,6 +3,7 @@ import random
 from decimal import Decimal
 
 from coffer.operators import ledger
+from coffer.sources import sinks
 from coffer.operators.running import running_balance, running_total_over_day
 
 TXN = ("transaction_id long, account_id long, account_no string, product_id int, type_enum int, amount decimal(18,2), "
@@ -61,10 +62,55 @@ def test_month_average_skips_unknown_days(spark):
         [("a", dt.date(2001, 2, 27), None), ("a", dt.date(2001, 2, 28), Decimal(10)), ("a", dt.date(2001, 3, 1), Decimal(4))],
         "account_no string, date date, closing_balance decimal(18,2)",
     )
-    got = {r["month"]: r["avg_balance"] for r in ledger.average_balance_by_month(daily).collect()}
+    got = {r["month"]: r["avg_balance"] for r in ledger.average_balance_by_month(ledger.as_intervals(daily)).collect()}
     assert got == {"2001-02": 10.0, "2001-03": 4.0}
 
 
+def _random_ledger(spark, seed=9):
+    rng = random.Random(seed)
+    accounts = [(a, str(a), 33, dt.date(rng.choice([1999, 2000, 2001]), rng.randint(1, 12), 28)) for a in range(1, 13)]
+    start = dt.date(1999, 1, 1)
+    rows = [(i, rng.randint(1, 10), rng.choice([1, 2]), rng.randint(1, 90), str(start + dt.timedelta(days=rng.randrange(1000)))) for i in range(300)]
+    return spark.createDataFrame(accounts, ACCOUNT), _txn(spark, rows)
+
+
+def test_means_of_intervals_equal_means_of_days(spark):
+    accounts, txns = _random_ledger(spark)
+    span = ("2000-11-15", "2001-03-02")
+    want = {}
+    for r in ledger.closing_balance_daily(accounts, txns, *span).collect():
+        if r["closing_balance"] is not None:
+            want.setdefault((r["account_no"], f"{r['date']:%Y-%m}"), []).append(r["closing_balance"])
+        else:
+            want.setdefault((r["account_no"], f"{r['date']:%Y-%m}"), [])
+    held = ledger.balance_intervals(accounts, txns, *span)
+    got = {(r["account_no"], r["month"]): r["avg_balance"] for r in ledger.average_balance_by_month(held).collect()}
+    assert set(got) == set(want)
+    for key, days in want.items():
+        assert got[key] == (None if not days else float(sum(days)) / len(days)) or abs(got[key] - float(sum(days)) / len(days)) < 1e-9
+    plan = ledger.average_balance_by_month(held)._jdf.queryExecution().executedPlan().toString()
+    assert "INTERVAL '1' DAY" not in plan and plan.count("Generate explode") == 1
+
+
+def test_backfill_from_a_snapshot_reads_the_years_since_it_alone(spark, tmp_path):
+    accounts, txns = _random_ledger(spark)
+    path = f"{tmp_path}/statements"
+    sinks.write_by_year(txns.selectExpr("*", "year(transaction_date) as year"), path)
+    statements = spark.read.parquet(path)
+    balanced = ledger.with_running_balance(txns)
+    snapshots = ledger.stored_closing_balance(balanced, "2000-12-20").unionByName(ledger.stored_closing_balance(balanced, "1999-06-30"))
+    key = lambda r: (r["account_id"], r["date"])
+    want = {key(r): r["closing_balance"] for r in ledger.closing_balance_daily(accounts, txns, "2001-01-05", "2001-02-20").collect()}
+    found = ledger.closing_balance_backfill(accounts, statements, snapshots, "2001-01-05", "2001-02-20")
+    assert {key(r): r["closing_balance"] for r in found.collect()} == want and want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line and "year" in line.split("PartitionFilters")[1])
+    folders = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "<= 2001" in folders and "year" in folders and "subquery" in folders.lower()
+    none = snapshots.filter("false")
+    assert {key(r): r["closing_balance"] for r in ledger.closing_balance_backfill(accounts, statements, none, "2001-01-05", "2001-02-20").collect()} == want
+
+
 def test_month_end_of_a_leap_february(spark):
     daily = spark.createDataFrame(
         [("a", dt.date(2000, 2, d), Decimal(d)) for d in (28, 29)], "account_no string, date date, closing_balance decimal(18,2)"

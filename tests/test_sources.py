@@ -119,3 +119,48 @@ def test_conform(spark):
 ])
 def test_views_keep_the_declared_schemas(spark, view, schema):
     readers.conform(getattr(Tables(spark, SF), view), schema)
+
+
+def _files(path):
+    return {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_repair_writes_only_folders_with_repeats(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(k, f"v{k}", k % 5, dt.date(2024, 1, 1 + k % 5)) for k in range(50)]
+    again = [(k, "second", k % 5, dt.date(2024, 1, 1 + k % 5)) for k in (1, 6, 3)]
+    other_day = [(2, "not a repeat", 0, dt.date(2024, 1, 1))]
+    df = spark.createDataFrame(rows + again + other_day, "id int, v string, shard int, day date")
+    df.write.partitionBy("shard", "day").parquet(path)
+    before = _files(path)
+    written = sinks.repair_in_place(spark, path, ["shard", "day"], ["id"], [F.col("v").desc()])
+    assert sorted(w[0] for w in written) == [1, 3]
+    got = sorted((r["id"], r["v"]) for r in spark.read.parquet(path).collect())
+    assert got == sorted((r[0], r[1]) for r in rows + other_day)
+    kept = {f: t for f, t in before.items() if "shard=1" not in f and "shard=3" not in f}
+    assert kept.items() <= _files(path).items()
+    assert sinks.repair_in_place(spark, path, ["shard", "day"], ["id"], [F.col("v")]) == []
+
+
+@pytest.mark.parametrize("named", [500, 1])
+def test_reconciliation_equals_the_anti_joins_and_reads_differing_ranges(spark, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(incremental, "NAMED_RANGES", named)
+    ours = [k for k in range(-300, 5000) if k not in (17, 2500)]
+    theirs = [k for k in range(-300, 5000) if k not in (-299, 18, 4999)] + [9000]
+    paths = []
+    for name, keys in (("a", ours), ("b", theirs)):
+        paths.append(str(tmp_path / name))
+        spark.createDataFrame([(k,) for k in keys] + [(None,)], "id long").repartitionByRange(20, "id").write.parquet(paths[-1])
+    a, b = map(spark.read.parquet, paths)
+    found = incremental.reconcile(a, b, "id", width=100)
+    got = sorted((r["side"], r["id"]) for r in found.collect())
+    assert got == [("missing", -299), ("missing", 18), ("missing", 4999), ("surplus", 17), ("surplus", 2500), ("surplus", 9000)]
+    assert sorted(r["key_range"] for r in incremental.differing_ranges(a, b, "id", 100).collect()) == [-3, 0, 25, 49, 90]
+    if named == 500:
+        spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+        found = incremental.reconcile(a, b, "id", width=100)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("GreaterThanOrEqual(id,2500)") >= 2 and "LessThan(id,2600)" in plan  # reaches both scans
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert incremental.reconcile(a, a, "id", 100).count() == 0
+    assert incremental.reconcile(a, a.filter("false"), "id", 1000).count() == len(ours)
