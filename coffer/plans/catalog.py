@@ -19,7 +19,7 @@ from coffer.plans.evidence import adoption_evidence
 from coffer.plans.views import (
     APP_USER, AS_OF, CLIENT_AS_OF, CORPORATE, EVENT_AS_OF, EVENT_MART_AS_OF, FIXED_DEPOSIT, RETAIL_PRODUCTS, TABLES, Bank,
 )
-from coffer.session import shared_dir
+from coffer.session import ensure_checkpoint_dir, shared_dir
 from coffer.sources import incremental, readers, sinks
 from coffer.streaming import jobs
 
@@ -1272,6 +1272,12 @@ def _(t):
 # -- lifetime value model ----------------------------------------------------------------------------------------------
 
 
+def _kept_inputs(t: Tables) -> DataFrame:
+    """The model's inputs, computed once for the fits, the scores and the quartiles."""
+    ensure_checkpoint_dir(t.spark)
+    return clv.model_inputs(_rfm(t)).checkpoint()
+
+
 @query("clv_bgnbd_fit")
 def _(t):
     p = clv.fit_purchases(clv.model_inputs(_rfm(t)))
@@ -1310,7 +1316,7 @@ def _(t):
 
 @query("clv_expected_purchases")
 def _(t):
-    inputs = clv.model_inputs(_rfm(t))
+    inputs = _kept_inputs(t)
     scored = clv.with_expected_purchases(inputs, clv.fit_purchases(inputs), clv.HORIZON_WEEKS)
     return scored.select(
         "client_id", "x", F.round(F.col("expected")[0], 4).alias("expected_12_weeks"),
@@ -1320,7 +1326,7 @@ def _(t):
 
 @query("clv_value")
 def _(t):
-    inputs = clv.model_inputs(_rfm(t))
+    inputs = _kept_inputs(t)
     spend = clv.fit_spend(inputs, stable=True)
     scored = clv.value_segments(clv.lifetime_value(inputs, clv.fit_purchases(inputs), spend))
     return _rounded(scored, "expected_12_weeks", "expected_24_weeks", "expected_value", "clv", digits=2)

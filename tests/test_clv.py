@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from coffer.operators import clv
 
@@ -18,6 +19,66 @@ def test_gauss_series_against_closed_form():
     assert clv._hyp2f1(1.0, 1.0, 2 * ones, z)[1:] == pytest.approx(-np.log1p(-z[1:]) / z[1:], rel=1e-10)
 
 
+def _long_series(a, b, c, z):
+    n = np.arange(3_000_000, dtype=np.longdouble)
+    return float(1 + np.cumprod((a + n) * (b + n) / ((c + n) * (n + 1)) * np.longdouble(z)).sum())
+
+
+@pytest.mark.parametrize("a, b, c", [
+    (1.5, -0.3, 2.2), (0.8, 0.2, 1.4), (2.526, -0.207, 2.219), (0.5, 0.25, 3.75),  # c - a - b an integer in some
+    (3.0, 0.5, 4.5001), (2.4, 0.7, 11.1), (-0.6, -0.9, 0.3), (1.1, 0.4, -0.45),
+])
+def test_gauss_function_near_one(a, b, c, monkeypatch):
+    monkeypatch.setattr(clv, "SERIES_TERMS", 100)
+    for z in (0.3, 0.64, 0.66, 0.9, 0.9999):
+        assert clv._hyp2f1(a, b, np.array([c]), np.array([z]))[0] == pytest.approx(_long_series(a, b, c, z), rel=1e-10, abs=1e-10)
+
+
+def test_polygammas():
+    z = np.array([0.05, 0.5, 1.0, 3.7, 7.99, 40.0, 1e6])
+    h = 1e-5
+    first, second = clv._polygammas(z)
+    slope = [(math.lgamma(v * (1 + h)) - math.lgamma(v * (1 - h))) / (2 * h * v) for v in z]
+    assert first == pytest.approx(slope, rel=1e-6)
+    assert first[2] == pytest.approx(-0.5772156649015329, rel=1e-13) and second[2] == pytest.approx(math.pi**2 / 6, rel=1e-13)
+    up, down = clv._polygammas(z * (1 + h))[0], clv._polygammas(z * (1 - h))[0]
+    assert second == pytest.approx((up - down) / (2 * h * z), rel=1e-6)
+
+
+@pytest.mark.parametrize("loglik, slopes, point", [
+    (clv.purchase_loglik, clv.purchase_derivatives, (0.7, 5.0, 0.9, 2.4)), (clv.spend_loglik, clv.spend_derivatives, (6.0, 3.7, 15.0)),
+])
+def test_derivatives_against_differences(loglik, slopes, point):
+    rng = np.random.default_rng(1)
+    least = 1 if len(point) == 3 else 0
+    x, age = rng.integers(least, 9, 40).astype(float), rng.uniform(5, 40, 40)
+    data = {"x": x, "age": age, "t_x": np.where(x > 0, age * rng.uniform(0, 1, 40), 0.0), "mean_value": rng.gamma(3, 9, 40)}
+    first, second = slopes(np.array(point), data)
+    for i in range(len(point)):
+        h = np.eye(len(point))[i] * 1e-5 * point[i]
+        up, down, width = np.array(point) + h, np.array(point) - h, 2e-5 * point[i]
+        assert (loglik(up, data) - loglik(down, data)) / width == pytest.approx(first[i], abs=1e-7)
+        for j in range(len(point)):
+            change = (slopes(up, data)[0][j] - slopes(down, data)[0][j]) / width
+            assert change == pytest.approx(second[min(i, j), max(i, j)], abs=1e-7)
+
+
+def test_fits_end_at_a_flat_point_after_few_passes(spark, monkeypatch):
+    passes, totals = [], clv.derivative_totals
+    monkeypatch.setattr(clv, "derivative_totals", lambda *args: passes.append(1) or totals(*args))
+    data = spark.createDataFrame(_simulated(3000)).withColumn("mean_value", F.col("age") / 3 + F.col("x")).repartition(4).checkpoint()
+    for fit, loglik, slopes, columns, rows in (
+        (clv.fit_purchases, clv.purchase_loglik, clv.purchase_derivatives, ["x", "t_x", "age"], data),
+        (clv.fit_spend, clv.spend_loglik, clv.spend_derivatives, ["x", "mean_value"], data.filter("x > 0")),
+    ):
+        passes.clear()
+        found = fit(data, penalty=0.0)
+        assert len(passes) <= 10  # besides one that counts and one that starts
+        point = np.array([getattr(found, f) for f in found.__dataclass_fields__])
+        _, gradient, _ = totals(rows.withColumn("n", F.lit(1)), columns, loglik, slopes, point[None])
+        assert np.abs(gradient[0] * point / rows.count()).max() < 1e-6
+
+
 def test_expected_purchases_against_the_published_form():
     """The published form has 2F1(r+x, b+x; a+b+x-1; z) times a power; ours is its Euler transform."""
     p = clv.PurchaseParams(0.243, 4.414, 0.793, 2.426)
