@@ -20,3 +20,13 @@ def referrers(clients: DataFrame, name: str) -> DataFrame:
     return clients.join(who, "client_id", "left_semi").select(
         F.col("client_id").alias("referred_by_id"), F.col("client_name").alias(name)
     )
+
+
+def of_listed_keys(large: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+    """Rows of a large table whose key a list names; the list may be beyond the broadcast limit.
+
+    Where the scan of ``large`` is above ``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold``, Spark
+    builds a Bloom filter of the list and drops most rows at the scan, before they are shuffled to the join. It does so only
+    for a list that a filter made of a scan, so the list is not made distinct first, which a semi join does not need.
+    """
+    return large.join(listed.select(key).filter(F.col(key).isNotNull()), key, "left_semi")

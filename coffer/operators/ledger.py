@@ -23,6 +23,23 @@ def with_running_balance(txns: DataFrame) -> DataFrame:
     )
 
 
+def with_running_balance_since(txns: DataFrame, since: DateLike, opening: DataFrame | None = None) -> DataFrame:
+    """``with_running_balance`` for the movements from a day on.
+
+    What came before is one sum per account, with map-side combine; only rows from the day on are ordered. With an ``opening``
+    (account_id, closing_balance of the day before) earlier rows are not read at all.
+    """
+    signed = F.when(F.col("type_enum") == 1, F.col("amount")).otherwise(-F.col("amount"))
+    first = day(since)
+    if opening is None:
+        earlier = txns.filter(F.col("transaction_date") < first)
+        opening = earlier.groupBy("account_id").agg(F.sum(signed).alias("closing_balance"))
+    recent = with_running_balance(txns.filter(F.col("transaction_date") >= first))
+    begun = opening.select("account_id", F.col("closing_balance").alias("_opening"))
+    balance = F.col("running_balance") + F.coalesce("_opening", F.lit(0).cast("decimal(28,2)"))
+    return recent.join(begun, "account_id", "left").withColumn("running_balance", balance.cast("decimal(28,2)")).drop("_opening")
+
+
 def balances_of(txns: DataFrame, wanted: DataFrame) -> DataFrame:
     """``with_running_balance`` for the accounts of the ``wanted`` transaction ids only; no other account is sorted."""
     accounts = txns.join(wanted, "transaction_id", "left_semi").select("account_id").distinct()
@@ -317,10 +334,14 @@ def negative_balance_accounts(
     )
 
 
-def statement_balance_by_head(statement: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Wallet rows with the ledger balance of the first id in their id list."""
-    balances = ledger.select(F.col("transaction_id").cast("string").alias("head_id"), F.col("running_balance").alias("balance"))
-    return statement.withColumn("head_id", id_head(F.col("statement_ids"))).join(balances, "head_id", "left")
+def statement_balance_by_head(statement: DataFrame, txns: DataFrame) -> DataFrame:
+    """Wallet rows with the ledger balance after the first id in their id list; only accounts with such an id are balanced."""
+    headed = statement.withColumn("head_id", id_head(F.col("statement_ids")))
+    wanted = headed.select(F.expr("try_cast(head_id as bigint)").alias("transaction_id")).filter("transaction_id is not null").distinct()
+    balances = balances_of(txns, wanted).join(wanted, "transaction_id", "left_semi").select(
+        F.col("transaction_id").cast("string").alias("head_id"), F.col("running_balance").alias("balance")
+    )
+    return left_join_known(headed, balances, "head_id")
 
 
 def monthly_balance_totals(daily: DataFrame) -> DataFrame:

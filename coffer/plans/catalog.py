@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from coffer.functions import bands, dates, text
 from coffer.functions.measures import total
-from coffer.operators import bills, clients, clv, customer, kpi, ledger, loans, marts, pos, quantiles, risk, staff, wallets
+from coffer.operators import bills, clients, clv, customer, joins, kpi, ledger, loans, marts, pos, quantiles, risk, staff, wallets
 from coffer.plans.evidence import adoption_evidence
 from coffer.plans.views import (
     APP_USER, AS_OF, CLIENT_AS_OF, CORPORATE, EVENT_AS_OF, EVENT_MART_AS_OF, FIXED_DEPOSIT, RETAIL_PRODUCTS, TABLES, Bank,
@@ -412,7 +412,7 @@ def _(t):
         "transaction_id", "wallet_id", "statement_ids", "amount"
     )
     named = rows.join(t.wallet, "wallet_id", "left").drop("wallet_id")
-    return ledger.statement_balance_by_head(named, t.balanced.select("transaction_id", "running_balance"))
+    return ledger.statement_balance_by_head(named, t.transaction)
 
 
 @query("explode_account_list")
@@ -531,6 +531,14 @@ def _(t):
     return clients.client_or_group(t.grouped_account, t.client, t.groups)
 
 
+@query("transactions_of_listed_keys")
+def _(t):
+    """Ledger rows of the orders that a terminal refused: neither side is small."""
+    refused = t.pos_txn.filter((F.col("status_code") != "00") & (F.col("amount") > 30_000)).select(F.col("order_id").alias("l_orderkey"))
+    lines = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return joins.of_listed_keys(lines, refused, "l_orderkey")
+
+
 @query("limit_increase")
 def _(t):
     up = risk.limit_increases(t.client, t.earlier_limits)
@@ -668,7 +676,9 @@ def _(t):
 
 @query("active_dormancy")
 def _(t):
-    return customer.active_dormancy(t.client, t.balanced, AS_OF)
+    """Balances are rebuilt for the twelve months alone, from one opening sum per account."""
+    recent = ledger.with_running_balance_since(t.transaction, dates.years_back(AS_OF, 12))
+    return customer.active_dormancy(t.client, recent, AS_OF)
 
 
 @query("client_demographics")

@@ -292,6 +292,9 @@ OWNER = """SELECT a.account_id, a.account_no, CASE WHEN group_id IS NULL THEN a.
   CASE WHEN group_id IS NULL THEN client_name ELSE n_name END AS owner_name
 FROM account a LEFT JOIN client c ON c.client_id = a.client_id LEFT JOIN nation ON 9000000 + n_nationkey = group_id"""
 sql("client_or_group", "account client", OWNER)
+sql("transactions_of_listed_keys", "", """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_orderkey IN (
+  SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND CAST(l_extendedprice AS DECIMAL(18,2)) > 30000)""", whole="l_linenumber")
 sql("limit_increase", "client account txn", """
 WITH old AS (SELECT client_id, daily_withdraw_limit - CASE WHEN client_id % 9 = 0 THEN 10000 ELSE 0 END AS d,
   max_transaction_limit - CASE WHEN client_id % 14 = 0 THEN 5000 ELSE 0 END AS m FROM client)

@@ -17,6 +17,7 @@ def build_session(app_name: str = "coffer", master: str | None = None, **conf: s
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1GB")
     )
     if master:
         builder = builder.master(master)

@@ -92,6 +92,16 @@ def test_means_of_intervals_equal_means_of_days(spark):
     assert "INTERVAL '1' DAY" not in plan and plan.count("Generate explode") == 1
 
 
+def test_balances_since_a_day_equal_those_of_all_history(spark):
+    _, txns = _random_ledger(spark)
+    want = {r["transaction_id"]: r["running_balance"] for r in ledger.with_running_balance(txns).collect() if r["transaction_date"] >= dt.datetime(2000, 6, 1)}
+    got = lambda df: {r["transaction_id"]: r["running_balance"] for r in df.collect()}
+    assert got(ledger.with_running_balance_since(txns, "2000-06-01")) == want and want
+    opening = ledger.stored_closing_balance(ledger.with_running_balance(txns), "2000-05-31")
+    later = txns.filter("transaction_date >= timestamp_ntz '2000-06-01'")
+    assert got(ledger.with_running_balance_since(later, "2000-06-01", opening)) == want
+
+
 def test_backfill_from_a_snapshot_reads_the_years_since_it_alone(spark, tmp_path):
     accounts, txns = _random_ledger(spark)
     path = f"{tmp_path}/statements"

@@ -172,3 +172,27 @@ def test_period_filter_reaches_the_scan(spark):
     plan = entry.queries()["mart_intrabank_monthly"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(o_orderdate,2001-08-01" in plan
     assert "o_orderstatus" not in plan.split("ReadSchema")[1]
+
+
+def test_a_list_beyond_the_broadcast_limit_reaches_the_scan_as_a_bloom_filter(spark, tmp_path):
+    from coffer.operators import joins
+
+    paths = [str(tmp_path / n) for n in ("large", "listed")]
+    spark.range(200_000).selectExpr("id % 50000 as k", "id as v", "cast(id as string) as w").write.parquet(paths[0])
+    spark.range(3000).selectExpr("id * 7 as k", "id % 10 as kind").unionByName(
+        spark.createDataFrame([(None, 1)], "k long, kind long")).write.parquet(paths[1])
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1KB"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        large, listed = map(spark.read.parquet, paths)
+        found = joins.of_listed_keys(large, listed.filter("kind = 1"), "k")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan
+        want = {i * 7 for i in range(3000) if i % 10 == 1}
+        assert found.count() == sum(1 for v in range(200_000) if v % 50000 in want)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
