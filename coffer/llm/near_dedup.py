@@ -10,8 +10,9 @@ keeps it under 0.0002 after any number of branchings up to ``LEVELS``; ``missed`
 
 Members of a tree node are compared as follows, so that a hot group never means all pairs:
 
-1. All members of a root child are compared with two of them, drawn anew in each child. What is linked is confirmed on
-   the full sets and joined to components.
+1. Each node is compared with one member, drawn at random, of the largest root child it is in. Where that leaves a root
+   child in several parts, one member of each part is compared with one of the largest part. What is linked is confirmed
+   on the full sets and joined to components: a large group costs a link per member, not one per member and child.
 2. A node all of whose members are in one component is settled. One of few members is compared exhaustively, across
    components. One in which all but a few members are in one component is compared in chunks: each chunk holds part of
    that component and all the others. Any other node branches again.
@@ -287,35 +288,44 @@ def _unsettled(members: DataFrame) -> DataFrame:
     return sizes.where("n > top.n").select("path", "n", F.col("top.component").alias("top"), chunks.cast("int").alias("chunks"))
 
 
-def across_components(placed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Similar pairs between components; ``placed`` has the members of the root children: path, root, node, component."""
-    rows = placed.join(_unsettled(placed), "path")
-    bit = F.when(F.col("chunks").isNotNull(), F.expr("shiftleft(1L, root)")).otherwise(F.lit(0))
-    seen = rows.groupBy("node").agg(F.bit_or(bit).alias("compared"))
-    open_nodes = cut(rows.join(seen, "node").join(nodes.select("node", "sketch"), "node"))
-    found = placed.sparkSession.createDataFrame([], PAIRS)
+def across_components(placed: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Similar pairs between components; ``placed`` has the members of the root children: path, root, node, component.
+
+    None where every root child is settled. Nodes that are settled are left out before anything is joined to a sketch.
+    """
+    unsettled = cut(_unsettled(placed))
+    found, members = None, placed
     for level in range(LEVELS + 1):
+        open_paths, small_paths = unsettled.agg(F.count(F.when(F.col("chunks").isNull(), 1)), F.count("chunks")).first()
+        if not open_paths + small_paths:
+            break
+        rows = members.join(unsettled, "path")
+        if level == 0:
+            bit = F.when(F.col("chunks").isNotNull(), F.expr("shiftleft(1L, root)")).otherwise(F.lit(0))
+            seen = rows.groupBy("node").agg(F.bit_or(bit).alias("compared"))
+            rows = rows.join(seen, "node").join(nodes.select("node", "sketch"), "node")
+        open_nodes = cut(rows)
         leaves = open_nodes.where("chunks is not null")
         spread = (F.col("component") == F.col("top")) | (F.col("chunks") == 1)
         own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
         place = F.when(spread, F.array(own)).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))
-        found = found.unionByName(_compared(leaves.withColumn("spread", spread).withColumn("chunk", F.explode(place))))
+        pairs = [_compared(leaves.withColumn("spread", spread).withColumn("chunk", F.explode(place)))] if small_paths else []
         rest = open_nodes.where("chunks is null")
-        if rest.isEmpty():
-            break
-        if level == LEVELS:
+        if open_paths and level == LEVELS:
             n_blocks = F.ceil(F.col("n") / LEAF).cast("int")
             block = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
             pair = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda j: F.least(j, block) * n_blocks + F.greatest(j, block))
-            whole = rest.withColumn("spread", F.lit(True)).withColumn("chunk", F.explode(pair))
-            found = found.unionByName(_compared(whole))
-        else:
-            members = rest.select("path", "node", "component", "sketch", "compared").mapInArrow(
-                partial(_branch, quarters=SECOND[level]), MEMBERS
-            )
-            members = members.withColumn("root", F.lit(len(ROOTS)))
-            open_nodes = cut(members.join(_unsettled(members), "path"))
-    return cut(found.distinct())
+            pairs.append(_compared(rest.withColumn("spread", F.lit(True)).withColumn("chunk", F.explode(pair))))
+        for pair in pairs:
+            found = pair if found is None else found.unionByName(pair)
+        if not open_paths or level == LEVELS:
+            break
+        members = rest.select("path", "node", "component", "sketch", "compared").mapInArrow(
+            partial(_branch, quarters=SECOND[level]), MEMBERS
+        )
+        members = cut(members.withColumn("root", F.lit(len(ROOTS))))
+        unsettled = cut(_unsettled(members))
+    return None if found is None else cut(found.distinct())
 
 
 def _sets(batch: pa.RecordBatch, words_each: int) -> pa.RecordBatch:
@@ -351,6 +361,54 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words_each: i
     return cut(both.mapInArrow(_confirm, PAIRS))
 
 
+def _shared(nodes: DataFrame) -> DataFrame:
+    """Members of root children with two nodes or more: path, root, node, the child's size ``n`` and a member drawn from it."""
+    placed = nodes.select(F.posexplode("paths").alias("root", "path"), "node")
+    drawn = F.min_by("node", F.xxhash64("path", "node")).alias("drawn")
+    sizes = placed.groupBy("path").agg(F.count("*").alias("n"), drawn).where("n > 1")
+    return cut(placed.join(sizes, "path"))
+
+
+def _ordered(one: str, other: str, pairs: DataFrame) -> DataFrame:
+    apart = pairs.where(F.col(one) != F.col(other))
+    return apart.select(F.greatest(one, other).alias("src"), F.least(one, other).alias("dst")).distinct()
+
+
+def _tied(shared: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs whose sketches may reach the threshold, enough to tie most of a root child together.
+
+    First each node with the drawn member of its largest child. The nodes of one drawn member are then a part; parts need
+    not be right, as they only choose what is compared next: a member of each part of a child with one of the largest part.
+    """
+    largest = F.max_by("drawn", F.struct("n", "path")).alias("drawn")
+    first = cut(_sketched(_ordered("node", "drawn", shared.groupBy("node").agg(largest)), nodes))
+    ends = first.select(F.col("src").alias("node"), F.col("dst").alias("part")).unionByName(
+        first.select(F.col("dst").alias("node"), F.col("src").alias("part"))
+    )
+    # the drawn member of a child is the end that more nodes have; it names the part, and its own name is its part's
+    drawn = shared.select(F.col("drawn").alias("part")).distinct()
+    part = ends.join(drawn, "part").groupBy("node").agg(F.min("part").alias("part"))
+    parts = shared.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    any_of = F.min_by("node", F.xxhash64("path", "node")).alias("node")
+    of_child = parts.groupBy("path", "part").agg(F.count("*").alias("n"), any_of)
+    top = of_child.groupBy("path").agg(F.count("*").alias("parts"), F.max_by("node", F.struct("n", "part")).alias("top"))
+    second = of_child.join(top.where("parts > 1"), "path")
+    return first.unionByName(_sketched(_ordered("node", "top", second), nodes)).distinct()
+
+
+def _joined(nodes: DataFrame, known: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of the nodes after further links: only the components that a link meets are joined anew."""
+    of = lambda end, name: known.select(F.col("node").alias(end), F.col("component").alias(name))
+    between = links.join(of("src", "one"), "src", "left").join(of("dst", "other"), "dst", "left").select(
+        F.coalesce("one", "src").alias("src"), F.coalesce("other", "dst").alias("dst")
+    )
+    merged = cut(components(between)).withColumnRenamed("component", "into")
+    named = nodes.select("node").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return named.join(merged.withColumnRenamed("node", "component"), "component", "left").select(
+        "node", F.coalesce("into", "component").alias("component")
+    )
+
+
 def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, tag (hash of the text), n_shingles, component_id and kept of every row.
 
@@ -367,21 +425,15 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFra
         .select("*", F.col("first.doc_id").alias("doc_id"), F.col("first.tag").alias("tag"), F.monotonically_increasing_id().alias("node"))
         .drop("first")
     )
-    placed = nodes.select(F.posexplode("paths").alias("root", "path"), "node")
-    order = F.xxhash64("path", "node")  # another pair in each child, so a large group is tied together by many of its members
-    sizes = placed.groupBy("path").agg(
-        F.count("*").alias("n"), F.min_by("node", order).alias("low"), F.max_by("node", order).alias("high")
-    ).where("n > 1")
-    shared = cut(placed.join(sizes, "path"))
-    stars = shared.select("node", F.explode(F.array("low", "high")).alias("dst")).where("node <> dst")
-    stars = stars.select(F.greatest("node", "dst").alias("src"), F.least("node", "dst").alias("dst")).distinct()
-    links = confirmed(cut(_sketched(stars, nodes)), nodes, docs, words_each)
-    known = components(links)
+    shared = _shared(nodes)
+    links = confirmed(cut(_tied(shared, nodes)), nodes, docs, words_each)
+    known = cut(components(links))
     members = shared.where("n > 2").select("path", "root", "node").join(known, "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
-    more = confirmed(across_components(members, nodes), nodes, docs, words_each)
-    links = known.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more)
-    grouped = nodes.select("node", "doc_id", *of_set).join(components(links), "node", "left")
+    pairs = across_components(members, nodes)
+    if pairs is not None:
+        known = _joined(nodes, known, confirmed(pairs, nodes, docs, words_each))
+    grouped = nodes.select("node", "doc_id", *of_set).join(known, "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = cut(grouped.join(least, "component").select(*of_set, "component_id"))
