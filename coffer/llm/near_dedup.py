@@ -11,7 +11,7 @@ keeps it under 0.0002 after any number of branchings up to ``LEVELS``; ``missed`
 Members of a tree node are compared as follows, so that a hot group never means all pairs:
 
 1. Each node is compared with one member, drawn at random, of the largest root child it is in. Where that leaves a root
-   child in several parts, one member of each part is compared with one of the largest part. What is linked is confirmed
+   child in several parts, one member of each part is compared with some of the largest part. What is linked is confirmed
    on the full sets and joined to components: a large group costs a link per member, not one per member and child.
 2. A node all of whose members are in one component is settled. One of few members is compared exhaustively, across
    components. One in which all but a few members are in one component is compared in chunks: each chunk holds part of
@@ -46,6 +46,8 @@ COORDINATES, TREES = 128, 10
 FINE = 384
 #: Members of a tree node that are compared exhaustively by one task: what a row costs there at most.
 LEAF = 1024
+#: Members of a root child's largest part that a node outside it is compared with.
+TRIES = 3
 #: Pairs whose sketches are compared at once.
 PAIR_BLOCK = 32_768
 #: Branchings after which what is left is compared in pairs of blocks.
@@ -378,7 +380,8 @@ def _tied(shared: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose sketches may reach the threshold, enough to tie most of a root child together.
 
     First each node with the drawn member of its largest child. The nodes of one drawn member are then a part; parts need
-    not be right, as they only choose what is compared next: a member of each part of a child with one of the largest part.
+    not be right, as they only choose what is compared next: a member of each part of a child with ``TRIES`` members, drawn
+    at random, of its largest part.
     """
     largest = F.max_by("drawn", F.struct("n", "path")).alias("drawn")
     first = cut(_sketched(_ordered("node", "drawn", shared.groupBy("node").agg(largest)), nodes))
@@ -389,10 +392,10 @@ def _tied(shared: DataFrame, nodes: DataFrame) -> DataFrame:
     drawn = shared.select(F.col("drawn").alias("part")).distinct()
     part = ends.join(drawn, "part").groupBy("node").agg(F.min("part").alias("part"))
     parts = shared.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    any_of = F.min_by("node", F.xxhash64("path", "node")).alias("node")
-    of_child = parts.groupBy("path", "part").agg(F.count("*").alias("n"), any_of)
-    top = of_child.groupBy("path").agg(F.count("*").alias("parts"), F.max_by("node", F.struct("n", "part")).alias("top"))
-    second = of_child.join(top.where("parts > 1"), "path")
+    some = [F.min_by("node", F.xxhash64(F.lit(k), F.col("path"), F.col("node"))) for k in range(TRIES)]
+    of_child = parts.groupBy("path", "part").agg(F.count("*").alias("n"), F.array(*some).alias("some"))
+    top = of_child.groupBy("path").agg(F.count("*").alias("parts"), F.max_by("some", F.struct("n", "part")).alias("top"))
+    second = of_child.join(top.where("parts > 1"), "path").select(F.col("some")[0].alias("node"), F.explode("top").alias("top"))
     return first.unionByName(_sketched(_ordered("node", "top", second), nodes)).distinct()
 
 
