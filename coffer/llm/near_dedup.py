@@ -48,6 +48,8 @@ FINE = 384
 LEAF = 1024
 #: Members of a root child's largest part that a node outside it is compared with.
 TRIES = 3
+#: The largest part of a group of copies has at least one in so many of the child's members.
+SHARE = 8
 #: Pairs whose sketches are compared at once.
 PAIR_BLOCK = 32_768
 #: Branchings after which what is left is compared in pairs of blocks.
@@ -381,7 +383,8 @@ def _tied(shared: DataFrame, nodes: DataFrame) -> DataFrame:
 
     First each node with the drawn member of its largest child. The nodes of one drawn member are then a part; parts need
     not be right, as they only choose what is compared next: a member of each part of a child with ``TRIES`` members, drawn
-    at random, of its largest part.
+    at random, of its largest part. A child without a part of a fair share is no group of copies: its members met by a
+    passage they share, and are left to the comparison across components.
     """
     largest = F.max_by("drawn", F.struct("n", "path")).alias("drawn")
     first = cut(_sketched(_ordered("node", "drawn", shared.groupBy("node").agg(largest)), nodes))
@@ -394,8 +397,11 @@ def _tied(shared: DataFrame, nodes: DataFrame) -> DataFrame:
     parts = shared.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
     some = [F.min_by("node", F.xxhash64(F.lit(k), F.col("path"), F.col("node"))) for k in range(TRIES)]
     of_child = parts.groupBy("path", "part").agg(F.count("*").alias("n"), F.array(*some).alias("some"))
-    top = of_child.groupBy("path").agg(F.count("*").alias("parts"), F.max_by("some", F.struct("n", "part")).alias("top"))
-    second = of_child.join(top.where("parts > 1"), "path").select(F.col("some")[0].alias("node"), F.explode("top").alias("top"))
+    top = of_child.groupBy("path").agg(
+        F.count("*").alias("parts"), F.sum("n").alias("members"), F.max("n").alias("most"),
+        F.max_by("some", F.struct("n", "part")).alias("top"),
+    ).where((F.col("parts") > 1) & (F.col("most") * SHARE >= F.col("members")))
+    second = of_child.join(top, "path").select(F.col("some")[0].alias("node"), F.explode("top").alias("top"))
     return first.unionByName(_sketched(_ordered("node", "top", second), nodes)).distinct()
 
 
