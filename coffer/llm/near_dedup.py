@@ -10,9 +10,8 @@ keeps it under 0.0002 after any number of branchings up to ``LEVELS``; ``missed`
 
 Members of a tree node are compared as follows, so that a hot group never means all pairs:
 
-1. Each node is compared with one member, drawn at random, of the largest root child it is in. Where that leaves a root
-   child in several parts, one member of each part is compared with some of the largest part. What is linked is confirmed
-   on the full sets and joined to components: a large group costs a link per member, not one per member and child.
+1. All members of a root child are compared with two of them, drawn anew in each child. What is linked is confirmed on
+   the full sets and joined to components.
 2. A node all of whose members are in one component is settled. One of few members is compared exhaustively, across
    components. One in which all but a few members are in one component is compared in chunks: each chunk holds part of
    that component and all the others. Any other node branches again.
@@ -46,10 +45,6 @@ COORDINATES, TREES = 128, 10
 FINE = 384
 #: Members of a tree node that are compared exhaustively by one task: what a row costs there at most.
 LEAF = 1024
-#: Members of a root child's largest part that a node outside it is compared with.
-TRIES = 3
-#: The largest part of a group of copies has at least one in so many of the child's members.
-SHARE = 8
 #: Pairs whose sketches are compared at once.
 PAIR_BLOCK = 32_768
 #: Branchings after which what is left is compared in pairs of blocks.
@@ -366,43 +361,19 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words_each: i
 
 
 def _shared(nodes: DataFrame) -> DataFrame:
-    """Members of root children with two nodes or more: path, root, node, the child's size ``n`` and a member drawn from it."""
+    """Members of root children with two nodes or more: path, root, node, the child's size ``n`` and two members drawn from it."""
     placed = nodes.select(F.posexplode("paths").alias("root", "path"), "node")
-    drawn = F.min_by("node", F.xxhash64("path", "node")).alias("drawn")
-    sizes = placed.groupBy("path").agg(F.count("*").alias("n"), drawn).where("n > 1")
+    order = F.xxhash64("path", "node")  # another pair in each child, so a large group is tied together by many of its members
+    sizes = placed.groupBy("path").agg(
+        F.count("*").alias("n"), F.min_by("node", order).alias("low"), F.max_by("node", order).alias("high")
+    ).where("n > 1")
     return cut(placed.join(sizes, "path"))
 
 
-def _ordered(one: str, other: str, pairs: DataFrame) -> DataFrame:
-    apart = pairs.where(F.col(one) != F.col(other))
-    return apart.select(F.greatest(one, other).alias("src"), F.least(one, other).alias("dst")).distinct()
-
-
 def _tied(shared: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose sketches may reach the threshold, enough to tie most of a root child together.
-
-    First each node with the drawn member of its largest child. The nodes of one drawn member are then a part; parts need
-    not be right, as they only choose what is compared next: a member of each part of a child with ``TRIES`` members, drawn
-    at random, of its largest part. A child without a part of a fair share is no group of copies: its members met by a
-    passage they share, and are left to the comparison across components.
-    """
-    largest = F.max_by("drawn", F.struct("n", "path")).alias("drawn")
-    first = cut(_sketched(_ordered("node", "drawn", shared.groupBy("node").agg(largest)), nodes))
-    ends = first.select(F.col("src").alias("node"), F.col("dst").alias("part")).unionByName(
-        first.select(F.col("dst").alias("node"), F.col("src").alias("part"))
-    )
-    # the drawn member of a child is the end that more nodes have; it names the part, and its own name is its part's
-    drawn = shared.select(F.col("drawn").alias("part")).distinct()
-    part = ends.join(drawn, "part").groupBy("node").agg(F.min("part").alias("part"))
-    parts = shared.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    some = [F.min_by("node", F.xxhash64(F.lit(k), F.col("path"), F.col("node"))) for k in range(TRIES)]
-    of_child = parts.groupBy("path", "part").agg(F.count("*").alias("n"), F.array(*some).alias("some"))
-    top = of_child.groupBy("path").agg(
-        F.count("*").alias("parts"), F.sum("n").alias("members"), F.max("n").alias("most"),
-        F.max_by("some", F.struct("n", "part")).alias("top"),
-    ).where((F.col("parts") > 1) & (F.col("most") * SHARE >= F.col("members")))
-    second = of_child.join(top, "path").select(F.col("some")[0].alias("node"), F.explode("top").alias("top"))
-    return first.unionByName(_sketched(_ordered("node", "top", second), nodes)).distinct()
+    """Pairs of a member and a drawn one whose sketches may reach the threshold."""
+    stars = shared.select("node", F.explode(F.array("low", "high")).alias("dst")).where("node <> dst")
+    return _sketched(stars.select(F.greatest("node", "dst").alias("src"), F.least("node", "dst").alias("dst")).distinct(), nodes)
 
 
 def _joined(nodes: DataFrame, known: DataFrame, links: DataFrame) -> DataFrame:
