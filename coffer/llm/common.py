@@ -52,21 +52,21 @@ def examples(docs: DataFrame, labelled: DataFrame, label: str, most: int) -> Dat
     return rows.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
 
 
-def blocks_of(batch: pa.RecordBatch, text_column: int = 1) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``BLOCK_BYTES`` of text."""
+def blocks_of(batch: pa.RecordBatch, text_column: int = 1, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``block_bytes`` of text."""
     sizes = pc.binary_length(batch.column(text_column)).to_numpy(zero_copy_only=False)
-    block = (np.cumsum(sizes, dtype=np.int64) - sizes) // BLOCK_BYTES
+    block = (np.cumsum(sizes, dtype=np.int64) - sizes) // block_bytes
     starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else []
     for a, b in zip(starts, [*starts[1:], len(block)], strict=True):
         yield batch.slice(int(a), int(b - a))
 
 
-def map_texts(df: DataFrame, function, schema: str) -> DataFrame:
+def map_texts(df: DataFrame, function, schema: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Apply ``function(RecordBatch) -> RecordBatch`` to blocks of rows; the second column holds the texts, not null."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks_of(batch):
+            for block in blocks_of(batch, block_bytes=block_bytes):
                 yield function(block)
 
     return df.mapInArrow(work, schema)

@@ -26,6 +26,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from coffer.llm.common import cut, documents, map_texts, mix64, text_of
-from coffer.llm.pieces import Memory, byte_letters, chunks_of, joined, specials, sums, unusual
+from coffer.llm.pieces import byte_letters, chunks_of, joined, specials, sums, unusual
 
 VOCABULARY = "byte_bpe_50k.json"
 WINDOW = 2048
@@ -45,26 +46,60 @@ K1, B = 1.2, 0.75
 #: Minwise terms of a document's key, and documents looked at per shard to find where shards begin.
 KEY_TERMS, SAMPLED = 8, 24
 IDS = 1 << 16
+#: Distinct chunks encoded in one go.
+CHUNKS_AT_ONCE = 20_000
+#: UTF-8 bytes of text whose tokens a task finds at once.
+TOKENISED_BYTES = 2_000_000
 #: Fixed value: the splitting pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def chunk_encoder(path: str, tokenizer: Tokenizer):
-    """A function from a chunk to its ids.
+    """A function from chunks, each with a blank before it, to their ids one after another and how many each has.
 
     Where the vocabulary numbers its tokens in the order of its merges, its bytes are a rank table, and the faster encoder
-    for those gives the same ids; else the tokenizer itself is used.
+    for those gives the same ids; else the tokenizer itself is used. The rank table encodes all chunks in one go: only the
+    blanks between them begin a token with a blank, unless a chunk begins or ends with white space or is empty. Those, and
+    the ones that the text has no blank before, are encoded each by itself.
     """
     with open(path, encoding="utf-8") as file:
         model = json.load(file)["model"]
     pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
     merged = [model["vocab"][a + b] for a, b in pairs]
     letters = byte_letters()
-    in_order = merged == sorted(merged) and len(model["vocab"]) == len(merged) + len(letters)
-    if not in_order:
-        return lambda chunk: tokenizer.encode(chunk, add_special_tokens=False).ids
+
+    def by_tokenizer(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        flat = np.concatenate([np.zeros(0, np.uint16), *(np.array(x, np.uint16) for x in ids)])
+        return flat, np.array([len(x) for x in ids], np.int64)
+
+    if merged != sorted(merged) or len(model["vocab"]) != len(merged) + len(letters):
+        return lambda chunks, first: by_tokenizer([c if first else " " + c for c in chunks.to_pylist()])
     ranks = {bytes(letters[c] for c in entry): token for entry, token in model["vocab"].items()}
-    return tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encode = tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    blank = np.zeros(IDS, bool)
+    blank[[token for entry, token in ranks.items() if entry.startswith(b" ")]] = True
+
+    def by_ranks(chunks: pa.Array, first: bool) -> tuple[np.ndarray, np.ndarray]:
+        plain = pc.and_(pc.equal(chunks, pc.utf8_trim_whitespace(chunks)), pc.greater(pc.binary_length(chunks), 0))
+        plain = plain.to_numpy(zero_copy_only=False).astype(bool) & (not first)
+        parts, lengths, at = [np.zeros(0, np.uint16)], np.zeros(len(chunks), np.int64), np.flatnonzero(plain)
+        for start in range(0, len(at), CHUNKS_AT_ONCE):
+            part = at[start:start + CHUNKS_AT_ONCE]
+            line = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), chunks.take(pa.array(part))), " ")
+            ids = np.array(encode(" " + line[0].as_py()), np.uint16)
+            lengths[part] = np.diff(np.r_[np.flatnonzero(blank[ids]), len(ids)])
+            parts.append(ids)
+        single = np.flatnonzero(~plain)
+        for k, chunk in zip(single, chunks.take(pa.array(single)).to_pylist(), strict=True):
+            parts.append(np.array(encode(chunk if first else " " + chunk), np.uint16))
+            lengths[k] = len(parts[-1])
+        order = np.r_[at, single]
+        starts = np.empty(len(chunks), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return joined(np.concatenate(parts), starts, lengths), lengths
+
+    return by_ranks
 
 
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
@@ -74,14 +109,9 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not state:
             tokenizer = Tokenizer.from_file(path)
-            if tokenizer.get_vocab_size() > 1 << 16:
+            if tokenizer.get_vocab_size() > IDS:
                 raise ValueError(f"ids of {path} do not fit in 16 bits")
-            of_chunk = chunk_encoder(path, tokenizer)
-            state.update({
-                "tokenizer": tokenizer, "special": specials(tokenizer),
-                "first": Memory(lambda c: np.array(of_chunk(c), np.uint16)),
-                "later": Memory(lambda c: np.array(of_chunk(" " + c), np.uint16)),
-            })
+            state.update({"tokenizer": tokenizer, "special": specials(tokenizer), "encode": chunk_encoder(path, tokenizer)})
         texts = batch.column(1).to_pylist()
         codes, counts, distinct = chunks_of(batch.column(1))
         begins = np.cumsum(counts) - counts
@@ -91,34 +121,29 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
         after[begins] = False  # the first chunk has no blank before it
         used[codes[after]] = True
         at = np.flatnonzero(used)
-        ids = [state["later"][c] for c in distinct.take(pa.array(at)).to_pylist()]
         place = np.zeros(len(distinct), np.int64)
         place[at] = np.arange(len(at))
-        code = place[codes]
-        for k, text in enumerate(texts):  # first chunks and unusual texts are entries of their own
-            if rare[k]:
-                code[begins[k]] = len(ids)
-                ids.append(np.array(state["tokenizer"].encode(text, add_special_tokens=False).ids, np.uint16))
-            else:
-                code[begins[k]] = len(ids)
-                ids.append(state["first"][text.split(" ", 1)[0]])
-        code = np.where(after, code, -1)
-        code[begins] = np.arange(len(ids) - len(texts), len(ids))
-        lengths = np.array([len(x) for x in ids], np.int64)
+        flat, lengths = state["encode"](distinct.take(pa.array(at)), False)
+        firsts = distinct.take(pa.array(np.where(rare, codes[begins[0]], codes[begins]))) if len(texts) else distinct
+        first_flat, first_lengths = state["encode"](firsts, True)
+        whole = [np.array(state["tokenizer"].encode(texts[k], add_special_tokens=False).ids, np.uint16) for k in np.flatnonzero(rare)]
+        # an unusual text is one entry, at the place of its first chunk
+        code = np.where(after, place[codes], -1)
+        code[begins] = len(at) + np.arange(len(texts))
+        code[begins[rare]] = len(at) + len(texts) + np.arange(len(whole))
+        lengths = np.r_[lengths, first_lengths, np.array([len(x) for x in whole], np.int64)]
         starts = np.cumsum(lengths) - lengths
         taken = code >= 0
         n = np.where(taken, lengths[code], 0)
-        flat = joined(np.concatenate(ids), np.where(taken, starts[code], 0), n)
+        flat = joined(np.concatenate([flat, first_flat, *whole]), np.where(taken, starts[code], 0), n)
         ends = np.r_[0, np.cumsum(sums(n, counts))]
-        state["first"].trim()
-        state["later"].trim()
         packed = [flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(packed, pa.binary())], names=["doc_id", "tag", "ids"]
         )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.xxhash64(text_of()).alias("tag"))
-    return map_texts(rows, encode, "doc_id long, tag long, ids binary")
+    return map_texts(rows, encode, "doc_id long, tag long, ids binary", TOKENISED_BYTES)
 
 
 class Corpus(NamedTuple):

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from coffer.llm import retrieval_packing as op
 from tokenizers import Tokenizer
 
@@ -48,6 +49,21 @@ def test_every_id_once_in_full_windows(make_docs):
     check(docs, 128, shard_bytes=20_000)
 
 
+def test_chunks_encoded_together_equal_the_tokenizer(make_docs, monkeypatch):
+    monkeypatch.setattr(op, "CHUNKS_AT_ONCE", 3)
+    path = public_tokenizers.path(op.VOCABULARY)
+    tokenizer = Tokenizer.from_file(path)
+    chunks = ["word", "", "\nline", "line\n", "a\nb", "\t", "\xa0x", "don't", "€9,50", "zzqxv" * 40, "é", "…“q”", "last"]
+    encode = op.chunk_encoder(path, tokenizer)
+    for first in (False, True):
+        flat, lengths = encode(pa.array(chunks), first)
+        got = [x.tolist() for x in np.split(flat, np.cumsum(lengths)[:-1])]
+        assert got == [tokenizer.encode(c if first else " " + c, add_special_tokens=False).ids for c in chunks]
+    assert len(encode(pa.array([], pa.string()), False)[0]) == 0
+    texts = ["a\n \nb", " lead", "trail ", "two  blanks", "\n", " ", "x \n y", " ".join(chunks), "tab\t \tx", "\u4e2d\u6587 text"]
+    check(make_docs(list(enumerate(texts * 3))))
+
+
 def test_awkward_rows(awkward, no_docs):
     check(awkward)
     assert op.pack(no_docs).count() == 0
