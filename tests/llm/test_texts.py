@@ -37,8 +37,59 @@ def test_longest_repeats_against_brute_force(keys):
         assert found[i] == want
 
 
+def repeat_chars(text, least):
+    """Characters in repeats of at least ``least`` characters, as runs, and the longest repeat, place by place."""
+    seen, inside, longest = {}, [False] * len(text), 0
+    for i in range(len(text) - least + 1):
+        seen.setdefault(text[i:i + least], []).append(i)
+    for at in seen.values():
+        for i in at if len(at) > 1 else ():
+            inside[i:i + least] = [True] * least
+            for j in at:
+                k = least
+                while i != j and max(i, j) + k < len(text) and text[i + k] == text[j + k]:
+                    k += 1
+                longest = max(longest, k if i != j else 0)
+    runs, i = [], 0
+    while i < len(text):
+        j = i
+        while j < len(text) and inside[j]:
+            j += 1
+        if j > i:
+            runs.append([i, j - i])
+        i = max(j, i + 1)
+    return runs, longest
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab \u65e5\U0001f600", max_size=40), max_size=6), st.integers(0, 2))
+def test_character_repeats_against_brute_force(texts, copies):
+    texts = [t * (copies + 1) for t in texts]
+    letters, keys, width, sizes = repetition_rules.characters(texts)
+    assert width > 3 and sizes.tolist() == list(map(len, texts))
+    found, at = repetition_rules.longest_repeats(keys, width, letters), 0
+    for t in texts:
+        for i in range(len(t)):
+            want = 0
+            for j in range(len(t)):
+                k = 0
+                while i != j and max(i, j) + k < len(t) and t[i + k] == t[j + k]:
+                    k += 1
+                want = max(want, k)
+            assert found[at + i] == (want if want >= width else 0)
+        assert found[at + len(t)] == 0
+        at += len(t) + 1
+
+
 def test_repetition_measures(awkward, make_docs, no_docs):
-    texts = ["a b c d e f a b c d e", "w " * 300, "x # * $\ny <> |\ny <> |\n \n", prose(5, 400), prose(5, 60) + "\n" + prose(5, 60)]
+    rng = random.Random(9)
+    unspaced = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(300))
+    lines = "\n".join(unspaced[k:k + 20] for k in range(0, 300, 20))
+    encoded = [" ".join("".join(rng.choice("0123456789abcdef") for _ in range(64)) for _ in range(12)) for _ in range(2)]
+    texts = [
+        "a b c d e f a b c d e", "w " * 300, "x # * $\ny <> |\ny <> |\n \n", prose(5, 400), prose(5, 60) + "\n" + prose(5, 60),
+        lines, lines + "\n" + lines[:100] + "\u3042" + lines[100:], encoded[0], " ".join(f"{k}{w}" for k, w in enumerate(encoded[1].split()) for _ in "ab"),
+    ]
     docs = make_docs([(100 + k, t) for k, t in enumerate(texts)]).unionByName(awkward)
     rows = repetition_rules.repetition(docs).collect()
     assert len(rows) == docs.count()
@@ -51,8 +102,15 @@ def test_repetition_measures(awkward, make_docs, no_docs):
         want = (len(words), sum(len(w.decode()) for w in words), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), n_repeat)
         assert (got.n_words, got.word_chars, got.n_symbols, got.n_dup_lines, got.n_repeat_words) == want
         assert got.base_failed == (len(words) < 10 or 100 * n_repeat > 20 * len(words))
-        assert sum(s[1] for s in got.spans) == n_repeat and not (got.kept and got.base_failed)
-    assert by_id[103].kept and not by_id[104].kept and by_id[104].longest_repeat == 60
+        runs, longest = repeat_chars(t, repetition_rules.MIN_CHARS)
+        covered = sum(n for _, n in runs)
+        assert (got.spans, got.covered_chars, got.longest_repeat, got.n_code_points) == (runs, covered, longest, len(t))
+        passed = covered <= repetition_rules.MAX_COVERED * len(t) and longest <= repetition_rules.MAX_LONGEST
+        assert got.kept == (passed and not got.base_failed)
+    assert by_id[103].kept and not by_id[104].kept and by_id[104].longest_repeat == len(prose(5, 60))
+    # lines without blanks, and words of which only the inside repeats: no window of five words is found twice
+    assert by_id[105].kept and by_id[107].kept
+    assert not by_id[108].base_failed and not by_id[108].kept and not by_id[106].kept
     assert repetition_rules.repetition(no_docs).count() == 0
 
 
