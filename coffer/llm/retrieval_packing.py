@@ -269,31 +269,31 @@ class ShardIndex:
         self.weight = idf[term] * times * (K1 + 1) / (times + K1 * length)
         self.term_start = np.searchsorted(term, np.arange(width + 1))
         by = np.argsort(doc, kind="stable")
-        self.own_terms, self.own_weight = term[by], self.weight[by]
-        self.own_start = np.searchsorted(doc[by], np.arange(n + 1))
-        self.asked = np.zeros(width)
-        self._search_in(np.arange(n))
-
-    def _search_in(self, docs: np.ndarray) -> None:
-        """Keeps the terms and weights of ``docs``, one after another, for the searches to come."""
-        docs = docs[self.own_start[docs + 1] > self.own_start[docs]]
-        begin, size = self.own_start[docs], self.own_start[docs + 1] - self.own_start[docs]
-        self.live, self.live_start = docs, np.cumsum(size) - size
-        self.live_terms = joined(self.own_terms, begin, size)
-        self.live_weight = joined(self.own_weight, begin, size)
+        self.own_terms, self.own_start = term[by], np.searchsorted(doc[by], np.arange(n + 1))
+        self.live = n
+
+    def _leave_out_used(self, unused: np.ndarray) -> None:
+        kept = unused[self.doc]
+        self.term_start = np.r_[0, np.cumsum(kept)][self.term_start]
+        self.doc, self.weight = self.doc[kept], self.weight[kept]
 
     def neighbours(self, seed: int, unused: np.ndarray, most: int) -> np.ndarray:
-        """Unused documents by falling score for all terms of the seed; at most ``most``."""
-        if 2 * np.count_nonzero(unused[self.live]) < len(self.live):
-            self._search_in(self.live[unused[self.live]])
-        if not len(self.live):
-            return self.live
+        """Unused documents by falling score for all terms of the seed; at most ``most``.
+
+        Only the postings of the seed's terms are read. When half of the documents in them are used, all lists are shortened.
+        """
+        left = int(np.count_nonzero(unused))
+        if 2 * left < self.live:
+            self._leave_out_used(unused)
+            self.live = left
         terms = self.own_terms[self.own_start[seed]:self.own_start[seed + 1]]
-        self.asked[terms] = 1
-        score = np.add.reduceat(self.live_weight * self.asked[self.live_terms], self.live_start)
-        self.asked[terms] = 0
-        at = np.flatnonzero((score > 0) & unused[self.live])
-        return self.live[at[np.argsort(-score[at], kind="stable")[:most]]]
+        if not len(terms):
+            return terms
+        lists = [slice(a, b) for a, b in zip(self.term_start[terms].tolist(), self.term_start[terms + 1].tolist(), strict=True)]
+        docs, weights = np.concatenate([self.doc[x] for x in lists]), np.concatenate([self.weight[x] for x in lists])
+        score = np.bincount(docs, weights, minlength=self.n)
+        at = np.flatnonzero((score > 0) & unused)
+        return at[np.argsort(-score[at], kind="stable")[:most]]
 
 
 def pack_shard(tokens: list[np.ndarray], window: int, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
