@@ -3,10 +3,12 @@
 A source's documents form blocks of about ``block_bytes``. Target weights are whole slots out of a period of ``PERIOD``. Block
 j of a source with p slots is released at slot floor(j * PERIOD / p) and due before slot ceil((j + 1) * PERIOD / p); the
 earliest deadline among the released blocks takes the next slot. As the slots add up to the period, no deadline is
-missed, and after any number of slots a source has within one block of its share.
+missed, and after any number of slots a source has within one block of its share. The schedule repeats after a period.
 
-The schedule repeats after a period, so only one period is computed, on the driver; its size is a parameter and does not
-depend on the data. Blocks find their slots by a join with it, each by itself.
+Sources with less than a ``UNITS``-th of all weight share slots: they are dealt into groups of about ``GROUP``, a group is
+scheduled like one source of their joint weight, and its turns are dealt to its members by the same rule, each group in a
+task of its own. So the driver holds at most 2 * ``UNITS`` weights and one period however many sources there are, and many
+small sources do not crowd out the targets of the large ones. Blocks find their slots by joins, each by itself.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import heapq
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +30,10 @@ ROW_BYTES = 16
 TEMPERATURE = 0.95
 #: Rows of a source that one task puts in order.
 PART_ROWS = 20_000
+#: A source with less than this part of all weight shares slots with others; there are at most as many groups of them.
+UNITS = 1024
+#: Sources of a group, about, and slots of its period per member.
+GROUP, TURNS = 256, 16
 #: Stands for a null source while rows are grouped.
 NO_SOURCE = "\x00"
 #: Stands behind every slot.
@@ -34,15 +41,16 @@ NO_SLOT = (1 << 63) - 1
 
 
 def slots_per_period(weights: dict, period: int = PERIOD) -> dict:
-    """Whole slots per source by largest remainders, at least one each; they add up to the period."""
+    """Whole slots per source, which add up to the period: one each below a slot's weight, else by largest remainders."""
     weights = {k: w for k, w in weights.items() if w > 0}
-    if not weights:
-        return {}
-    period = max(period, len(weights))
-    total, spare = sum(weights.values()), period - len(weights)
-    exact = {k: w / total * spare for k, w in weights.items()}
-    slots = {k: 1 + math.floor(x) for k, x in exact.items()}
-    rest = period - sum(slots.values())
+    slots, rest, total = {}, max(period, len(weights)), math.fsum(weights.values())
+    for k in sorted(weights, key=lambda k: (weights[k], str(k))):
+        if weights[k] * rest >= total:
+            break
+        slots[k], rest, total = 1, rest - 1, total - weights[k]
+    exact = {k: w * rest / total for k, w in weights.items() if k not in slots}
+    slots |= {k: math.floor(x) for k, x in exact.items()}
+    rest -= sum(math.floor(x) for x in exact.values())
     for k in sorted(exact, key=lambda k: (math.floor(exact[k]) - exact[k], str(k)))[:rest]:
         slots[k] += 1
     return slots
@@ -91,9 +99,58 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return ends.select("doc_id", "source", "size", "tag", F.floor(first / block_bytes).cast("long").alias("block"))
 
 
-def tempered(spark: SparkSession, placed: DataFrame, power: float) -> dict:
-    """Target weight per source from its bytes; one number per source comes to the driver."""
-    return {r["source"]: r["bytes"] ** power for r in placed.groupBy("source").agg(F.sum("size").alias("bytes")).collect()}
+def weighed(placed: DataFrame, weights: dict | None, power: float) -> DataFrame:
+    """source, weight, blocks of the source, and the unit that is scheduled: the source, or a group of small ones."""
+    sums = placed.groupBy("source").agg(F.sum("size").alias("bytes"), (F.max("block") + 1).alias("blocks"))
+    if weights is None:
+        found = sums.withColumn("weight", F.pow("bytes", F.lit(power)))
+    else:
+        named = [(NO_SOURCE if k is None else k, float(w)) for k, w in weights.items()]
+        found = sums.join(placed.sparkSession.createDataFrame(named, "source string, weight double"), "source")
+    found = cut(found.where("weight > 0").select("source", "weight", "blocks"))
+    total = found.agg(F.sum("weight")).first()[0] or 0.0
+    small = F.col("weight") * UNITS < total
+    groups = min(UNITS, math.ceil(found.where(small).count() / GROUP))
+    group = F.pmod(F.xxhash64("source"), F.lit(max(1, groups)))
+    return found.withColumn("unit", F.when(small, F.concat(F.lit("t"), group)).otherwise(F.concat(F.lit("s"), "source")))
+
+
+def _turns(members: pd.DataFrame) -> pd.DataFrame:
+    """One period of a unit: which of its turns are whose."""
+    slots = slots_per_period(
+        dict(zip(members["source"], members["weight"], strict=True)), TURNS * len(members) if len(members) > 1 else 1
+    )
+    total = sum(slots.values())
+    rows = [(k, members["unit"].iloc[0], slots[k], total, j, at) for k, j, at in schedule(slots)]
+    return pd.DataFrame(rows, columns=["source", "unit", "own_turns", "unit_turns", "part_turn", "turn_in_unit"])
+
+
+def block_slots(spark: SparkSession, placed: DataFrame, found: DataFrame, period: int) -> DataFrame:
+    """source, block and slot of every block, and of the first block behind the last of each source (``missing``)."""
+    weights = {r["unit"]: r["weight"] for r in found.groupBy("unit").agg(F.sum("weight").alias("weight")).collect()}
+    slots = slots_per_period(weights, period)
+    total = sum(slots.values())
+    plan = spark.createDataFrame(
+        [(k, slots[k], j, slot) for k, j, slot in schedule(slots)], "unit string, per_period long, turn long, slot_in_period long"
+    )
+    per_unit = spark.createDataFrame(list(slots.items()), "unit string, per_period long")
+    turns = cut(found.groupBy("unit").applyInPandas(
+        _turns, "source string, unit string, own_turns long, unit_turns long, part_turn long, turn_in_unit long"
+    ))
+    sources = turns.where("part_turn = 0").select("source", "own_turns")
+    every = placed.select("source", "block", F.lit(False).alias("missing")).distinct().unionByName(
+        found.select("source", F.col("blocks").alias("block"), F.lit(True).alias("missing"))
+    )
+    turned = every.join(sources, "source").withColumn("part_turn", F.col("block") % F.col("own_turns"))
+    turned = turned.join(turns.drop("own_turns"), ["source", "part_turn"])
+    in_unit = F.floor(F.col("block") / F.col("own_turns")) * F.col("unit_turns") + F.col("turn_in_unit")
+    # both tables have at most a period of rows
+    timed = turned.withColumn("unit_turn", in_unit).join(F.broadcast(per_unit), "unit")
+    timed = timed.withColumn("turn", F.col("unit_turn") % F.col("per_period")).join(
+        F.broadcast(plan.drop("per_period")), ["unit", "turn"]
+    )
+    slot = F.floor(F.col("unit_turn") / F.col("per_period")) * total + F.col("slot_in_period")
+    return timed.select("source", "block", "missing", slot.cast("long").alias("slot"))
 
 
 def mix(docs: DataFrame, weights: dict | None = None, block_bytes: int = BLOCK_BYTES, power: float = TEMPERATURE,
@@ -109,35 +166,15 @@ def mix(docs: DataFrame, weights: dict | None = None, block_bytes: int = BLOCK_B
     """
     spark = docs.sparkSession
     placed = cut(blocks(docs, block_bytes))
-    if weights is None:
-        weights = tempered(spark, placed, power)
-    else:
-        weights = {NO_SOURCE if k is None else k: w for k, w in weights.items()}
-    last = {r["source"]: r["n"] for r in placed.groupBy("source").agg((F.max("block") + 1).alias("n")).collect()}
-    slots = slots_per_period({k: w for k, w in weights.items() if k in last}, period)
-    total, one = sum(slots.values()), schedule(slots)
-    at = {(k, j): slot for k, j, slot in one}
-    horizon = min((last[k] // p * total + at[k, last[k] % p] for k, p in slots.items()), default=0)
-    plan = spark.createDataFrame(
-        [(k, slots[k], j, slot) for k, j, slot in one], "source string, per_period long, turn long, slot_in_period long"
-    )
-    counts = spark.createDataFrame(list(slots.items()), "source string, per_period long")
-    numbered = placed.join(F.broadcast(counts), "source", "left").withColumn("turn", F.col("block") % F.col("per_period"))
-    timed = numbered.join(F.broadcast(plan.drop("per_period")), ["source", "turn"], "left")
-    slot = F.floor(F.col("block") / F.col("per_period")) * total + F.col("slot_in_period")
-    return timed.withColumn("slot", slot.cast("long")).select(
+    timed = cut(block_slots(spark, placed, weighed(placed, weights, power), period))
+    horizon = timed.where("missing").agg(F.min("slot")).first()[0] or 0
+    slots = timed.where(~F.col("missing")).select("source", "block", "slot")
+    return placed.join(slots, ["source", "block"], "left").select(
         "doc_id", F.when(F.col("source") != NO_SOURCE, F.col("source")).alias("source"), "tag", "block", "slot",
         F.coalesce(F.col("slot") < horizon, F.lit(False)).alias("in_mix"),
     )
 
 
-def in_mix(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the mix takes."""
-    taken = mix(docs).where("in_mix").select(F.col("doc_id").alias("_key_id"), F.col("tag").alias("_key_tag"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_key_id")) & (F.xxhash64(text_of()) == F.col("_key_tag"))
-    return docs.join(taken, same, "left_semi")
-
-
 def slots_of(docs: DataFrame, **options) -> DataFrame:
     """doc_id, tag and slot, once each; rows that repeat id and text have the first of their slots."""
     return mix(docs, **options).groupBy("doc_id", "tag").agg(F.min("slot").alias("slot"))

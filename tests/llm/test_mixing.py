@@ -42,7 +42,38 @@ def test_awkward_rows(awkward, no_docs):
     assert {r.source for r in some if r.slot is not None} == {"a", None}
     assert not any(r.in_mix for r in some if r.source in ("b", "c"))
     assert op.mix(no_docs).count() == 0
-    assert op.in_mix(awkward).columns == awkward.columns
+    assert not any(r.slot is not None for r in op.mix(awkward, {"absent": 1}).collect())
+
+
+def test_slots_of_a_period():
+    assert op.slots_per_period({"a": 2, "b": 1, "c": 1}, 64) == {"a": 32, "b": 16, "c": 16}
+    many = op.slots_per_period({"a": 1.0, **{f"s{k}": 1e-9 for k in range(100)}}, 1000)
+    assert many["a"] == 900 and sum(many.values()) == 1000
+    crowd = op.slots_per_period({k: 1 + k % 2 for k in range(3000)}, 1000)
+    assert sum(crowd.values()) == 3000 and min(crowd.values()) == 1
+
+
+def test_thousands_of_sources_leave_the_targets_as_they_are(make_docs, monkeypatch):
+    monkeypatch.setattr(op, "UNITS", 64)
+    monkeypatch.setattr(op, "GROUP", 50)
+    docs = make_docs([(i, "x" * 84, "en", "hot" if i < 1500 else "warm" if i < 2000 else f"site{i % 1000}") for i in range(6000)])
+    weights = {"hot": 0.25, "warm": 0.1, **{f"site{k}": 0.65 / 1000 for k in range(1000)}}
+    rows = op.mix(docs, weights, block_bytes=100, period=512).collect()
+    slot_of = {(r.source, r.block): r.slot for r in rows}
+    assert len(rows) == 6000 == len(slot_of) == len(set(slot_of.values()))
+    by_slot = {slot: s for (s, _), slot in slot_of.items()}
+    end = next(k for k in range(len(by_slot) + 1) if k not in by_slot)
+    assert end > 2000 and all(r.in_mix == (r.slot < end) for r in rows)
+    had, sites = Counter(), 0
+    for slot in range(end):
+        had[by_slot[slot]] += 1
+        sites += by_slot[slot].startswith("site")
+        # shares of 512 slots are whole for none of them: half a slot of rounding per period beside the block
+        drift = 1 + (slot // 512 + 1) / 2
+        assert abs(had["hot"] - 0.25 * (slot + 1)) < drift and abs(had["warm"] - 0.1 * (slot + 1)) < drift
+    # every group deals its turns evenly: no site is two blocks ahead of its share of all slots
+    assert sites == sum(had[f"site{k}"] for k in range(1000))
+    assert all(abs(had[f"site{k}"] - 0.65 / 1000 * end) < 2 for k in range(1000))
 
 
 def test_stage_keeps_every_document_when_a_source_runs_dry(make_docs):
