@@ -55,6 +55,8 @@ SECOND = (1, 1, 1, 4, 4, 4, 2, 2, 2, 2)
 SENT_KEYS = 200_000
 #: Texts hashed together; a shingle keeps 52 bits beside the number of its text.
 GROUP_TEXTS, HASH_BITS = 4096, 52
+#: UTF-8 bytes of text hashed together, at most, unless one text has more.
+SKETCHED_BYTES = 2_000_000
 
 _DRAW = np.random.default_rng(20_240_229)
 MULTIPLIERS = _DRAW.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,7 +98,7 @@ def shingles(texts: pa.Array, words_each: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block in blocks_of(batch):
+        for block in blocks_of(batch, block_bytes=SKETCHED_BYTES):
             for start in range(0, block.num_rows, GROUP_TEXTS):
                 yield block.slice(start, GROUP_TEXTS)
 
@@ -334,15 +336,24 @@ def _sets(batch: pa.RecordBatch, words_each: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.binary())], names=["node", "items"])
 
 
+def _stored_sets(column: pa.Array) -> list[np.ndarray]:
+    """The sets of a binary column, as views of its buffer."""
+    _, ends, data = column.buffers()
+    width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    at = np.frombuffer(ends, width)[column.offset:column.offset + len(column) + 1].tolist()
+    raw = np.frombuffer(data or b"", np.uint8)
+    return [raw[a:b].view(np.uint64) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = []
-        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        for a, b in zip(_stored_sets(batch.column(2)), _stored_sets(batch.column(3)), strict=True):
             both = len(np.intersect1d(a, b, assume_unique=True))
             ok.append(100 * both >= PERCENT * (len(a) + len(b) - both))
         ok = np.array(ok, dtype=bool)
         yield _pair_batch(batch.column(0).to_numpy()[ok], batch.column(1).to_numpy()[ok])
+        pa.default_memory_pool().release_unused()
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words_each: int) -> DataFrame:
