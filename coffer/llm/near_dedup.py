@@ -41,8 +41,9 @@ SHINGLE_WORDS = 4
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
 COORDINATES, TREES = 128, 10
-#: Further tokens, one byte each, that only tell close pairs apart.
-FINE = 384
+#: Further tokens, half a byte each, that only tell close pairs apart.
+FINE, FINE_VALUES = 384, 16
+SKETCH_BYTES = 2 * COORDINATES + FINE // 2
 #: Members of a tree node that are compared exhaustively by one task: what a row costs there at most.
 LEAF = 1024
 #: Pairs whose sketches are compared at once.
@@ -125,9 +126,9 @@ def _sketch(batch: pa.RecordBatch, words_each: int) -> pa.RecordBatch:
     if len(full):
         half = (mixed >> np.uint64(32)).astype(np.uint32)
         for k, multiplier in enumerate(FINE_MULTIPLIERS):
-            fine[full, k] = (np.minimum.reduceat(half * multiplier, starts) >> np.uint32(5)).astype(np.uint8)
+            fine[full, k] = (np.minimum.reduceat(half * multiplier, starts) >> np.uint32(5)) % np.uint32(FINE_VALUES)
     coarse = ((tokens >> np.uint64(9)) & np.uint64(0xFFFF)).astype("<u2")
-    sketch = np.hstack([coarse.view(np.uint8), fine])
+    sketch = np.hstack([coarse.view(np.uint8), fine[:, ::2] | (fine[:, 1::2] << 4)])
     return pa.RecordBatch.from_arrays(
         [batch.column(0), batch.column(2), pa.array(sizes.astype(np.int64)), pa.array(set_a.view(np.int64)),
          pa.array(set_b.view(np.int64)),
@@ -145,10 +146,15 @@ def sketches(docs: DataFrame, words_each: int) -> DataFrame:
     return _rows(docs).mapInArrow(lambda batches: (_sketch(b, words_each) for b in _grouped(batches)), SKETCH_SCHEMA)
 
 
-def _least(coordinates: int) -> float:
-    """Equal tokens below which a pair is let go: four standard deviations less than the threshold has on average."""
+def _least(coordinates: int, fine: int = 0) -> float:
+    """Equal tokens below which a pair is let go: four standard deviations less than the threshold has on average.
+
+    Of the fine tokens that differ, one in ``FINE_VALUES`` is equal by chance.
+    """
     share = PERCENT / 100
-    return coordinates * share - 4 * math.sqrt(coordinates * share * (1 - share))
+    by_half = share + (1 - share) / FINE_VALUES
+    spread = math.sqrt(coordinates * share * (1 - share) + fine * by_half * (1 - by_half))
+    return coordinates * share + fine * by_half - 4 * spread
 
 
 Sketches = tuple[np.ndarray, np.ndarray]
@@ -162,13 +168,15 @@ def similar(one: Sketches, i: np.ndarray, other: Sketches, j: np.ndarray) -> np.
     equal = (one[0][i] == other[0][j]).sum(axis=1)
     ok = equal >= _least(COORDINATES)
     at = np.flatnonzero(ok)
-    ok[at] = equal[at] + (one[1][i[at]] == other[1][j[at]]).sum(axis=1) >= _least(COORDINATES + FINE)
+    differ = one[1][i[at]] ^ other[1][j[at]]
+    fine = ((differ & 15) == 0).sum(axis=1) + (differ < 16).sum(axis=1)
+    ok[at] = equal[at] + fine >= _least(COORDINATES, FINE)
     return ok
 
 
 def _matrix(column: pa.Array) -> Sketches:
-    """16-bit tokens and fine tokens of each row."""
-    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2 * COORDINATES + FINE)
+    """16-bit tokens and fine tokens, two a byte, of each row."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH_BYTES)
     return np.ascontiguousarray(raw[:, : 2 * COORDINATES]).view("<u2"), raw[:, 2 * COORDINATES :]
 
 

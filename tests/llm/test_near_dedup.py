@@ -111,3 +111,33 @@ def test_small_leaves_against_brute_force(make_docs, monkeypatch):
         own = shared + " " + prose(1000 + k, 25)
         rows += [(1000 + k, own), (2000 + k, own.rsplit(" ", 1)[0] + " end")]
     check(make_docs(rows))
+
+
+def test_components_in_a_block_and_in_rounds(spark, monkeypatch):
+    rng = random.Random(5)
+    edges = [(rng.randrange(-90, 90), rng.randrange(-90, 90)) for _ in range(80)] + [(i, i + 1) for i in range(200, 230)]
+    links = spark.createDataFrame(edges, "src long, dst long")
+
+    def found(group):
+        spark.sparkContext.setJobGroup(group, group)
+        rows = sorted(map(tuple, cc.components(links).collect()))
+        return rows, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    rows, jobs = found("block")
+    monkeypatch.setattr(cc, "BLOCK_LINKS", 0)
+    in_rounds, more = found("rounds")
+    spark.sparkContext.setJobGroup("other", "other")
+    assert rows == in_rounds and jobs < 12 < more
+
+
+def test_a_sketch_keeps_half_a_byte_of_each_fine_token():
+    texts = variants(prose(5, 300), 12, 40, 3) + [prose(900 + k, 300) for k in range(8)]
+    batch = pa.record_batch([pa.array(range(20)), pa.array(texts), pa.array(range(20))], names=["doc_id", "text", "tag"])
+    sketch = op._sketch(batch, 4).column("sketch")
+    assert {len(x) for x in sketch.to_pylist()} == {2 * 128 + 384 // 2}
+    pairs = list(combinations(range(20), 2))
+    sets = [shingle_set(t) for t in texts]
+    share = [len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i, j in pairs]
+    i, j = (op.np.array(x) for x in zip(*pairs, strict=True))
+    ok = op.similar(op._matrix(sketch), i, op._matrix(sketch), j)
+    assert all(o for o, s in zip(ok, share, strict=True) if s >= 0.8) and not any(o for o, s in zip(ok, share, strict=True) if s < 0.6)
