@@ -44,7 +44,7 @@ def missing_keys(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return source.join(target.select(key), key, "left_anti")
 
 
-#: Differing ranges that a filter names; beyond that a join selects them.
+#: Differing ranges that a filter names; beyond that all keys are compared.
 NAMED_RANGES = 500
 
 
@@ -66,10 +66,7 @@ def differing_ranges(source: DataFrame, target: DataFrame, key: str, width: int)
     return net.filter((F.col("rows") != 0) | (F.col("xor") != 0) | (F.col("total") != 0)).select("key_range")
 
 
-def _of_ranges(df: DataFrame, key: str, width: int, ranges: list[int] | None, differing: DataFrame) -> DataFrame:
-    if ranges is None:
-        wanted = df.withColumn("key_range", F.floor(F.col(key) / width))
-        return wanted.join(differing, "key_range", "left_semi").drop("key_range")
+def _of_ranges(df: DataFrame, key: str, width: int, ranges: list[int]) -> DataFrame:
     spans: list[list[int]] = []
     for r in ranges:  # neighbours are one span
         if spans and spans[-1][1] == r:
@@ -80,22 +77,36 @@ def _of_ranges(df: DataFrame, key: str, width: int, ranges: list[int] | None, di
     return df.filter(reduce(or_, within, F.lit(False)))
 
 
+def _key_bits(df: DataFrame, key: str, side: str) -> DataFrame:
+    """One row per 64 neighbouring keys: bit k of ``side`` is set where the key 64 * word + k is there."""
+    return df.select(F.col(key).cast("long").alias("key")).select(
+        F.shiftright("key", 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("cast(key & 63 as int)")).alias("bit")
+    ).groupBy("word").agg(F.bit_or("bit").alias(side))
+
+
 def reconcile(source: DataFrame, target: DataFrame, key: str, width: int = 1 << 16) -> DataFrame:
     """Keys that only one of two large tables has: ``side`` is 'missing' (from the target) or 'surplus' (in it).
 
-    Both tables are compared range by range on counts and checksums, which shuffles a row per range; only ranges that
-    differ are read again and anti-joined. Up to ``NAMED_RANGES`` of them are named in a filter that reaches the scan, so a
-    table that lies in order of its key skips the rest; more are selected by a join. Rows without a key and repeats of a
-    key do not show. Equal tables give no rows. ``key`` is an integer.
+    Both tables are compared range by range on counts and checksums, which shuffles a row per range. Up to ``NAMED_RANGES``
+    ranges that differ are named in a filter that reaches the scan, so a table that lies in order of its key skips the rest;
+    with more of them all keys are compared. Keys are compared as bits, 64 neighbours a row, which each task unites before
+    they are shuffled; no task sorts or holds the rows of the tables. Rows without a key and repeats of a key do not show.
+    Equal tables give no rows. ``key`` is an integer.
     """
     differing = differing_ranges(source, target, key, width)
     found = [r["key_range"] for r in differing.limit(NAMED_RANGES + 1).collect()]
-    ranges = sorted(found) if len(found) <= NAMED_RANGES else None
-    ours, theirs = (
-        _of_ranges(df.select(key).filter(F.col(key).isNotNull()), key, width, ranges, differing) for df in (source, target)
+    ours, theirs = (df.select(key).filter(F.col(key).isNotNull()) for df in (source, target))
+    if len(found) <= NAMED_RANGES:
+        ours, theirs = (_of_ranges(df, key, width, sorted(found)) for df in (ours, theirs))
+    kind = ours.unionByName(theirs).schema[key].dataType
+    sides = _key_bits(ours, key, "ours").unionByName(_key_bits(theirs, key, "theirs"), allowMissingColumns=True)
+    words = sides.groupBy("word").agg(*[F.coalesce(F.bit_or(c), F.lit(0).cast("long")).alias(c) for c in ("ours", "theirs")])
+    apart = words.withColumn("only", F.col("ours").bitwiseXOR(F.col("theirs"))).filter("only <> 0")
+    place = F.explode(F.expr("filter(sequence(0, 63), k -> shiftright(only, k) & 1 = 1)"))
+    return apart.select("word", "ours", place.alias("place")).select(
+        (F.col("word") * 64 + F.col("place")).cast(kind).alias(key),
+        F.when(F.expr("shiftright(ours, place) & 1 = 1"), "missing").otherwise("surplus").alias("side"),
     )
-    only = lambda a, b, side: a.join(b, key, "left_anti").distinct().withColumn("side", F.lit(side))
-    return only(ours, theirs, "missing").unionByName(only(theirs, ours, "surplus"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

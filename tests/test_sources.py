@@ -164,3 +164,19 @@ def test_reconciliation_equals_the_anti_joins_and_reads_differing_ranges(spark,
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert incremental.reconcile(a, a, "id", 100).count() == 0
     assert incremental.reconcile(a, a.filter("false"), "id", 1000).count() == len(ours)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "smallint"])
+@pytest.mark.parametrize("named", [500, 0])
+def test_reconciliation_compares_keys_as_bits_and_sorts_no_rows(spark, monkeypatch, kind, named):
+    monkeypatch.setattr(incremental, "NAMED_RANGES", named)
+    ends = {"bigint": (-(1 << 40), (1 << 40) - 1), "int": (-(1 << 31), (1 << 31) - 1), "smallint": (-(1 << 15), (1 << 15) - 1)}[kind]
+    ours = [-1, 0, 0, 63, 64, 64, -64, -65, 300, ends[0], None]
+    theirs = [0, 63, 65, 65, -64, 7, 300, ends[1], None, None]
+    a, b = (spark.createDataFrame([(k,) for k in keys], f"id {kind}") for keys in (ours, theirs))
+    found = incremental.reconcile(a, b, "id", width=512)
+    assert found.dtypes == [("id", kind), ("side", "string")]
+    want = [(k, "missing") for k in (ends[0], -65, -1, 64)] + [(k, "surplus") for k in (7, 65, ends[1])]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort " not in plan
