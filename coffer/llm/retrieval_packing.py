@@ -21,6 +21,7 @@ import json
 import math
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -46,8 +47,12 @@ K1, B = 1.2, 0.75
 #: Minwise terms of a document's key, and documents looked at per shard to find where shards begin.
 KEY_TERMS, SAMPLED = 8, 24
 IDS = 1 << 16
+#: A term in one of so many documents of a shard, or more, has a weight for each document instead of a posting list.
+FREQUENT = 16
 #: Distinct chunks encoded in one go.
 CHUNKS_AT_ONCE = 20_000
+#: Distinct chunks whose ids a worker keeps from one block to the next.
+REMEMBERED_CHUNKS = 100_000
 #: UTF-8 bytes of text whose tokens a task finds at once.
 TOKENISED_BYTES = 2_000_000
 #: Fixed value: the splitting pattern of byte-level vocabularies.
@@ -102,20 +107,49 @@ def chunk_encoder(path: str, tokenizer: Tokenizer):
     return by_ranks
 
 
+class RememberedChunks:
+    """``encode`` of chunks with a blank before them; the ids of the first ``REMEMBERED_CHUNKS`` distinct ones are kept."""
+
+    def __init__(self, encode):
+        self.encode = encode
+        self.known, self.flat, self.lengths = pa.array([], pa.string()), np.zeros(0, np.uint16), np.zeros(0, np.int64)
+
+    def __call__(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        place = pc.index_in(chunks, value_set=self.known)
+        new = pc.is_null(place).to_numpy(zero_copy_only=False)
+        fresh = chunks.filter(pa.array(new))
+        flat, lengths = self.encode(fresh, False)
+        code = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        code[new] = len(self.known) + np.arange(len(fresh))
+        all_flat, all_lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
+        starts = np.cumsum(all_lengths) - all_lengths
+        room = max(0, REMEMBERED_CHUNKS - len(self.known))
+        if room and len(fresh):
+            kept = lengths[:room]
+            self.known = pa.concat_arrays([self.known, fresh[:room].cast(pa.string())])
+            self.flat, self.lengths = np.concatenate([self.flat, flat[:kept.sum()]]), np.concatenate([self.lengths, kept])
+        return joined(all_flat, starts[code], all_lengths[code]), all_lengths[code]
+
+
+@lru_cache(maxsize=2)
+def _encoders(path: str):
+    """The tokenizer at ``path``, its special strings, and its encoders of chunks with and without memory; a worker makes them once."""
+    tokenizer = Tokenizer.from_file(path)
+    if tokenizer.get_vocab_size() > IDS:
+        raise ValueError(f"ids of {path} do not fit in 16 bits")
+    encode = chunk_encoder(path, tokenizer)
+    return tokenizer, specials(tokenizer), encode, RememberedChunks(encode)
+
+
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, tag (hash of the text), and the ids of each row as little-endian 16-bit numbers without the end id."""
-    state: dict = {}
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not state:
-            tokenizer = Tokenizer.from_file(path)
-            if tokenizer.get_vocab_size() > IDS:
-                raise ValueError(f"ids of {path} do not fit in 16 bits")
-            state.update({"tokenizer": tokenizer, "special": specials(tokenizer), "encode": chunk_encoder(path, tokenizer)})
+        tokenizer, special, encoded, remembered = _encoders(path)
         texts = batch.column(1).to_pylist()
         codes, counts, distinct = chunks_of(batch.column(1))
         begins = np.cumsum(counts) - counts
-        rare = unusual(texts, state["special"], runs=True)
+        rare = unusual(texts, special, runs=True)
         used = np.zeros(len(distinct), bool)
         after = ~np.repeat(rare, counts)
         after[begins] = False  # the first chunk has no blank before it
@@ -123,10 +157,10 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
         at = np.flatnonzero(used)
         place = np.zeros(len(distinct), np.int64)
         place[at] = np.arange(len(at))
-        flat, lengths = state["encode"](distinct.take(pa.array(at)), False)
+        flat, lengths = remembered(distinct.take(pa.array(at)))
         firsts = distinct.take(pa.array(np.where(rare, codes[begins[0]], codes[begins]))) if len(texts) else distinct
-        first_flat, first_lengths = state["encode"](firsts, True)
-        whole = [np.array(state["tokenizer"].encode(texts[k], add_special_tokens=False).ids, np.uint16) for k in np.flatnonzero(rare)]
+        first_flat, first_lengths = encoded(firsts, True)
+        whole = [np.array(tokenizer.encode(texts[k], add_special_tokens=False).ids, np.uint16) for k in np.flatnonzero(rare)]
         # an unusual text is one entry, at the place of its first chunk
         code = np.where(after, place[codes], -1)
         code[begins] = len(at) + np.arange(len(texts))
@@ -250,7 +284,10 @@ def dealt(rows: DataFrame, n_shards: int, corpus: Corpus) -> DataFrame:
 
 
 class ShardIndex:
-    """BM25 postings of a shard: for each term the documents and their weights. Without ``corpus`` the shard is all there is."""
+    """BM25 postings of a shard: for each term the documents and their weights. Without ``corpus`` the shard is all there is.
+
+    Frequent terms have a row of weights, zero where a document lacks the term, which is added without a list of documents.
+    """
 
     def __init__(self, tokens: list[np.ndarray], corpus: Corpus | None = None):
         n = len(tokens)
@@ -265,35 +302,49 @@ class ShardIndex:
         corpus = corpus or Corpus(n, sizes.mean() if n else 1.0, df)
         idf = corpus.idf
         length = 1 - B + B * sizes[doc] / max(1.0, corpus.mean)
-        self.doc, self.n = doc, n
-        self.weight = idf[term] * times * (K1 + 1) / (times + K1 * length)
-        self.term_start = np.searchsorted(term, np.arange(width + 1))
+        weight = idf[term] * times * (K1 + 1) / (times + K1 * length)
         by = np.argsort(doc, kind="stable")
         self.own_terms, self.own_start = term[by], np.searchsorted(doc[by], np.arange(n + 1))
-        self.live = n
+        frequent = np.flatnonzero(FREQUENT * df >= max(2, n))
+        frequent = frequent[df[frequent] > 1]
+        self.row = np.full(width, -1)
+        self.row[frequent] = np.arange(len(frequent))
+        row = self.row[term]
+        self.rows = np.zeros((len(frequent), n))
+        self.rows[row[row >= 0], doc[row >= 0]] = weight[row >= 0]
+        rare = row < 0
+        self.doc, self.weight = doc[rare], weight[rare]
+        self.term_start = np.searchsorted(term[rare], np.arange(width + 1))
+        self.live = np.arange(n)  # the documents that lists and rows stand for
 
     def _leave_out_used(self, unused: np.ndarray) -> None:
-        kept = unused[self.doc]
+        left = unused[self.live]
+        kept = left[self.doc]
         self.term_start = np.r_[0, np.cumsum(kept)][self.term_start]
-        self.doc, self.weight = self.doc[kept], self.weight[kept]
+        self.doc, self.weight = (np.cumsum(left) - 1)[self.doc[kept]], self.weight[kept]
+        self.rows, self.live = self.rows[:, left], self.live[left]
 
     def neighbours(self, seed: int, unused: np.ndarray, most: int) -> np.ndarray:
         """Unused documents by falling score for all terms of the seed; at most ``most``.
 
         Only the postings of the seed's terms are read. When half of the documents in them are used, all lists are shortened.
         """
-        left = int(np.count_nonzero(unused))
-        if 2 * left < self.live:
+        if 2 * int(np.count_nonzero(unused)) < len(self.live):
             self._leave_out_used(unused)
-            self.live = left
         terms = self.own_terms[self.own_start[seed]:self.own_start[seed + 1]]
         if not len(terms):
             return terms
-        lists = [slice(a, b) for a, b in zip(self.term_start[terms].tolist(), self.term_start[terms + 1].tolist(), strict=True)]
-        docs, weights = np.concatenate([self.doc[x] for x in lists]), np.concatenate([self.weight[x] for x in lists])
-        score = np.bincount(docs, weights, minlength=self.n)
-        at = np.flatnonzero((score > 0) & unused)
-        return at[np.argsort(-score[at], kind="stable")[:most]]
+        row = self.row[terms]
+        score = np.zeros(len(self.live))
+        for k in row[row >= 0].tolist():
+            score += self.rows[k]
+        terms = terms[row < 0]
+        lists = [slice(a, b) for a, b in zip(self.term_start[terms].tolist(), self.term_start[terms + 1].tolist(), strict=True) if b > a]
+        if lists:
+            docs, weights = np.concatenate([self.doc[x] for x in lists]), np.concatenate([self.weight[x] for x in lists])
+            score += np.bincount(docs, weights, minlength=len(score))
+        at = np.flatnonzero((score > 0) & unused[self.live])
+        return self.live[at[np.argsort(-score[at], kind="stable")[:most]]]
 
 
 def pack_shard(tokens: list[np.ndarray], window: int, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:

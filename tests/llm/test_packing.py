@@ -154,3 +154,31 @@ def test_last_placed_document_is_the_next_seed():
     tokens = [np.array(t, np.uint16) for t in ([1, 2], [50, 51], [2, 3], [60, 61], [3, 4], [4, 5])]
     pieces = op.pack_shard(tokens, 12)
     assert [p[0] for p in sorted(pieces, key=lambda p: (p[3], p[4]))] == [0, 2, 4, 5, 1, 3]
+
+
+def test_a_worker_encodes_a_chunk_once(monkeypatch):
+    monkeypatch.setattr(op, "REMEMBERED_CHUNKS", 6)
+    path = public_tokenizers.path(op.VOCABULARY)
+    encode, seen = op.chunk_encoder(path, Tokenizer.from_file(path)), []
+    remembered = op.RememberedChunks(lambda chunks, first: (seen.extend(chunks.to_pylist()), encode(chunks, first))[1])
+    blocks = [["one", "two", "", "three\n"], ["two", "four", "one", "five", "six"], [], ["six", "five", "two", "tokenisation"]]
+    for block in blocks:
+        flat, lengths = remembered(pa.array(block, pa.string()))
+        want, of_each = encode(pa.array(block, pa.string()), False)
+        assert flat.tolist() == want.tolist() and lengths.tolist() == of_each.tolist()
+    assert seen == ["one", "two", "", "three\n", "four", "five", "six", "six", "tokenisation"]
+
+
+def test_frequent_terms_have_rows_instead_of_lists(monkeypatch):
+    rng = np.random.default_rng(4)
+    tokens = [rng.zipf(1.3, rng.integers(1, 200)).clip(1, 3000).astype(np.uint16) for _ in range(120)]
+    index, pieces = op.ShardIndex(tokens), op.pack_shard(tokens, 256)
+    assert len(index.rows) and op.FREQUENT * max(np.diff(index.term_start)) < len(tokens)
+    monkeypatch.setattr(op, "FREQUENT", 0)
+    lists = op.ShardIndex(tokens)
+    assert not len(lists.rows) and len(lists.doc) > 2 * len(index.doc)
+    unused = np.ones(len(tokens), bool)
+    for seed in range(0, 120, 7):
+        unused[seed] = False
+        assert set(index.neighbours(seed, unused, 5000)) == set(lists.neighbours(seed, unused, 5000))
+    assert op.pack_shard(tokens, 256) == pieces
