@@ -17,7 +17,9 @@ Members of a tree node are compared as follows, so that a hot group never means
    that component and all the others. Any other node branches again.
 
 Comparison is by the minwise tokens and then by ``FINE`` further ones, with a margin of four standard deviations; what passes
-is confirmed on the full sets, for which only the texts of those nodes are read again.
+is confirmed on the full sets, for which only the texts of those nodes are read again. A family of texts just below the
+threshold has as many such pairs as the square of its size, so the pairs found in 2 are not made rows: a member goes with its
+set, and a list of its partners, to each group where it has any, and the group is confirmed there as a whole.
 A pair that meets in several trees is passed on by the first root child only in which it was compared.
 """
 
@@ -205,28 +207,57 @@ ROOT_COORDINATES = np.array([c for _, c in ROOTS])
 GROUP_COLUMNS = ("path", "chunk", "node", "component", "sketch", "root", "compared", "spread")
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition sorted by (path, chunk), its first two columns, in batches that part no group."""
+    held: list[pa.RecordBatch] = []  # a group may go on in the next batch
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = (batch.column(0)[-1], batch.column(1)[-1])
+        path, chunk = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        other = np.flatnonzero((path != last[0].as_py()) | (chunk != last[1].as_py()))
+        whole = int(other[-1]) + 1 if len(other) else 0
+        if whole:
+            yield pa.concat_batches([*held, batch.slice(0, whole)])
+            held = []
+        elif held and (held[-1].column(0)[-1], held[-1].column(1)[-1]) != last:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch.slice(whole))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _groups_in(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Where the groups of sorted rows start, and their sizes."""
+    path, chunk = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    start = np.flatnonzero(np.r_[True, (path[1:] != path[:-1]) | (chunk[1:] != chunk[:-1])])
+    return start, np.diff(np.r_[start, len(path)])
+
+
+PARTNERS = "path long, chunk int, node long, component long, partners array<long>"
+
+
 def _exhaustive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All similar pairs across components within the groups (path, chunk) of a sorted partition.
+    """The members of the groups (path, chunk) of a sorted partition that have similar ones in another component.
 
+    Each such pair is listed once, among the ``partners`` of one of its two.
     ``root`` is the number of the root child a group comes from, ``compared`` has a bit for each root child of the row whose
     members were compared; a pair with the same token at an earlier one of those has been seen there. ``spread`` marks rows
     that stand in one chunk only; two that stand in all chunks are compared in the first.
     """
-
-    def pairs(rows: pa.RecordBatch) -> pa.RecordBatch:
-        path, chunk, node, comp = (rows.column(i).to_numpy() for i in range(4))
+    for rows in _whole_groups(batches):
+        chunk, node, comp = (rows.column(i).to_numpy() for i in (1, 2, 3))
         sketch = _matrix(rows.column(4))
         earlier = rows.column(6).to_numpy() & ((np.int64(1) << rows.column(5).to_numpy().astype(np.int64)) - 1)
         spread = rows.column(7).to_numpy(zero_copy_only=False)
         seen_at = (earlier[:, None] >> np.arange(len(ROOTS))) & 1 == 1
         tokens = sketch[0][:, ROOT_COORDINATES]
-        new = np.r_[True, (path[1:] != path[:-1]) | (chunk[1:] != chunk[:-1])]
-        start = np.flatnonzero(new)
-        size = np.diff(np.r_[start, len(path)])
+        start, size = _groups_in(rows)
         end = np.repeat(start + size, size)
-        later = end - np.arange(len(path)) - 1
+        later = end - np.arange(len(node)) - 1
         src, dst, step = [], [], max(1, PAIR_BLOCK // int(size.max()))
-        for a in range(0, len(path), step):  # each row with the later rows of its group
+        for a in range(0, len(node), step):  # each row with the later rows of its group
             n = later[a:a + step]
             i = np.repeat(np.arange(a, a + len(n)), n)
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
@@ -235,33 +266,20 @@ def _exhaustive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ok = similar(sketch, i, sketch, j)
             i, j = i[ok], j[ok]
             fresh = ~((tokens[i] == tokens[j]) & seen_at[i]).any(axis=1)
-            src.append(np.maximum(node[i], node[j])[fresh])
-            dst.append(np.minimum(node[i], node[j])[fresh])
-        return _pair_batch(np.concatenate(src), np.concatenate(dst))
-
-    held: list[pa.RecordBatch] = []  # a group may go on in the next batch
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        last = (batch.column(0)[-1], batch.column(1)[-1])
-        path, chunk = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        other = np.flatnonzero((path != last[0].as_py()) | (chunk != last[1].as_py()))
-        whole = int(other[-1]) + 1 if len(other) else 0
-        if whole:
-            yield pairs(pa.concat_batches([*held, batch.slice(0, whole)]))
-            held = []
-        elif held and (held[-1].column(0)[-1], held[-1].column(1)[-1]) != last:
-            yield pairs(pa.concat_batches(held))
-            held = []
-        held.append(batch.slice(whole))
-    if held:
-        yield pairs(pa.concat_batches(held))
+            src.append(i[fresh])
+            dst.append(j[fresh])
+        src, dst = np.concatenate(src), np.concatenate(dst)  # src ascends
+        at = np.unique(np.r_[src, dst])
+        ends = np.cumsum(np.bincount(src, minlength=len(node))[at])
+        partners = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(node[dst], pa.int64()))
+        columns = [rows.column(k).take(pa.array(at, pa.int64())) for k in range(4)]
+        yield pa.RecordBatch.from_arrays([*columns, partners], names=["path", "chunk", "node", "component", "partners"])
 
 
 def _compared(groups: DataFrame) -> DataFrame:
     """``groups`` has the columns ``GROUP_COLUMNS``; no group has more than a few times ``LEAF`` rows."""
     dealt = groups.select(*GROUP_COLUMNS).repartition("path", "chunk")
-    return dealt.sortWithinPartitions("path", "chunk").mapInArrow(_exhaustive, PAIRS)
+    return dealt.sortWithinPartitions("path", "chunk").mapInArrow(_exhaustive, PARTNERS)
 
 
 def _branch(batches: Iterator[pa.RecordBatch], quarters: int) -> Iterator[pa.RecordBatch]:
@@ -298,7 +316,7 @@ def _unsettled(members: DataFrame) -> DataFrame:
 
 
 def across_components(placed: DataFrame, nodes: DataFrame) -> DataFrame | None:
-    """Similar pairs between components; ``placed`` has the members of the root children: path, root, node, component.
+    """Similar pairs between components, as ``PARTNERS``; ``placed`` has the members of the root children: path, root, node, component.
 
     None where every root child is settled. Nodes that are settled are left out before anything is joined to a sketch.
     """
@@ -334,7 +352,7 @@ def across_components(placed: DataFrame, nodes: DataFrame) -> DataFrame | None:
         )
         members = cut(members.withColumn("root", F.lit(len(ROOTS))))
         unsettled = cut(_unsettled(members))
-    return None if found is None else cut(found.distinct())
+    return None if found is None else cut(found)
 
 
 def _sets(batch: pa.RecordBatch, words_each: int) -> pa.RecordBatch:
@@ -353,32 +371,77 @@ def _stored_sets(column: pa.Array) -> list[np.ndarray]:
     return [raw[a:b].view(np.uint64) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ok = []
-        for a, b in zip(_stored_sets(batch.column(2)), _stored_sets(batch.column(3)), strict=True):
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            ok.append(100 * both >= PERCENT * (len(a) + len(b) - both))
+        ok = [_linked(a, b) for a, b in zip(_stored_sets(batch.column(2)), _stored_sets(batch.column(3)), strict=True)]
         ok = np.array(ok, dtype=bool)
         yield _pair_batch(batch.column(0).to_numpy()[ok], batch.column(1).to_numpy()[ok])
         pa.default_memory_pool().release_unused()
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words_each: int) -> DataFrame:
-    """The pairs that are links on their full sets, which are made again from the texts of these nodes only."""
-    wanted = pairs.select(F.col("src").alias("node")).distinct().unionByName(pairs.select(F.col("dst").alias("node")).distinct()).distinct()
+def _sets_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, words_each: int) -> DataFrame:
+    """node, items: the full sets of the nodes ``wanted``, made again from the texts of these nodes only."""
     keys = cut(nodes.join(wanted, "node").select("node", F.col("doc_id").alias("key_id"), F.col("tag").alias("key_tag")))
     near = F.broadcast(keys) if keys.count() <= SENT_KEYS else keys
     match = F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("tag") == F.col("key_tag"))
     texts = _rows(docs).join(near, match).select("node", "text")
     sets = texts.mapInArrow(lambda batches: (_sets(b, words_each) for b in _grouped(batches)), "node long, items binary")
-    sets = cut(sets.groupBy("node").agg(F.first("items").alias("items")))  # rows may repeat id and text
+    return cut(sets.groupBy("node").agg(F.first("items").alias("items")))  # rows may repeat id and text
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words_each: int) -> DataFrame:
+    """The pairs that are links on their full sets."""
+    wanted = pairs.select(F.col("src").alias("node")).distinct().unionByName(pairs.select(F.col("dst").alias("node")).distinct()).distinct()
+    sets = _sets_of(wanted, nodes, docs, words_each)
     one = sets.select(F.col("node").alias("src"), F.col("items").alias("items_a"))
     other = sets.select(F.col("node").alias("dst"), F.col("items").alias("items_b"))
     both = pairs.join(one, "src").join(other, "dst").select("src", "dst", "items_a", "items_b")
     return cut(both.mapInArrow(_confirm, PAIRS))
 
 
+def _confirm_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links within the groups of a sorted partition, with ``PARTNERS`` and the sets; none between what others of it join."""
+    for rows in _whole_groups(batches):
+        node, comp = rows.column(2).to_numpy(), rows.column(3).to_pylist()
+        partners, sets = rows.column(4), _stored_sets(rows.column(5))
+        src, dst = [], []
+        for a, n in zip(*(x.tolist() for x in _groups_in(rows)), strict=True):
+            row_of = dict(zip(node[a:a + n].tolist(), range(a, a + n), strict=True))
+            into: dict[int, int] = {}
+
+            def component(c: int, into: dict[int, int] = into) -> int:
+                while c in into:
+                    c = into[c]
+                return c
+
+            for i in range(a, a + n):
+                for j in map(row_of.__getitem__, partners[i].as_py()):
+                    one, other = component(comp[i]), component(comp[j])
+                    if one != other and _linked(sets[i], sets[j]):
+                        into[max(one, other)] = min(one, other)
+                        src.append(max(node[i], node[j]))
+                        dst.append(min(node[i], node[j]))
+        yield _pair_batch(np.array(src, np.int64), np.array(dst, np.int64))
+        pa.default_memory_pool().release_unused()
+
+
+def confirmed_in_groups(groups: DataFrame, nodes: DataFrame, docs: DataFrame, words_each: int) -> DataFrame:
+    """Links on the full sets that join the components that the pairs of ``groups``, with ``PARTNERS``, join.
+
+    A set is sent once to each group in which it has a partner, however many pairs there are.
+    """
+    sets = _sets_of(groups.select("node").distinct(), nodes, docs, words_each)
+    dealt = groups.join(sets, "node").select("path", "chunk", "node", "component", "partners", "items").repartition("path", "chunk")
+    return cut(dealt.sortWithinPartitions("path", "chunk").mapInArrow(_confirm_groups, PAIRS))
+
+
 def _shared(nodes: DataFrame) -> DataFrame:
     """Members of root children with two nodes or more: path, root, node, the child's size ``n`` and two members drawn from it."""
     placed = nodes.select(F.posexplode("paths").alias("root", "path"), "node")
@@ -429,9 +492,9 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFra
     known = cut(components(links))
     members = shared.where("n > 2").select("path", "root", "node").join(known, "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
-    pairs = across_components(members, nodes)
-    if pairs is not None:
-        known = _joined(nodes, known, confirmed(pairs, nodes, docs, words_each))
+    groups = across_components(members, nodes)
+    if groups is not None:
+        known = _joined(nodes, known, confirmed_in_groups(groups, nodes, docs, words_each))
     grouped = nodes.select("node", "doc_id", *of_set).join(known, "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -141,3 +141,40 @@ def test_a_sketch_keeps_half_a_byte_of_each_fine_token():
     i, j = (op.np.array(x) for x in zip(*pairs, strict=True))
     ok = op.similar(op._matrix(sketch), i, op._matrix(sketch), j)
     assert all(o for o, s in zip(ok, share, strict=True) if s >= 0.8) and not any(o for o, s in zip(ok, share, strict=True) if s < 0.6)
+
+
+def test_pairs_below_the_threshold_are_not_made_rows(make_docs, monkeypatch):
+    texts = variants(prose(7, 400), 150, 0, 1)
+    rng = random.Random(11)
+    for k, t in enumerate(texts):  # one family: any two share about three quarters of their shingles
+        words = t.split()
+        for at in rng.sample(range(0, 400, 4), 7):
+            words[at] = f"own{k}x{at}"
+        texts[k] = " ".join(words)
+    texts += [t.rsplit(" ", 1)[0] + " end" for t in texts[::10]]  # and some links
+    found, across = [], op.across_components
+    monkeypatch.setattr(op, "across_components", lambda *a: found.append(across(*a)) or found[0])
+    check(make_docs(list(enumerate(texts))))
+    sets = [shingle_set(t) for t in texts]
+    close = sum(len(a & b) >= 0.74 * len(a | b) for a, b in combinations(sets, 2))
+    assert close > 3 * len(op.ROOTS) * len(texts)
+    assert 0 < found[0].count() <= len(op.ROOTS) * len(texts)
+
+
+def test_groups_are_confirmed_whole_wherever_batches_part_them():
+    texts = [prose(5, 100), prose(5, 100) + " a", prose(5, 99), prose(6, 100), prose(6, 100) + " b"]
+    values, sizes = op.shingles(pa.array(texts), 4)
+    ends = sizes.cumsum()
+    items = [values[e - n:e].tobytes() for e, n in zip(ends, sizes, strict=True)]
+    partners = [[11, 12, 13], [12], [], [10, 14], []]  # 11 and 12 have been joined by way of 10
+    rows = []
+    for path, chunk in [(1, 0), (1, 1), (7, 0)]:
+        rows += [(path, chunk, 10 + k, 10 + k, partners[k], items[k]) for k in range(5)]
+    names = ["path", "chunk", "node", "component", "partners", "items"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+    for size in (1, 2, 4, 5, 7, 15):
+        batches = [whole.slice(a, size) for a in range(0, 15, size)]
+        got = pa.Table.from_batches(list(op._confirm_groups(iter(batches)))).to_pylist()
+        assert [(r["src"], r["dst"]) for r in got] == [(11, 10), (12, 10), (14, 13)] * 3
+    assert list(op._confirm_groups(iter([whole.slice(0, 0)]))) == []
