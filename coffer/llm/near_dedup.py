@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm.common import blocks_of, cut, documents, mix64, text_of, words_of
+from coffer.llm.common import blocks_of, cut, documents, give_back, mix64, text_of, words_of
 from coffer.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -104,6 +104,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batch, block_bytes=SKETCHED_BYTES):
             for start in range(0, block.num_rows, GROUP_TEXTS):
                 yield block.slice(start, GROUP_TEXTS)
+        give_back()
 
 
 SKETCH_SCHEMA = "doc_id long, tag long, n_shingles long, set_a long, set_b long, paths array<long>, sketch binary"

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from coffer.llm.common import cut, documents, map_texts, mix64, text_of
+from coffer.llm.common import cut, documents, give_back, map_texts, mix64, text_of
 from coffer.llm.pieces import byte_letters, chunks_of, joined, specials, sums, unusual
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -425,6 +425,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
         pdf = pdf.sort_values(["slot", "no_id", "doc_id", "tag"], kind="stable")
         tokens = [np.append(np.frombuffer(x, "<u2"), np.uint16(end_id)) for x in pdf["ids"]]
         pieces = pack_shard(tokens, window, corpus)
+        give_back()
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
         cuts = [tokens[d][a:a + n].astype("<u4").tobytes() for d, a, n, _, _ in pieces]
         ids = pd.array(pdf["doc_id"].to_numpy()[doc], dtype="Int64")

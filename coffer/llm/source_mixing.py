@@ -17,6 +17,7 @@ import heapq
 import math
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,7 +107,8 @@ def weighed(placed: DataFrame, weights: dict | None, power: float) -> DataFrame:
         found = sums.withColumn("weight", F.pow("bytes", F.lit(power)))
     else:
         named = [(NO_SOURCE if k is None else k, float(w)) for k, w in weights.items()]
-        found = sums.join(placed.sparkSession.createDataFrame(named, "source string, weight double"), "source")
+        named = placed.sparkSession.createDataFrame(_table(named, source=pa.string(), weight=pa.float64()))
+        found = sums.join(named, "source")
     found = cut(found.where("weight > 0").select("source", "weight", "blocks"))
     total = found.agg(F.sum("weight")).first()[0] or 0.0
     small = F.col("weight") * UNITS < total
@@ -125,15 +127,20 @@ def _turns(members: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["source", "unit", "own_turns", "unit_turns", "part_turn", "turn_in_unit"])
 
 
+def _table(rows: list[tuple], **types: pa.DataType) -> pa.Table:
+    """The rows with columns of these names and types."""
+    columns = zip(*rows, strict=True) if rows else [()] * len(types)
+    return pa.table({name: pa.array(c, kind) for (name, kind), c in zip(types.items(), columns, strict=True)})
+
+
 def block_slots(spark: SparkSession, placed: DataFrame, found: DataFrame, period: int) -> DataFrame:
     """source, block and slot of every block, and of the first block behind the last of each source (``missing``)."""
     weights = {r["unit"]: r["weight"] for r in found.groupBy("unit").agg(F.sum("weight").alias("weight")).collect()}
     slots = slots_per_period(weights, period)
     total = sum(slots.values())
-    plan = spark.createDataFrame(
-        [(k, slots[k], j, slot) for k, j, slot in schedule(slots)], "unit string, per_period long, turn long, slot_in_period long"
-    )
-    per_unit = spark.createDataFrame(list(slots.items()), "unit string, per_period long")
+    # as Arrow tables, which no Python worker has to read
+    plan = spark.createDataFrame(_table(schedule(slots), unit=pa.string(), turn=pa.int64(), slot_in_period=pa.int64()))
+    per_unit = spark.createDataFrame(_table(list(slots.items()), unit=pa.string(), per_period=pa.int64()))
     turns = cut(found.groupBy("unit").applyInPandas(
         _turns, "source string, unit string, own_turns long, unit_turns long, part_turn long, turn_in_unit long"
     ))
@@ -147,7 +154,7 @@ def block_slots(spark: SparkSession, placed: DataFrame, found: DataFrame, period
     # both tables have at most a period of rows
     timed = turned.withColumn("unit_turn", in_unit).join(F.broadcast(per_unit), "unit")
     timed = timed.withColumn("turn", F.col("unit_turn") % F.col("per_period")).join(
-        F.broadcast(plan.drop("per_period")), ["unit", "turn"]
+        F.broadcast(plan), ["unit", "turn"]
     )
     slot = F.floor(F.col("unit_turn") / F.col("per_period")) * total + F.col("slot_in_period")
     return timed.select("source", "block", "missing", slot.cast("long").alias("slot"))

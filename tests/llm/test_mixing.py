@@ -114,3 +114,10 @@ def test_stage_keeps_every_document_when_a_source_runs_dry(make_docs):
 def test_in_order_on_awkward_rows(awkward, no_docs):
     assert sorted(map(str, op.in_order(awkward, block_bytes=500).collect())) == sorted(map(str, awkward.collect()))
     assert op.in_order(no_docs).count() == 0
+
+
+def test_the_schedule_needs_no_python_worker(spark, make_docs):
+    placed = op.blocks(make_docs([(i, prose(i, 9), "en", f"s{i % 3}") for i in range(60)]), 500)
+    timed = op.block_slots(spark, placed, op.weighed(placed, None, 1.0), 64)
+    plan = timed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LocalRelation [unit#") == 2

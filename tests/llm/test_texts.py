@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from coffer.llm import quality_ranking, repetition_rules, token_counts, toxicity_neighbours
+from coffer.llm.common import map_texts
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -204,3 +205,23 @@ def test_terms_of_a_word():
     assert toxicity_neighbours.terms_of("--") == []
     start, term, weight = toxicity_neighbours.weighted(pa.array(["", "bad bad word", "x"]), {"bad": 0, "word": 1}, np.array([1.0, 2.0]))
     assert start.tolist() == [0, 0, 2, 2] and term.tolist() == [0, 1] and np.isclose((weight**2).sum(), 1)
+
+
+def test_workers_return_what_they_freed(spark):
+    kept = []
+
+    def held(batch):
+        with open("/proc/self/smaps_rollup") as file:
+            mb = next(int(line.split()[1]) for line in file if line.startswith("Anonymous:")) // 1024
+        arrays = [np.ones(8_000) for _ in range(1_500)]  # 96 MB, each array below the size that is mapped by itself
+        kept.append(arrays[-1])
+        return pa.RecordBatch.from_arrays([pa.array([mb], pa.int64())], names=["mb"])
+
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1")
+    try:
+        rows = map_texts(spark.range(0, 2, 1, 1).selectExpr("id", "'a' text"), held, "mb long").collect()
+    finally:
+        spark.conf.set(size, before)
+    assert rows[1].mb - rows[0].mb < 40
