@@ -2,7 +2,7 @@
 
 Byte-pair merges never cross a piece of a tokenizer's splitting pattern, and in both patterns used here a piece never goes
 on over a blank that a non-blank follows. So a text's tokens are those of its blank-separated chunks in order, and each
-distinct chunk is encoded once per worker and then remembered. Texts on which two regular-expression engines could
+distinct chunk is encoded once by a worker, as long as it is remembered. Texts on which two regular-expression engines could
 disagree (rare scripts, control characters, combining marks), texts with runs of blanks where these are tokens, and texts
 that hold a special string go through the tokenizer whole.
 """
@@ -16,8 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Distinct chunks remembered by a worker before it starts afresh.
-REMEMBERED = 300_000
+#: Distinct chunks remembered by a worker before it starts afresh, and characters of a chunk that is remembered.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 64
 #: What else than letters, digits and signs of the basic Latin blocks, general punctuation and the euro sign there is.
 UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa0-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
 
@@ -30,14 +30,16 @@ def byte_letters() -> dict[str, int]:
 
 
 class Memory(dict):
-    """chunk -> ``value(chunk)``, filled on demand."""
+    """chunk -> ``value(chunk)``, filled on demand; long chunks are not kept."""
 
     def __init__(self, value):
         super().__init__()
         self.value = value
 
     def __missing__(self, chunk: str):
-        found = self[chunk] = self.value(chunk)
+        found = self.value(chunk)
+        if len(chunk) <= REMEMBERED_CHARS:
+            self[chunk] = found
         return found
 
     def trim(self) -> None:

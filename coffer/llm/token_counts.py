@@ -2,21 +2,25 @@
 
 Once per job the driver proves for every vocabulary string that ends a word whether it alone encodes to that one token;
 the proven strings (at most as many as the vocabulary has) go to the tasks. There a pre-token that is in the set counts
-one, without merging; only the rest is merged, and each distinct rest once per worker.
+one, without merging; only the rest is merged by the library's model, each distinct pre-token once as long as the worker
+remembers it. What a worker remembers stays from block to block and from task to task.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from coffer.llm.common import documents, map_texts, text_of
-from coffer.llm.pieces import Memory, byte_letters, chunks_of, specials, sums, unusual
+from coffer.llm.common import documents, map_texts, text_of, words_of
+from coffer.llm.pieces import Memory, byte_letters, specials, sums, unusual
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -39,34 +43,54 @@ def whole_tokens(path: str) -> dict[str, int]:
     return {text: 1 for (text, token), e in zip(spelled.items(), encoded, strict=True) if e.ids == [token]}
 
 
+def piece_merger(tokenizer: Tokenizer):
+    """A function from a pre-token in lower case to the number of its tokens.
+
+    Normalising and splitting leave such a piece as it is, so the model alone gives the tokens of the whole tokenizer.
+    """
+    merge, letters = tokenizer.model.tokenize, {b: c for c, b in byte_letters().items()}
+    return lambda piece: len(merge(piece.encode().decode("latin-1").translate(letters)))
+
+
+def chunk_memory(merged) -> Memory:
+    """chunk -> tokens. Pieces are remembered beside the chunks, so a piece in other company is not merged again."""
+    split = regex.compile(PATTERN).findall
+
+    def in_chunk(chunk: str) -> int:
+        text = chunk.lower()
+        pieces = [text] if text.isalpha() else split(text)
+        return merged(chunk) if pieces == [chunk] else sum(memory[piece] for piece in pieces)
+
+    memory = Memory(in_chunk)
+    return memory
+
+
+@lru_cache(maxsize=2)
+def _counters(path: str) -> tuple[Tokenizer, list[str], Memory]:
+    """The tokenizer at ``path``, its special strings and what is known of chunks; a worker makes them once."""
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, specials(tokenizer), chunk_memory(piece_merger(tokenizer))
+
+
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit per row; null and empty texts have none. Any row is counted by itself."""
     path = path or public_tokenizers.path(VOCABULARY)
     proven = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
-    state: dict = {}
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not state:
-            tokenizer, whole, split = Tokenizer.from_file(path), proven.value, regex.compile(PATTERN).findall
-
-            def merged(piece: str) -> int:
-                return len(tokenizer.encode(piece, add_special_tokens=False).ids)
-
-            def in_chunk(chunk: str) -> int:
-                return sum(whole.get(piece) or merged(piece) for piece in split(chunk.lower()))
-
-            state.update({"memory": Memory(in_chunk), "merged": merged, "special": specials(tokenizer)})
+        tokenizer, special, memory = _counters(path)
+        if not memory:
+            memory.update(proven.value)
         texts = batch.column(1).to_pylist()
-        codes, counts, distinct = chunks_of(batch.column(1))
+        codes, counts, distinct = words_of(pc.ascii_lower(batch.column(1)))
         used = np.zeros(len(distinct), bool)
-        rare = unusual(texts, state["special"], runs=False)
+        rare = unusual(texts, special, runs=False)
         used[codes[~np.repeat(rare, counts)]] = True
-        memory, values = state["memory"], np.zeros(len(distinct), np.int64)
-        at = np.flatnonzero(used)
+        values, at = np.zeros(len(distinct), np.int64), np.flatnonzero(used)
         values[at] = [memory[c] for c in distinct.take(pa.array(at)).to_pylist()]
         tokens = sums(values[codes], counts)
         for k in np.flatnonzero(rare):
-            tokens[k] = state["merged"](texts[k])
+            tokens[k] = len(tokenizer.encode(texts[k], add_special_tokens=False).ids)
         memory.trim()
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(tokens)], names=["doc_id", "n_bytes", "n_tokens"]

@@ -7,6 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 from coffer.llm import quality_ranking, repetition_rules, token_counts, toxicity_neighbours
 from coffer.llm.common import map_texts
+from coffer.llm.pieces import unusual
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -134,6 +135,31 @@ def test_whole_tokens_are_proven():
         assert len(tokenizer.encode(text, add_special_tokens=False).ids) == 1
 
 
+def test_a_piece_is_merged_once_whatever_stands_next_to_it():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(token_counts.VOCABULARY))
+    one_by_one, calls = token_counts.piece_merger(tokenizer), []
+    memory = token_counts.chunk_memory(lambda piece: calls.append(piece) or one_by_one(piece))
+    chunks = ["qzxvkorst", "qzxvkorst,", "Qzxvkorst.", "(QZXVKORST)", "don'tqzxvkorst", "qzxvkorst" * 9, "\xa0Ünqzx\xa0"] * 2
+    assert [memory[c] for c in chunks] == [len(tokenizer.encode(c, add_special_tokens=False).ids) for c in chunks]
+    assert calls.count("qzxvkorst") == 1 and calls.count("ünqzx") == 1
+    # a long chunk is counted, not kept
+    assert "qzxvkorst" * 9 not in memory and len(memory) < len(set(chunks)) + len(set(calls))
+    # nor does a task begin anew in a worker that knows the vocabulary
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    assert token_counts._counters(path)[2] is token_counts._counters(path)[2]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(
+    st.sampled_from("'streldm!?.,-_19\xa0İŉÉß"), st.characters(min_codepoint=0xA0, max_codepoint=0x24F),
+    st.characters(min_codepoint=0x2010, max_codepoint=0x2027), st.characters(min_codepoint=0x2030, max_codepoint=0x205E),
+), max_size=30))
+def test_chunks_are_counted_like_the_library(chunk):
+    tokenizer, special, memory = token_counts._counters(public_tokenizers.path(token_counts.VOCABULARY))
+    assert not unusual([chunk], special, runs=False).any()
+    assert memory[chunk] == len(tokenizer.encode(chunk, add_special_tokens=False).ids)
+
+
 def labelled(spark, make_docs, texts, column):
     docs = make_docs([(i, t) for i, (t, _) in enumerate(texts)])
     rows = [(i, y if column == "quality" else None, y if column == "toxic" else None) for i, (_, y) in enumerate(texts)]
